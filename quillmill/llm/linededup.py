@@ -56,7 +56,7 @@ def matches(found: DataFrame) -> DataFrame:
     order = F.struct(F.col("k").isNull().alias("none"), "k", "th", "at")
     first = heads.groupBy("key").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1")
     first = staged(first.select("key", F.col("f.k").alias("k0"), F.col("f.th").alias("th0"), F.col("f.at").alias("at0")), "first")
-    across = heads.join(first, "key").where(~(F.col("k").eqNullSafe(F.col("k0")) & (F.col("th") == F.col("th0")))).select("k", "th", "k0", "th0", (F.col("at") - F.col("at0")).alias("shift"))
+    across = heads.join(first.hint("merge"), "key").where(~(F.col("k").eqNullSafe(F.col("k0")) & (F.col("th") == F.col("th0")))).select("k", "th", "k0", "th0", (F.col("at") - F.col("at0")).alias("shift"))
     return staged(within.unionByName(across).distinct(), "matches")
 
 
@@ -64,9 +64,9 @@ def repeated_runs(lines: DataFrame, least_words: int) -> DataFrame:
     """(k, th, gone): the places of the lines of each text that are in a later repeated run."""
     found = matches(windows(lines, least_words))
     earlier = lines.select(F.col("k").alias("ke"), F.col("th").alias("te"), F.col("hashes").alias("others"))
-    both = found.join(earlier, (found.th0 == earlier.te) & found.k0.eqNullSafe(earlier.ke)).select("k", "th", "shift", "others")
+    both = found.join(earlier.hint("merge"), (found.th0 == earlier.te) & found.k0.eqNullSafe(earlier.ke)).select("k", "th", "shift", "others")
     own = lines.select(F.col("k").alias("ko"), F.col("th").alias("tho"), "hashes", "sizes", "places")
-    both = both.join(own, (both.th == own.tho) & both.k.eqNullSafe(own.ko)).drop("ko", "tho")
+    both = both.join(own.hint("merge"), (both.th == own.tho) & both.k.eqNullSafe(own.ko)).drop("ko", "tho")
     overlap = both.withColumn("start", F.greatest(F.lit(0), "shift")).withColumn("many", F.expr("least(size(hashes), size(others) + shift) - start"))
     breaks = F.expr("filter(transform(zip_with(slice(hashes, start + 1, many), slice(others, start - shift + 1, many), (x, y) -> x = y), (same, i) -> if(same, null, i)), i -> i IS NOT NULL)")
     broken = overlap.select("k", "th", "start", "many", "sizes", "places", breaks.alias("breaks"))
@@ -90,9 +90,10 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_wo
     """
     lines = staged(line_hashes(df, key, text).groupBy("k", "th").agg(F.first(F.struct("hashes", "sizes", "places")).alias("l")).select("k", "th", "l.*"), "lines")
     runs = staged(repeated_runs(lines, least_words), "runs").withColumnsRenamed({"k": "_k", "th": "_th", "gone": "_gone"})
+    # all joins are by sort and merge: their sides grow with the corpus, and skewed parts can be split
     names = [c for c in df.columns if c.lower() not in ("n_lines", "n_removed")]
     value = df[f"`{text}`"]
-    joined = df.join(runs, (F.xxhash64(value) == runs["_th"]) & df[f"`{key}`"].eqNullSafe(runs["_k"]), "left")
+    joined = df.join(runs.hint("merge"), (F.xxhash64(value) == runs["_th"]) & df[f"`{key}`"].eqNullSafe(runs["_k"]), "left")
     split, gone = _lines(value), runs["_gone"]
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), gone), lambda i: F.get(split, i))
     left = F.when(gone.isNull(), value).otherwise(F.array_join(kept, "\n"))
