@@ -135,12 +135,25 @@ def score_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     return _scored(rows, labels, key, label, cut, sample)
 
 
+def _place() -> Column:
+    """A place in [0, 1) by a hash of the key."""
+    return F.pmod(F.xxhash64(F.lit("fit"), "k"), F.lit(1 << 31)) / float(1 << 31)
+
+
+def _low(rows: DataFrame, most: int) -> DataFrame:
+    """The rows with the lowest places, about `most` of them; so no task sends more than its share to the driver."""
+    return rows.where(_place() < most / max(1, rows.count()))
+
+
+def _first(rows: DataFrame, sample: int) -> list:
+    return rows.orderBy(_place(), "k", "_features").limit(sample).select("_features").collect()
+
+
 def _scored(rows: DataFrame, labels: DataFrame, key: str, label: str, cut: float, sample: int) -> DataFrame:
-    keyed = rows.select(rows[f"`{key}`"].alias("k"), "_features")
-    good = labels.where(labels[f"`{label}`"] == 1).select(labels[f"`{key}`"].alias("k")).where("k IS NOT NULL").distinct()
-    order = F.xxhash64(F.lit("fit"), "k", "_features")
-    positive = keyed.join(good, "k", "left_semi").where(~held_out(F.col("k"))).orderBy(order).limit(sample).select("_features").collect()
-    unlabelled = keyed.where("k IS NOT NULL").orderBy(order).limit(sample).select("_features").collect()
+    keyed = rows.select(rows[f"`{key}`"].alias("k"), "_features").where("k IS NOT NULL")
+    good = labels.where(labels[f"`{label}`"] == 1).select(labels[f"`{key}`"].alias("k")).where("k IS NOT NULL").where(~held_out(F.col("k"))).distinct()
+    positive = _first(keyed.join(_low(good, 4 * sample), "k", "left_semi"), sample)
+    unlabelled = _first(_low(keyed, 2 * sample), sample)
     scorer = fit(*(_matrix([r[0] for r in x]) if x else np.zeros((0, 16)) for x in (positive, unlabelled)))
     shared = rows.sparkSession.sparkContext.broadcast(scorer)
 
