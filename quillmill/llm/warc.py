@@ -13,13 +13,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quillmill.llm.common import staged
 
 _END = "\r\n"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _base32(digests: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in digests:
         yield batch.map(lambda d: None if d is None else base64.b32encode(d).decode(), na_action="ignore")
