@@ -1,0 +1 @@
+"""Streaming parts: none. The engine is for batches; no stage of it keeps state over time."""
