@@ -27,7 +27,7 @@ _PLAIN = regex.compile(r"[^\t\n\r -~¡-įı-ſ–—‘’“”…]")
 _CONTRACTION = regex.compile(r"'\p{L}+")
 
 
-def _byte_symbols() -> list[str]:
+def byte_symbols() -> list[str]:
     """The printable stand-in of each byte in byte-level vocabularies: printable Latin-1 bytes stand for themselves, the others follow from U+0100."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     spare = iter(range(256, 512))
@@ -75,7 +75,7 @@ class PrefixCounter:
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.special_at = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.library = Tokenizer.from_file(path)
-        self.symbols = _byte_symbols()
+        self.symbols = byte_symbols()
         self.alone = _Memo(self._alone, memo)
         self.kept = _Memo(self._kept, memo)
         self.word = _Memo(self._word, memo)
