@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmill.functions.text import LANGUAGES, grade_of, includes_picture, iso_language, normalized_enum, slim_md5, static_info, with_default
-from quillmill.operators import blocks, gates, matching, recognition, report
+from quillmill.operators import blocks, gates, matching, providers, recognition, report, understanding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -240,3 +240,39 @@ def enum_normalization(spark, sf_dir):
     value = F.when(F.col("p_size") % 3 == 0, "初一").when(F.col("p_size") % 3 == 1, " 高二")
     level = with_default(normalized_enum(value, "text_grade_level"), "text_grade_level")
     return read(spark, sf_dir, "part").select("p_partkey", level.alias("level")).select("p_partkey", "level", grade_of(F.col("level")).alias("grade"))
+
+
+@query("""SELECT conv_id::varchar AS document_id, asks AS n_questions, tells AS n_answers, CASE WHEN asks > 0 AND tells > 0 THEN 'MIXED' WHEN tells > 0 THEN 'ANSWER' WHEN asks > 0 THEN 'QUESTION' ELSE 'UNKNOWN' END AS document_class
+    FROM (SELECT conv_id, count(*) FILTER (role = 'user') AS asks, count(*) FILTER (role = 'assistant') AS tells FROM conversations GROUP BY conv_id)""")
+def document_classes(spark, sf_dir):
+    line = F.when(F.col("role") == "user", F.concat("turn", F.lit(". question"))).when(F.col("role") == "assistant", F.concat(F.lit("【答案】"), "text"))
+    parts = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("document_id"), F.col("turn").alias("ord"), F.lit("paragraph").alias("type"), line.alias("raw_text"), F.lit(None).cast("string").alias("resolved_label"))
+    return understanding.classify(understanding.features(parts)).select("document_id", "n_questions", "n_answers", "document_class")
+
+
+@query("""SELECT o_orderkey::varchar AS document_id, CASE WHEN o_orderstatus = 'F' THEN '数学' ELSE '物理' END AS course, CASE WHEN o_orderkey % 3 = 0 THEN '高中二年级' ELSE '初中一年级' END AS level,
+    year(o_orderdate)::varchar AS year, CASE WHEN o_orderkey % 2 = 0 THEN '北京' END AS city, CASE WHEN o_orderkey % 5 = 0 THEN '高考' END AS exam FROM orders""")
+def file_metadata(spark, sf_dir):
+    k = F.col("o_orderkey")
+    name = F.concat(F.year("o_orderdate").cast("string"), F.lit("年"), F.when(k % 2 == 0, "北京市").otherwise(""), F.when(k % 3 == 0, "高二").otherwise("初一"), F.when(k % 5 == 0, "高考").otherwise(""), F.when(F.col("o_orderstatus") == "F", "数学").otherwise("物理"), F.lit("试卷.docx"))
+    names = read(spark, sf_dir, "orders").select(k.cast("string").alias("document_id"), name.alias("source_file"))
+    nothing = spark.createDataFrame([], "document_id string, ord int, type string, raw_text string")
+    return understanding.wide(understanding.prioritised(understanding.metadata_values(names, nothing), "document_id"), "document_id")
+
+
+@query("""SELECT d AS document_id, 'exam_' || CASE WHEN n > 1 AND (asks > 1 OR tells > 1 OR years > 1) THEN d ELSE first END AS cluster_id FROM (SELECT p_partkey::varchar AS d, min(p_partkey::varchar) OVER w AS first, count(*) OVER w AS n,
+    count(*) FILTER (p_partkey % 2 = 0) OVER w AS asks, count(*) FILTER (p_partkey % 2 = 1) OVER w AS tells, max((p_size % 2)) OVER w - min(p_size % 2) OVER w + 1 AS years FROM part WINDOW w AS (PARTITION BY p_brand, p_type, p_size // 4))""")
+def exam_clusters(spark, sf_dir):
+    even = F.col("p_partkey") % 2 == 0
+    name = F.concat(F.col("p_brand"), F.lit("x"), F.col("p_type"), F.lit("x"), F.floor(F.col("p_size") / 4).cast("string"), F.when(even, "试卷").otherwise("答案"), F.lit(".docx"))
+    absent, none = F.lit(None).cast("string"), F.array().cast("array<string>")
+    rows = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("document_id"), name.alias("source_file"), absent.alias("title"), F.when(even, "QUESTION").otherwise("ANSWER").alias("document_class"), none.alias("question_numbers"), none.alias("answer_numbers"), (F.col("p_size") % 2).cast("string").alias("year"))
+    return understanding.clusters(rows.withColumns({f: absent for f in understanding.FIELDS if f != "year"}))
+
+
+@query("SELECT item_id, text AS content, 'accept' AS action FROM benchmark")
+def recognised_items(spark, sf_dir):
+    items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("block_id"), F.lit("text_ocr").alias("task"), F.lit(True).alias("is_critical"), F.encode("text", "UTF-8").alias("content"))
+    scale = spark.createDataFrame([("echo", "fake-1", "text_ocr")], "provider string, model string, task string").withColumns({"slope": F.lit("1").cast("decimal(9,6)"), "shift": F.lit("0").cast("decimal(9,6)")})
+    settled, _ = providers.recognised(items, providers.Fake("echo", bytes.decode), None, scale, None, 8, tasks=4)
+    return settled.select(F.col("block_id").alias("item_id"), "content", "action")
