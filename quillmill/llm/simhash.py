@@ -26,21 +26,28 @@ SEED = 42
 BLOCK = 1 << 15
 
 
-def fingerprint_of(text: str | None, size: int = 3) -> int:
-    """The 64-bit SimHash of a text's shingles of `size` words, as an unsigned integer."""
+def shingle_hashes(text: str | None, size: int) -> Iterator[np.ndarray]:
+    """The 64-bit hashes of a text's shingles of `size` words, in blocks. A shorter text is one shingle; one without words has none."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     flat = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     shingles = max(1, len(words) - size + 1)
     starts, ends = starts[:shingles].tolist(), ends[min(size, len(words)) - 1 :].tolist()
-    digest, tally = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    digest = xxhash.xxh64_intdigest
     for at in range(0, shingles, BLOCK):
-        values = np.fromiter((digest(flat[a:b], SEED) for a, b in zip(starts[at : at + BLOCK], ends[at : at + BLOCK], strict=True)), np.uint64)
+        yield np.fromiter((digest(flat[a:b], SEED) for a, b in zip(starts[at : at + BLOCK], ends[at : at + BLOCK], strict=True)), np.uint64)
+
+
+def fingerprint_of(text: str | None, size: int = 3) -> int:
+    """The 64-bit SimHash of a text's shingles of `size` words, as an unsigned integer."""
+    shingles, tally = 0, np.zeros(64, np.int64)
+    for values in shingle_hashes(text, size):
+        shingles += len(values)
         bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         for part in np.array_split(bits, max(1, len(bits) // 255)):  # sums of a part fit into a byte's range in few steps
             tally += part.sum(axis=0, dtype=np.uint16)

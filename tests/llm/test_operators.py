@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillmill.llm import chat, decontaminate, divergence, linededup, packing, quality, simhash, tokens, urls, warc
+from quillmill.llm import chat, decontaminate, divergence, linededup, packing, quality, similar, simhash, tokens, urls, warc
 from quillmill.llm.common import shared_dir, staged
 
 DOCS = "doc_id long, text string, lang string"
@@ -185,6 +185,41 @@ def test_simhash(spark):
     assert len(rows) == 47 and simhash.keep_first(df).columns == df.columns and simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def brute_groups(texts, size=5, similarity=0.8):
+    """The smallest key that each text reaches by pairs whose shingles are similar."""
+    sets, root = {}, {k: k for k, _ in texts}
+    for k, t in texts:
+        words = (t or "").lower().split()
+        sets[k] = {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9]
+    for _ in texts:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+def test_near_stage(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(8)
+    texts = []
+    for group in range(12):
+        own = [f"w{rnd.randrange(900)}" for _ in range(rnd.choice([12, 60, 300]))]
+        for copy in range(6):
+            texts.append((len(texts), " ".join(own)))
+            for _ in range(max(1, len(own) // 60) if copy % 2 else 1):  # edits add up, so the last copies are reached by chains alone
+                own[rnd.randrange(len(own))] = f"x{len(texts)}"
+    texts += [(200, "Some few  words"), (201, "some few words"), (202, "some few"), (203, ""), (204, " \n"), (205, None)]
+    rnd.shuffle(texts)
+    root = brute_groups(texts)
+    df = spark.createDataFrame([(k, t, "en") for k, t in texts] + [(None, "a null key", "en")] * 2, DOCS)
+    assert {r.doc_id: r.component_id for r in similar.similar_groups(df).collect()} == root
+    kept = corpus_pipeline.near_stage(spark, df, "")
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(root.values()))
+    assert kept.where("doc_id IS NULL").count() == 2 and len(set(root.values())) < 60
+    assert similar.keep_first(df.limit(0)).count() == 0 and similar.keep_first(odd_rows(spark)).where("doc_id = 3").count() == 1
+
+
 def test_packing(spark):
     P = pytest.importorskip("public_tokenizers")
     path = P.path("byte_bpe_50k.json")
