@@ -12,6 +12,8 @@ for all else, one for the start), so the models have at most 40^3 contexts, what
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,16 +52,26 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
+def _signs(text: Column) -> Column:
+    plain = F.regexp_replace(F.lower(text), "[0-9]+", "0")
+    return F.concat(F.lit("^^^"), F.regexp_replace(plain, r"[^a-z0./\-_?=&:%+~]", OTHER))
+
+
 def spelled(host: Column, path: Column) -> Column:
-    """The part of a URL that the models read, in their alphabet, after three signs of the start.
+    """The whole host and path, in the models' alphabet, after three signs of the start. This is what is scored."""
+    return _signs(F.concat(host, path))
 
-    It is the host before its registered domain (two labels), and the path after its first part. Rules on domains
-    look at the rest, and models that saw it would only learn the rules of their examples over again.
+
+def lesson(host: Column, path: Column, rules=RULES) -> Column:
+    """What the models learn from an example: its spelling without what rules look at, else they learn the rules over again.
+
+    The labels that rules name go from the host's end. Where a rule names a first part of a path, that part goes
+    from every example whose path has another part after it, as its absence would tell as much as the name.
     """
-    names = F.regexp_replace(F.concat(F.lit("."), host), r"(\.[^.]*){1,2}$", "")
-    bare = F.lower(F.concat(F.ltrim(names, F.lit(".")), F.lit("/"), F.regexp_extract(path, r"(?s)^/?[^/]*/(.*)$", 1)))
-    plain = F.regexp_replace(bare, "[0-9]+", "0")
-    return F.concat(F.lit("^^^"), F.regexp_replace(plain, r"[^a-z0./\-_?=&:%+~]", OTHER))
+    labels = "|".join(sorted({re.escape(x) for rule, _ in rules for x in rule.partition("/")[0].split(".")}))
+    names = F.regexp_replace(host, rf"((^|\.)({labels}))+$", "")
+    parts = any(rule.partition("/")[2] for rule, _ in rules)
+    return _signs(F.concat(names, F.regexp_replace(path, r"(?s)^/[^/]*/", "/") if parts else path))
 
 
 def _grams(texts: DataFrame, *keep: str) -> DataFrame:
@@ -112,7 +124,7 @@ def seeds(spark: SparkSession, weight: int) -> DataFrame:
     """(s, good): the fixed examples as hosts, each `weight` times."""
     rows = [(w, True) for w in ACCEPTED] + [(w, False) for w in REJECTED]
     df = spark.createDataFrame(rows, "u string, good boolean").withColumn("times", F.explode(F.sequence(F.lit(1), F.lit(weight))))
-    return df.select(spelled(F.concat("u", F.lit(".example.com")), F.lit("/x/1")).alias("s"), "good")
+    return df.select(_signs(F.concat("u", F.lit("/0"))).alias("s"), "good")
 
 
 def filter_urls(df: DataFrame, url: str = "url", rules=RULES, share: float = 0.02, least: int = 20, weight: int = 20) -> DataFrame:
@@ -130,14 +142,14 @@ def filter_urls(df: DataFrame, url: str = "url", rules=RULES, share: float = 0.0
     parsed = df.select(host.alias("host"), path.alias("path")).distinct()
     ruled = parsed.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
     blocked = [r for r, verdict in rules if verdict == "block"]
-    known = ruled.select("host", "path", "rule", spelled(F.col("host"), F.col("path")).alias("s"), (~F.col("rule").isin(blocked)).alias("good"))
+    known = ruled.select("host", "path", "rule", spelled(F.col("host"), F.col("path")).alias("s"), lesson(F.col("host"), F.col("path"), rules).alias("lesson"), (~F.col("rule").isin(blocked)).alias("good"))
     known = staged(known, "urls")
-    fold = F.pmod(F.xxhash64("s"), F.lit(5)) == 0
-    examples = known.where("rule IS NOT NULL").select("s", "good")
+    fold = F.pmod(F.xxhash64("lesson"), F.lit(5)) == 0
+    examples = known.where("rule IS NOT NULL").select(F.col("lesson").alias("s"), "lesson", "good")
     told = examples.where(~fold).groupBy("s").agg(F.min("good").alias("good"), F.max("good").alias("most")).where("good = most").select("s", "good")
     models = train(told.unionByName(seeds(spark, weight)), least)
     scores = staged(scored(known.withColumn("id", F.struct("host", "path")), models, "id").select("id.*", "score"), "scores")
-    judged = staged(known.join(scores, ["host", "path"], "left").select("host", "path", "s", "rule", "good", F.coalesce("score", F.lit(0.0)).alias("score")), "judged")
+    judged = staged(known.join(scores, ["host", "path"], "left").select("host", "path", "lesson", "rule", "good", F.coalesce("score", F.lit(0.0)).alias("score")), "judged")
     cut = judged.where("rule IS NOT NULL AND good").where(fold).agg(F.percentile_approx("score", share, 10_000)).first()[0]
     cut = 0.0 if cut is None else cut
     verdict = F.when(F.col("rule").isNotNull(), F.when(F.col("good"), "allow").otherwise("block")).otherwise(F.when(F.col("score") < cut, "block").otherwise("allow"))

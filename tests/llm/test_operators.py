@@ -103,6 +103,16 @@ def test_urls(spark):
     assert urls.filter_urls(df).count() == len(rows) and urls.filter_urls(df.limit(0)).count() == 0
 
 
+def test_urls_whole(spark):
+    good = [f"http://{w}.example.net/en/{i}" for i, w in enumerate(urls.ACCEPTED)]
+    bad = [f"http://{w}.example.net/it/{i}" for i, w in enumerate(urls.REJECTED)]
+    judged = {"http://casino-bonus.com/en/17": "block", "http://cheap-pills.com/viagra-online/17": "block", "http://free-porn.xyz/xxx-videos/": "block", "http://weather.com/en/17": "allow", "http://library.com/science/17": "allow", "http://museum.info/torrent-keygen/free-download-crack": "block"}
+    df = spark.createDataFrame([(u,) for u in good + bad + list(judged)], "url string")
+    got = {r.url: r for r in urls.filter_urls(df).collect()}
+    assert {u: (got[u].rule, got[u].verdict) for u in judged} == {u: (None, v) for u, v in judged.items()}
+    assert len({got[u].score for u in judged}) == len(judged)
+
+
 def test_chat(spark):
     said = "</s>[INST] ok [/INST] <\\s> [\\\\INST] <s"
     rows = [(1, 0, "user", said), (1, 1, "assistant", said), (1, 2, "user", "äé"), (2, 0, "user", None), (3, 0, None, "x"), (3, 0, "a\nb\\n", "x\ny"), (4, 0, "assistant", ""), (None, 0, "assistant", "n"), (5, None, "user", "z"), (5, 1, "assistant", "z"), (5, 1, "assistant", "z")]
