@@ -1,10 +1,17 @@
 """Line dedup by winnowing over line hashes, in DataFrame operations alone.
 
 A text is the sequence of the hashes of its lines that have a word; other lines are passed over. From each line, a
-window takes as few lines as hold `least_words` words. The minimum of a window's hashes is its fingerprint: its
-position stands for the window, and any repeated run of that many words holds a whole window and so a guaranteed
-fingerprint. Windows are joined to their first occurrence in the corpus; the fingerprint positions give the shift
-between the two texts, equal shifts are one match, and each match is extended both ways as far as the lines agree.
+window takes as few lines as hold `least_words` words. The minimum of a window's hashes (the first of equal ones)
+is its fingerprint, and windows beside each other mostly share one, so the index holds the distinct minima with the
+windows that chose them. Any repeated run of `least_words` words holds a whole window, which chooses the same line in
+both texts: a guaranteed fingerprint. So a fingerprint that the corpus has once cannot be part of a repeated run, and
+its windows go no further. Those of repeated fingerprints are compared by all their lines and joined, at the places of
+their fingerprints, to their first occurrence; the two places give the shift between the texts.
+
+Matches of one shift grow both ways. Any whole window of a run is matched itself, so to the left, and to the right
+as long as a window fits, a match grows by joining the matched windows beside it (gaps and islands). At the right end
+fewer than `least_words` words may be left, too few for a window; these lines are compared one by one. No row of a
+match carries more than these few lines of either text.
 """
 
 from __future__ import annotations
@@ -32,48 +39,60 @@ def line_hashes(df: DataFrame, key: str, text: str) -> DataFrame:
     return split.select("k", "th", F.transform("lines", lambda p: F.xxhash64(p["line"])).alias("hashes"), sizes.alias("sizes"), F.col("lines.i").alias("places"))
 
 
-def windows(lines: DataFrame, least_words: int) -> DataFrame:
-    """(k, th, key, at): of each window its hash and the position of its minimum."""
+def fingerprints(lines: DataFrame, least_words: int) -> DataFrame:
+    """(k, th, print, at, windows): each distinct window minimum, its place, and (first, stop, key) of the windows that chose it."""
     taken = F.expr(f"""
         transform(sizes, (size, i) -> aggregate(slice(sizes, i + 1, {least_words}), named_struct('words', 0, 'lines', 0),
             (a, w) -> if(a.words >= {least_words}, a, named_struct('words', a.words + w, 'lines', a.lines + 1))))""")
     counted = lines.select("k", "th", "hashes", taken.alias("taken"))
-    each = F.expr(f"""
-        filter(transform(taken, (w, i) -> if(w.words >= {least_words}, named_struct('i', i, 'part', slice(hashes, i + 1, w.lines)), null)), w -> w IS NOT NULL)""")
-    found = counted.select("k", "th", F.explode(each).alias("w"))
-    return found.select("k", "th", F.xxhash64("w.part").alias("key"), F.expr("cast(w.i + array_position(w.part, array_min(w.part)) - 1 AS int)").alias("at"))
+    parts = F.expr(f"""
+        filter(transform(taken, (w, i) -> if(w.words >= {least_words}, named_struct('first', i, 'stop', i + w.lines, 'part', slice(hashes, i + 1, w.lines)), null)), w -> w IS NOT NULL)""")
+    cut = counted.select("k", "th", "hashes", parts.alias("parts")).where("size(parts) > 0")
+    each = F.expr("transform(parts, w -> named_struct('first', w.first, 'stop', w.stop, 'at', int(w.first + array_position(w.part, array_min(w.part)) - 1), 'key', xxhash64(w.part)))")
+    windows = cut.select("k", "th", "hashes", each.alias("w"))
+    # windows move to the right and so do their minima: those with one minimum stand side by side
+    starts = F.expr("filter(transform(w, (x, n) -> if(n = 0 OR x.at <> get(w, n - 1).at, n, null)), n -> n IS NOT NULL)")
+    begun = windows.select("k", "th", "hashes", "w", starts.alias("starts"))
+    groups = F.expr("zip_with(starts, concat(slice(starts, 2, size(starts)), array(size(w))), (a, b) -> slice(w, a + 1, b - a))")
+    found = begun.select("k", "th", "hashes", F.explode(groups).alias("g"))
+    return found.select("k", "th", F.expr("get(hashes, g[0].at)").alias("print"), F.expr("g[0].at").alias("at"), F.expr("transform(g, w -> named_struct('first', w.first, 'stop', w.stop, 'key', w.key))").alias("windows"))
 
 
 def matches(found: DataFrame) -> DataFrame:
-    """(k, th, k0, th0, shift): each text with an earlier one that has a window of it, and how far the one is shifted.
+    """(k, th, k0, th0, shift, first, stop): the windows of each text that an earlier place has, with that text and how far the one is shifted.
 
     Within a text a window is matched to its last occurrence before; the first of a text to the first of all texts.
     """
-    in_text = W.partitionBy("key", "k", "th").orderBy("at")
-    found = staged(found.withColumn("before", F.lag("at").over(in_text)), "windows")
-    within = found.where("before IS NOT NULL").select("k", "th", F.col("k").alias("k0"), F.col("th").alias("th0"), (F.col("at") - F.col("before")).alias("shift"))
-    heads = found.where("before IS NULL").select("key", "k", "th", "at")
+    found = staged(found, "fingerprints")
+    repeated = found.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    windows = found.join(repeated.hint("merge"), "print").select("k", "th", "print", "at", F.explode("windows").alias("w")).select("k", "th", "print", "at", "w.*")
+    in_text = W.partitionBy("print", "key", "k", "th").orderBy("at", "first")
+    windows = staged(windows.withColumn("before", F.lag("at").over(in_text)), "windows")
+    within = windows.where("before IS NOT NULL").select("k", "th", F.col("k").alias("k0"), F.col("th").alias("th0"), (F.col("at") - F.col("before")).alias("shift"), "first", "stop")
+    heads = windows.where("before IS NULL").select("print", "key", "k", "th", "at", "first", "stop")
     order = F.struct(F.col("k").isNull().alias("none"), "k", "th", "at")
-    first = heads.groupBy("key").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1")
-    first = staged(first.select("key", F.col("f.k").alias("k0"), F.col("f.th").alias("th0"), F.col("f.at").alias("at0")), "first")
-    across = heads.join(first.hint("merge"), "key").where(~(F.col("k").eqNullSafe(F.col("k0")) & (F.col("th") == F.col("th0")))).select("k", "th", "k0", "th0", (F.col("at") - F.col("at0")).alias("shift"))
-    return staged(within.unionByName(across).distinct(), "matches")
+    first = heads.groupBy("print", "key").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1")
+    first = staged(first.select("print", "key", F.col("f.k").alias("k0"), F.col("f.th").alias("th0"), F.col("f.at").alias("at0")), "first")
+    across = heads.join(first.hint("merge"), ["print", "key"]).where(~(F.col("k").eqNullSafe(F.col("k0")) & (F.col("th") == F.col("th0")))).select("k", "th", "k0", "th0", (F.col("at") - F.col("at0")).alias("shift"), "first", "stop")
+    return within.unionByName(across)
 
 
 def repeated_runs(lines: DataFrame, least_words: int) -> DataFrame:
     """(k, th, gone): the places of the lines of each text that are in a later repeated run."""
-    found = matches(windows(lines, least_words))
-    earlier = lines.select(F.col("k").alias("ke"), F.col("th").alias("te"), F.col("hashes").alias("others"))
-    both = found.join(earlier.hint("merge"), (found.th0 == earlier.te) & found.k0.eqNullSafe(earlier.ke)).select("k", "th", "shift", "others")
-    own = lines.select(F.col("k").alias("ko"), F.col("th").alias("tho"), "hashes", "sizes", "places")
-    both = both.join(own.hint("merge"), (both.th == own.tho) & both.k.eqNullSafe(own.ko)).drop("ko", "tho")
-    overlap = both.withColumn("start", F.greatest(F.lit(0), "shift")).withColumn("many", F.expr("least(size(hashes), size(others) + shift) - start"))
-    breaks = F.expr("filter(transform(zip_with(slice(hashes, start + 1, many), slice(others, start - shift + 1, many), (x, y) -> x = y), (same, i) -> if(same, null, i)), i -> i IS NOT NULL)")
-    broken = overlap.select("k", "th", "start", "many", "sizes", "places", breaks.alias("breaks"))
-    runs = F.expr(f"""
-        filter(zip_with(concat(array(-1), breaks), concat(breaks, array(many)), (a, b) -> named_struct('first', start + a + 1, 'many', b - a - 1)),
-            r -> r.many > 0 AND aggregate(slice(sizes, r.first + 1, r.many), 0, (s, w) -> s + w) >= {least_words})""")
-    each = broken.select("k", "th", "places", F.explode(runs).alias("run")).select("k", "th", F.expr("slice(places, run.first + 1, run.many)").alias("gone"))
+    match = ["k", "th", "k0", "th0", "shift"]
+    along = W.partitionBy(*match).orderBy("first")
+    marked = matches(fingerprints(lines, least_words)).withColumn("begins", F.coalesce(F.col("first") > F.lag("first").over(along) + 1, F.lit(True)).cast("int"))
+    islands = marked.withColumn("island", F.sum("begins").over(along)).groupBy(*match, "island").agg(F.min("first").alias("first"), F.max("stop").alias("stop"))
+    islands = staged(islands.drop("island"), "islands")
+    tail = lambda stop: F.slice("hashes", stop + 1, least_words - 1)
+    earlier = lines.select(F.col("k").alias("ke"), F.col("th").alias("te"), "hashes")
+    both = islands.join(earlier.hint("merge"), (F.col("th0") == F.col("te")) & F.col("k0").eqNullSafe(F.col("ke")))
+    both = both.select("k", "th", "first", "stop", tail(F.col("stop") - F.col("shift")).alias("others"))
+    own = lines.select(F.col("k").alias("ko"), F.col("th").alias("tho"), "hashes", "places")
+    both = both.join(own.hint("merge"), (F.col("th") == F.col("tho")) & F.col("k").eqNullSafe(F.col("ko")))
+    same = both.withColumn("same", F.zip_with(tail(F.col("stop")), "others", lambda x, y: F.coalesce(x == y, F.lit(False))))
+    grown = F.coalesce(F.nullif(F.array_position("same", False), F.lit(0)) - 1, F.size("same"))
+    each = same.select("k", "th", F.slice("places", F.col("first") + 1, (F.col("stop") - F.col("first") + grown).cast("int")).alias("gone"))
     return each.groupBy("k", "th").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone"))
 
 
@@ -82,7 +101,8 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_wo
 
     A run of lines with `least_words` words or more goes where the same lines stand in a text with a smaller key,
     or earlier in the same text; the first occurrence stays. Each window of a run is matched to its own first
-    occurrence, so every repeated window goes, and with it whatever agrees beside it there. Order is by key, then
+    occurrence (in its own text to the one before), so every repeated window goes, and with it whatever agrees beside
+    it there. Order is by key, then
     by a hash of the text; null keys come last. Rows that repeat both key and text are one document and are
     treated alike. A null text stays null, an empty one empty; a text may become empty. Lines without a word stay.
     Single long lines are runs of one. A passage inside a line is not a line run. An empty table gives an empty

@@ -175,6 +175,24 @@ def test_line_dedup(spark):
     assert odd[1] is None and odd[2] == "" and odd[5] == "word " * 5000 and len(odd) == 6
     assert linededup.dedup_lines(df.limit(0)).count() == 0
     assert linededup.renewed(df).columns == df.columns
+    counted = linededup.renewed(spark.createDataFrame([(1, "a b\nc", 99), (2, "x\na b\nc\ny", 99)], "doc_id long, text string, n_chars int"), least_words=3).collect()
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in counted) == [(1, "a b\nc", 99), (2, "x\ny", 3)]
+
+
+def test_winnowing(spark):
+    """The index holds the distinct window minima alone, each with the windows that chose it."""
+    rnd = random.Random(10)
+    docs = [(i, "\n".join(" ".join(rnd.choices("a b c d".split(), k=rnd.choice([1, 2, 5, 20]))) for _ in range(rnd.choice([0, 1, 9, 40])))) for i in range(40)]
+    lines = staged(linededup.line_hashes(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text"), "lines")
+    want = {}
+    for r in lines.collect():
+        for i in range(len(r.hashes)):
+            stop = next((j for j in range(i + 1, len(r.hashes) + 1) if sum(r.sizes[i:j]) >= 12), None)
+            if stop:
+                at = min(range(i, stop), key=lambda p: (r.hashes[p], p))
+                want.setdefault((r.k, at, r.hashes[at]), []).append((i, stop))
+    got = {(r.k, r.at, r.print): [(w.first, w.stop) for w in r.windows] for r in linededup.fingerprints(lines, 12).collect()}
+    assert got == want and len(want) < 0.8 * sum(map(len, want.values()))
 
 
 def test_simhash(spark):
