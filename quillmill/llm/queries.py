@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.llm import chat, decontaminate, divergence, linededup, packing, quality, simhash, sql, tokens, urls, warc
-from quillmill.llm.common import shared_dir, table
+from quillmill.llm.common import shared_dir, staged, table
 
 
 def _vocabulary(name: str) -> str:
@@ -23,8 +23,8 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return tokens.count_tokens(docs, _vocabulary("word_bpe_49k.json"), tables=False).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+    tables = tokens.tabled(table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("word_bpe_49k.json"))
+    return tokens.answers(staged(tables.drop("text"), "tokens")).select("doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,10 @@ encoding of a prefix ends with the one token t for which the prefix before t end
 leave beside t. So the count at i is the count at i - len(t) plus one, and each count is exact: it is what the
 library gives for that prefix as a text of its own. Words are looked up in a bounded memo, so a frequent word is
 worked out once a task process.
+
+A table has an entry for each prefix of the caller's own text, in characters, also where normalisation joins or
+lengthens characters. It is stored as differences, a byte each, with a whole count and the least count at every block
+of BLOCK prefixes. Totals, limits and cuts are read from the stored table without looking at the text again.
 """
 
 from __future__ import annotations
@@ -20,11 +24,18 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import plus, ship
+from quillmill.llm.common import plus, ship, staged
 
 #: Texts of these characters alone need no Unicode normalisation, and lower case keeps their length.
 _PLAIN = regex.compile(r"[^\t\n\r -~¡-įı-ſ–—‘’“”…]")
-_CONTRACTION = regex.compile(r"'\p{L}+")
+#: A character with what normalisation may join to it: marks, and the later letters of a Hangul syllable.
+_CLUSTER = regex.compile(r"(?s).[\p{M}\u1161-\u1175\u11a8-\u11c2\U00016d67]*")
+#: Pieces up to this length may be fixed strings of a split pattern, whose beginnings are split otherwise.
+_FIXED = 24
+#: Prefixes in a block of a stored table.
+BLOCK = 256
+#: What stands for a difference of zero, by the bytes that a difference takes.
+_ZERO = {1: 64, 4: 1 << 31}
 
 
 def byte_symbols() -> list[str]:
@@ -70,6 +81,8 @@ class PrefixCounter:
         #: True for each token that a word may go on after, False for what only begins such tokens.
         inner = [t for t in self.vocab if not t.endswith(self.end)]
         self.known = {t[:i]: False for t in inner for i in range(1, len(t))} | dict.fromkeys(inner, True)
+        #: The tokens that end a word, by what stands before the end.
+        self.closing = {t.removesuffix(self.end): t for t in self.vocab if t.endswith(self.end)}.get
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(split).findall
         self.special = [t["content"] for t in spec["added_tokens"]]
@@ -80,7 +93,8 @@ class PrefixCounter:
         self.kept = _Memo(self._kept, memo)
         self.word = _Memo(self._word, memo)
         self.whole = _Memo(self._whole, memo)
-        self.chunk = _Memo(lambda c: sum(map(self.whole.__getitem__, self.pieces(c))), memo)
+        self.chunk = _Memo(self._chunk, memo)
+        self.normal = _Memo(self.library.normalizer.normalize_str, memo)
 
     def merged(self, symbols: list[str]) -> list[str]:
         """The merges applied to some symbols, best rank first."""
@@ -146,10 +160,12 @@ class PrefixCounter:
     def _word(self, piece: str) -> tuple[int, ...]:
         """For i = 1 to len(piece): the tokens of piece[:i] as a text."""
         text, last, count = self._prefixes(piece)
-        stops = accumulate(len(c.encode()) for c in piece)
-        if len(piece) > 1 and _CONTRACTION.fullmatch(piece):  # a prefix of such a piece is split otherwise
-            return (*(sum(map(self.whole.__getitem__, self.pieces(piece[:i]))) for i in range(1, len(piece))), self._closing(text, last, count, len(text)))
-        return tuple(self._closing(text, last, count, i) for i in stops)
+        out = [self._closing(text, last, count, i) for i in accumulate(len(c.encode()) for c in piece)]
+        if 1 < len(piece) <= _FIXED and not piece.isalpha() and any(map(str.isalpha, piece)):
+            for i in range(1, len(piece)):
+                if len(cut := self.pieces(piece[:i])) > 1:
+                    out[i - 1] = sum(map(self.whole.__getitem__, cut))
+        return tuple(out)
 
     def _prefixes(self, piece: str) -> tuple[str, list[str], list[int]]:
         """The piece's symbols and, for each prefix of them that goes on, the last token and the number of tokens."""
@@ -170,10 +186,10 @@ class PrefixCounter:
 
     def _closing(self, text: str, last: list[str], count: list[int], stop: int) -> int:
         """Tokens of the first `stop` symbols as a word: its last token carries the word's end."""
-        end, vocab, kept = self.end, self.vocab, self.kept
+        closing, kept = self.closing, self.kept
         for start in range(stop - 1, -1, -1):
-            token = text[start:stop] + end
-            if token in vocab and kept[last[start], token]:
+            token = closing(text[start:stop])
+            if token is not None and kept[last[start], token]:
                 return count[start] + 1
         raise ValueError(f"the vocabulary lacks a symbol of {text[:stop]!r}")
 
@@ -181,67 +197,80 @@ class PrefixCounter:
         text, last, count = self._prefixes(piece)
         return self._closing(text, last, count, len(text))
 
-    def chunk_table(self, chunk: str) -> np.ndarray:
-        """Counts for each prefix of a lower-cased text without white space."""
-        parts, done = [], 0
-        for piece in self.pieces(chunk):
-            counts = np.asarray(self.word[piece], np.int32) + done
-            parts.append(counts)
-            done = counts[-1]
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    def _chunk(self, chunk: str) -> bytes:
+        """The differences for each prefix of a lower-cased text without white space, a byte each."""
+        out, zero = [], _ZERO[1]
+        for piece in [chunk] if chunk.isalpha() else self.pieces(chunk):
+            before = 0
+            for n in self.word[piece]:
+                out.append(n - before + zero)
+                before = n
+        return bytes(out)
 
     def segments(self, text: str) -> Iterator[tuple[str, bool]]:
         """The text cut at special strings; each with whether it is one."""
         at = 0
-        if self.special_at and "<" in text:
+        if any(s in text for s in self.special):
             for found in self.special_at.finditer(text):
                 yield text[at : found.start()], False
                 yield found.group(), True
                 at = found.end()
         yield text[at:], False
 
-    def total(self, text: str | None) -> int:
-        """Tokens of the whole text: the last entry of its table, without laying the table out."""
-        if not text:
-            return 0
-        total, chunk = 0, self.chunk
-        for part, special in self.segments(text):
-            if special:
-                total += 1
-            elif part.isascii() and part.isprintable() or not _PLAIN.search(part):
-                total += sum(map(chunk.__getitem__, part.lower().split()))
-            else:
-                total += sum(map(self.whole.__getitem__, self._library_pieces(self.library.normalizer.normalize_str(part))))
-        return total
-
-    def _library_pieces(self, normal: str) -> list[str]:
-        return [normal[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(normal)]
-
-    def table(self, text: str | None) -> np.ndarray:
-        """t[i] is the count for the first i characters of the normalised text (for plain texts: of the text lower-cased).
+    def steps(self, text: str | None) -> np.ndarray:
+        """The differences of the table: one for each character of the text.
 
-        Inside a special string the counts are those of the ordinary characters; its end counts the one token.
+        White space adds nothing. Inside a special string the counts are those of the ordinary characters; its
+        end counts the one token.
         """
-        out, done = [np.zeros(1, np.int32)], 0
+        parts, before = [], ""
         for part, special in self.segments(text or ""):
-            normal = part if _PLAIN.search(part) is None else self.library.normalizer.normalize_str(part)
-            normal = normal.lower() if normal is part else normal
-            counts, at = np.full(len(normal), -1, np.int32), 0
-            before = done
-            chunks = [(m.start(), m.group()) for m in regex.finditer(r"\S+", normal)]
-            for at, chunk in chunks:
-                values = self.chunk_table(chunk) + done
-                counts[at : at + len(chunk)] = values
-                done = int(values[-1])
-            if len(counts):  # white space adds nothing: it has the count before it
-                held = np.where(counts < 0, 0, np.arange(1, len(counts) + 1))
-                held = np.maximum.accumulate(held)
-                counts = np.where(held > 0, counts[held - 1], before).astype(np.int32)
-            if special and len(counts):
-                done = before + 1
-                counts[-1] = done
-            out.append(counts)
-        return np.concatenate(out)
+            if part.isascii() and part.isprintable() or not _PLAIN.search(part):
+                flat = part.lower().replace("\n", " ").replace("\t", " ").replace("\r", " ")
+                steps = np.frombuffer(bytes([_ZERO[1]]).join(map(self.chunk.__getitem__, flat.split(" "))), np.uint8).astype(np.int64) - _ZERO[1]
+            else:
+                steps = np.diff(self._mapped(part), prepend=0)
+            if special:
+                end = before[max(before.rfind(" "), before.rfind("\n")) + 1 :]  # what the beginning of the string may be one piece with
+                steps = np.diff(self._mapped(end + part))[len(end) - 1 :] if end else steps.copy()
+                steps[-1] = 1 - steps[:-1].sum()
+            before = "" if special else part
+            parts.append(steps)
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+    def table(self, text: str | None) -> np.ndarray:
+        """t[i] is the count for the first i characters of the text."""
+        return np.concatenate([[0], np.cumsum(self.steps(text))])
+
+    def _pieces_at(self, normal: str) -> list[tuple[int, int]]:
+        return [at for _, at in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+
+    def _mapped(self, text: str) -> list[int]:
+        """Counts for each prefix of any text, by the table of its normal form and the places in it."""
+        spans = [m.span() for m in _CLUSTER.finditer(text)]
+        parts = [self.normal[text[a:b]] for a, b in spans]
+        normal = "".join(parts)
+        pieces, counts, bounds = self._pieces_at(normal), [0], []
+        for a, b in pieces:
+            done = counts[-1]
+            counts.extend([done] * (a + 1 - len(counts)))
+            counts.extend([done + n for n in self.word[normal[a:b]]])
+        counts.extend([counts[-1]] * (len(normal) + 1 - len(counts)))
+        bounds, k, at, out = [a for a, _ in pieces], 0, 0, []
+        for (a, b), part in zip(spans, parts, strict=True):
+            for i in range(a + 1, b):
+                begun = self.normal[text[a:i]]
+                if part.startswith(begun):
+                    out.append(counts[at + len(begun)])
+                else:  # the characters so far are not what the whole cluster begins with: split the end anew
+                    while k < len(bounds) and bounds[k] < at:
+                        k += 1
+                    back = bounds[max(0, k - 2)] if bounds else 0
+                    end = normal[min(back, at) : at] + begun
+                    out.append(counts[min(back, at)] + sum(self.whole[end[x:y]] for x, y in self._pieces_at(end)))
+            at += len(part)
+            out.append(counts[at])
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -249,44 +278,81 @@ def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-def fitting(table: np.ndarray, budget: int) -> int:
-    """The longest prefix, in characters, with at most `budget` tokens, from its table alone."""
-    return int(np.flatnonzero(np.asarray(table) <= budget)[-1]) if budget >= 0 else 0
+_TABLE = "marks array<int>, least array<int>, width int, steps binary"
 
 
-def token_total(text: Column, path: str) -> Column:
-    @F.pandas_udf("long")
-    def totals(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        count = counter(path)
-        for batch in texts:
-            yield pd.Series([count.total(t) for t in batch], dtype="int64")
+def stored(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, bytes]:
+    """A table as it is stored: the count before each block and in all, the least count in each block, and the differences."""
+    counts = np.cumsum(steps, dtype=np.int32)
+    marks = np.concatenate([[0], counts[BLOCK - 1 : len(counts) - 1 : BLOCK], counts[-1:]]).astype(np.int32)
+    least = np.minimum.reduceat(counts, np.arange(0, len(counts), BLOCK)) if len(counts) else counts
+    width = 1 if not len(steps) or steps.min() >= -_ZERO[1] and steps.max() < 256 - _ZERO[1] else 4
+    return marks, least, width, (steps + _ZERO[width]).astype("u1" if width == 1 else ">u4").tobytes()
+
 
-    return totals(text)
+def restored(width: int, steps: bytes) -> np.ndarray:
+    """The table, one count for each prefix, of stored differences."""
+    return np.concatenate([[0], np.cumsum(np.frombuffer(steps, "u1" if width == 1 else ">u4").astype(np.int64) - _ZERO[width])])
 
 
 def prefix_table(text: Column, path: str) -> Column:
-    @F.pandas_udf("array<int>")
-    def tables(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The stored table of each text; that of a null or empty text has the one count 0."""
+
+    @F.pandas_udf(_TABLE)
+    def tables(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         count = counter(path)
         for batch in texts:
-            yield pd.Series([count.table(t) for t in batch])
+            yield pd.DataFrame([stored(count.steps(t)) for t in batch], columns=["marks", "least", "width", "steps"])
 
     return tables(text)
 
 
-def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 2048, tables: bool = True) -> DataFrame:
-    """df with n_bytes, n_tokens, over_limit and, with `tables`, prefix_tokens: the count at every prefix.
+def total(table: Column) -> Column:
+    """Native: the tokens of the whole text, from its stored table."""
+    return F.element_at(table["marks"], -1).cast("long")
+
 
-    A null or empty text has 0 bytes and 0 tokens (its table is [0]). Every text is counted whole, at any length.
-    Rows are independent, so repeated rows and null keys stay as they are, and an empty table gives an empty one.
-    Columns of df with one of the names of the result are replaced. One pass, no shuffle.
+def truncation_point(table: Column, budget: int) -> Column:
+    """Native: the longest prefix, in characters, of at most `budget` tokens, from a stored table; 0 if there is none.
+
+    Counts can fall within a word, so this is the last prefix that fits. The last block whose least count fits is
+    found, and it alone is read.
     """
+    block = F.size(table["least"]) - F.coalesce(F.nullif(F.array_position(F.transform(F.reverse(table["least"]), lambda n: n <= budget), True), F.lit(0)), F.size(table["least"]) + 1).cast("int")
+    width = table["width"]
+    part = F.substring(table["steps"], block * BLOCK * width + 1, width * BLOCK)
+    zero = F.when(width == 1, _ZERO[1]).otherwise(_ZERO[4]).cast("long")
+    begin = F.struct(F.lit(0).alias("i"), F.get(table["marks"], block).cast("long").alias("n"), F.lit(0).alias("best"))
+
+    def step(a: Column, x: Column) -> Column:
+        n = a["n"] + x
+        return F.struct((a["i"] + 1).alias("i"), n.alias("n"), F.when(n <= budget, a["i"] + 1).otherwise(a["best"]).alias("best"))
+
+    moves = F.transform(F.sequence(F.lit(0), (F.octet_length(part) / width).cast("int") - 1), lambda i: F.conv(F.hex(F.substring(part, i * width + 1, width)), 16, 10).cast("long") - zero)
+    inside = F.aggregate(moves, begin, step)["best"]
+    return F.when(table.isNull() | (block < 0), 0).otherwise(block * BLOCK + inside).cast("long")
+
+
+def tabled(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """df with n_bytes and prefix_tokens: the stored table of the counts at every prefix of the text."""
     ship(df.sparkSession)
     value = df[f"`{text}`"]
-    out = plus(df, n_bytes=F.octet_length(F.coalesce(value, F.lit(""))).cast("long"), n_tokens=token_total(value, path), **({"prefix_tokens": prefix_table(value, path)} if tables else {}))
-    return plus(out, over_limit=out.n_tokens > limit)
+    return plus(df, n_bytes=F.octet_length(F.coalesce(value, F.lit(""))).cast("long"), prefix_tokens=prefix_table(value, path))
+
 
+def answers(tables: DataFrame, limit: int = 2048, table: str = "prefix_tokens") -> DataFrame:
+    """Native: tables with n_tokens, over_limit, and fit_chars, the longest prefix (in characters) within the limit; from stored tables alone."""
+    column = tables[f"`{table}`"]
+    out = plus(tables, n_tokens=total(column))
+    whole = (F.octet_length(column["steps"]) / column["width"]).cast("long")
+    return plus(out, over_limit=out.n_tokens > limit, fit_chars=F.when(out.n_tokens > limit, truncation_point(column, limit)).otherwise(whole))
 
-def truncation_point(prefix_tokens: Column, budget: int) -> Column:
-    """Native: the longest prefix (in characters) of at most `budget` tokens, from a stored table."""
-    return F.array_max(F.transform(prefix_tokens, lambda n, i: F.when(n <= budget, i)))
+
+def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 2048) -> DataFrame:
+    """df with n_bytes, prefix_tokens, n_tokens, over_limit and fit_chars; the tables are stored and then read.
+
+    A null or empty text has 0 bytes and 0 tokens (its table is the count 0). Every text is counted whole, at any
+    length. Rows are independent, so repeated rows and null keys stay as they are, and an empty table gives an empty
+    one. Columns of df with one of the names of the result are replaced. One pass over the texts, no shuffle.
+    """
+    return answers(staged(tabled(df, path, text), "tokens"), limit)

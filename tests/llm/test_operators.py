@@ -45,13 +45,35 @@ def test_prior():
 
 
 def test_token_counts(spark):
+    """Every prefix of every text against the library, and what is read from the stored tables."""
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
 
-    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    rows = tokens.count_tokens(odd_rows(spark).unionByName(spark.createDataFrame([(9, "It's Ünï 漢字 <|endoftext|> 12!", "en")], DOCS)), P.path("word_bpe_49k.json")).collect()
+    path, rnd = P.path("word_bpe_49k.json"), random.Random(6)
+    library = Tokenizer.from_file(path)
+    size = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    signs = [*"abcdeiosrtlvm'< \n\t.,!?12|>", "'re", "<|endoftext|>", "<|STARTOFTEXT|>", "é", "s\u0301", "=\u0338", "İ", "ﬁ", "ǅ", "漢字", "\u1100\u1161\u11a8", "\x85", "\u3000", "\x1c", "A\u030a", "😀", "x\u0302\u0323", "running"]
+    mixed = ["".join(rnd.choices(signs, k=rnd.choice([1, 5, 30, 400]))) for _ in range(60)] + ["ﬁ İstanbul ǅ", "e\u0301a\u0300o", "It's Ünï 漢字 <|endoftext|> 12!", "a" + "\u0301\u0323\u0327" * 60]
+    df = odd_rows(spark).unionByName(spark.createDataFrame([(100 + i, t, "en") for i, t in enumerate(mixed)], DOCS)).withColumn("N_Tokens", F.lit("x"))
+    rows = tokens.count_tokens(df, path, limit=40).withColumn("three", tokens.truncation_point(F.col("prefix_tokens"), 3)).collect()
+    assert len(rows) == 71
     for r in rows:
-        assert r.n_tokens == len(library.encode(r.text or "", add_special_tokens=False).ids) == r.prefix_tokens[-1]
+        text = r.text or ""
+        want = [size(text[:i]) for i in range(len(text) + 1)] if len(text) < 2000 else None
+        table = tokens.restored(r.prefix_tokens.width, r.prefix_tokens.steps).tolist()
+        assert want is None or table == want
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text.encode()), size(text), size(text) > 40) and len(table) == len(text) + 1
+        assert (r.fit_chars, r.three) == tuple(max(i for i, n in enumerate(table) if n <= most) for most in (40, 3))
+    assert tokens.count_tokens(df.limit(0), path).count() == 0
+
+
+def test_stored_tables():
+    rng = np.random.default_rng(1)
+    for steps in (np.zeros(0, int), rng.integers(-64, 192, 700), rng.integers(-500, 500, 512), np.array([5])):
+        marks, least, width, raw = tokens.stored(steps)
+        table = np.concatenate([[0], np.cumsum(steps)])
+        assert tokens.restored(width, raw).tolist() == table.tolist() and marks[-1] == table[-1] and len(least) == len(marks) - 1
+        assert all(least[j] == table[j * 256 + 1 : (j + 1) * 256 + 1].min() and marks[j] == table[j * 256] for j in range(len(least)))
 
 
 def brute_distance(a, b):
