@@ -1,9 +1,10 @@
 """Chat formatting by prefix-target expansion: every assistant turn is an example, with all turns before as context.
 
-The turns of a conversation are formatted once, as a stream of pieces with places. An example is the part of the
-stream from its start to the end of an assistant turn; only that turn's text is trainable. Examples of one
-conversation share their context in the store, so its size grows with the turns and not with their square;
-`rendered` lays the examples out as texts. Turns after the last assistant turn form one example without a target.
+An example is laid out as text: all turns up to its target, formatted one after another, with a mask under which the
+target's text alone is trainable. Turns after the last assistant turn form one example without a target. Texts are
+laid out in parts of TURNS turns, so a row is bounded by the turns and not by the conversation; most examples are
+one row. As each example repeats its context, the parts' text grows with the square of a conversation's turns, which
+is what the expansion means.
 
 Turns are marked by [INST] ... [/INST] or <s> ... </s>. Inside texts, a control string gets a backslash after its
 first character, and one that has backslashes there gets one more. So no text holds a control string, and taking one
@@ -24,7 +25,9 @@ from quillmill.llm.common import ship, staged
 
 _ESCAPE = re.compile(r"([<\[])(\\*)(?=/?s>|/?INST\])")
 _UNESCAPE = re.compile(r"([<\[])\\(\\*)(?=/?s>|/?INST\])")
-_TURN = re.compile(r"\[INST\] ((?:[^\\\n]|\\.)*)\n(.*) \[/INST\]|<s>(.*)</s>", re.DOTALL)
+#: Turns in a part of an example.
+TURNS = 64
+_TURN = re.compile(r"\[INST\] ((?:[^\\\n]|\\.)*)\n(.*?) \[/INST\]|<s>(.*?)</s>", re.DOTALL)
 
 
 def escape(text: str) -> str:
@@ -44,14 +47,18 @@ def format_turn(role: str | None, text: str | None) -> tuple[str, int, int]:
     return f"[INST] {escape(named)}\n{inner} [/INST]", 0, 0
 
 
-def parse_turn(piece: str) -> tuple[str, str]:
-    """(role, text) of a formatted turn."""
-    found = _TURN.fullmatch(piece)
-    if found is None:
-        raise ValueError("not a formatted turn")
-    if found[3] is not None:
-        return "assistant", unescape(found[3])
-    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(found[1])), unescape(found[2])
+def parse_turns(text: str) -> Iterator[tuple[str, str]]:
+    """(role, text) of each turn of a formatted text. As texts hold no control string, each turn ends at the next one."""
+    at = 0
+    while at < len(text):
+        found = _TURN.match(text, at)
+        if found is None:
+            raise ValueError("not a formatted text")
+        at = found.end()
+        if found[3] is not None:
+            yield "assistant", unescape(found[3])
+        else:
+            yield re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(found[1])), unescape(found[2])
 
 
 def _ordered(df: DataFrame, *order: str) -> DataFrame:
@@ -88,50 +95,60 @@ def format_conversations(df: DataFrame, key: str = "conv_id", turn: str = "turn"
     return _ordered(rows, "turn", "role", "text").mapInPandas(formatted, f"conv {kind}, ordinal long, piece string, start long, stop long, loss_start long, loss_stop long")
 
 
-def examples(pieces: DataFrame) -> DataFrame:
-    """(conv, ordinal, n_chars, loss_start, loss_stop): an example for each assistant turn, and one for turns after the last."""
-    targets = pieces.where("piece LIKE '<s>%'").select("conv", "ordinal", F.col("stop").alias("n_chars"), "loss_start", "loss_stop")
-    ends = pieces.groupBy("conv").agg(F.max_by(F.struct("ordinal", "stop", (~F.startswith("piece", F.lit("<s>"))).alias("open")), "ordinal").alias("e"))
-    tails = ends.where("e.open").select("conv", "e.ordinal", F.col("e.stop").alias("n_chars"), F.col("e.stop").alias("loss_start"), F.col("e.stop").alias("loss_stop"))
-    return targets.unionByName(tails)
+def laid_out(pieces: DataFrame, turns: int = TURNS) -> DataFrame:
+    """(conv, ordinal, part, last, text, loss_start, loss_stop): the examples as texts, a row for each part of `turns` turns.
 
-
-def rendered(pieces: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(conv, ordinal, text, loss_start, loss_stop): the chosen examples laid out as texts, each with its whole context."""
-    parts = pieces.select(F.col("conv").alias("c"), F.col("ordinal").alias("o"), "piece")
-    joined = chosen.join(parts, chosen.conv.eqNullSafe(parts.c) & (parts.o <= chosen.ordinal))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "piece"))), lambda p: p["piece"]), "")
-    return joined.groupBy("conv", "ordinal", "loss_start", "loss_stop").agg(text.alias("text")).select("conv", "ordinal", "text", "loss_start", "loss_stop")
-
-
-def read_back(pieces: DataFrame, made: DataFrame) -> DataFrame:
-    """(conv, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), all from stored pieces and examples.
-
-    formatted_chars is the length of all examples of the conversation, each with its context. A digest reads a
-    conversation's pieces in order, so one task reads them, in batches, whatever their number.
+    An example is named by the place of its last turn. loss_start and loss_stop are places in the part's text; the
+    mask of a part without trainable text is empty. `last` marks a conversation's longest example, which holds each
+    of its turns. The parts before the one that holds the target are shared by many examples and are joined
+    to each of them; rows of one part are spread over tasks, also where one conversation has most of the rows.
+    """
+    placed = pieces.withColumn("part", F.floor(F.col("ordinal") / turns))
+    parts = placed.groupBy("conv", "part").agg(F.array_sort(F.collect_list(F.struct("ordinal", "piece", "start", "stop", "loss_start", "loss_stop"))).alias("p"))
+    parts = staged(parts.select("conv", "part", "p", F.array_join("p.piece", "").alias("text")), "parts")
+    ends = pieces.groupBy("conv").agg(F.max("ordinal").alias("end"))
+    # the part that holds the target (or the last turns): the turns up to it, with the mask
+    cut = parts.select("conv", "part", "text", F.expr("p[0].start").alias("begin"), F.explode("p").alias("t")).select("conv", "part", "text", "begin", "t.*")
+    cut = cut.join(ends.withColumnRenamed("conv", "c"), F.col("conv").eqNullSafe(F.col("c"))).drop("c")
+    chosen = cut.where(F.startswith("piece", F.lit("<s>")) | (F.col("ordinal") == F.col("end")))
+    own = chosen.select("conv", "ordinal", "part", (F.col("ordinal") == F.col("end")).alias("last"), F.expr("substring(text, 1, int(stop - begin))").alias("text"), (F.col("loss_start") - F.col("begin")).alias("loss_start"), (F.col("loss_stop") - F.col("begin")).alias("loss_stop"))
+    # whole parts before it
+    longer = own.where("part > 0").select("conv", "ordinal", "last", F.explode(F.expr("sequence(0L, part - 1)")).alias("before"))
+    whole = parts.select(F.col("conv").alias("c"), "part", "text")
+    context = longer.join(whole.hint("merge"), F.col("conv").eqNullSafe(F.col("c")) & (F.col("before") == F.col("part")))
+    return own.unionByName(context.select("conv", "ordinal", "part", "last", "text", F.lit(0).cast("long").alias("loss_start"), F.lit(0).cast("long").alias("loss_stop")))
+
+
+def read_back(examples: DataFrame) -> DataFrame:
+    """(conv, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), all from the laid-out examples.
+
+    Turns are parsed from the longest example of a conversation, the trainable text is what lies under the mask of
+    each example, and formatted_chars is the length of all their texts. A digest reads a conversation's texts in
+    order, so one task reads them, in batches, whatever their number.
     """
-    kind = pieces.schema["conv"].dataType.simpleString()
-    masks = made.where("loss_stop > loss_start OR n_chars > loss_stop").select(F.col("conv").alias("c"), F.col("ordinal").alias("o"), (F.col("loss_start") - F.col("n_chars")).alias("a"), (F.col("loss_stop") - F.col("n_chars")).alias("b"))
-    marked = pieces.join(masks, pieces.conv.eqNullSafe(masks.c) & (pieces.ordinal == masks.o), "left").select("conv", "ordinal", "piece", "a", "b")
+    kind = examples.schema["conv"].dataType.simpleString()
+    masked = examples.where("loss_stop > loss_start").select("conv", F.lit(1).alias("what"), F.col("ordinal").alias("at"), F.expr("substring(text, int(loss_start + 1), int(loss_stop - loss_start))").alias("text"))
+    texts = examples.where("last").select("conv", F.lit(0).alias("what"), F.col("part").alias("at"), "text")
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, state = object(), None
         row = lambda: (last, state[0], state[1].hexdigest(), state[2], state[3].hexdigest())
         for batch in batches:
             out = []
-            for conv, piece, a, b in zip(batch["conv"], batch["piece"], batch["a"], batch["b"], strict=True):
+            for conv, what, text in zip(batch["conv"], batch["what"], batch["text"], strict=True):
                 conv = None if pd.isna(conv) else conv
                 if state is None or conv != last:
                     if state is not None:
                         out.append(row())
                     last, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256()]
-                role, text = parse_turn(piece)
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                if not pd.isna(a):
-                    loss = unescape(piece[len(piece) + int(a) : len(piece) + int(b)])
+                if what:
+                    loss = unescape(text)
                     state[2] += len(loss)
                     state[3].update(loss.encode("utf-8", "surrogatepass"))
+                else:
+                    for role, said in parse_turns(text):
+                        state[0] += 1
+                        state[1].update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
             yield _frame(out, batch)
         if state is not None:
             yield _frame([row()], batch)
@@ -141,12 +158,12 @@ def read_back(pieces: DataFrame, made: DataFrame) -> DataFrame:
         frame["conv"] = frame["conv"].astype(like["conv"].dtype)
         return frame
 
-    read = _ordered(marked, "ordinal").mapInPandas(digests, f"conv {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string")
-    sizes = made.groupBy(F.col("conv").alias("c")).agg(F.sum("n_chars").alias("formatted_chars"))
+    read = _ordered(texts.unionByName(masked), "what", "at").mapInPandas(digests, f"conv {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string")
+    sizes = examples.groupBy(F.col("conv").alias("c")).agg(F.sum(F.char_length("text")).alias("formatted_chars"))
     return read.join(sizes, read.conv.eqNullSafe(sizes.c)).drop("c")
 
 
-def format_and_read(df: DataFrame, key: str = "conv_id") -> DataFrame:
+def format_and_read(df: DataFrame, key: str = "conv_id", turns: int = TURNS) -> DataFrame:
+    """The digests of the examples of all conversations, which are laid out in the shared folder and read back from it."""
     pieces = staged(format_conversations(df, key), "pieces")
-    made = staged(examples(pieces), "examples")
-    return read_back(pieces, made).withColumnRenamed("conv", key)
+    return read_back(staged(laid_out(pieces, turns), "examples")).withColumnRenamed("conv", key)

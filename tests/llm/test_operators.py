@@ -146,9 +146,22 @@ def test_chat(spark):
         assert r.turns_sha256 == hashlib.sha256("".join(f"{x[2] or ''}\n{x[3] or ''}\n" for x in turns).encode()).hexdigest()
         loss = "".join(x[3] or "" for x in turns if x[2] == "assistant")
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
-    pieces = staged(chat.format_conversations(df), "p")
-    texts = [r for r in chat.rendered(pieces, chat.examples(pieces)).collect() if r.conv == 1]
-    assert sorted(chat.unescape(r.text[r.loss_start : r.loss_stop]) for r in texts) == ["", said] and sum(len(r.text) for r in texts) == got[1].formatted_chars
+    long = [(7, i, "assistant" if i % 3 == 1 else "user", f"{i} <s>" * (i % 4)) for i in range(17)]
+    df = df.unionByName(spark.createDataFrame(long, df.schema))
+    for turns in (1, 2, 5, 64):  # each example against its text by hand, whatever the size of its parts
+        made = {}
+        for r in sorted(chat.laid_out(staged(chat.format_conversations(df), "p"), turns).collect(), key=lambda r: r.part):
+            made.setdefault((r.conv, r.ordinal), []).append(r)
+        want = {}
+        for conv in {x[0] for x in rows + long}:
+            own = sorted((x for x in rows + long if x[0] == conv), key=lambda x: (x[1] is not None, x[1] or 0, x[2] or "", x[3] or ""))
+            for at, x in enumerate(own):
+                if x[2] == "assistant" or at == len(own) - 1:
+                    want[conv, at] = "".join(chat.format_turn(*y[2:])[0] for y in own[: at + 1]), chat.escape(x[3] or "") if x[2] == "assistant" else ""
+        assert {k: ("".join(r.text for r in v), "".join(r.text[r.loss_start : r.loss_stop] for r in v)) for k, v in made.items()} == want
+        read = {r.conv_id: r for r in chat.format_and_read(df, turns=turns).collect()}
+        assert {k: r.formatted_chars for k, r in read.items()} == {c: sum(len(t) for (k, _), (t, _) in want.items() if k == c) for c in read}
+        assert {k: r for k, r in read.items() if k != 7} == got and len(read) == len(got) + 1
     assert chat.format_and_read(df.limit(0)).count() == 0
 
 
