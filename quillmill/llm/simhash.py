@@ -1,11 +1,15 @@
 """SimHash near-duplicates: byte-position inverted index with count filtering, exact at up to `distance` bits.
 
 A fingerprint has eight bytes at eight positions. Two fingerprints that differ in at most d bits share at least
-8 - d of these positional bytes. The postings of the index are the combinations of 8 - d positional bytes: a pair
-is in one posting exactly if its tally of shared positional bytes reaches that guaranteed minimum, so a posting is
-a count filter that needs no list of pairs. A posting holds at most 256^d different fingerprints (65,536 for two
-bits) whatever the size of the corpus, since the other bytes are fixed. In each posting the members are verified
-by their exact Hamming distance and joined to the smallest member that they reach there; components then grow
+8 - d of these positional bytes: the guaranteed minimum. The index has postings by positional bytes. A posting of one
+byte would hold a 256th of the corpus, so the positions are dealt into d + 2 blocks and a posting is named by the
+bytes of two blocks: of d + 2 blocks at least two are shared whole, so no pair is missed. Within a posting, the shared
+positional bytes of each pair are tallied, pairs below the guaranteed minimum go, and the others are verified by
+their exact Hamming distance. A posting with more than MOST members is split by further positional bytes, until all
+of the guaranteed minimum are in its name; it then holds at most 256^d different fingerprints (65,536 for two bits)
+whatever the size of the corpus, each pair's tally is reached, and the verification tries the bits that may differ.
+
+From each posting goes one edge for each member, to the smallest member that it reaches there; components then grow
 across postings by joins. Copies of a fingerprint are one member throughout.
 """
 
@@ -24,6 +28,8 @@ from quillmill.llm.common import ship, staged
 SEED = 42
 #: Shingles that are hashed and tallied at once, so that a text of any length takes bounded memory.
 BLOCK = 1 << 15
+#: Members of a posting whose pairs are tallied; larger postings are split by more positional bytes.
+MOST = 512
 
 
 def shingle_hashes(text: str | None, size: int) -> Iterator[np.ndarray]:
@@ -63,27 +69,33 @@ def fingerprint(text: Column, size: int = 3) -> Column:
     return fingerprints(text)
 
 
-def _local_roots(members: np.ndarray, free: int, distance: int) -> np.ndarray:
-    """For sorted members of one posting, the index of the smallest member that each reaches in it.
+def tallied(members: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (a, b) of members, by index, that share at least `least` of their eight positional bytes."""
+    signs = members.view(np.uint8).reshape(-1, 8)
+    tally = np.zeros((len(members), len(members)), np.uint8)
+    for position in range(8):
+        tally += signs[:, None, position] == signs[None, :, position]
+    return np.nonzero(np.triu(tally >= least, 1))
 
-    free has ones where the members may differ. Neighbours are found by trying each change of at most `distance`
-    of these bits: work and memory follow the number of members, not of pairs.
+
+def neighbours(members: np.ndarray, free: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (a, b) of sorted members, by index, within the distance; free has ones where members may differ.
+
+    Each change of at most `distance` of these bits is tried: work and memory follow the number of members.
     """
-    n = len(members)
-    bits = [1 << b for b in range(64) if free >> b & 1]
-    if n <= 2 * len(bits):
-        apart = np.bitwise_count(members[:, None] ^ members[None, :])
-        a, b = np.nonzero(np.triu(apart <= distance, 1))
-    else:
-        left, right = [], []
-        for k in range(1, distance + 1):
-            for change in combinations(bits, k):
-                wanted = members ^ np.uint64(sum(change))
-                at = np.minimum(np.searchsorted(members, wanted), n - 1)
-                here = np.flatnonzero((members[at] == wanted) & (wanted > members))
-                left.append(here)
-                right.append(at[here])
-        a, b = np.concatenate(left), np.concatenate(right)
+    bits, left, right = [1 << b for b in range(64) if free >> b & 1], [], []
+    for k in range(1, distance + 1):
+        for change in combinations(bits, k):
+            wanted = members ^ np.uint64(sum(change))
+            at = np.minimum(np.searchsorted(members, wanted), len(members) - 1)
+            here = np.flatnonzero((members[at] == wanted) & (wanted > members))
+            left.append(here)
+            right.append(at[here])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For n members and their links, the smallest index that each reaches."""
     root = np.arange(n)
     while len(a):
         low = np.minimum(root[a], root[b])
@@ -98,35 +110,55 @@ def _local_roots(members: np.ndarray, free: int, distance: int) -> np.ndarray:
     return root
 
 
-def links(fingerprints: DataFrame, distance: int = 2) -> DataFrame:
-    """Edges (a, b), a after b, that connect exactly the fingerprints (distinct, in column `fp`) within the distance.
+def verified(members: np.ndarray, mask: int, distance: int, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (later member, smallest member it reaches) among the sorted members of one posting; mask has ones in the bytes of its name."""
+    if len(members) <= most:
+        a, b = tallied(members, 8 - distance)
+        near = np.bitwise_count(members[a] ^ members[b]) <= distance
+        a, b = a[near], b[near]
+    else:
+        a, b = neighbours(members, ~mask & (1 << 64) - 1, distance)
+    root = local_roots(len(members), a, b)
+    later = np.flatnonzero(root != np.arange(len(members)))
+    return members[later], members[root[later]]
+
+
+def _mask(positions) -> int:
+    """Ones in these bytes, as a signed number."""
+    return int(np.uint64(sum(0xFF << 8 * int(p) for p in positions)).view(np.int64))
+
+
+def index(fingerprints: DataFrame, distance: int, most: int = MOST) -> DataFrame:
+    """(mask, members): the postings with several members, each with the mask of the bytes that name it."""
+    names = [sorted({*x, *y}) for x, y in combinations([x.tolist() for x in np.array_split(np.arange(8), distance + 2)], 2)]
+    masks = F.explode(F.array(*[F.lit(_mask(n)) for n in names]))
+    rows = fingerprints.select("fp", masks.alias("mask")).withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
+    sizes = rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
+    several = staged(rows.join(sizes.hint("merge"), ["mask", "key"]), "postings")
+    small = several.where(F.col("n") <= most).groupBy("mask", "key").agg(F.collect_set("fp").alias("members"))
+    rest = [[p for p in range(8) if p not in n] for n in names]
+    longer = [[_mask([*n, *more]) for more in combinations(r, 8 - distance - len(n))] if len(n) < 8 - distance else [_mask(n)] for n, r in zip(names, rest, strict=True)]
+    finer = F.coalesce(*[F.when(F.col("mask") == _mask(n), F.array(*map(F.lit, m))) for n, m in zip(names, longer, strict=True)])
+    split = several.where(F.col("n") > most).select("fp", F.explode(finer).alias("mask")).withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))).distinct()
+    large = split.groupBy("mask", "key").agg(F.collect_set("fp").alias("members")).where(F.size("members") > 1)
+    return small.unionByName(large).select("mask", "members")
+
+
+def links(fingerprints: DataFrame, distance: int = 2, most: int = MOST) -> DataFrame:
+    """Edges (a, b), a after b, that connect exactly the fingerprints (distinct, in column `fp`) within the distance (0 to 2 bits).
 
     Each member of a posting has an edge to the smallest member that it reaches there by links. Edges thus stand
     for chains of verified links; no link is lost and none is added.
     """
-    subsets = list(combinations(range(8), 8 - distance))
-    masks = [sum(0xFF << 8 * b for b in s) for s in subsets]
-    signed = [int(np.uint64(m).view(np.int64)) for m in masks]
-    postings = (
-        fingerprints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("subset", "key"))
-        .groupBy("subset", "key")
-        .agg(F.collect_set("fp").alias("members"))
-        .where(F.size("members") > 1)
-        .select("subset", "members")
-    )
+    if not 0 <= distance <= 2:
+        raise ValueError("the byte index bounds its postings for a distance of 0, 1 or 2")
 
     def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for subset, values in zip(batch["subset"], batch["members"], strict=True):
-                members = np.sort(np.asarray(values, np.int64).view(np.uint64))
-                root = _local_roots(members, ~masks[subset] & (1 << 64) - 1, distance)
-                later = np.flatnonzero(root != np.arange(len(root)))
-                out.append(np.stack([members[later], members[root[later]]]).view(np.int64))
-            pairs = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-            yield pd.DataFrame({"a": pairs[0], "b": pairs[1]})
+            out = [verified(np.sort(np.asarray(values, np.int64).view(np.uint64)), int(mask), distance, most) for mask, values in zip(batch["mask"], batch["members"], strict=True)]
+            yield pd.DataFrame({name: np.concatenate([pair[i] for pair in out] or [np.zeros(0, np.uint64)]).view(np.int64) for i, name in enumerate("ab")})
 
-    return postings.mapInPandas(joined, "a long, b long").distinct()
+    return index(fingerprints, distance, most).mapInPandas(joined, "a long, b long").distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -175,11 +207,13 @@ def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", size: int
     Rows without a key all stay. Where several rows have the key that stays, one stays, of those with equal text
     any, else that whose text has the smallest digest. Columns stay as they are.
     """
-    found = near_duplicates(df.select(key, text), key, text, size, distance)
-    stay = found.where(f"`{key}` = component_id").select(F.col(key).alias("_stay")).distinct()
-    keyed = df.join(stay, df[f"`{key}`"].eqNullSafe(F.col("_stay")), "left_semi")
-    digest = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    first = keyed.withColumn("_first", digest).groupBy(key).agg(F.min_by(F.struct(*[f"`{c}`" for c in df.columns]), "_first").alias("_row"))
-    return first.select("_row.*").unionByName(df.where(df[f"`{key}`"].isNull()))
+    found = near_duplicates(df.select(f"`{key}`", f"`{text}`"), key, text, size, distance)
+    return first_rows(df, found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("k")).distinct(), key, text)
 
 
+def first_rows(df: DataFrame, stay: DataFrame, key: str, text: str) -> DataFrame:
+    """One row of df for each key in `stay` (column k), and all rows without a key; of several rows that whose text has the smallest digest."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    rows = df.select(F.col(f"`{key}`").alias("k"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("digest"), row)
+    first = rows.join(stay, "k", "left_semi").groupBy("k").agg(F.min_by("row", "digest").alias("row"))
+    return first.select("row").unionByName(rows.where("k IS NULL").select("row")).select("row.*")

@@ -248,6 +248,37 @@ def test_simhash(spark):
     assert len(rows) == 47 and simhash.keep_first(df).columns == df.columns and simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_byte_index(spark):
+    """All pairs within the distance are linked, with hot bytes and with postings that have to be split; names are few, tallies decide."""
+    rng = np.random.default_rng(12)
+    hot = rng.integers(0, 1 << 20, 700, np.uint64) | np.uint64(0xABCD << 40)  # bytes of five positions are the same in all
+    flips = np.array([rng.choice(64, 2, replace=False) for _ in range(700)])
+    near = hot ^ (np.uint64(1) << flips[:, 0].astype(np.uint64)) ^ (np.uint64(1) << flips[:, 1].astype(np.uint64))
+    every = np.unique(np.concatenate([hot, near, rng.integers(0, 1 << 63, 300, np.uint64)]))
+    apart = np.bitwise_count(every[:, None] ^ every[None, :])
+    df = staged(spark.createDataFrame([(int(x),) for x in every.view(np.int64)], "fp long"), "fp")
+    for distance in (0, 1, 2):
+        want = simhash.local_roots(len(every), *np.nonzero(np.triu(apart <= distance, 1)))
+        for most in (30, 5000):
+            at = {int(x): i for i, x in enumerate(every.view(np.int64))}
+            edges = [(at[r.a], at[r.b]) for r in simhash.links(df, distance, most).collect()]
+            a, b = (np.array([e[i] for e in edges], int) for i in (0, 1))
+            assert (simhash.local_roots(len(every), np.maximum(a, b), np.minimum(a, b)) == want).all()
+            assert all((want[x] == want[y]) for x, y in edges)
+    members = every[:200]
+    a, b = simhash.tallied(members, 6)
+    raw = members.view(np.uint8).reshape(-1, 8)
+    assert {*zip(a.tolist(), b.tolist(), strict=True)} == {(i, j) for i in range(200) for j in range(i + 1, 200) if (raw[i] == raw[j]).sum() >= 6}
+
+
+def test_first_rows(spark):
+    df = spark.createDataFrame([(1, "same", "a", "mine"), (2, "same", "b", "mine"), (None, "n", "c", "x"), (3, None, "d", "y"), (3, "z", "e", "y")], "doc_id long, text string, k string, _first string")
+    kept = simhash.keep_first(df)
+    rows = [tuple(r) for r in kept.collect()]
+    assert kept.columns == df.columns
+    assert {r[0] for r in rows} == {1, 3, None} and len(rows) == 3 and all(r[3] in ("mine", "x", "y") for r in rows)
+
+
 def brute_groups(texts, size=5, similarity=0.8):
     """The smallest key that each text reaches by pairs whose shingles are similar."""
     sets, root = {}, {k: k for k, _ in texts}
