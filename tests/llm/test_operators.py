@@ -311,6 +311,12 @@ def test_near_stage(spark):
     kept = corpus_pipeline.near_stage(spark, df, "")
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(root.values()))
     assert kept.where("doc_id IS NULL").count() == 2 and len(set(root.values())) < 60
+    one, *small = similar.BLOCK_SHINGLES, similar.BLOCK_MEMBERS, similar.ROUNDS
+    try:  # tiny blocks, so that bands fall into many of them
+        similar.BLOCK_SHINGLES, similar.BLOCK_MEMBERS, similar.ROUNDS = 300, 2, 1
+        assert {r.doc_id: r.component_id for r in similar.similar_groups(df).collect()} == root
+    finally:
+        similar.BLOCK_SHINGLES, similar.BLOCK_MEMBERS, similar.ROUNDS = one, *small
     assert similar.keep_first(df.limit(0)).count() == 0 and similar.keep_first(odd_rows(spark)).where("doc_id = 3").count() == 1
 
 
