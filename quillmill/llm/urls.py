@@ -1,10 +1,16 @@
 """URL filters: rules on host and path, then a character language-model ratio, in DataFrame operations alone.
 
 Two variable-order Markov models of characters, one of accepted and one of rejected URLs, share one set of contexts:
-the longest one of up to three characters that the examples have often enough is used. Each is smoothed down to its
-shorter contexts (a context's own counts against its number of different followers, Witten and Bell's weights). A
-URL's score is the mean over its characters of the log ratio of the two probabilities. The threshold is calibrated
-on examples that the models have not seen: the score that rejects a given share of the accepted ones.
+the longest one of up to three characters that the examples of both kinds have often enough is used: one that only
+one kind has would compare a sharp guess with a vague one. Each is smoothed down to its
+shorter contexts (a context's own counts against its number of different followers, Witten and Bell's weights). Host
+and path are two texts, each with its own score: the mean over its characters of the log ratio of the two
+probabilities. So a long path does not drown a host, and URLs of one host differ in their verdicts by their paths alone.
+
+Examples are the URLs that rules decide and those that the caller adds; no words are built in. What rules read of a
+URL is not read by the models, else they would learn the rules over again. The thresholds are calibrated on examples
+that the models have not seen: the scores that reject a given share of the accepted ones. What the filter does to
+held-out examples of both kinds is measured.
 
 URLs are read in an alphabet of 40 characters (letters in lower case, one sign for a run of digits, some punctuation, one
 for all else, one for the start), so the models have at most 40^3 contexts, whatever the corpus.
@@ -14,7 +20,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import staged
@@ -24,11 +30,6 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 ALPHABET = "^abcdefghijklmnopqrstuvwxyz0./-_?=&:%+~"
 OTHER = "*"
 SIGNS = len(ALPHABET)
-#: Examples beside those that rules decide: words that speak for and against a URL. Values chosen here.
-ACCEPTED = ("news", "docs", "wiki", "blog", "article", "journal", "library", "school", "university", "science", "research", "history", "culture", "museum", "weather", "travel", "health", "recipes", "reviews", "guide", "help", "about", "index.html", "archive", "publications", "courses")
-REJECTED = ("cheap-pills", "casino-bonus", "free-porn", "xxx-videos", "viagra-online", "win-money-fast", "spam", "spam-farm", "click-bait", "ad-farm", "link-farm", "buy-followers", "payday-loans", "replica-watches", "free-download-crack", "warez", "torrent-keygen", "adult-webcam", "lottery-winner", "hot-deals-now", "earn-cash-home", "seo-backlinks", "fake-id", "pills", "poker-slots", "escort")
-
-
 def host_of(url: Column) -> Column:
     """After the first :// up to /, ?, # or the end, with A-Z lower-cased; empty without ://."""
     rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1)
@@ -57,21 +58,28 @@ def _signs(text: Column) -> Column:
     return F.concat(F.lit("^^^"), F.regexp_replace(plain, r"[^a-z0./\-_?=&:%+~]", OTHER))
 
 
-def spelled(host: Column, path: Column) -> Column:
-    """The whole host and path, in the models' alphabet, after three signs of the start. This is what is scored."""
-    return _signs(F.concat(host, path))
+def _labels(rules) -> str:
+    return "|".join(sorted({re.escape(x) for rule, _ in rules for x in rule.partition("/")[0].split(".")}))
+
+
+def host_text(host: Column, rules=RULES) -> Column:
+    """What is scored of a host: all of it but the labels at its end that rules name; all of it if there are no others."""
+    names = F.regexp_replace(host, rf"((^|\.)({_labels(rules)}))+$", "")
+    return _signs(F.when(names == "", host).otherwise(names))
+
+
+def path_text(path: Column, rules=RULES) -> Column:
+    """What is scored of a path: all of it but a first part that rules name."""
+    firsts = sorted({re.escape(x) for rule, _ in rules if (x := rule.partition("/")[2].strip("/"))})
+    return _signs(F.regexp_replace(path, rf"(?s)^/({'|'.join(firsts)})/", "/") if firsts else path)
 
 
-def lesson(host: Column, path: Column, rules=RULES) -> Column:
-    """What the models learn from an example: its spelling without what rules look at, else they learn the rules over again.
+def path_lesson(path: Column, rules=RULES) -> Column:
+    """What the models learn from a path. Where a rule names a first part, the absence of that part would tell as much
 
-    The labels that rules name go from the host's end. Where a rule names a first part of a path, that part goes
-    from every example whose path has another part after it, as its absence would tell as much as the name.
+    as the part, so no example's first part is learned if another one follows it.
     """
-    labels = "|".join(sorted({re.escape(x) for rule, _ in rules for x in rule.partition("/")[0].split(".")}))
-    names = F.regexp_replace(host, rf"((^|\.)({labels}))+$", "")
-    parts = any(rule.partition("/")[2] for rule, _ in rules)
-    return _signs(F.concat(names, F.regexp_replace(path, r"(?s)^/[^/]*/", "/") if parts else path))
+    return _signs(F.regexp_replace(path, r"(?s)^/[^/]*/", "/") if any(rule.partition("/")[2] for rule, _ in rules) else path)
 
 
 def _grams(texts: DataFrame, *keep: str) -> DataFrame:
@@ -83,7 +91,7 @@ def _grams(texts: DataFrame, *keep: str) -> DataFrame:
 def train(examples: DataFrame, least: int = 20) -> list[DataFrame]:
     """Models of orders 3, 2, 1, 0 from (s, good): (ctx, ratios), with the log ratio of each next character.
 
-    A context is kept if the examples have it `least` times. Work after the counts depends on the alphabet alone.
+    A context is kept if the examples of both kinds have it `least` times. Work after the counts depends on the alphabet alone.
     """
     long = _grams(examples, "good").groupBy("ctx", "c").agg(F.sum(F.col("good").cast("long")).alias("yes"), F.sum((~F.col("good")).cast("long")).alias("no"))
     counts = staged(long, "grams")
@@ -93,7 +101,7 @@ def train(examples: DataFrame, least: int = 20) -> list[DataFrame]:
         part = counts.groupBy(F.expr(f"right(ctx, {order})").alias("ctx"), "c").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
         seen = part.groupBy("ctx").agg(F.map_from_entries(F.collect_list(F.struct("c", F.struct("yes", "no")))).alias("m"), F.sum("yes").alias("n_yes"), F.sum("no").alias("n_no"), F.count_if(F.col("yes") > 0).alias("t_yes"), F.count_if(F.col("no") > 0).alias("t_no"))
         if order:
-            seen = seen.where(F.col("n_yes") + F.col("n_no") >= least)
+            seen = seen.where((F.col("n_yes") >= least) & (F.col("n_no") >= least))
             shorter = below.select(F.col("ctx").alias("short"), F.col("p").alias("q"))
             seen = seen.join(shorter, F.expr(f"right(ctx, {order - 1})") == F.col("short"))
         else:
@@ -120,41 +128,68 @@ def scored(texts: DataFrame, models: list[DataFrame], key: str) -> DataFrame:
     return out.select(key, ratio.alias("ratio")).groupBy(key).agg(F.avg("ratio").alias("score"))
 
 
-def seeds(spark: SparkSession, weight: int) -> DataFrame:
-    """(s, good): the fixed examples as hosts, each `weight` times."""
-    rows = [(w, True) for w in ACCEPTED] + [(w, False) for w in REJECTED]
-    df = spark.createDataFrame(rows, "u string, good boolean").withColumn("times", F.explode(F.sequence(F.lit(1), F.lit(weight))))
-    return df.select(_signs(F.concat("u", F.lit("/0"))).alias("s"), "good")
+def learned(examples: DataFrame, least: int, rules=RULES) -> list[DataFrame]:
+    """The models of (host, path, good): of each text that examples of one kind alone have, once."""
+    hosts = examples.select(host_text(F.col("host"), rules).alias("s"), "good")
+    paths = examples.select(path_lesson(F.col("path"), rules).alias("s"), "good")
+    told = hosts.unionByName(paths).groupBy("s").agg(F.min("good").alias("good"), F.max("good").alias("most")).where("good = most")
+    return train(told.select("s", "good"), least)
 
 
-def filter_urls(df: DataFrame, url: str = "url", rules=RULES, share: float = 0.02, least: int = 20, weight: int = 20) -> DataFrame:
-    """df with host, path, rule, score and verdict (allow or block).
+def filter_urls(df: DataFrame, url: str = "url", rules=RULES, examples: DataFrame | None = None, share: float = 0.02, least: int = 20, margin: float = 0.69) -> DataFrame:
+    """df with host, path, rule, host_score, path_score, score and verdict (allow or block).
 
-    A rule that fits decides. Else the score decides: block below the calibrated threshold. Examples are the URLs
-    that rules decide, with what they decide, and the fixed seeds, each `weight` times; four fifths of them (by a hash) train the
-    models, each spelling once and none that rules decide both ways, and the rest calibrates: the threshold rejects `share` of the accepted among them, and is 0 if there is
-    none. Equal URLs have equal verdicts. A null or malformed URL has an empty host and path, no rule, score 0
-    and so is allowed unless the threshold is above 0. Repeated rows give a row each, and an empty table gives an
-    empty one. Columns of df with a name of the result are replaced; other columns stay.
+    A rule that fits decides. Else the method does: block if the score is below 0. It is the lesser of host_score and
+    path_score, each less its threshold. The examples are the URLs of df that rules decide, with what they decide,
+    and those of `examples` (columns url and good), without weights: each text once, and none that both kinds have.
+    Four fifths of them (by a hash of the host, so that no host is on both sides) train the models, the rest
+    calibrates: a threshold rejects `share` of the accepted among them, but never a text that the model of the
+    rejected does not prefer by `margin` a character (0.69: it finds each twice as likely); without accepted ones it is -margin. Equal URLs have equal
+    verdicts, and URLs of one host that differ do so by their paths. A null or malformed URL has an empty host and
+    path, no rule, scores of 0 and is allowed. Repeated rows give a row each, and an empty table gives an empty
+    one. Columns of df with a name of the result are replaced; other columns stay.
     """
-    spark = df.sparkSession
     host, path = host_of(df[f"`{url}`"]), path_of(df[f"`{url}`"])
-    parsed = df.select(host.alias("host"), path.alias("path")).distinct()
-    ruled = parsed.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
-    blocked = [r for r, verdict in rules if verdict == "block"]
-    known = ruled.select("host", "path", "rule", spelled(F.col("host"), F.col("path")).alias("s"), lesson(F.col("host"), F.col("path"), rules).alias("lesson"), (~F.col("rule").isin(blocked)).alias("good"))
-    known = staged(known, "urls")
-    fold = F.pmod(F.xxhash64("lesson"), F.lit(5)) == 0
-    examples = known.where("rule IS NOT NULL").select(F.col("lesson").alias("s"), "lesson", "good")
-    told = examples.where(~fold).groupBy("s").agg(F.min("good").alias("good"), F.max("good").alias("most")).where("good = most").select("s", "good")
-    models = train(told.unionByName(seeds(spark, weight)), least)
-    scores = staged(scored(known.withColumn("id", F.struct("host", "path")), models, "id").select("id.*", "score"), "scores")
-    judged = staged(known.join(scores, ["host", "path"], "left").select("host", "path", "lesson", "rule", "good", F.coalesce("score", F.lit(0.0)).alias("score")), "judged")
-    cut = judged.where("rule IS NOT NULL AND good").where(fold).agg(F.percentile_approx("score", share, 10_000)).first()[0]
-    cut = 0.0 if cut is None else cut
-    verdict = F.when(F.col("rule").isNotNull(), F.when(F.col("good"), "allow").otherwise("block")).otherwise(F.when(F.col("score") < cut, "block").otherwise("allow"))
-    named = judged.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "rule", "score", verdict.alias("verdict"))
+    judged, cuts = _judged(df.select(host.alias("host"), path.alias("path")).distinct(), rules, examples, share, least, margin)
+    verdict = F.when(F.col("rule").isNotNull(), F.when(F.col("good"), "allow").otherwise("block")).otherwise(F.when(_score(cuts) < 0, "block").otherwise("allow"))
+    named = judged.where("NOT given").select(F.col("host").alias("_host"), F.col("path").alias("_path"), "rule", "host_score", "path_score", _score(cuts).alias("score"), verdict.alias("verdict"))
     own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), host.alias("_host"), path.alias("_path"))
     out = own.join(named, ["_host", "_path"])
-    names = [c for c in df.columns if c.lower() not in ("host", "path", "rule", "score", "verdict")]
-    return out.select(*[F.col("_row").getField(c).alias(c) for c in names], F.col("_host").alias("host"), F.col("_path").alias("path"), "rule", "score", "verdict")
+    made = ["host", "path", "rule", "host_score", "path_score", "score", "verdict"]
+    names = [c for c in df.columns if c.lower() not in made]
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in names], F.col("_host").alias("host"), F.col("_path").alias("path"), *made[2:])
+
+
+def _score(cuts: tuple[float, float]) -> Column:
+    return F.least(F.col("host_score") - cuts[0], F.col("path_score") - cuts[1])
+
+
+def _judged(parsed: DataFrame, rules, examples: DataFrame | None, share: float, least: int, margin: float) -> tuple[DataFrame, tuple[float, float]]:
+    """((host, path, rule, good, host_score, path_score) of each distinct host and path, both thresholds)."""
+    blocked = [r for r, verdict in rules if verdict == "block"]
+    parsed = parsed.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
+    parsed = parsed.withColumn("good", ~F.col("rule").isin(blocked)).withColumn("given", F.lit(False))
+    if examples is not None:
+        more = examples.where("good IS NOT NULL").select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.lit(None).cast("string").alias("rule"), F.col("good").cast("boolean").alias("good"), F.lit(True).alias("given"))
+        parsed = parsed.unionByName(more.distinct())
+    known = staged(parsed.select("*", host_text(F.col("host"), rules).alias("h"), path_text(F.col("path"), rules).alias("p")), "urls")
+    fold = F.pmod(F.xxhash64("h"), F.lit(5)) == 0
+    models = learned(known.where("good IS NOT NULL").where(~fold).select("host", "path", "good"), least, rules)
+    texts = known.select(F.explode(F.array("h", "p")).alias("s")).distinct()
+    scores = staged(scored(texts.withColumn("id", F.col("s")), models, "id"), "scores")
+    both = known
+    for part, name in (("h", "host_score"), ("p", "path_score")):
+        named = scores.select(F.col("id").alias(part), F.col("score").alias(name))
+        both = both.join(named, part, "left")
+    judged = staged(both.select("host", "path", "rule", "good", "given", fold.alias("unseen"), F.coalesce("host_score", F.lit(0.0)).alias("host_score"), F.coalesce("path_score", F.lit(0.0)).alias("path_score")), "judged")
+    held = judged.where("unseen AND good").agg(*[F.percentile_approx(c, share / 2, 10_000) for c in ("host_score", "path_score")]).first()
+    cuts = tuple(-margin if c is None else min(-margin, c) for c in held)
+    return judged, cuts
+
+
+def error_rates(df: DataFrame, url: str = "url", rules=RULES, examples: DataFrame | None = None, share: float = 0.02, least: int = 20, margin: float = 0.69) -> DataFrame:
+    """One row: accepted and rejected, the numbers of unseen examples, and accepted_blocked and rejected_allowed, what the scores alone do to them."""
+    host, path = host_of(df[f"`{url}`"]), path_of(df[f"`{url}`"])
+    judged, cuts = _judged(df.select(host.alias("host"), path.alias("path")).distinct(), rules, examples, share, least, margin)
+    block = _score(cuts) < 0
+    return judged.where("unseen AND good IS NOT NULL").agg(F.count_if("good").alias("accepted"), F.count_if(~F.col("good")).alias("rejected"), F.count_if(F.col("good") & block).alias("accepted_blocked"), F.count_if(~F.col("good") & ~block).alias("rejected_allowed"))

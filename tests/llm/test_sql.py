@@ -44,7 +44,7 @@ def brute_score(s, examples, least):
 
     total = 0.0
     for i in range(3, len(s)):
-        often = lambda ctx: sum(sum(counts(ctx, good).values()) for good in (True, False)) >= least
+        often = lambda ctx: all(sum(counts(ctx, good).values()) >= least for good in (True, False))
         ctx = next((s[i - k : i] for k in (3, 2, 1) if often(s[i - k : i])), "")
         total += math.log(chance(ctx, s[i], True)) - math.log(chance(ctx, s[i], False))
     return total / (len(s) - 3)
