@@ -59,8 +59,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     warc.write_archive(pages, path)
     kind = pages.schema["page_id"].dataType.simpleString()
-    number = lambda c: F.when(F.col(c) != "none", F.col(c)).cast(kind)
-    return warc.verified(spark, path).select(number("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+    read = warc.parsed(warc.reconstructed(spark, path))
+    return read.select(F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

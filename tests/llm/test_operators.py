@@ -396,23 +396,44 @@ def test_packing(spark):
 
 
 def test_warc(spark):
-    rows = [(1, "http://a/ b", "x"), (2, None, "x"), (3, "u", None), (4, "u", ""), (5, "u\r\nX: y", "ä"), (7, "u", "y" * 10000), (6, "u", "y" * 10000)]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rows = [(1, "http://a/ b", "x"), (2, None, "x"), (3, "u", None), (4, "u", ""), (5, "u\r\nX: y\t%20", "ä"), (7, "u", "y" * 10000), (6, "http://ä/?a=%C3|", "y" * 10000), (None, "n", "null"), (None, "m", "null"), (9, "t", "twice"), (9, "t", "twice")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("head", F.lit(1)).withColumn("address", F.lit(2))
     path = shared_dir(spark, "archive")
     warc.write_archive(df, path)
-    got = {int(r.id): r for r in warc.verified(spark, path).collect()}
+    read = warc.parsed(warc.reconstructed(spark, path)).collect()
+    assert sorted((r.id or "", r.url) for r in read) == sorted((str(k or ""), u or "") for k, u, _ in rows) and len({r.record_id for r in read}) == len(rows)
+    got = {int(r.id): r for r in read if r.id and r.id != "9"}
     assert {k: (r.record_type, r.refers_to) for k, r in got.items()} == {1: ("response", None), 2: ("revisit", "1"), 3: ("response", None), 4: ("revisit", "3"), 5: ("response", None), 6: ("response", None), 7: ("revisit", "6")}
+    for key in (None, "9"):  # equal and null keys: one response, and the revisit names it
+        first, again = sorted((r for r in read if r.id == key), key=lambda r: r.record_type)
+        assert (first.record_type, again.record_type, again.refers_to, again.refers_to_id) == ("response", "revisit", key, first.record_id)
     for k, _, html in rows:
-        raw = (html or "").encode()
-        assert (got[k].payload_bytes, got[k].payload_digest) == (len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())
-    records = {r.id: bytes(r.record) for r in warc.reconstructed(spark, path).collect()}
-    assert records["5"].endswith("\r\n\r\nä\r\n\r\n".encode()) and records["7"].count(b"y") < 100
+        if k in got:
+            raw = (html or "").encode()
+            assert (got[k].payload_bytes, got[k].payload_digest) == (len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())
+    whole = warc.reconstructed(spark, path)
+    records = {bytes(r.record) for r in whole.select(warc.record(F.col("head"), F.col("payload")).alias("record")).collect()}
+    for raw in records:  # read as the format says: header fields, then a block of so many bytes, then two line ends
+        head, _, rest = raw.partition(b"\r\n\r\n")
+        fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+        assert head.startswith(b"WARC/1.1\r\n") and {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(fields)
+        assert len(rest) == int(fields["Content-Length"]) + 4 and rest.endswith(b"\r\n\r\n")
+        if fields["WARC-Type"] == "response":
+            http, _, body = rest[:-4].partition(b"\r\n\r\n")
+            assert http.startswith(b"HTTP/1.1 200 OK\r\n") and f"sha1:{base64.b32encode(hashlib.sha1(body).digest()).decode()}" == fields["WARC-Payload-Digest"]
+    assert len(records) == len(rows)
     empty = shared_dir(spark, "archive")
     warc.write_archive(df.limit(0), empty)
-    assert warc.verified(spark, empty).count() == 0
+    assert warc.parsed(warc.reconstructed(spark, empty)).count() == 0
     high = shared_dir(spark, "archive")
     warc.write_archive(df, high, least_bytes=5)
-    assert {r.id for r in warc.verified(spark, high).where("record_type = 'revisit'").collect()} == {"7"}
+    assert {r.id for r in warc.parsed(warc.reconstructed(spark, high)).where("record_type = 'revisit'").collect()} == {"7", "9"}
+    damaged = shared_dir(spark, "archive")
+    warc.write_archive(df, damaged)
+    spark.read.parquet(f"{damaged}/payloads").withColumn("body", F.encode(F.lit("other"), "UTF-8")).write.parquet(f"{damaged}/other")
+    spark.read.parquet(f"{damaged}/other").write.mode("overwrite").parquet(f"{damaged}/payloads")
+    with pytest.raises(Exception, match="damaged payload"):
+        warc.parsed(warc.reconstructed(spark, damaged)).collect()
 
 
 def test_quality_rules(spark):
