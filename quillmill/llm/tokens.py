@@ -16,7 +16,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, islice, pairwise
 
 import numpy as np
 import pandas as pd
@@ -32,6 +32,8 @@ _PLAIN = regex.compile(r"[^\t\n\r -~¡-įı-ſ–—‘’“”…]")
 _CLUSTER = regex.compile(r"(?s).[\p{M}\u1161-\u1175\u11a8-\u11c2\U00016d67]*")
 #: Pieces up to this length may be fixed strings of a split pattern, whose beginnings are split otherwise.
 _FIXED = 24
+#: Longer pieces are worked out by arrays; the beginnings of shorter ones are remembered.
+_LONG = 64
 #: Prefixes in a block of a stored table.
 BLOCK = 256
 #: What stands for a difference of zero, by the bytes that a difference takes.
@@ -45,19 +47,31 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in shown else next(spare)) for b in range(256)]
 
 
+#: The byte of each difference that a byte can hold.
+_STEP = {d: bytes([d + _ZERO[1]]) for d in range(-_ZERO[1], 256 - _ZERO[1])}
+
+
+def _bytes(counts: list[int]) -> bytes:
+    """Counts as differences, a byte each."""
+    return b"".join([_STEP[b - a] for a, b in pairwise([0, *counts])])
+
+
 #: What no merge makes.
 _SYMBOL = (-1, "", "")
 
 
 class _Memo(dict):
-    """A dictionary that works out what it lacks and starts anew when it holds `most` keys."""
+    """A dictionary that works out what it lacks. Of keys that are not asked for, it forgets all but the last `most` to twice `most`."""
 
     def __init__(self, work, most: int):
-        self.work, self.most = work, most
+        self.work, self.most, self.old = work, most, {}
 
     def __missing__(self, key):
-        value = self.work(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.work(key)
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -78,9 +92,9 @@ class PrefixCounter:
         self.rank = {pair: i for i, pair in enumerate(pairs)}
         #: The merge that makes each token: its rank and its two parts. Single symbols are made by none.
         self.made = {a + b: (i, a, b) for (a, b), i in reversed(self.rank.items())}
-        #: True for each token that a word may go on after, False for what only begins such tokens.
-        inner = [t for t in self.vocab if not t.endswith(self.end)]
-        self.known = {t[:i]: False for t in inner for i in range(1, len(t))} | dict.fromkeys(inner, True)
+        #: The tokens that a word may go on after.
+        self.inner = frozenset(t for t in self.vocab if not t.endswith(self.end))
+        self.longest = max(map(len, self.vocab))
         #: The tokens that end a word, by what stands before the end.
         self.closing = {t.removesuffix(self.end): t for t in self.vocab if t.endswith(self.end)}.get
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -91,8 +105,8 @@ class PrefixCounter:
         self.symbols = byte_symbols()
         self.alone = _Memo(self._alone, memo)
         self.kept = _Memo(self._kept, memo)
-        self.word = _Memo(self._word, memo)
-        self.whole = _Memo(self._whole, memo)
+        #: What is known of each beginning of a word that was met: words share their beginnings.
+        self.states, self.most = {"": ("", 0, 0, b"")}, 2 * memo
         self.chunk = _Memo(self._chunk, memo)
         self.normal = _Memo(self.library.normalizer.normalize_str, memo)
 
@@ -157,55 +171,78 @@ class PrefixCounter:
             if rank((left, right), 1 << 30) < until:
                 return False
 
-    def _word(self, piece: str) -> tuple[int, ...]:
-        """For i = 1 to len(piece): the tokens of piece[:i] as a text."""
-        text, last, count = self._prefixes(piece)
-        out = [self._closing(text, last, count, i) for i in accumulate(len(c.encode()) for c in piece)]
+    def word(self, piece: str) -> bytes:
+        """The differences of the counts of piece[:i] as texts, for i = 1 to len(piece), a byte each."""
+        if len(piece) > _LONG:
+            return _bytes(self._long(piece))
+        if piece.isascii() and piece.isprintable():
+            out = self._met(piece)
+        else:
+            counts = list(accumulate(x - _ZERO[1] for x in self._met("".join([self.symbols[b] for b in piece.encode()]))))
+            out = _bytes([counts[i - 1] for i in accumulate(len(c.encode()) for c in piece)])
         if 1 < len(piece) <= _FIXED and not piece.isalpha() and any(map(str.isalpha, piece)):
+            counts = list(accumulate(x - _ZERO[1] for x in out))
             for i in range(1, len(piece)):
                 if len(cut := self.pieces(piece[:i])) > 1:
-                    out[i - 1] = sum(map(self.whole.__getitem__, cut))
-        return tuple(out)
-
-    def _prefixes(self, piece: str) -> tuple[str, list[str], list[int]]:
-        """The piece's symbols and, for each prefix of them that goes on, the last token and the number of tokens."""
-        symbols = self.symbols
-        text = "".join([symbols[b] for b in piece.encode()])
-        n = len(text)
-        last, count, kept, known = ["", *[None] * n], [0] * (n + 1), self.kept, self.known.get
-        for start in range(n):
-            left, next_count = last[start], count[start] + 1
-            for stop in range(start + 1, n + 1):
+                    counts[i - 1] = sum(map(self.whole, cut))
+            out = _bytes(counts)
+        return out
+
+    def _met(self, text: str) -> bytes:
+        """The differences for each beginning of some symbols. Words share their beginnings, so each is worked out once."""
+        states, known = self.states, len(text)
+        if len(states) > self.most:
+            states.clear()
+            states[""] = ("", 0, 0, b"")
+        while (state := states.get(text[:known])) is None:
+            known -= 1
+        for stop in range(known + 1, len(text) + 1):
+            begun = text[:stop]
+            state = states[begun] = self._state(begun, state)
+        return state[3]
+
+    def _state(self, text: str, before: tuple[str, int, int, bytes]) -> tuple[str, int, int, bytes]:
+        """Of the symbols that a word begins with: the last token and the tokens if the word goes on, the tokens if it ends here, and the differences.
+
+        The states of all shorter beginnings are there; `before` is that of the longest.
+        """
+        last, count, closed, states, kept, inner, closing = "", 0, 0, self.states, self.kept, self.inner, self.closing
+        for start in range(len(text) - 1, -1, -1):
+            token, left = text[start:], states[text[:start]]
+            if not count and token in inner and kept[left[0], token]:
+                last, count = token, left[1] + 1
+            if not closed and (end := closing(token)) is not None and kept[left[0], end]:
+                closed = left[1] + 1
+            if count and closed:
+                return last, count, closed, before[3] + _STEP[closed - before[2]]
+        if not closed:
+            raise ValueError(f"the vocabulary lacks a symbol of {text!r}")
+        return last, count, closed, before[3] + _STEP[closed - before[2]]
+
+    def _long(self, piece: str) -> list[int]:
+        """The counts of a long piece by arrays, whose size follows its length."""
+        text = "".join([self.symbols[b] for b in piece.encode()])
+        n, inner, closing, kept, longest = len(text), self.inner, self.closing, self.kept, self.longest
+        last, count, closed = [""] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+        for stop in range(1, n + 1):
+            for start in range(stop - 1, max(-1, stop - longest - 1), -1):
                 token = text[start:stop]
-                state = known(token)
-                if state is None:
+                if not count[stop] and token in inner and kept[last[start], token]:
+                    last[stop], count[stop] = token, count[start] + 1
+                if not closed[stop] and (end := closing(token)) is not None and kept[last[start], end]:
+                    closed[stop] = count[start] + 1
+                if count[stop] and closed[stop]:
                     break
-                if state and last[stop] is None and kept[left, token]:
-                    last[stop], count[stop] = token, next_count
-        return text, last, count
-
-    def _closing(self, text: str, last: list[str], count: list[int], stop: int) -> int:
-        """Tokens of the first `stop` symbols as a word: its last token carries the word's end."""
-        closing, kept = self.closing, self.kept
-        for start in range(stop - 1, -1, -1):
-            token = closing(text[start:stop])
-            if token is not None and kept[last[start], token]:
-                return count[start] + 1
-        raise ValueError(f"the vocabulary lacks a symbol of {text[:stop]!r}")
-
-    def _whole(self, piece: str) -> int:
-        text, last, count = self._prefixes(piece)
-        return self._closing(text, last, count, len(text))
+        return [closed[i] for i in accumulate(len(c.encode()) for c in piece)]
+
+    def whole(self, piece: str) -> int:
+        return sum(self.word(piece)) - _ZERO[1] * len(piece)
 
     def _chunk(self, chunk: str) -> bytes:
-        """The differences for each prefix of a lower-cased text without white space, a byte each."""
-        out, zero = [], _ZERO[1]
-        for piece in [chunk] if chunk.isalpha() else self.pieces(chunk):
-            before = 0
-            for n in self.word[piece]:
-                out.append(n - before + zero)
-                before = n
-        return bytes(out)
+        """The differences for each prefix of a lower-cased text without white space."""
+        if chunk.isalpha():
+            return self.word(chunk)
+        return b"".join(map(self.word, self.pieces(chunk)))
 
     def segments(self, text: str) -> Iterator[tuple[str, bool]]:
         """The text cut at special strings; each with whether it is one."""
@@ -252,9 +289,8 @@ class PrefixCounter:
         normal = "".join(parts)
         pieces, counts, bounds = self._pieces_at(normal), [0], []
         for a, b in pieces:
-            done = counts[-1]
-            counts.extend([done] * (a + 1 - len(counts)))
-            counts.extend([done + n for n in self.word[normal[a:b]]])
+            counts.extend([counts[-1]] * (a + 1 - len(counts)))
+            counts.extend(islice(accumulate((x - _ZERO[1] for x in self.word(normal[a:b])), initial=counts[-1]), 1, None))
         counts.extend([counts[-1]] * (len(normal) + 1 - len(counts)))
         bounds, k, at, out = [a for a, _ in pieces], 0, 0, []
         for (a, b), part in zip(spans, parts, strict=True):
@@ -267,7 +303,7 @@ class PrefixCounter:
                         k += 1
                     back = bounds[max(0, k - 2)] if bounds else 0
                     end = normal[min(back, at) : at] + begun
-                    out.append(counts[min(back, at)] + sum(self.whole[end[x:y]] for x, y in self._pieces_at(end)))
+                    out.append(counts[min(back, at)] + sum(self.whole(end[x:y]) for x, y in self._pieces_at(end)))
             at += len(part)
             out.append(counts[at])
         return out
