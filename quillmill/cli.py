@@ -5,9 +5,9 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from pathlib import Path
 
 from quillmill.sources import config as C
+from quillmill.sources import files
 
 
 def _session():
@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     try:
         if args.command == "report":
-            print((Path(args.output) / args.run_id / "run_report.json").read_text(encoding="utf-8"), end="")
+            print(files.read(f"{args.output}/{args.run_id}/run_report.json").decode(), end="")
             return 0
         config = C.load(args.config)
         if args.command == "config":
@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         source = args.input if args.command == "run" else None
         if source is None:
-            told = json.loads((Path(args.output) / "workspace" / args.run_id / "run.json").read_text(encoding="utf-8"))
+            told = json.loads(files.read(f"{args.output}/workspace/{args.run_id}/run.json"))
             if told["config_digest"] != config.digest:
                 raise C.ConfigError("the configuration is not that of the run")
             source = told["source"]

@@ -9,26 +9,37 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a checkpoint in the shared folder; a folder of this machine only where none is set."""
+    """df with its lineage cut by a checkpoint in the shared folder; a folder of this machine only in local mode."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
 
-def groups(members: DataFrame, node: str, key: str, most_rounds: int = 40) -> DataFrame:
+def groups(members: DataFrame, node: str, key: str) -> DataFrame:
     """(node, group_id): nodes that share keys, directly or over others, get the smallest node among them.
 
-    Null keys link nothing. Each round takes the smallest label of every key back to its nodes by an aggregate and a
-    join, so no group is gathered and no pair of nodes is made.
+    Null keys link nothing. Each node is first tied to the smallest node of each of its keys; then, round by round,
+    each node is tied to the smallest one that its neighbours are tied to, which doubles the reach. So a chain of n
+    nodes takes a number of rounds in the order of log n. No group is gathered and no pair of members is made.
     """
-    links = members.where(F.col(key).isNotNull()).select(node, key).distinct()
-    labels = cut(members.select(node, F.col(node).alias("group_id")).distinct())
-    for _ in range(most_rounds):
-        low = links.join(labels, node).groupBy(key).agg(F.min("group_id").alias("low"))
-        reach = links.join(low, key).groupBy(node).agg(F.min("low").alias("low"))
-        new = cut(labels.join(reach, node, "left").select(node, F.least("group_id", F.coalesce("low", "group_id")).alias("group_id"), (F.col("low") < F.col("group_id")).alias("moved")))
-        labels = new.select(node, "group_id")
-        if new.where("moved").isEmpty():
-            return labels
-    raise RuntimeError("groups did not settle")
+    rows = members.where(F.col(key).isNotNull()).select(F.col(node).alias("n"), F.col(key).alias("k")).distinct()
+    low = rows.groupBy("k").agg(F.min("n").alias("low"))
+    edges = cut(rows.join(low, "k").where("n <> low").select(F.col("n").alias("a"), F.col("low").alias("b")).distinct())
+    before = None
+    while True:  # alternately tie larger and smaller neighbours to the smallest one, until nothing changes
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("low"))
+        pair = F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")
+        edges = cut(large.join(least, "a").select(pair).select("e.a", "e.b").where("a <> b").distinct())
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == before:
+            break
+        before = now
+    every = members.select(node).distinct()
+    return every.join(edges, F.col(node) == F.col("a"), "left").select(node, F.coalesce("b", node).alias("group_id"))

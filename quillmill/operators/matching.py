@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -49,43 +51,97 @@ def abstention(top1: Column, top2: Column, verifier: Column, verdict: Column | N
     )
 
 
-def _aligned(questions: list[str], answers: list[str]) -> list[tuple[str, int | None, int | None]]:
-    """The longest order-keeping match of equal numbers; where several are longest, the unsure pairs are skipped."""
-    n, m = len(questions), len(answers)
-    ahead = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            ahead[i][j] = ahead[i + 1][j + 1] + 1 if questions[i] == answers[j] else max(ahead[i + 1][j], ahead[i][j + 1])
-    unsure = {x for side in (questions, answers) for x in side if side.count(x) > 1}
-    out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and questions[i] == answers[j]:
-            pair = questions[i] not in unsure
-            out += [("match", i, j)] if pair else [("skip-question", i, None), ("skip-answer", None, j)]
-            i, j = i + 1, j + 1
-        elif j >= m or i < n and ahead[i + 1][j] >= ahead[i][j + 1]:
-            out.append(("skip-question", i, None))
-            i += 1
-        else:
-            out.append(("skip-answer", None, j))
-            j += 1
-    return out
+def _sure(group: pd.DataFrame) -> pd.DataFrame:
+    """The rows that are in every longest rising sequence of answer places, in order of question places."""
+    places = group.sort_values("qp")["ap"].tolist()
 
+    def lengths(values: list[int]) -> list[int]:
+        """Of each place, the length of the longest rising sequence that ends there."""
+        tops: list[int] = []
+        out = []
+        for v in values:
+            at = bisect_left(tops, v)
+            tops[at : at + 1] = [v]
+            out.append(at + 1)
+        return out
 
-def align(questions: DataFrame, answers: DataFrame) -> DataFrame:
-    """(cluster_id, step, op, question_id, answer_id) from (cluster_id, ord, number, id) of both sides.
+    ends, starts = lengths(places), lengths([-v for v in places[::-1]])[::-1]
+    longest = max(ends)
+    on = [e for e, s in zip(ends, starts, strict=True) if e + s - 1 == longest]
+    keep = [e + s - 1 == longest and on.count(e) == 1 for e, s in zip(ends, starts, strict=True)]
+    return group.sort_values("qp")[keep]
 
-    A missing answer does not shift later ones. Numbers that stand twice on a side are ambiguous: both are skipped.
-    A group is the questions and answers of one exam.
-    """
-    columns = ["cluster_id", "step", "op", "question_id", "answer_id"]
 
-    def group(q: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
-        q, a = q.sort_values(["ord", "id"]), a.sort_values(["ord", "id"])
-        cluster = (q if len(q) else a)["cluster_id"].iloc[0]
-        ops = _aligned(q["number"].astype(str).tolist(), a["number"].astype(str).tolist())
-        qs, answers_ = q["id"].tolist(), a["id"].tolist()
-        return pd.DataFrame([(cluster, k, op, None if i is None else qs[i], None if j is None else answers_[j]) for k, (op, i, j) in enumerate(ops)], columns=columns)
+def align(questions: DataFrame, answers: DataFrame) -> DataFrame:
+    """(cluster_id, op, question_id, answer_id) from (cluster_id, ord, number, id) of both sides: match, skip-question or skip-answer.
 
-    pick = lambda df: df.select(F.col("cluster_id").cast("string"), "ord", F.col("number").cast("string").alias("number"), F.col("id").cast("string").alias("id")).groupBy("cluster_id")
-    return pick(questions).cogroup(pick(answers)).applyInPandas(group, "cluster_id string, step int, op string, question_id string, answer_id string")
+    Numbers that stand once on each side pair up; others are ambiguous or alone and are skipped. Of these pairs, those
+    match that every longest order-keeping sequence has, so a missing answer does not shift later ones and what order
+    leaves open is skipped. A pair that all pairs before it precede on both sides is in every such sequence; it is
+    found by windows, and only the disordered stretches between such pairs are aligned in a task. Null numbers pair
+    with none; an empty side gives skips alone.
+    """
+    pick = lambda df: df.select(F.col("cluster_id").cast("string").alias("cluster_id"), F.col("ord"), F.col("number").cast("string").alias("number"), F.col("id").cast("string").alias("id"))
+    once = lambda df, o, i: df.where("number IS NOT NULL").groupBy("cluster_id", "number").agg(F.min("ord").alias(o), F.min("id").alias(i), F.count("*").alias("n")).where("n = 1").drop("n")
+    q, a = pick(questions), pick(answers)
+    pairs = once(q, "qo", "question_id").join(once(a, "ao", "answer_id"), ["cluster_id", "number"])
+    of = W.partitionBy("cluster_id")
+    pairs = pairs.withColumn("ap", F.row_number().over(of.orderBy("ao", "answer_id"))).withColumn("qp", F.row_number().over(of.orderBy("qo", "question_id")))
+    along = of.orderBy("qp").rowsBetween(W.unboundedPreceding, 0)
+    pairs = pairs.withColumn("anchor", (F.col("ap") == F.col("qp")) & (F.max("ap").over(along) == F.col("qp")))
+    pairs = pairs.withColumn("stretch", F.sum(F.col("anchor").cast("long")).over(along)).select("cluster_id", "stretch", "anchor", "qp", "ap", "question_id", "answer_id")
+    loose = pairs.where("NOT anchor").groupBy("cluster_id", "stretch").applyInPandas(_sure, pairs.schema)
+    matched = pairs.where("anchor").unionByName(loose).select("cluster_id", F.lit("match").alias("op"), "question_id", "answer_id")
+    none = F.lit(None).cast("string")
+    lone = lambda df, c: df.withColumnRenamed("id", c).join(matched.select("cluster_id", c), ["cluster_id", c], "left_anti")
+    skipped_q = lone(q, "question_id").select("cluster_id", F.lit("skip-question").alias("op"), "question_id", none.alias("answer_id"))
+    skipped_a = lone(a, "answer_id").select("cluster_id", F.lit("skip-answer").alias("op"), none.alias("question_id"), "answer_id")
+    return matched.unionByName(skipped_q).unionByName(skipped_a)
+
+
+def signals(questions: DataFrame, answers: DataFrame, reach: int = 2) -> DataFrame:
+    """(cluster_id, q, a, conflict, and a column for each of WEIGHTS): the evidence for pairs of one cluster, each signal 0 or 1.
+
+    Both sides have cluster_id, ord, number (int), id, document, file (what file names of one exam share) and fields (an
+    array of what the document says of itself); questions have kind and stem, answers have answer. Pairs are those of equal
+    numbers and those within `reach` places of each other, by order or counted from the last aligned question, so
+    an answer under another number is seen and no cluster is paired with itself.
+
+    number: equal. sequence: aligned in the sequences of both sides. order: the answers of the nearest aligned questions
+    before and after stand before and after this one, of which one at least is there, or both sides have one
+    item. file: one document, or file names of one exam. title: of the fields that both documents name one agrees; if one
+    differs, the pair is in conflict. type: letters for a choice and no others. counts: not more answers than questions.
+    format: letters of a choice in rising order; else text with even brackets and dollar signs and no number of a question
+    before it. semantic: the letters are offered; as many parts as blanks; else a sign of substance (a number, a Latin
+    word or two Chinese characters) is in both texts. What cannot be said is 0.
+    """
+    of, by = W.partitionBy("cluster_id"), lambda c: W.partitionBy("cluster_id").orderBy("ord", c)
+    aligned = align(questions, answers).where("op = 'match'").select("cluster_id", F.col("question_id").alias("q"), F.col("answer_id").alias("aligned"))
+    a = answers.select(F.col("cluster_id").cast("string").alias("cluster_id"), "ord", F.col("number").alias("an"), F.col("id").cast("string").alias("a"), F.col("document").alias("ad"), F.col("file").alias("af"), F.col("fields").alias("afields"), "answer")
+    a = a.withColumn("ap", F.row_number().over(by("a"))).withColumn("na", F.count("*").over(of))
+    q = questions.select(F.col("cluster_id").cast("string").alias("cluster_id"), "ord", F.col("number").alias("qn"), F.col("id").cast("string").alias("q"), F.col("document").alias("qd"), F.col("file").alias("qf"), F.col("fields").alias("qfields"), "kind", "stem")
+    q = q.withColumn("qp", F.row_number().over(by("q"))).withColumn("nq", F.count("*").over(of)).join(aligned, ["cluster_id", "q"], "left")
+    q = q.join(a.select("cluster_id", F.col("a").alias("aligned"), F.col("ap").alias("at")), ["cluster_id", "aligned"], "left")
+    past, next_ = by("q").rowsBetween(W.unboundedPreceding, -1), by("q").rowsBetween(1, W.unboundedFollowing)
+    q = q.withColumns({"low": F.last("at", ignorenulls=True).over(past), "high": F.first("at", ignorenulls=True).over(next_), "last_qp": F.last(F.when(F.col("at").isNotNull(), F.col("qp")), ignorenulls=True).over(past)})
+    expected = F.coalesce(F.col("low") + F.col("qp") - F.col("last_qp"), F.col("qp"))
+    near = F.array_union(F.sequence(F.col("qp") - reach, F.col("qp") + reach), F.sequence(expected.cast("int") - reach, expected.cast("int") + reach))
+    placed = q.select("cluster_id", "q", F.explode(near).alias("ap")).join(a.select("cluster_id", "ap", "a"), ["cluster_id", "ap"]).select("cluster_id", "q", "a")
+    same = q.select("cluster_id", "q", F.col("qn").alias("an")).join(a.select("cluster_id", "an", "a"), ["cluster_id", "an"]).select("cluster_id", "q", "a")
+    pairs = placed.union(same).distinct().join(q.drop("ord"), ["cluster_id", "q"]).join(a.drop("ord"), ["cluster_id", "a"])
+    letters = F.coalesce(F.col("answer").rlike("^[A-H]{1,8}$"), F.lit(False))
+    each = F.split("answer", "")
+    both = F.zip_with("qfields", "afields", lambda x, y: F.when(x.isNotNull() & y.isNotNull(), x == y))
+    one = F.col("qd") == F.col("ad")
+    choice = F.col("kind") == "选择题"
+    even = (F.regexp_count("answer", F.lit(r"[(（\[【{]")) == F.regexp_count("answer", F.lit(r"[)）\]】}]"))) & (F.regexp_count("answer", F.lit(r"\$")) % 2 == 0) & ~F.col("answer").rlike(r"^\s*\d{1,3}\s*[.．、)）](?!\d)") & (F.trim("answer") != "")
+    marks = lambda c: F.array_union(F.regexp_extract_all(c, F.lit(r"[0-9]+|[A-Za-z]+")), F.regexp_extract_all(c, F.lit(r"(?=([一-龥]{2}))"), F.lit(1)))
+    blanks = F.regexp_count("stem", F.lit(r"_{3,}|（\s*）"))
+    order = (F.col("low").isNull() | (F.col("low") < F.col("ap"))) & (F.col("high").isNull() | (F.col("ap") < F.col("high"))) & (F.col("low").isNotNull() | F.col("high").isNotNull() | ((F.col("nq") == 1) & (F.col("na") == 1)))
+    semantic = F.when(choice, letters & F.forall(each, lambda x: F.contains("stem", x))).when(blanks > 0, F.size(F.split("answer", "[;；]")) == blanks).otherwise(F.arrays_overlap(marks("stem"), marks("answer")))
+    made = {
+        "number": F.col("qn") == F.col("an"), "sequence": F.col("aligned") == F.col("a"), "file": one | (F.col("qf") == F.col("af")), "type": choice == letters, "counts": F.col("na") <= F.col("nq"),
+        "format": F.when(letters, F.array_join(F.array_sort(F.array_distinct(each)), "") == F.col("answer")).otherwise(even), "order": order, "semantic": semantic, "title": one | F.exists(both, lambda x: x),
+    }
+    conflict = F.coalesce(~one & F.exists(both, lambda x: ~x), F.lit(False))
+    return pairs.select("cluster_id", "q", "a", conflict.alias("conflict"), *[F.coalesce(made[k], F.lit(False)).cast("int").alias(k) for k in WEIGHTS])

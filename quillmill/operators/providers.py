@@ -10,13 +10,14 @@ import asyncio
 import json
 import random
 import time
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions.text import cache_key
@@ -24,6 +25,7 @@ from quillmill.operators import recognition
 from quillmill.operators.graph import cut
 from quillmill.operators.understanding import cited_in_order
 from quillmill.schemas import SCORE
+from quillmill.sources import files
 
 
 @dataclass(frozen=True)
@@ -96,13 +98,13 @@ async def attempted(provider, payload: bytes, tries: int, delay: float, limit: f
 LEDGER = "cache_key string, provider string, model string, request_id string, prompt_version string, task string, latency double, tokens long, cost double, raw_score decimal(9,6), content string, error string"
 
 
-def call(requests: DataFrame, provider, concurrency: int, tasks: int = 1, tries: int = 4, delay: float = 0.5, limit: float = 60.0) -> DataFrame:
+def call(requests: DataFrame, provider, concurrency: int, tasks: int | None = None, tries: int = 4, delay: float = 0.5, limit: float = 60.0) -> DataFrame:
     """Ledger rows, one for each of requests (cache_key, task, prompt_version, payload).
 
-    The requests go to `tasks` tasks, each with concurrency / tasks calls under way at once (1 at least), so all
-    together keep to the provider's limit. A task holds the calls under way and one batch of rows.
+    The requests go to `tasks` tasks (as many as there are cores, if not said), each with concurrency / tasks calls
+    under way at once, so all together keep to the provider's limit. A task holds the calls under way and one batch.
     """
-    tasks = max(1, min(tasks, concurrency))
+    tasks = max(1, min(tasks or requests.sparkSession.sparkContext.defaultParallelism, concurrency))
     each = max(1, concurrency // tasks)
 
     def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,12 +130,35 @@ def call(requests: DataFrame, provider, concurrency: int, tasks: int = 1, tries:
     return requests.select("cache_key", "task", "prompt_version", "payload").repartition(tasks).mapInPandas(sent, LEDGER)
 
 
-def through(requests: DataFrame, ledger: DataFrame | None, provider, concurrency: int, **options) -> DataFrame:
+class Ledger:
+    """One table of all calls of all runs, which only grows. A call's row is there before anything is made of it."""
+
+    def __init__(self, spark: SparkSession, path: str, more: DataFrame | None = None):
+        self.spark, self.path, self.more = spark, path, more
+
+    def read(self) -> DataFrame:
+        kept = self.spark.read.schema(f"{LEDGER}, part string").parquet(self.path) if files.exists(self.path) else self.spark.createDataFrame([], f"{LEDGER}, part string")
+        return kept if self.more is None else kept.unionByName(self.more.drop("cache_hit").withColumn("part", F.lit("given")), allowMissingColumns=True)
+
+    def append(self, made: DataFrame) -> DataFrame:
+        """Write rows, and give them back as they were written."""
+        part = uuid.uuid4().hex
+        made.withColumn("part", F.lit(part)).write.mode("append").parquet(self.path)
+        return self.read().where(F.col("part") == part).drop("part")
+
+
+#: Requests that are sent before their answers are written to a kept ledger: what a run that stops may have to send again.
+ROUND = 10_000
+
+
+def through(requests: DataFrame, ledger: Ledger | DataFrame | None, provider, concurrency: int, **options) -> DataFrame:
     """Ledger rows for requests (content_hash, task, prompt_version, payload): from the ledger where it has a good one, else by calls.
 
-    Equal requests are one call. Any other version is another key. New rows are cut off from their lineage, so that
-    nothing later sends a call again.
+    Equal requests are one call. Any other version is another key. New rows are written to a kept ledger round by
+    round, or else cut off from their lineage, so that nothing later sends a call again.
     """
+    if isinstance(ledger, Ledger):
+        return _kept(requests, ledger, provider, concurrency, **options)
     key = cache_key(F.col("content_hash"), F.lit(provider.name), F.lit(provider.model), F.col("prompt_version"), F.col("task"))
     keyed = requests.withColumn("cache_key", key).dropDuplicates(["cache_key"])
     if ledger is None:
@@ -144,7 +169,19 @@ def through(requests: DataFrame, ledger: DataFrame | None, provider, concurrency
     return hits.unionByName(cut(call(missing, provider, concurrency, **options)).withColumn("cache_hit", F.lit(False)))
 
 
-def recognised(assets: DataFrame, primary, fallback, calibration: DataFrame, ledger: DataFrame | None, concurrency: int, prompt_version: str = "v1", **options) -> tuple[DataFrame, DataFrame]:
+def _kept(requests: DataFrame, ledger: Ledger, provider, concurrency: int, **options) -> DataFrame:
+    key = cache_key(F.col("content_hash"), F.lit(provider.name), F.lit(provider.model), F.col("prompt_version"), F.col("task"))
+    keyed = requests.withColumn("cache_key", key).dropDuplicates(["cache_key"])
+    before = cut(ledger.read().where("error IS NULL").drop("part").join(keyed.select("cache_key"), "cache_key", "left_semi").dropDuplicates(["cache_key"]))
+    missing = cut(keyed.join(before.select("cache_key"), "cache_key", "left_anti").select("cache_key", "task", "prompt_version", "payload"))
+    made, rounds = before.withColumn("cache_hit", F.lit(True)), -(-missing.count() // ROUND)
+    for r in range(rounds):
+        some = missing.where(F.pmod(F.xxhash64("cache_key"), F.lit(rounds)) == r)
+        made = made.unionByName(ledger.append(call(some, provider, concurrency, **options)).withColumn("cache_hit", F.lit(False)))
+    return made
+
+
+def recognised(assets: DataFrame, primary, fallback, calibration: DataFrame, ledger: Ledger | DataFrame | None, concurrency: int, prompt_version: str = "v1", **options) -> tuple[DataFrame, DataFrame]:
     """(settled results by block_id, ledger rows) for assets (block_id, task, is_critical, content).
 
     The fallback gets only what the accept ladder leaves open after the primary.
@@ -165,7 +202,7 @@ def recognised(assets: DataFrame, primary, fallback, calibration: DataFrame, led
     return recognition.settled(first), calls
 
 
-def verdicts(pairs: DataFrame, verifier, ledger: DataFrame | None, prompt: str, prompt_version: str, concurrency: int, **options) -> tuple[DataFrame, DataFrame]:
+def verdicts(pairs: DataFrame, verifier, ledger: Ledger | DataFrame | None, prompt: str, prompt_version: str, concurrency: int, **options) -> tuple[DataFrame, DataFrame]:
     """((question_id, answer_id, verdict, verifier_score, reason), ledger rows) for pairs (question_id, answer_id, question, answer, block_ids).
 
     The verifier answers in JSON with the fields verdict, score, reason and cited_blocks alone. Any other field, a

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmill.operators.blocks import islands
@@ -10,6 +11,8 @@ from quillmill.schemas import SCORE
 
 _NUMBER = r"^\s*(\d{1,3})\s*[.．、)）](?!\d)"
 _ANSWER = r"^\s*(\d{1,3})\s*[.．、)）]\s*(?:【答案】|答案[:：])?\s*(.+)$"
+_ANALYSIS_MARK = r"^\s*(【解析】|【分析】|解析[:：])"
+_HEADING = r"^\s*【?(参考)?答案(与|及|和)?(解析)?】?\s*[:：]?\s*$"
 _ANALYSIS = r"(?s)^(.*?)(?:【解析】|【分析】|解析[:：])(.*)$"
 
 
@@ -41,23 +44,35 @@ def split_questions(blocks: DataFrame) -> DataFrame:
 def extract_answers(blocks: DataFrame) -> DataFrame:
     """(answer_candidate_id, document_id, question_number, answer, analysis, source_blocks) from numbered lines.
 
-    Compact lists (`1. A 2. B`), one answer a line, and answers with an analysis. Without one the analysis is 略; an
-    analysis without an answer before it gives none.
+    Compact lists (`1. A 2. B`), one answer a line, and answers with an analysis. An answer goes on over the lines and
+    blocks after it up to the next number or a heading of answers; an analysis that repeats its answer's number goes
+    with it. Without an analysis it is 略; an analysis without an answer before it gives none.
     """
     compact = F.regexp_extract_all(F.col("raw_text"), F.lit(r"(\d{1,3}\s*[.．、)）]\s*[A-D]+)(?=\s|$|[,，;；])"), F.lit(1))
     lines = F.when(F.size(compact) > 1, compact).otherwise(F.split("raw_text", "\n"))
-    each = blocks.where("raw_text IS NOT NULL AND type NOT IN ('header', 'footer', 'noise_candidate')").select("document_id", "block_id", F.posexplode(lines).alias("at", "line"))
-    number, rest = F.regexp_extract("line", _ANSWER, 1), F.regexp_extract("line", _ANSWER, 2)
-    parted = each.where(number != "").select("document_id", "block_id", "at", number.alias("question_number"), rest.alias("rest"))
-    head, tail = F.regexp_extract("rest", _ANALYSIS, 1), F.regexp_extract("rest", _ANALYSIS, 2)
+    each = blocks.where("raw_text IS NOT NULL AND type NOT IN ('header', 'footer', 'noise_candidate')").select("document_id", "block_id", "ord", F.posexplode(lines).alias("at", "line"))
+    number, rest = F.nullif(F.regexp_extract("line", _ANSWER, 1), F.lit("")), F.regexp_extract("line", _ANSWER, 2)
+    order = W.partitionBy("document_id").orderBy("ord", "at")
+    before = F.last("number", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1))
+    marked = each.withColumn("number", number).withColumn("again", F.coalesce((F.col("number") == before) & rest.rlike(_ANALYSIS_MARK), F.lit(False)))
+    heading = F.col("line").rlike(_HEADING)
+    runs = islands(marked, "document_id", ["ord", "at"], (F.col("number").isNotNull() & ~F.col("again")) | heading)
+    said = F.when(F.col("number").isNotNull(), rest).otherwise(F.col("line"))
+    parts = F.array_sort(F.collect_list(F.struct("ord", "at", "block_id", said.alias("said"))))
+    whole = runs.where("island > 0").groupBy("document_id", "island").agg(parts.alias("p"), F.min_by("number", F.struct("ord", "at")).alias("question_number")).where("question_number IS NOT NULL")
+    whole = whole.select("document_id", "question_number", "p", F.array_join("p.said", "\n").alias("rest"))
     split = F.col("rest").rlike(_ANALYSIS)
-    out = parted.select("*", F.trim(F.when(split, head).otherwise(F.col("rest"))).alias("answer"), F.coalesce(F.nullif(F.trim(F.when(split, tail)), F.lit("")), F.lit("略")).alias("analysis"))
-    return out.where("answer <> ''").select(F.concat_ws("_a", "block_id", "at").alias("answer_candidate_id"), "document_id", "question_number", "answer", "analysis", F.array("block_id").alias("source_blocks"))
+    head, tail = F.regexp_extract("rest", _ANALYSIS, 1), F.regexp_extract("rest", _ANALYSIS, 2)
+    bare = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    out = whole.select("*", bare(F.when(split, head).otherwise(F.col("rest"))).alias("answer"), F.coalesce(F.nullif(bare(F.when(split, tail)), F.lit("")), F.lit("略")).alias("analysis"))
+    return out.where("answer <> ''").select(F.expr("concat_ws('_a', p[0].block_id, p[0].at)").alias("answer_candidate_id"), "document_id", "question_number", "answer", "analysis", F.array_distinct("p.block_id").alias("source_blocks"))
 
 
 def unsupported(answers: DataFrame, blocks: DataFrame, cited: str = "source_blocks") -> DataFrame:
-    """The answers that their cited blocks do not hold, or that cite a block that is not there."""
-    each = answers.select("answer_candidate_id", F.col("answer").alias("wanted"), F.explode_outer(cited).alias("block_id"))
+    """The answers that their cited blocks, put together in the order cited, do not hold, or that cite a block that is not there."""
+    each = answers.select("answer_candidate_id", F.col("answer").alias("wanted"), F.posexplode_outer(cited).alias("at", "block_id"))
     bare = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", "")
-    seen = each.join(blocks.select("block_id", "raw_text"), "block_id", "left").groupBy("answer_candidate_id").agg(F.bool_or(F.contains(bare(F.col("raw_text")), bare(F.col("wanted")))).alias("held"), F.bool_and(F.col("raw_text").isNotNull()).alias("there"))
-    return answers.join(seen.where("NOT (held AND there)"), "answer_candidate_id", "left_semi")
+    seen = each.join(blocks.select("block_id", "raw_text"), "block_id", "left")
+    told = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", bare(F.col("raw_text")).alias("t")))), lambda x: x["t"]), "")
+    held = seen.groupBy("answer_candidate_id", "wanted").agg(told.alias("told"), F.bool_and(F.col("raw_text").isNotNull()).alias("there")).withColumn("held", F.contains("told", bare(F.col("wanted"))))
+    return answers.join(held.where("NOT (held AND there)"), "answer_candidate_id", "left_semi")

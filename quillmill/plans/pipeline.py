@@ -1,7 +1,7 @@
 """The run: .docx files to accepted and rejected questions. Each stage is a table in the run's workspace.
 
-A stage whose table is complete is read, not made again, so a run that stopped goes on with its first incomplete stage and sends no
-finished call again. Input, output and workspace are folders that driver and executors share.
+A stage whose table is complete is read, not made again, so a run that stopped goes on with its first incomplete stage.
+Calls are kept in the ledger of all runs, so no finished call is sent again. Input, output and workspace are folders that driver and executors share.
 """
 
 from __future__ import annotations
@@ -9,7 +9,6 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -20,7 +19,7 @@ from quillmill.operators import blocks as B
 from quillmill.operators import gates, matching, providers, splitting, understanding
 from quillmill.schemas import FINAL_FIELDS
 from quillmill.sources import config as C
-from quillmill.sources import docx, results, runs
+from quillmill.sources import docx, files, results, runs
 
 STAGES = ("parsed", "blocks", "assets", "recognised", "documents", "questions", "answers", "matches", "outcomes")
 
@@ -39,7 +38,7 @@ class Workspace:
         self.spark, self.folder = spark, folder
 
     def complete(self, stage: str) -> bool:
-        return (Path(self.folder) / stage / "_SUCCESS").exists()
+        return files.exists(f"{self.folder}/{stage}/_SUCCESS")
 
     def stage(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.folder}/{name}"
@@ -51,7 +50,7 @@ class Workspace:
         return next((s for s in STAGES if not self.complete(s)), None)
 
 
-def _recognised(parts: DataFrame, assets: DataFrame, config: C.Config, calibration: DataFrame | None, ledger: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+def _recognised(parts: DataFrame, assets: DataFrame, config: C.Config, calibration: DataFrame | None, ledger: providers.Ledger) -> tuple[DataFrame | None, DataFrame | None]:
     """Settled contents of image blocks by the text service; without one or without a calibration none is trusted."""
     primary = C.provider(config, "text_ocr", "primary")
     if primary is None or calibration is None:
@@ -71,7 +70,7 @@ def _documents(parsed: DataFrame, parts: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     made = made.withColumns({"document_class": F.coalesce("document_class", F.lit("UNKNOWN")), "question_numbers": F.coalesce("question_numbers", none), "answer_numbers": F.coalesce("answer_numbers", none)})
     spoken = parts.groupBy("document_id").agg(F.when(F.sum(F.regexp_count("raw_text", F.lit("[一-龥]"))) > 0, "zh").when(F.sum(F.regexp_count("raw_text", F.lit("[A-Za-z]{2,}"))) > 0, "en").alias("document_language"))
-    made = made.join(spoken, "document_id", "left")
+    made = made.join(spoken, "document_id", "left").withColumn("own_fields", F.array(*understanding.FIELDS))
     placed = understanding.clusters(made)
     lent = understanding.wide(understanding.prioritised(understanding.from_cluster(values, placed), "document_id"), "document_id")
     return made.drop(*understanding.FIELDS).join(placed, "document_id").join(lent, "document_id", "left")
@@ -112,22 +111,18 @@ def _questions(parts: DataFrame, assets: DataFrame, settled: DataFrame | None, d
     return found.join(texts, "question_candidate_id").join(state, "question_candidate_id").join(placed, "document_id")
 
 
-def _matches(questions: DataFrame, answers: DataFrame) -> DataFrame:
-    """(question_candidate_id, answer_candidate_id, top1, top2): the best answer in the question's cluster."""
-    q = questions.select("cluster_id", F.col("question_candidate_id").alias("q"), F.col("question_number").alias("number"), F.col("question_type_candidate").alias("kind"), F.col("text_question").alias("stem"))
-    a = answers.select("cluster_id", F.col("answer_candidate_id").alias("a"), F.col("question_number").alias("number"), "answer")
-    ordered = lambda df, key: df.select("cluster_id", F.col("number").cast("int").alias("ord"), "number", F.col(key).alias("id"))
-    aligned = matching.align(ordered(q, "q"), ordered(a, "a")).where("op = 'match'").select(F.col("question_id").alias("q"), F.col("answer_id").alias("a"), F.lit(1).alias("aligned"))
-    counts = q.groupBy("cluster_id").agg(F.count("*").alias("nq")).join(a.groupBy("cluster_id").agg(F.count("*").alias("na")), "cluster_id")
-    pairs = matching.candidate_pairs(q, a, ["number"]).join(aligned, ["q", "a"], "left").join(counts, "cluster_id")
-    letters = F.col("answer").rlike(r"^[A-D]{1,4}$")
-    offered = F.forall(F.split("answer", ""), lambda x: F.contains("stem", x))
-    fits = (F.when(F.col("kind") == "选择题", letters).otherwise(~letters)).cast("int")
-    score = matching.evidence_score({
-        "number": F.lit(1), "sequence": F.coalesce("aligned", F.lit(0)), "order": F.coalesce("aligned", F.lit(0)), "file": F.lit(1), "type": fits, "counts": (F.col("na") <= F.col("nq")).cast("int"),
-        "format": (F.char_length("answer") > 0).cast("int"), "semantic": F.when(letters, offered.cast("int")).otherwise(1), "title": F.lit(1),
-    })
-    return matching.top_two(pairs.withColumn("score", score), "q", "a", "score").withColumnsRenamed({"q": "question_candidate_id", "a": "answer_candidate_id"})
+def _matches(questions: DataFrame, answers: DataFrame, documents: DataFrame) -> DataFrame:
+    """(question_candidate_id, answer_candidate_id, top1, top2): the best answer in the question's cluster, by all evidence.
+
+    What has less than half of the evidence is no candidate.
+    """
+    about = documents.select("document_id", understanding.exam_key(F.col("source_file")).alias("file"), F.col("own_fields").alias("fields"))
+    side = lambda df, key: df.join(about, "document_id").select("*", F.col("document_id").alias("document"), F.col("question_number").cast("int").alias("number"), F.col(key).alias("id"))
+    q = side(questions, "question_candidate_id").select("*", F.col("question_candidate_id").alias("ord"), F.col("question_type_candidate").alias("kind"), F.col("text_question").alias("stem"))
+    a = side(answers, "answer_candidate_id").withColumn("ord", F.col("answer_candidate_id"))
+    found = matching.signals(q, a)
+    scored = found.select("q", "a", matching.evidence_score({k: F.col(k) for k in matching.WEIGHTS}, F.col("conflict")).alias("score"))
+    return matching.top_two(scored.where(F.col("score") >= F.lit("0.5").cast("decimal(9,6)")), "q", "a", "score").withColumnsRenamed({"q": "question_candidate_id", "a": "answer_candidate_id"})
 
 
 def _outcomes(questions: DataFrame, answers: DataFrame, matched: DataFrame, checked: DataFrame, documents: DataFrame, config: C.Config) -> DataFrame:
@@ -162,13 +157,15 @@ def run(spark: SparkSession, source: str, output: str, config: C.Config, calibra
     """Make questions, rejections, images and the report of all .docx files below `source`.
 
     The run's id follows from the inputs, the configuration and the version, so the same call goes on with the same run. A
-    changed threshold is another run. Without a verifier no answer is accepted. `ledger` has calls of earlier runs.
+    changed threshold is another run. Without a verifier no answer is accepted. All runs of an output keep one ledger of
+    calls, which is read before any call and written before anything else is made of one, so a run that stops or
+    has another threshold sends no finished call again. `ledger` has calls of elsewhere.
     """
     began = time.monotonic()
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").option("recursiveFileLookup", "true").load(source)
-    run_id = runs.fingerprint(files.select(F.sha2("content", 256).alias("source_sha256")), config.digest, config.pipeline_version)[:16]
+    given = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").option("recursiveFileLookup", "true").load(source)
+    run_id = runs.fingerprint(given.select(F.sha2("content", 256).alias("source_sha256")), config.digest, config.pipeline_version)[:16]
     work = Workspace(spark, f"{output}/workspace/{run_id}")
-    Path(work.folder).mkdir(parents=True, exist_ok=True)
+    ledger = providers.Ledger(spark, f"{output}/workspace/ledger", ledger)
     results.write_json({"run_id": run_id, "source": source, "config_digest": config.digest, "quality": config.quality, "pipeline_version": config.pipeline_version}, f"{work.folder}/run.json")
 
     whole = work.stage("parsed", lambda: docx.read_docx(spark, source))
@@ -186,7 +183,7 @@ def run(spark: SparkSession, source: str, output: str, config: C.Config, calibra
     extracted = splitting.extract_answers(told)
     supported = lambda: extracted.join(splitting.unsupported(extracted, parts).select("answer_candidate_id"), "answer_candidate_id", "left_anti").join(documents.select("document_id", "cluster_id"), "document_id")
     answers = work.stage("answers", supported)
-    matched = work.stage("matches", lambda: _matches(questions, answers))
+    matched = work.stage("matches", lambda: _matches(questions, answers, documents))
     if not work.complete("verdicts"):
         _verified(work, questions, answers, matched, config, ledger)
     checked = spark.read.parquet(f"{work.folder}/verdicts")
@@ -194,10 +191,10 @@ def run(spark: SparkSession, source: str, output: str, config: C.Config, calibra
 
     good = gates.accepted(outcomes)
     for name, rows in (("questions.jsonl", good.select(*FINAL_FIELDS)), ("rejected.jsonl", gates.rejected(outcomes, F.col("question_candidate_id"), F.array("source_file"), F.to_json(F.struct("top1", "top2", "verdict"))).unionByName(_unreadable(parsed)))):
-        if not (Path(output) / run_id / name / "_SUCCESS").exists():
+        if not files.exists(f"{output}/{run_id}/{name}/_SUCCESS"):
             rows.write.option("ignoreNullFields", "false").mode("overwrite").json(f"{output}/{run_id}/{name}")
     results.write_images(assets, good, f"{output}/{run_id}/image")
-    ledgers = [spark.read.parquet(f"{work.folder}/{n}") for n in ("calls_recognition", "calls_verify") if (Path(work.folder) / n / "_SUCCESS").exists()]
+    ledgers = [spark.read.parquet(f"{work.folder}/{n}") for n in ("calls_recognition", "calls_verify") if work.complete(n)]
     every = None if not ledgers else ledgers[0] if len(ledgers) == 1 else ledgers[0].unionByName(ledgers[1])
     meta = {"run_id": run_id, "pipeline_version": config.pipeline_version, "config_digest": config.digest}
     told_ = results.run_report(outcomes, parsed.count(), every, time.monotonic() - began, meta)
@@ -205,7 +202,7 @@ def run(spark: SparkSession, source: str, output: str, config: C.Config, calibra
     return Summary(run_id, f"{output}/{run_id}", told_)
 
 
-def _verified(work: Workspace, questions: DataFrame, answers: DataFrame, matched: DataFrame, config: C.Config, ledger: DataFrame | None) -> None:
+def _verified(work: Workspace, questions: DataFrame, answers: DataFrame, matched: DataFrame, config: C.Config, ledger: providers.Ledger) -> None:
     """Ask the verifier about the pairs that pass the score and margin alone; others need no call."""
     t, verifier = config.quality, C.provider(config, "llm", "verifier")
     d = lambda v: F.lit(v).cast("decimal(9,6)")

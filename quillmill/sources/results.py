@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterator
-from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.operators import report
+from quillmill.sources import files
 
 
 def write_images(assets: DataFrame, questions: DataFrame, folder: str) -> int:
@@ -21,15 +20,11 @@ def write_images(assets: DataFrame, questions: DataFrame, folder: str) -> int:
     writes the same bytes.
     """
     named = questions.select(F.explode(F.regexp_extract_all("text_question", F.lit(r'<img src="image/(img_[0-9a-f]+)\.'), F.lit(1))).alias("asset_id")).distinct()
-    os.makedirs(folder, exist_ok=True)
 
     def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, ext, content in zip(batch["asset_id"], batch["ext"], batch["content"], strict=True):
-                target = Path(folder) / f"{name}.{ext}"
-                part = target.with_name(f".{target.name}.{os.getpid()}")
-                part.write_bytes(content)
-                os.replace(part, target)
+                files.write(f"{folder}/{name}.{ext}", content)
             yield pd.DataFrame({"n": [len(batch)]})
 
     return assets.join(named, "asset_id", "left_semi").select("asset_id", "ext", "content").mapInPandas(written, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -50,6 +45,4 @@ def run_report(outcomes: DataFrame, n_documents: int, ledger: DataFrame | None,
 
 def write_json(value: dict, path: str) -> None:
     """Write a small value as one file, whole or not at all."""
-    part = f"{path}.part"
-    Path(part).write_text(json.dumps(value, ensure_ascii=False, sort_keys=True, indent=2, default=str) + "\n", encoding="utf-8")
-    os.replace(part, path)
+    files.write(path, (json.dumps(value, ensure_ascii=False, sort_keys=True, indent=2, default=str) + "\n").encode())

@@ -1,6 +1,7 @@
 """Providers for the tests, named by configurations."""
 
 import json
+import os
 
 from quillmill.operators.providers import Fake
 
@@ -13,5 +14,19 @@ def verifier():
     return Fake("judge", judge)
 
 
+def counting():
+    class Counting(Fake):  # local, so that it goes to other processes by value
+        """Notes each call in a file."""
+
+        async def recognize(self, payload):
+            with open(self.notes, "a") as notes:
+                notes.write("x")
+            return await Fake.recognize(self, payload)
+
+    made = Counting("judge", verifier().answer)
+    made.notes = os.environ["FAKE_CALLS"]
+    return made
+
+
 def meddler():
-    return Fake("judge", lambda payload: {"verdict": "PASS", "score": 0.999, "reason": "", "cited_blocks": json.loads(payload.decode().split("\n", 1)[1])["block_ids"], "answer": "better"})
+    return Fake("meddler", lambda payload: {"verdict": "PASS", "score": 0.999, "reason": "", "cited_blocks": json.loads(payload.decode().split("\n", 1)[1])["block_ids"], "answer": "better"})

@@ -1,4 +1,8 @@
+import random
 import zipfile
+from itertools import combinations, pairwise
+
+from pyspark.sql import functions as F
 
 from quillmill.operators import gates, matching, recognition
 from quillmill.sources import docx
@@ -48,6 +52,42 @@ def test_alignment(spark):
     assert got == {"q1": ("match", "a1"), "q2": ("match", "a2"), "q3": ("skip-question", None), "q4": ("match", "a4"), "q5": ("match", "a5")}
     twice = matching.align(q.unionByName(spark.createDataFrame([("c", 9, "5", "q9")], q.schema)), a).collect()
     assert not [r for r in twice if r.op == "match" and r.answer_id == "a5"]
+    rnd = random.Random(2)
+    rows = {"q": [], "a": []}
+    for c in range(16):
+        for side in "qa":
+            numbers = sorted(rnd.sample(range(10), 8) + rnd.choices(range(10), k=c % 3))
+            for _ in range(c % 4):  # some numbers out of order, some twice
+                i, j = rnd.randrange(len(numbers)), rnd.randrange(len(numbers))
+                numbers[i], numbers[j] = numbers[j], numbers[i]
+            rows[side] += [(c, i, str(n), f"{side}{c}.{i}") for i, n in enumerate(numbers)]
+    got = {(r.question_id, r.answer_id) for r in matching.align(*[spark.createDataFrame(rows[s], "cluster_id int, ord int, number string, id string") for s in "qa"]).collect() if r.op == "match"}
+    want = set()
+    for c in range(16):
+        once = {s: {n: i for k, i, n, _ in rows[s] if k == c and [x[2] for x in rows[s] if x[0] == c].count(n) == 1} for s in "qa"}
+        pairs = sorted((once["q"][n], once["a"][n]) for n in once["q"].keys() & once["a"].keys())
+        chains = [x for k in range(len(pairs), -1, -1) for x in combinations(pairs, k) if all(a[1] < b[1] for a, b in pairwise(x))]
+        longest = [set(x) for x in chains if len(x) == len(chains[0])]
+        want |= {(f"q{c}.{i}", f"a{c}.{j}") for i, j in set.intersection(*longest)}
+    assert got == want and 20 < len(want) < 90
+
+
+def test_signals(spark):
+    """Equal numbers do not make a match: contrary evidence, or none, keeps a pair below the line."""
+    schema = "cluster_id string, ord int, number int, id string, document string, file string, fields array<string>"
+    question = [("c", i, i, f"q{i}", "Q", "exam", ["数学", None], "填空题", f"{i}+{i}= ____") for i in range(1, 5)]
+    answer = [("c", i, i, f"a{i}", "A", "exam", ["数学", "2024"], str(2 * i)) for i in (1, 2, 4)]
+    cases = {"all agree": ({}, {}), "another exam's file": ({"file": "other exam"}, {}), "another subject": ({"fields": ["物理", None]}, {}), "no title": ({"fields": [None, None]}, {}), "letters for a blank": ({}, {"a2": "B"}), "two parts for one blank": ({}, {"a4": "1;2"}), "open bracket": ({}, {"a1": "(2"})}
+    for name, (change, answers) in cases.items():
+        q = spark.createDataFrame([tuple({**dict(zip(["cluster_id", "ord", "number", "id", "document", "file", "fields", "kind", "stem"], r, strict=True)), **change}.values()) for r in question], schema + ", kind string, stem string")
+        a = spark.createDataFrame([(*r[:-1], answers.get(r[3], r[-1])) for r in answer], schema + ", answer string")
+        found = matching.signals(q, a)
+        top = {r.q: (r.a, float(r.top1), float(r.top2)) for r in matching.top_two(found.withColumn("score", matching.evidence_score({k: F.col(k) for k in matching.WEIGHTS}, F.col("conflict"))), "q", "a", "score").collect()}
+        passed = {k for k, (_, one, two) in top.items() if one >= 0.995 and one - two >= 0.1}
+        assert passed == {"all agree": {"q1", "q2", "q4"}, "letters for a blank": {"q1", "q4"}, "two parts for one blank": {"q1", "q2"}, "open bracket": {"q2", "q4"}}.get(name, set()), name
+        assert name != "all agree" or all(top[k][0] == "a" + k[1:] for k in passed)
+    shifted = spark.createDataFrame([("c", i, i + 1, f"a{i}", "A", "exam", ["数学", None], str(2 * i)) for i in (1, 2, 3)], schema + ", answer string")
+    assert {(r.q, r.a) for r in matching.signals(spark.createDataFrame(question, schema + ", kind string, stem string"), shifted).where("number = 0").collect()} >= {("q1", "a1"), ("q2", "a2")}
 
 
 def test_ladder(spark):

@@ -46,6 +46,25 @@ def test_run(spark, tmp_path):
     assert cli.main(["report", done.run_id, "--output", out]) == 0
 
 
+def test_resume(spark, tmp_path, monkeypatch):
+    """No finished call is sent again: not after a stop at any stage, not with another threshold."""
+    source, out, notes = exam(tmp_path / "in"), str(tmp_path / "out"), tmp_path / "calls"
+    notes.touch()
+    monkeypatch.setenv("FAKE_CALLS", str(notes))
+    providers = {"llm": {"verifier": "fakes:counting"}}
+    config = C.validated({"providers": providers})
+    done = pipeline.run(spark, source, out, config)
+    assert len(notes.read_text()) == 3 and done.report["accepted"] == 3
+    work = tmp_path / "out" / "workspace" / done.run_id
+    for stage in ("verdicts", "calls_verify", "matches", "outcomes"):
+        (work / stage).rename(tmp_path / f"gone-{stage}")
+        again = pipeline.run(spark, source, out, config)
+        assert (again.run_id, again.report["accepted"], len(notes.read_text())) == (done.run_id, 3, 3)
+    other = pipeline.run(spark, source, out, C.validated({"providers": providers, "quality": {"split_accept": 0.97}}))
+    assert other.run_id != done.run_id and len(notes.read_text()) == 3 and other.report["accepted"] == 4 - 1
+    assert other.report["calls"][0]["cache_hit_rate"] == 1
+
+
 def test_retry():
     def tried(*failures, tries=3):
         fake = P.Fake("f", lambda p: "x", failures=failures)

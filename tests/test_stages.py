@@ -22,6 +22,10 @@ def test_answers(spark):
     got = splitting.extract_answers(df)
     assert {(r.question_number, r.answer, r.analysis) for r in got.collect()} == {("1", "A", "略"), ("2", "B", "略"), ("3", "C", "略"), ("4", "x=2", "because"), ("6", "3.14", "略")}
     assert splitting.unsupported(got, df).count() == 0
+    long = blocks(spark, ["参考答案", "1. first step x=1", "hence y=2", "【解析】why", "and so", "2. B", "答案与解析", "loose", "3. 【答案】C", "3. 【解析】as said"])
+    whole = splitting.extract_answers(long)
+    assert {(r.question_number, r.answer, r.analysis, tuple(r.source_blocks)) for r in whole.collect()} == {("1", "first step x=1\nhence y=2", "why\nand so", ("b001", "b002", "b003", "b004")), ("2", "B", "略", ("b005",)), ("3", "C", "as said", ("b008", "b009"))}
+    assert splitting.unsupported(whole, long).count() == 0 and splitting.unsupported(whole, long.where("block_id <> 'b002'")).count() == 1
     made_up = got.withColumn("answer", F.when(F.col("question_number") == "4", "x=7").otherwise(F.col("answer")))
     assert [r.question_number for r in splitting.unsupported(made_up, df).collect()] == ["4"]
 
