@@ -17,7 +17,8 @@ def outcome(df: DataFrame, gates: list[Gate]) -> DataFrame:
         return df.withColumns({"stage": F.lit(None).cast("string"), "reason_code": F.lit(None).cast("string")})
     fails = [(stage, code, F.coalesce(condition, F.lit(True))) for stage, code, condition in gates]
     first = F.coalesce(*[F.when(c, F.struct(F.lit(s).alias("stage"), F.lit(r).alias("reason_code"))) for s, r, c in fails])
-    return df.withColumn("_gate", first).select("*", "_gate.stage", "_gate.reason_code").drop("_gate")
+    made = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), first.alias("gate"))
+    return made.select(*[F.col("row").getField(c).alias(c) for c in df.columns if c not in ("stage", "reason_code")], "gate.stage", "gate.reason_code")
 
 
 def accepted(df: DataFrame) -> DataFrame:

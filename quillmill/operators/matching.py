@@ -135,7 +135,7 @@ def signals(questions: DataFrame, answers: DataFrame, reach: int = 2) -> DataFra
     one = F.col("qd") == F.col("ad")
     choice = F.col("kind") == "选择题"
     even = (F.regexp_count("answer", F.lit(r"[(（\[【{]")) == F.regexp_count("answer", F.lit(r"[)）\]】}]"))) & (F.regexp_count("answer", F.lit(r"\$")) % 2 == 0) & ~F.col("answer").rlike(r"^\s*\d{1,3}\s*[.．、)）](?!\d)") & (F.trim("answer") != "")
-    marks = lambda c: F.array_union(F.regexp_extract_all(c, F.lit(r"[0-9]+|[A-Za-z]+")), F.regexp_extract_all(c, F.lit(r"(?=([一-龥]{2}))"), F.lit(1)))
+    marks = lambda c: F.array_union(F.regexp_extract_all(c, F.lit(r"[0-9]+|[A-Za-z]+"), F.lit(0)), F.regexp_extract_all(c, F.lit(r"(?=([一-龥]{2}))"), F.lit(1)))
     blanks = F.regexp_count("stem", F.lit(r"_{3,}|（\s*）"))
     order = (F.col("low").isNull() | (F.col("low") < F.col("ap"))) & (F.col("high").isNull() | (F.col("ap") < F.col("high"))) & (F.col("low").isNotNull() | F.col("high").isNotNull() | ((F.col("nq") == 1) & (F.col("na") == 1)))
     semantic = F.when(choice, letters & F.forall(each, lambda x: F.contains("stem", x))).when(blanks > 0, F.size(F.split("answer", "[;；]")) == blanks).otherwise(F.arrays_overlap(marks("stem"), marks("answer")))

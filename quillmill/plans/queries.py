@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillmill.functions.text import LANGUAGES, grade_of, includes_picture, iso_language, normalized_enum, slim_md5, static_info, with_default
-from quillmill.operators import blocks, gates, matching, providers, recognition, report, understanding
+from quillmill.functions.text import LANGUAGES, asset_id, cache_key, grade_of, includes_picture, iso_language, normalized_enum, slim_md5, static_info, with_default
+from quillmill.operators import blocks, gates, matching, providers, recognition, report, splitting, understanding
+from quillmill.schemas import IMAGE_CLASSES
+from quillmill.sources import runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -42,9 +44,9 @@ def slim_hash(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", slim_md5(F.col("text")).alias("slim_md5"))
 
 
-@query("SELECT sha256(text) AS sha256, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
+@query("SELECT 'img_' || sha256(text)[1:16] AS asset_id, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
 def content_dedup(spark, sf_dir):
-    return read(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("sha256")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    return read(spark, sf_dir, "documents").groupBy(asset_id(F.col("text")).alias("asset_id")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
 def _outcomes(spark, sf_dir):
@@ -103,15 +105,46 @@ def blocks_rejoined(spark, sf_dir):
     return blocks.joined_in_order(parts, "doc_id", F.col("raw_text"))
 
 
-@query("SELECT user_id, event_type AS state, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def _states(spark, sf_dir):
+    """Events as states of a run's items: users are runs, event types stages, values tell the state."""
+    state = F.when(F.col("value") < 40, "RUNNING").when(F.col("value") < 60, "FAILED").otherwise("COMPLETED")
+    return read(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("event_type").alias("stage"), (F.col("event_id") % 3).alias("item"), state.alias("state"), F.struct("ts", "event_id").alias("seq"))
+
+
+_STATES = "SELECT user_id AS run_id, event_type AS stage, event_id % 3 AS item, CASE WHEN value < 40 THEN 'RUNNING' WHEN value < 60 THEN 'FAILED' ELSE 'COMPLETED' END AS state, ts, event_id FROM events"
+_LATEST = f"SELECT * FROM ({_STATES}) QUALIFY row_number() OVER (PARTITION BY run_id, stage, item ORDER BY ts DESC, event_id DESC) = 1"
+
+
+@query(f"SELECT run_id, stage, item, state, event_id FROM ({_LATEST})")
 def latest_state(spark, sf_dir):
-    last = read(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by(F.struct("event_type", "event_id"), F.struct("ts", "event_id")).alias("e"))
-    return last.select("user_id", F.col("e.event_type").alias("state"), F.col("e.event_id").alias("event_id"))
+    return runs.latest(_states(spark, sf_dir)).select("run_id", "stage", "item", "state", F.col("seq.event_id").alias("event_id"))
 
 
-@query("SELECT user_id, min(event_type) FILTER (event_type <> 'purchase') AS first_open FROM events GROUP BY user_id")
+@query(f"""WITH s(stage, n) AS (VALUES ('signup', 1), ('view', 2), ('click', 3), ('purchase', 4), ('error', 5)), r AS (SELECT DISTINCT run_id FROM ({_STATES})),
+    done AS (SELECT run_id, stage FROM ({_LATEST}) GROUP BY ALL HAVING bool_and(state = 'COMPLETED'))
+    SELECT run_id, (SELECT arg_min(stage, n) FROM s WHERE NOT EXISTS (FROM done d WHERE d.run_id = r.run_id AND d.stage = s.stage)) AS first_open FROM r""")
 def first_incomplete(spark, sf_dir):
-    return read(spark, sf_dir, "events").groupBy("user_id").agg(F.min(F.when(F.col("event_type") != "purchase", F.col("event_type"))).alias("first_open"))
+    return runs.first_incomplete(_states(spark, sf_dir), ("signup", "view", "click", "purchase", "error"))
+
+
+@query(f"""SELECT run_id, event_id FROM (SELECT *, coalesce(lag(state) OVER (PARTITION BY run_id, stage, item ORDER BY ts, event_id), 'PENDING') AS before FROM ({_STATES}))
+    WHERE before || '>' || state NOT IN ('PENDING>RUNNING', 'RUNNING>COMPLETED', 'RUNNING>FAILED', 'RUNNING>REJECTED', 'FAILED>RUNNING')""")
+def illegal_moves(spark, sf_dir):
+    return runs.illegal(_states(spark, sf_dir)).select("run_id", F.col("seq.event_id").alias("event_id"))
+
+
+@query(f"SELECT item::bigint AS item FROM range(5) t(item) WHERE item NOT IN (SELECT item FROM ({_LATEST}) WHERE run_id = 1 AND stage = 'view' AND state = 'COMPLETED')")
+def pending_items(spark, sf_dir):
+    return runs.pending(spark.range(5).withColumnRenamed("id", "item"), _states(spark, sf_dir), "view", 1)
+
+
+@query("""SELECT event_id, h.payload FROM events e LEFT JOIN (SELECT item_id, sha256(item_id || chr(0) || 'p' || chr(0) || 'm' || chr(0) || 'v1' || chr(0) || 'ocr') AS k, 'paid ' || item_id AS payload FROM benchmark WHERE item_id % 2 = 0) h
+    ON h.k = sha256((event_id % 50) || chr(0) || 'p' || chr(0) || 'm' || chr(0) || 'v1' || chr(0) || 'ocr')""")
+def cache_lookup(spark, sf_dir):
+    of = lambda c: cache_key(c, *map(F.lit, ("p", "m", "v1", "ocr")))
+    cache = read(spark, sf_dir, "benchmark").where("item_id % 2 = 0").select(of(F.col("item_id")).alias("cache_key"), F.concat(F.lit("paid "), "item_id").alias("payload"))
+    hits, misses = runs.through_cache(read(spark, sf_dir, "events"), cache, of(F.col("event_id") % 50))
+    return hits.select("event_id", "payload").unionByName(misses.select("event_id", F.lit(None).cast("string").alias("payload")))
 
 
 @query("""SELECT conv_id, turn, text AS question, CASE WHEN next_role = 'assistant' THEN next_text END AS answer, CASE WHEN next_role = 'assistant' THEN NULL ELSE 'ANSWER_NOT_FOUND' END AS reason_code
@@ -128,35 +161,162 @@ def json_fields(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 
-_CASES = [("a", "0.996", "0.80", "0.997"), ("b", "0.996", "0.991", None), ("c", "0.994", "0.20", None), ("d", "0.999", None, "0.994"), ("e", "0.996", "0.896", "0.995")]
-_VALUES = ", ".join("(" + ", ".join("NULL" if v is None else f"'{v}'" for v in row) + ")" for row in _CASES)
-
-
-@query(f"""SELECT id, CASE WHEN a < 0.995 OR a - b < 0.10 THEN 'ANSWER_MATCH_AMBIGUOUS' WHEN v IS NULL OR v < 0.995 THEN 'ANSWER_VERIFICATION_FAILED' ELSE 'PASS' END AS decision
-    FROM (SELECT id, top1::decimal(9,6) AS a, coalesce(top2::decimal(9,6), 0) AS b, verifier::decimal(9,6) AS v FROM (VALUES {_VALUES}) t(id, top1, top2, verifier))""")
+@query("""SELECT doc_id, CASE WHEN a IS NULL THEN 'ANSWER_NOT_FOUND' WHEN a < 0.995 OR a - b < 0.10 THEN 'ANSWER_MATCH_AMBIGUOUS' WHEN v IS NULL OR v < 0.995 OR verdict IS DISTINCT FROM 'PASS' THEN 'ANSWER_VERIFICATION_FAILED' ELSE 'PASS' END AS decision
+    FROM (SELECT doc_id, CASE WHEN doc_id % 11 > 0 THEN (0.985 + (doc_id % 20) / 1000.0)::decimal(9,6) END AS a, coalesce(CASE WHEN doc_id % 3 > 0 THEN (0.88 + (doc_id % 17) / 1000.0)::decimal(9,6) END, 0) AS b,
+    CASE WHEN doc_id % 5 > 0 THEN (0.99 + (doc_id % 9) / 1000.0)::decimal(9,6) END AS v, CASE doc_id % 7 WHEN 0 THEN 'FAIL' WHEN 1 THEN NULL ELSE 'PASS' END AS verdict FROM documents)""")
 def abstention_cases(spark, sf_dir):
-    df = spark.createDataFrame(_CASES, "id string, top1 string, top2 string, verifier string")
-    return df.select("id", matching.abstention(F.col("top1"), F.col("top2"), F.col("verifier")).alias("decision"))
+    k = F.col("doc_id")
+    part = lambda base, n: F.lit(base).cast("decimal(9,6)") + (k % n).cast("decimal(9,6)") * F.lit("0.001").cast("decimal(9,6)")
+    verdict = F.when(k % 7 == 0, "FAIL").when(k % 7 > 1, "PASS")
+    return read(spark, sf_dir, "documents").select("doc_id", matching.abstention(F.when(k % 11 > 0, part("0.985", 20)), F.when(k % 3 > 0, part("0.88", 17)), F.when(k % 5 > 0, part("0.99", 9)), verdict).alias("decision"))
 
 
 @query("""SELECT question, answer, top1, top2 FROM (SELECT q.conv_id || ':' || q.turn AS question, arg_max(a.turn, (s, -a.turn)) AS answer, max(s)::double AS top1, coalesce((list(s ORDER BY s DESC, a.turn))[2], 0)::double AS top2
-    FROM (SELECT * FROM conversations WHERE role = 'user') q JOIN (SELECT * FROM conversations WHERE role = 'assistant') a ON q.conv_id = a.conv_id AND abs(a.turn - q.turn) <= 3,
+    FROM (SELECT * FROM conversations WHERE role = 'user') q JOIN (SELECT * FROM conversations WHERE role = 'assistant') a ON q.conv_id = a.conv_id,
     LATERAL (SELECT (0.35 * (a.turn = q.turn + 1)::int + 0.10 * (a.turn > q.turn)::int + 0.10)::decimal(9,6) AS s) GROUP BY 1)""")
 def best_answers(spark, sf_dir):
-    turns = read(spark, sf_dir, "conversations")
-    near = F.explode(F.sequence(F.col("turn") - 3, F.col("turn") + 3)).alias("at")  # a question meets the turns near it alone
-    q = turns.where("role = 'user'").select(F.col("conv_id").alias("cluster_id"), F.col("turn").alias("q"), near)
-    a = turns.where("role = 'assistant'").select(F.col("conv_id").alias("cluster_id"), F.col("turn").alias("at"), F.col("turn").alias("answer"))
-    pairs = matching.candidate_pairs(q, a, ["at"])
-    score = matching.evidence_score({"number": (F.col("answer") == F.col("q") + 1).cast("int"), "order": (F.col("answer") > F.col("q")).cast("int"), "file": F.lit(1)})
-    scored = pairs.select(F.concat_ws(":", "cluster_id", "q").alias("question"), "answer", score.alias("score"))
+    # a score has three values by place, so the best two are among the next two answers and the first two: no pairs are made
+    told = F.when(F.col("role") == "assistant", F.col("turn"))
+    ahead = W.partitionBy("conv_id").orderBy("turn").rowsBetween(1, W.unboundedFollowing)
+    turns = read(spark, sf_dir, "conversations").withColumn("one", F.first(told, ignorenulls=True).over(ahead))
+    turns = turns.withColumn("two", F.first(F.when(told.isNotNull(), F.col("one")), ignorenulls=True).over(ahead))
+    first = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.min_by(F.struct("turn", "one"), "turn").alias("f"))
+    near = turns.where("role = 'user'").join(first, "conv_id").select("conv_id", "turn", F.explode(F.array_distinct(F.array_compact(F.array("one", "two", "f.turn", "f.one")))).alias("answer"))
+    score = matching.evidence_score({"number": (F.col("answer") == F.col("turn") + 1).cast("int"), "order": (F.col("answer") > F.col("turn")).cast("int"), "file": F.lit(1)})
+    scored = near.select(F.concat_ws(":", "conv_id", "turn").alias("question"), "answer", score.alias("score"))
     return matching.top_two(scored, "question", "answer", "score").select("question", "answer", F.col("top1").cast("double").alias("top1"), F.col("top2").cast("double").alias("top2"))
 
 
-@query()
+def _sides(spark, sf_dir):
+    """Questions and answers of a conversation; answers come in another order."""
+    turns = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("cluster_id"), "turn", F.floor(F.col("turn") / 2).cast("int").alias("number"), F.concat_ws(":", "conv_id", "turn").alias("id"), "role", "text")
+    return turns.where("role = 'user'").withColumn("ord", F.col("turn")), turns.where("role = 'assistant'").withColumn("ord", F.col("turn") * 5 % 8)
+
+
+#: All rising sequences of a conversation's pairs; those match that every longest one has.
+_ALIGNED = """
+    t AS (SELECT conv_id::varchar AS c, turn, turn // 2 AS n, role, conv_id || ':' || turn AS id, text FROM conversations),
+    tq AS (SELECT *, turn AS o FROM t WHERE role = 'user'), ta AS (SELECT *, turn * 5 % 8 AS o FROM t WHERE role = 'assistant'),
+    oq AS (SELECT c, n, min(id) AS id, min(o) AS o FROM tq GROUP BY c, n HAVING count(*) = 1), oa AS (SELECT c, n, min(id) AS id, min(o) AS o FROM ta GROUP BY c, n HAVING count(*) = 1),
+    pairs AS (SELECT oq.c, oq.id AS q, oa.id AS a, oq.o AS i, oa.o AS j FROM oq JOIN oa ON oq.c = oa.c AND oq.n = oa.n),
+    chain AS (SELECT c, i, j, [q] AS ids FROM pairs UNION ALL SELECT p.c, p.i, p.j, list_append(ids, q) FROM chain x JOIN pairs p ON p.c = x.c AND p.i > x.i AND p.j > x.j),
+    longest AS (SELECT c, ids, count(*) OVER (PARTITION BY c) AS n FROM chain QUALIFY len(ids) = max(len(ids)) OVER (PARTITION BY c)),
+    matched AS (SELECT p.c, p.q, p.a FROM pairs p JOIN (SELECT c, unnest(ids) AS q, n FROM (SELECT c, ids, count(*) OVER (PARTITION BY c) AS n FROM longest)) s ON p.c = s.c AND p.q = s.q GROUP BY p.c, p.q, p.a HAVING count(*) = any_value(s.n))"""
+
+
+@query(f"""WITH RECURSIVE {_ALIGNED}
+    SELECT c AS cluster_id, 'match' AS op, q AS question_id, a AS answer_id FROM matched UNION ALL SELECT c, 'skip-question', id, NULL FROM tq WHERE id NOT IN (SELECT q FROM matched) UNION ALL SELECT c, 'skip-answer', NULL, id FROM ta WHERE id NOT IN (SELECT a FROM matched)""")
 def sequence_alignment(spark, sf_dir):
-    turns = read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("cluster_id"), F.col("turn").alias("ord"), F.floor(F.col("turn") / 2).cast("string").alias("number"), F.concat_ws(":", "conv_id", "turn").alias("id"), "role")
-    return matching.align(turns.where("role = 'user'"), turns.where("role = 'assistant'"))
+    return matching.align(*_sides(spark, sf_dir))
+
+
+@query(rf"""WITH RECURSIVE {_ALIGNED},
+    qs AS (SELECT x.*, row_number() OVER w AS qp, count(*) OVER (PARTITION BY x.c) AS nq, m.a AS al, CASE turn % 3 WHEN 0 THEN 'choice' WHEN 1 THEN 'blank' ELSE 'open' END AS kind FROM tq x LEFT JOIN matched m ON m.q = x.id WINDOW w AS (PARTITION BY x.c ORDER BY x.o, x.id)),
+    an AS (SELECT x.*, row_number() OVER (PARTITION BY c ORDER BY o, id) AS ap, count(*) OVER (PARTITION BY c) AS na, CASE turn % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'BA' WHEN 2 THEN '3' WHEN 3 THEN '(4' ELSE 'of 7' END AS answer FROM ta x),
+    ql AS (SELECT z.*, an.ap AS spot FROM qs z LEFT JOIN an ON an.id = z.al),
+    qb AS (SELECT *, last_value(spot IGNORE NULLS) OVER (PARTITION BY c ORDER BY qp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low, first_value(spot IGNORE NULLS) OVER (PARTITION BY c ORDER BY qp ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS high,
+        last_value(CASE WHEN spot IS NOT NULL THEN qp END IGNORE NULLS) OVER (PARTITION BY c ORDER BY qp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lq FROM ql),
+    p AS (SELECT qb.*, an.id AS a, an.n AS m, an.turn AS aturn, an.ap, an.na, an.answer, regexp_matches(an.answer, '^[A-H]+$') AS letters, CASE qb.kind WHEN 'choice' THEN 'x A. 1 B. 2' WHEN 'blank' THEN '____' ELSE 'part of 7' END AS stem
+        FROM qb JOIN an ON an.c = qb.c AND (an.n = qb.n OR abs(an.ap - qp) <= 2 OR abs(an.ap - coalesce(low + qp - lq, qp)) <= 2))
+    SELECT c AS cluster_id, id AS q, a, turn % 4 = 1 AND aturn % 4 = 2 AS conflict, (n = m)::int AS number, coalesce((al = a)::int, 0) AS "sequence", (aturn % 3 > 0)::int AS file, ((kind = 'choice') = letters)::int AS type, (na <= nq)::int AS counts,
+      CASE WHEN letters THEN (answer = 'A')::int ELSE (answer <> '(4')::int END AS format, (coalesce(low < ap, true) AND coalesce(ap < high, true) AND (low IS NOT NULL OR high IS NOT NULL OR (nq = 1 AND na = 1)))::int AS "order",
+      CASE kind WHEN 'choice' THEN letters::int WHEN 'blank' THEN 1 ELSE (answer = 'of 7')::int END AS semantic, (turn % 4 <> 1 AND aturn % 4 < 2)::int AS title FROM p""")
+def match_evidence(spark, sf_dir):
+    """All signals. An answer's file is another one for every third turn; its fields agree, differ or say nothing."""
+    q, a = _sides(spark, sf_dir)
+    turn = F.col("turn")
+    kind = F.when(turn % 3 == 0, "选择题").when(turn % 3 == 1, "填空题").otherwise("未知")
+    stem = F.when(turn % 3 == 0, "x A. 1 B. 2").when(turn % 3 == 1, "____").otherwise("part of 7")
+    answer = F.coalesce(*[F.when(turn % 5 == i, v) for i, v in enumerate(("A", "BA", "3", "(4"))], F.lit("of 7"))
+    absent = F.lit(None).cast("string")
+    q = q.select("*", F.lit("Q").alias("document"), F.lit("exam").alias("file"), F.array(F.when(turn % 4 != 1, "数学"), F.when(turn % 4 == 1, "2024")).alias("fields"), kind.alias("kind"), stem.alias("stem"))
+    a = a.select("*", F.lit("A").alias("document"), F.when(turn % 3 > 0, "exam").otherwise("other").alias("file"), F.when(turn % 4 < 2, F.array(F.lit("数学"), absent)).when(turn % 4 == 2, F.array(absent, F.lit("2023"))).otherwise(F.array(absent, absent)).alias("fields"), answer.alias("answer"))
+    return matching.signals(q, a)
+
+
+def _lines(spark, sf_dir):
+    """Turns as blocks: a user's turn begins a question or answer with its number, others go on with it."""
+    turn = F.col("turn")
+    said = F.when(turn % 3 == 0, "A. x B. y").when(turn % 3 == 1, "____").otherwise("tell")
+    text = F.when(F.col("role") == "user", F.concat((F.floor(turn / 2) + 1).cast("string"), F.lit(". "), said)).when(F.col("role") == "assistant", F.concat(F.lit("goes on "), turn)).otherwise("head")
+    kind = F.when(F.col("role") == "system", "header").otherwise("paragraph")
+    return read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("document_id"), F.concat_ws(":", "conv_id", "turn").alias("block_id"), turn.cast("int").alias("ord"), kind.alias("type"), text.alias("raw_text"), F.lit(None).cast("string").alias("resolved_label"))
+
+
+_ISLANDS = """SELECT *, sum((role = 'user')::int) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)::bigint AS island FROM conversations WHERE role <> 'system'"""
+
+
+@query(f"""SELECT conv_id || '_q' || lpad(island::varchar, 4, '0') AS question_candidate_id, count(*) AS blocks, (min(turn) // 2 + 1)::varchar AS question_number, CASE min(turn) % 3 WHEN 0 THEN '选择题' WHEN 1 THEN '填空题' ELSE '未知' END AS question_type_candidate,
+    CASE WHEN min(turn) // 2 + 1 = island THEN 0.99 ELSE 0.95 END::double AS split_score FROM ({_ISLANDS}) WHERE island > 0 GROUP BY conv_id, island""")
+def question_splitting(spark, sf_dir):
+    found = splitting.split_questions(_lines(spark, sf_dir))
+    return found.select("question_candidate_id", F.size("content_blocks").cast("long").alias("blocks"), "question_number", "question_type_candidate", F.col("split_score").cast("double").alias("split_score"))
+
+
+@query(f"""SELECT min(conv_id || ':' || turn) || '_a0' AS answer_candidate_id, (min(turn) // 2 + 1)::varchar AS question_number, CASE min(turn) % 3 WHEN 0 THEN 'A. x B. y' WHEN 1 THEN '____' ELSE 'tell' END || coalesce(string_agg(CASE WHEN role = 'assistant' THEN chr(10) || 'goes on ' || turn END, '' ORDER BY turn), '') AS answer,
+    '略' AS analysis, string_agg(conv_id || ':' || turn, ',' ORDER BY turn) AS source_blocks FROM ({_ISLANDS}) WHERE island > 0 GROUP BY conv_id, island""")
+def answer_extraction(spark, sf_dir):
+    found = splitting.extract_answers(_lines(spark, sf_dir))
+    return found.select("answer_candidate_id", "question_number", "answer", "analysis", F.array_join("source_blocks", ",").alias("source_blocks"))
+
+
+@query(f"""SELECT min(conv_id || ':' || turn) || '_a0' AS answer_candidate_id FROM ({_ISLANDS}) WHERE island > 0 GROUP BY conv_id, island HAVING count(*) FILTER (turn % 4 = 3) > 0 OR min(turn) % 3 = 1 AND count(*) = 1""")
+def unsupported_answers(spark, sf_dir):
+    """Answers whose blocks are not all there, or do not hold them: one block in four is gone, a blank alone is made up."""
+    parts = _lines(spark, sf_dir)
+    found = splitting.extract_answers(parts)
+    told = found.withColumn("answer", F.when(F.col("answer") == "____", "made up").otherwise(F.col("answer")))
+    return splitting.unsupported(told, parts.where("ord % 4 <> 3")).select("answer_candidate_id")
+
+
+@query("""SELECT conv_id::varchar AS document_id, count(*) = max(turn) + 1 AS stable, bool_and(turn % 3 > 0 OR turn < 6) AS images_there FROM conversations WHERE NOT (conv_id % 3 = 0 AND turn = 1) GROUP BY conv_id""")
+def block_integrity(spark, sf_dir):
+    parts = read(spark, sf_dir, "conversations").where("NOT (conv_id % 3 = 0 AND turn = 1)").select(F.col("conv_id").cast("string").alias("document_id"), F.col("turn").alias("ord"), F.when(F.col("turn") % 3 == 0, "image").otherwise("paragraph").alias("type"), F.when(F.col("turn") % 3 == 0, F.col("turn")).alias("asset_id"))
+    return gates.block_gate(parts, spark.range(6).withColumnRenamed("id", "asset_id"))
+
+
+@query(f"""WITH o AS (SELECT conv_id, island, conv_id || ':' || turn AS b, turn FROM ({_ISLANDS}) WHERE island > 0), owned AS (SELECT b FROM o UNION ALL SELECT b FROM o WHERE turn % 5 = 4)
+    SELECT b AS block_id, 'owned twice' AS problem FROM owned GROUP BY b HAVING count(*) > 1 UNION ALL SELECT conv_id || ':' || turn, 'not owned' FROM conversations WHERE turn % 2 = 0 AND conv_id || ':' || turn NOT IN (SELECT b FROM owned)""")
+def block_ownership(spark, sf_dir):
+    parts = _lines(spark, sf_dir).withColumn("is_critical", F.col("ord") % 2 == 0)
+    found = splitting.split_questions(parts)
+    extra = found.select(F.filter("content_blocks", lambda b: F.substring_index(b, ":", -1).cast("int") % 5 == 4).alias("content_blocks"))
+    return gates.ownership_gate(found.select("content_blocks").unionByName(extra), parts)
+
+
+@query("""SELECT conv_id::varchar AS document_id, turn, CASE WHEN noisy AND (role = 'system' OR n >= 3) THEN 'noise_candidate' WHEN role = 'system' THEN 'header' ELSE 'paragraph' END AS type FROM
+    (SELECT *, role <> 'user' AS noisy, count(*) OVER (PARTITION BY conv_id, CASE role WHEN 'user' THEN 'words' WHEN 'assistant' THEN 'p1' ELSE 'url' END) AS n FROM conversations)""")
+def noise_lines(spark, sf_dir):
+    line = F.when(F.col("role") == "user", "words").when(F.col("role") == "assistant", "Page 1 of 9").otherwise("www.example.org")
+    parts = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("document_id"), "turn", line.alias("normalized_text"), F.when(F.col("role") == "system", "header").otherwise("paragraph").alias("type"))
+    return blocks.noise_candidates(parts).select("document_id", "turn", "type")
+
+
+@query("""SELECT k AS block_id, CASE WHEN contents > 1 THEN 'reject' WHEN s IS NULL OR s < 0.90 THEN 'reject' WHEN s >= 0.98 THEN 'accept' WHEN n > 1 THEN 'reject' ELSE 'fallback' END AS action FROM
+    (SELECT event_id % 700 AS k, max(s) AS s, count(*) AS n, count(DISTINCT CASE WHEN s >= 0.95 THEN event_type END) AS contents FROM (SELECT *, CASE WHEN event_type <> 'error' THEN least(1, (0.5 * (0.8 + (event_id % 23) / 100.0)::decimal(9,6) + 0.5)::decimal(9,6)) END AS s FROM events) GROUP BY 1)""")
+def recognition_conflicts(spark, sf_dir):
+    """Several results a block: calibrated, with an unknown model's not trusted; two sure ones that differ are a conflict."""
+    k = F.col("event_id")
+    raw = F.lit("0.8").cast("decimal(9,6)") + (k % 23).cast("decimal(9,6)") / F.lit(100).cast("decimal(9,6)")
+    told = read(spark, sf_dir, "events").select((k % 700).alias("block_id"), F.col("event_type").alias("content"), F.lit("p").alias("provider"), F.when(F.col("event_type") == "error", "unknown").otherwise("m").alias("model"), F.lit("ocr").alias("task"), F.lit(True).alias("is_critical"), raw.cast("decimal(9,6)").alias("raw_score"))
+    scale = spark.createDataFrame([("p", "m", "ocr")], "provider string, model string, task string").withColumns({"slope": F.lit("0.5").cast("decimal(9,6)"), "shift": F.lit("0.5").cast("decimal(9,6)")})
+    return recognition.settled(recognition.calibrated(told, scale)).select("block_id", "action")
+
+
+@query("""SELECT doc_id, CASE doc_id % 12 WHEN 0 THEN 'text_ocr' WHEN 1 THEN 'formula' WHEN 2 THEN 'table' WHEN 3 THEN 'vision_llm' WHEN 9 THEN 'multimodal' WHEN 10 THEN 'multimodal' WHEN 11 THEN 'multimodal' ELSE 'keep_vision' END AS service FROM documents""")
+def image_routes(spark, sf_dir):
+    names = F.array(*map(F.lit, IMAGE_CLASSES))
+    return read(spark, sf_dir, "documents").select("doc_id", recognition.route(F.get(names, (F.col("doc_id") % 12).cast("int"))).alias("service"))
+
+
+@query("""SELECT doc_id, CASE WHEN n_chars % 3 = 0 AND doc_id % 4 < 3 AND doc_id % 5 > 0 THEN 'QUESTION' WHEN n_chars % 3 = 0 THEN 'UNKNOWN' ELSE 'ANSWER' END AS document_class FROM documents""")
+def fused_classes(spark, sf_dir):
+    """A model's class counts where the rules tell none, it is a listed one, and what it cites is there in order."""
+    k = F.col("doc_id")
+    rule = F.when(F.col("n_chars") % 3 == 0, "UNKNOWN").otherwise("ANSWER")
+    model = F.when(k % 4 < 3, "QUESTION").otherwise("ESSAY")
+    cited = F.when(k % 5 > 0, F.array(F.lit("b1"), F.lit("b3"))).otherwise(F.array(F.lit("b3"), F.lit("b1")))
+    return read(spark, sf_dir, "documents").select("doc_id", understanding.fused_class(rule, model, cited, F.array(*map(F.lit, ("b1", "b2", "b3")))).alias("document_class"))
 
 
 @query("SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
@@ -171,9 +331,9 @@ def shared_blocks(spark, sf_dir):
     return mine.join(theirs, "raw_text", "left_semi").select("doc_id").distinct()
 
 
-@query("SELECT conv_id, turn, expected FROM (SELECT conv_id, turn, (lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) + 1)::bigint AS expected FROM (SELECT * FROM conversations WHERE role <> 'system')) WHERE turn <> expected")
+@query("SELECT o_custkey, o_orderkey, expected FROM (SELECT o_custkey, o_orderkey, (lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) + 1)::bigint AS expected FROM orders) WHERE o_orderkey <> expected")
 def numbering_gaps(spark, sf_dir):
-    return blocks.gaps(read(spark, sf_dir, "conversations").where("role <> 'system'"), "conv_id", "turn", "turn").select("conv_id", "turn", "expected")
+    return blocks.gaps(read(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderkey").select("o_custkey", "o_orderkey", "expected")
 
 
 @query("""SELECT user_id, island, count(*) AS n, min(event_id) AS first_event FROM (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::bigint AS island FROM
@@ -184,11 +344,13 @@ def event_islands(spark, sf_dir):
     return blocks.islands(marked, "user_id", ["ts", "event_id"], F.col("starts")).groupBy("user_id", "island").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
 
 
-@query("""SELECT c_custkey, coalesce(max(o_orderpriority) FILTER (o_orderstatus = 'F'), max(o_orderpriority), c_mktsegment, '未知') AS value FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_mktsegment""")
+@query("""SELECT c_custkey::varchar AS document_id, 'course' AS field, coalesce(min(o_orderpriority) FILTER (o_orderstatus = 'F'), min(o_orderpriority), c_mktsegment) AS value,
+    CASE WHEN count(*) FILTER (o_orderstatus = 'F') > 0 THEN 'document' WHEN count(o_orderkey) > 0 THEN 'file_name' ELSE 'cluster' END AS source FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_mktsegment""")
 def source_priority(spark, sf_dir):
-    found = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max(F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority"))).alias("sure"), F.max("o_orderpriority").alias("likely"))
-    joined = read(spark, sf_dir, "customer").join(found, "c_custkey", "left")
-    return joined.select("c_custkey", F.coalesce("sure", "likely", "c_mktsegment", F.lit("未知")).alias("value"))
+    value = lambda key, text, source: [F.col(key).cast("string").alias("document_id"), F.lit("course").alias("field"), F.col(text).alias("value"), source.alias("source"), F.lit("0.9").cast("decimal(9,6)").alias("score")]
+    told = read(spark, sf_dir, "orders").select(*value("o_custkey", "o_orderpriority", F.when(F.col("o_orderstatus") == "F", "document").otherwise("file_name")))
+    lent = read(spark, sf_dir, "customer").select(*value("c_custkey", "c_mktsegment", F.lit("cluster")))
+    return understanding.prioritised(told.unionByName(lent), "document_id").select("document_id", "field", "value", "source")
 
 
 @query(f"""SELECT count(*) FILTER (a) AS accepted, count(*) FILTER (g) AS gold, count(*) FILTER (a AND g AND got = want) AS correct, count(*) FILTER (a AND g AND got <> want) AS wrong_answers,

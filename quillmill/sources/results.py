@@ -1,4 +1,4 @@
-"""Result files: image files and the run report. Questions and rejections are JSON lines (`runs.write_lines`)."""
+"""Result files: image files and the run report.."""
 
 from __future__ import annotations
 

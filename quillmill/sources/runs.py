@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Legal moves between the states of a stage.
@@ -21,13 +22,19 @@ def latest(states: DataFrame) -> DataFrame:
     return states.groupBy("run_id", "stage", "item").agg(F.max_by("state", "seq").alias("state"), F.max("seq").alias("seq"))
 
 
+def first_incomplete(states: DataFrame, stages: tuple[str, ...]) -> DataFrame:
+    """(run_id, first_open): of each run the first stage, in this order, that it has not completed for all items it has there; null if none."""
+    done = latest(states).groupBy("run_id", "stage").agg(F.bool_and(F.col("state") == "COMPLETED").alias("done"))
+    whole = done.groupBy("run_id").agg(F.collect_set(F.when(F.col("done"), F.col("stage"))).alias("whole"))
+    return whole.select("run_id", F.get(F.array_except(F.array(*map(F.lit, stages)), "whole"), F.lit(0)).alias("first_open"))
+
+
 def illegal(states: DataFrame) -> DataFrame:
     """Rows whose state may not follow the one before it."""
-    from pyspark.sql import Window as W
-
     before = F.coalesce(F.lag("state").over(W.partitionBy("run_id", "stage", "item").orderBy("seq")), F.lit("PENDING"))
     legal = F.concat_ws(">", before, "state").isin([">".join(m) for m in sorted(MOVES)]) | ((F.col("state") == "PENDING") & (before == "PENDING"))
-    return states.withColumn("_legal", legal).where("NOT _legal").drop("_legal")
+    row = F.struct(*[F.col(f"`{c}`") for c in states.columns]).alias("row")
+    return states.select(row, legal.alias("legal")).where("NOT legal").select("row.*")
 
 
 def pending(items: DataFrame, states: DataFrame, stage: str, run_id: str) -> DataFrame:
@@ -40,8 +47,3 @@ def through_cache(requests: DataFrame, cache: DataFrame, key: Column) -> tuple[D
     """(hits with their payload, misses): requests looked up by a key that holds all versions."""
     keyed = requests.withColumn("cache_key", key)
     return keyed.join(cache.select("cache_key", "payload"), "cache_key"), keyed.join(cache.select("cache_key"), "cache_key", "left_anti")
-
-
-def write_lines(df: DataFrame, path: str) -> None:
-    """JSON lines with every field of each row, nulls too, as a folder of files with a commit marker."""
-    df.write.option("ignoreNullFields", "false").mode("errorifexists").json(path)
