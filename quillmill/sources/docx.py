@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import hashlib
 import io
+import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
@@ -21,6 +23,11 @@ _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _M = "{http://schemas.openxmlformats.org/officeDocument/2006/math}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
+_V = "{urn:schemas-microsoft-com:vml}"
+#: Parts of a paragraph or body that show nothing of their own.
+_SILENT = {_W + x for x in ("pPr", "rPr", "sectPr", "bookmarkStart", "bookmarkEnd", "proofErr", "lastRenderedPageBreak", "commentRangeStart", "commentRangeEnd", "permStart", "permEnd", "del", "delText", "instrText", "fldChar", "noBreakHyphen", "softHyphen", "sdtPr", "sdtEndPr", "footnoteReference", "commentReference", "annotationRef", "moveFrom", "tblPr", "tblGrid", "trPr", "tcPr")}
+#: Errors that a damaged package may raise on reading.
+_DAMAGE = (zipfile.BadZipFile, zlib.error, KeyError, ValueError, ET.ParseError, RuntimeError, NotImplementedError, OSError, EOFError)
 PARTS = "array<struct<ord: int, type: string, raw_text: string, style_id: string, resolved_label: string, latex: string, asset: int, is_critical: boolean>>"
 PARSED = f"document_id string, source_file string, source_sha256 string, status string, parts {PARTS}, media array<struct<ext: string, content: binary>>"
 
@@ -30,7 +37,7 @@ class FormulaError(ValueError):
 
 
 def latex_of(node: ET.Element) -> str:
-    """Fractions, super- and subscripts, roots and groups; anything else stops the conversion."""
+    """Fractions, super- and subscripts, roots, groups, big operators and functions; anything else stops the conversion."""
     tag, kids = node.tag, {c.tag: c for c in node}
     part = lambda name: latex_of(kids[_M + name]) if _M + name in kids else ""
     if tag == _M + "r":
@@ -44,35 +51,92 @@ def latex_of(node: ET.Element) -> str:
         degree = part("deg")
         return rf"\sqrt[{degree}]{{{part('e')}}}" if degree else rf"\sqrt{{{part('e')}}}"
     if tag == _M + "d":
-        return rf"\left({','.join(latex_of(e) for e in node.findall(_M + 'e'))}\right)"
-    if tag in (_M + x for x in ("oMath", "oMathPara", "e", "num", "den", "sub", "sup", "deg")):
+        about = {c.tag: c.get(_M + "val", "") for c in kids.get(_M + "dPr", ())}
+        begin, end, between = (about.get(_M + name, default) for name, default in (("begChr", "("), ("endChr", ")"), ("sepChr", ",")))
+        shown = lambda c: rf"\{c}" if c in ("{", "}") else c or "."
+        return rf"\left{shown(begin)}{between.join(latex_of(e) for e in node.findall(_M + 'e'))}\right{shown(end)}"
+    if tag == _M + "nary":
+        sign = next((c.get(_M + "val", "∫") for c in kids.get(_M + "naryPr", ()) if c.tag == _M + "chr"), "∫")
+        if sign not in _BIG or not part("e"):
+            raise FormulaError(sign)
+        low, high = part("sub"), part("sup")
+        return _BIG[sign] + (f"_{{{low}}}" if low else "") + (f"^{{{high}}}" if high else "") + f"{{{part('e')}}}"
+    if tag == _M + "func":
+        name = part("fName")
+        return (f"\\{name}" if name in _FUNCTIONS else name) + f"{{{part('e')}}}"
+    if tag in (_M + x for x in ("oMath", "oMathPara", "e", "num", "den", "sub", "sup", "deg", "fName")):
         return "".join(latex_of(c) for c in node if not c.tag.endswith("Pr"))
     raise FormulaError(tag.rpartition("}")[2])
 
 
+#: The commands of big operators and the functions that have one.
+_BIG = {"∫": r"\int", "∑": r"\sum", "∏": r"\prod"}
+_FUNCTIONS = ("sin", "cos", "tan", "cot", "log", "ln", "lg", "lim", "max", "min", "exp")
+
+
+def valid_formula(latex: str) -> bool:
+    """Whether a converted formula is whole: some content, braces and delimiters in pairs, no control characters."""
+    depth = 0
+    for sign in re.sub(r"\\[{}]", "", latex):
+        depth += (sign == "{") - (sign == "}")
+        if depth < 0 or ord(sign) < 32:
+            return False
+    return depth == 0 and latex.count(r"\left") == latex.count(r"\right") and bool(re.sub(r"\\left|\\right|[{}\s.]", "", latex))
+
+
 _CHINESE = "零一二三四五六七八九"
+_ROMAN = ((1000, "M"), (900, "CM"), (500, "D"), (400, "CD"), (100, "C"), (90, "XC"), (50, "L"), (40, "XL"), (10, "X"), (9, "IX"), (5, "V"), (4, "IV"), (1, "I"))
+
+
+def _counted(n: int) -> str:
+    """Chinese counting below ten thousand."""
+    out, gap = "", False
+    for size, name in ((1000, "千"), (100, "百"), (10, "十"), (1, "")):
+        digit, n = divmod(n, size)
+        if digit:
+            out += ("零" if gap and out else "") + ("" if digit == 1 and name == "十" and not out else _CHINESE[digit]) + name
+        gap = not digit
+    return out or _CHINESE[0]
 
 
 def _spelled(n: int, form: str) -> str:
-    if form == "chineseCounting" or form == "chineseCountingThousand":
-        tens, ones = divmod(n, 10)
-        return _CHINESE[ones] if not tens else ("" if tens == 1 else _CHINESE[tens]) + "十" + (_CHINESE[ones] if ones else "")
+    """A number as a numbering form writes it; in digits where the form has no sign for it."""
+    if form in ("chineseCounting", "chineseCountingThousand") and 0 <= n < 10_000:
+        return _counted(n)
     if form in ("decimalEnclosedCircle", "decimalEnclosedCircleChinese") and 0 < n <= 20:
         return chr(0x2460 + n - 1)
-    if form in ("upperLetter", "lowerLetter") and 0 < n <= 26:
-        return chr((65 if form == "upperLetter" else 97) + n - 1)
+    if form in ("upperLetter", "lowerLetter") and n > 0:  # after Z come AA, BB, ...
+        return chr((65 if form == "upperLetter" else 97) + (n - 1) % 26) * ((n - 1) // 26 + 1)
+    if form in ("upperRoman", "lowerRoman") and 0 < n < 4000:
+        out = ""
+        for size, sign in _ROMAN:
+            out += sign * (n // size)
+            n %= size
+        return out if form == "upperRoman" else out.lower()
     return str(n)
 
 
 class Numbering:
     """Labels of numbered paragraphs, in order of the document."""
 
-    def __init__(self, xml: bytes | None):
+    def __init__(self, xml: bytes | None, styles: bytes | None = None):
         root = ET.fromstring(xml) if xml else ET.Element("none")
         value = lambda e, name, default: next((x.get(_W + "val") for x in e.findall(_W + name)), default)
         levels = {a.get(_W + "abstractNumId"): {v.get(_W + "ilvl"): (value(v, "numFmt", "decimal"), value(v, "lvlText", "%1."), int(value(v, "start", "1"))) for v in a.findall(_W + "lvl")} for a in root.findall(_W + "abstractNum")}
         self.levels = {n.get(_W + "numId"): levels.get(value(n, "abstractNumId", ""), {}) for n in root.findall(_W + "num")}
+        for n in root.findall(_W + "num"):  # a list that begins at another number than its form says
+            for over in n.findall(_W + "lvlOverride"):
+                level, start = over.get(_W + "ilvl"), value(over, "startOverride", None)
+                own = self.levels[n.get(_W + "numId")] = dict(self.levels[n.get(_W + "numId")])
+                if start is not None and level in own:
+                    own[level] = (*own[level][:2], int(start))
         self.counts: dict[str, dict[int, int]] = {}
+        #: The numbering that a style gives its paragraphs.
+        self.styled = {}
+        for style in ET.fromstring(styles).findall(_W + "style") if styles else ():
+            number = style.find(f"{_W}pPr/{_W}numPr")
+            if number is not None:
+                self.styled[style.get(_W + "styleId")] = (value(number, "numId", "0"), value(number, "ilvl", "0"))
 
     def label(self, num: str, level: str) -> str | None:
         forms = self.levels.get(num, {})
@@ -89,68 +153,137 @@ class Numbering:
         return text
 
 
-def _table(node: ET.Element) -> str:
-    """Markdown where all cells are plain, HTML where some are merged."""
-    rows = [[(" ".join("".join(t.text or "" for t in p.iter(_W + "t")) for p in c.findall(_W + "p")), c.find(f"{_W}tcPr/{_W}gridSpan"), c.find(f"{_W}tcPr/{_W}vMerge")) for c in r.findall(_W + "tc")] for r in node.findall(_W + "tr")]
-    if not any(span is not None or merge is not None for r in rows for _, span, merge in r):
-        lines = ["| " + " | ".join(t.replace("|", r"\|") for t, _, _ in r) + " |" for r in rows]
+def _table(node: ET.Element, cell_text) -> str:
+    """Markdown where all cells are plain, HTML where some are merged or hold tables; cell_text gives a cell's content in order."""
+    rows: list[list[tuple[str, int, str | None, int]]] = []  # content, columns, merge down, column
+    rich = False
+    for r in node.findall(_W + "tr"):
+        at, row = 0, []
+        for c in r.findall(_W + "tc"):
+            span, merge = c.find(f"{_W}tcPr/{_W}gridSpan"), c.find(f"{_W}tcPr/{_W}vMerge")
+            wide = 1 if span is None else max(1, int(span.get(_W + "val", "1")))
+            text = cell_text(c)
+            rich = rich or wide > 1 or merge is not None or c.find(f".//{_W}tbl") is not None
+            row.append((text, wide, None if merge is None else merge.get(_W + "val", "continue"), at))
+            at += wide
+        rows.append(row)
+    if not rich:
+        lines = ["| " + " | ".join(t.replace("|", r"\|").replace("\n", " ") for t, *_ in r) + " |" for r in rows]
         return "\n".join([*lines[:1], "|" + "---|" * max(1, len(rows[0]) if rows else 1), *lines[1:]])
     out = []
     for i, r in enumerate(rows):
         cells = []
-        for j, (text, span, merge) in enumerate(r):
-            if merge is not None and merge.get(_W + "val") != "restart":
+        for text, wide, merge, column in r:
+            if merge is not None and merge != "restart":
                 continue
             down = 1
-            while merge is not None and i + down < len(rows) and j < len(rows[i + down]) and rows[i + down][j][2] is not None and rows[i + down][j][2].get(_W + "val") != "restart":
+            while merge is not None and i + down < len(rows) and any(x[3] == column and x[2] not in (None, "restart") for x in rows[i + down]):
                 down += 1
-            wide = f' colspan="{span.get(_W + "val")}"' if span is not None else ""
-            tall = f' rowspan="{down}"' if down > 1 else ""
-            cells.append(f"<td{wide}{tall}>{text.replace('&', '&amp;').replace('<', '&lt;')}</td>")
+            cells.append("<td" + (f' colspan="{wide}"' if wide > 1 else "") + (f' rowspan="{down}"' if down > 1 else "") + f">{text}</td>")
         out.append(f"<tr>{''.join(cells)}</tr>")
     return f"<table>{''.join(out)}</table>"
 
 
-def parse(content: bytes) -> tuple[str, list[tuple], list[tuple[str, bytes]]]:
-    """(status, parts, media) of one package."""
-    try:
-        package = zipfile.ZipFile(io.BytesIO(content))
-        names = set(package.namelist())
-        body = ET.fromstring(package.read("word/document.xml")).find(_W + "body")
-        rels = ET.fromstring(package.read("word/_rels/document.xml.rels")) if "word/_rels/document.xml.rels" in names else ()
-        numbering = Numbering(package.read("word/numbering.xml") if "word/numbering.xml" in names else None)
-    except (zipfile.BadZipFile, KeyError, ET.ParseError, RuntimeError, NotImplementedError, OSError, EOFError):
-        return "parse_failed", [], []
-    targets = {r.get("Id"): r.get("Target", "") for r in rels if r.get("TargetMode") != "External"}
-    parts: list[tuple] = []
-    media: list[tuple[str, bytes]] = []
-    broken = body is None
-
-    def add(kind, text=None, style=None, label=None, latex=None, asset=None, critical=False):
-        parts.append((len(parts), kind, text, style, label, latex, asset, critical))
-
-    def picture(node: ET.Element) -> None:
-        nonlocal broken
-        for blip in node.iter(_A + "blip"):
-            path = "word/" + targets.get(blip.get(_R + "embed"), "?").removeprefix("/word/")
-            if path not in names:
-                broken = True
-                add("unresolved", path, critical=True)
-                continue
-            media.append((path.rpartition(".")[2].lower(), package.read(path)))
-            add("image", asset=len(media) - 1)
+class _Package:
+    """One package taken apart: parts in order of the source, media, and whether something of it is missing."""
+
+    def __init__(self, content: bytes):
+        self.package = zipfile.ZipFile(io.BytesIO(content))
+        self.names = set(self.package.namelist())
+        read = lambda name: self.package.read(name) if name in self.names else None
+        self.body = ET.fromstring(self.package.read("word/document.xml")).find(_W + "body")
+        rels = read("word/_rels/document.xml.rels")
+        self.numbering = Numbering(read("word/numbering.xml"), read("word/styles.xml"))
+        self.targets = {r.get("Id"): r.get("Target", "") for r in (ET.fromstring(rels) if rels else ()) if r.get("TargetMode") != "External"}
+        self.parts: list[tuple] = []
+        self.media: list[tuple[str, bytes]] = []
+        self.broken = self.body is None
 
-    def paragraph(p: ET.Element, kind: str = "paragraph") -> None:
+    def add(self, kind, text=None, style=None, label=None, latex=None, asset=None, critical=False) -> None:
+        self.parts.append((len(self.parts), kind, text, style, label, latex, asset, critical))
+
+    def medium(self, rel: str | None) -> int | None:
+        """The place among the media of what a relation names; None if it is not there or damaged."""
+        path = "word/" + self.targets.get(rel, "?").removeprefix("/word/")
+        try:
+            self.media.append((path.rpartition(".")[2].lower(), self.package.read(path)))
+        except _DAMAGE:
+            self.broken = True
+            return None
+        return len(self.media) - 1
+
+    def picture(self, node: ET.Element) -> None:
+        shown = [b.get(_R + "embed") for b in node.iter(_A + "blip")] + [b.get(_R + "id") for b in node.iter(_V + "imagedata")]
+        for rel in shown:
+            at = self.medium(rel)
+            if at is None:
+                self.add("unresolved", self.targets.get(rel, rel), critical=True)
+            else:
+                self.add("image", asset=at)
+        if not shown:
+            self.add("unresolved", ET.tostring(node, encoding="unicode"), critical=True)
+
+    def formula(self, node: ET.Element) -> str | None:
+        """The LaTeX of a formula; None, with an unresolved part, where it is not understood."""
+        try:
+            latex = latex_of(node)
+        except FormulaError:
+            latex = ""
+        if valid_formula(latex):
+            return latex
+        self.add("unresolved", ET.tostring(node, encoding="unicode"), critical=True)
+        return None
+
+    def embedded(self, node: ET.Element) -> None:
+        """An embedded object, such as a formula of another editor: unresolved, with its preview image where it has one."""
+        previews = [at for b in node.iter(_V + "imagedata") if (at := self.medium(b.get(_R + "id"))) is not None]
+        self.add("unresolved", ET.tostring(node, encoding="unicode"), asset=previews[0] if previews else None, critical=True)
+
+    def cell(self, c: ET.Element) -> str:
+        """A cell's text, formulas, pictures and inner tables, in order. What is not understood becomes a part of its own too."""
+        out: list[str] = []
+
+        def walk(node: ET.Element) -> None:
+            for x in node:
+                if x.tag == _W + "t":
+                    out.append((x.text or "").replace("&", "&amp;").replace("<", "&lt;"))
+                elif x.tag in (_W + "br", _W + "tab"):
+                    out.append(" ")
+                elif x.tag == _M + "oMath":
+                    latex = self.formula(x)
+                    out.append("" if latex is None else f"${latex}$")
+                elif x.tag == _W + "tbl":
+                    out.append(_table(x, self.cell))
+                elif x.tag == _W + "object":
+                    self.embedded(x)
+                elif x.tag in (_W + "drawing", _W + "pict") and x.find(f".//{_W}txbxContent") is None:
+                    for rel in [b.get(_R + "embed") for b in x.iter(_A + "blip")] + [b.get(_R + "id") for b in x.iter(_V + "imagedata")]:
+                        at = self.medium(rel)
+                        if at is None:
+                            self.add("unresolved", self.targets.get(rel, rel), critical=True)
+                        else:
+                            ext, content = self.media[at]
+                            out.append(f'<img src="image/img_{hashlib.sha256(content).hexdigest()[:16]}.{ext}">')
+                elif x.tag not in _SILENT and not x.tag.endswith("}Fallback"):
+                    walk(x)
+                    if x.tag == _W + "p":
+                        out.append(" ")
+
+        walk(c)
+        return "".join(out).strip()
+
+    def paragraph(self, p: ET.Element, kind: str = "paragraph") -> None:
         props = p.find(_W + "pPr")
-        style = None if props is None else next((s.get(_W + "val") for s in props.findall(_W + "pStyle")), None)
+        style = None if props is None else next((x.get(_W + "val") for x in props.findall(_W + "pStyle")), None)
         number = None if props is None else props.find(_W + "numPr")
-        label = None if number is None else numbering.label(*[next((x.get(_W + "val") for x in number.findall(_W + n)), "0") for n in ("numId", "ilvl")])
+        named = self.numbering.styled.get(style) if number is None else [next((x.get(_W + "val") for x in number.findall(_W + n)), "0") for n in ("numId", "ilvl")]
+        label = self.numbering.label(*named) if named else None
         text: list[str] = []
 
-        def flush():
+        def flush() -> None:
             nonlocal label
             if text or label:
-                add(kind, "".join(text), style, label)
+                self.add(kind, "".join(text), style, label)
                 text.clear()
                 label = None
 
@@ -158,45 +291,67 @@ def parse(content: bytes) -> tuple[str, list[tuple], list[tuple[str, bytes]]]:
             for c in node:
                 if c.tag == _W + "t":
                     text.append(c.text or "")
-                elif c.tag in (_W + "br", _W + "tab"):
-                    text.append("\n" if c.tag == _W + "br" else "\t")
+                elif c.tag in (_W + "br", _W + "cr", _W + "tab", _W + "ptab"):
+                    text.append("\t" if c.tag.endswith("tab") else "\n")
+                elif c.tag == _W + "sym":
+                    text.append(chr(int(c.get(_W + "char", "FFFD"), 16)))
                 elif c.tag == _M + "oMath":
                     flush()
-                    source = ET.tostring(c, encoding="unicode")
-                    try:
-                        add("formula", source, latex=latex_of(c), critical=True)
-                    except FormulaError:
-                        add("unresolved", source, critical=True)
+                    latex = self.formula(c)
+                    if latex is not None:
+                        self.add("formula", ET.tostring(c, encoding="unicode"), latex=latex, critical=True)
                 elif c.tag == _W + "txbxContent":
                     flush()
-                    for inner in c.iter(_W + "p"):
-                        paragraph(inner, "textbox")
-                elif c.tag == _W + "drawing" and c.find(f".//{_W}txbxContent") is None:
+                    self.blocks(c, "textbox")
+                elif c.tag in (_W + "drawing", _W + "pict") and c.find(f".//{_W}txbxContent") is None:
                     flush()
-                    picture(c)
+                    self.picture(c)
                 elif c.tag == _W + "object":
                     flush()
-                    add("unresolved", ET.tostring(c, encoding="unicode"), critical=True)
-                elif c.tag != _W + "pPr" and not c.tag.endswith("}Fallback"):
+                    self.embedded(c)
+                elif c.tag not in _SILENT and not c.tag.endswith("}Fallback"):
+                    if len(c) == 0 and c.tag != _W + "r" and not c.tag.startswith((_A, _V)) and (c.text or "").strip():
+                        flush()
+                        self.add("unresolved", ET.tostring(c, encoding="unicode"), critical=True)
                     walk(c)
 
         walk(p)
         flush()
 
-    for node in body if body is not None else ():
-        if node.tag == _W + "p":
-            paragraph(node)
-        elif node.tag == _W + "tbl":
-            add("table", _table(node), critical=True)
-            for inner in node.iter(_W + "drawing"):
-                picture(inner)
-    for name in sorted(n for n in names if n.startswith(("word/header", "word/footer")) and n.endswith(".xml")):
+    def blocks(self, parent: ET.Element, kind: str = "paragraph") -> None:
+        """The parts of a body, text box or content control; what is not known becomes unresolved, and nothing is dropped."""
+        for node in parent:
+            if node.tag == _W + "p":
+                self.paragraph(node, kind)
+            elif node.tag == _W + "tbl":
+                self.add("table", None, critical=True)
+                at = len(self.parts) - 1
+                self.parts[at] = (*self.parts[at][:2], _table(node, self.cell), *self.parts[at][3:])
+            elif node.tag == _M + "oMathPara":
+                for x in node.iter(_M + "oMath"):
+                    latex = self.formula(x)
+                    if latex is not None:
+                        self.add("formula", ET.tostring(x, encoding="unicode"), latex=latex, critical=True)
+            elif node.tag in (_W + "sdt", _W + "sdtContent", _W + "customXml", _W + "ins", _W + "moveTo", _W + "smartTag"):
+                self.blocks(node, kind)
+            elif node.tag not in _SILENT and not node.tag.endswith("Pr"):
+                self.add("unresolved", ET.tostring(node, encoding="unicode"), critical=True)
+
+
+def parse(content: bytes) -> tuple[str, list[tuple], list[tuple[str, bytes]]]:
+    """(status, parts, media) of one package. No package stops the job, whatever is in it."""
+    try:
+        taken = _Package(content)
+        taken.blocks(taken.body if taken.body is not None else ())
+    except (*_DAMAGE, IndexError, TypeError, AttributeError, RecursionError):
+        return "parse_failed", [], []
+    for name in sorted(n for n in taken.names if n.startswith(("word/header", "word/footer")) and n.endswith(".xml")):
         try:
-            for p in ET.fromstring(package.read(name)).iter(_W + "p"):
-                paragraph(p, "header" if "header" in name else "footer")
-        except ET.ParseError:
-            broken = True
-    return "relation_broken" if broken else "ok", parts, media
+            for p in ET.fromstring(taken.package.read(name)).iter(_W + "p"):
+                taken.paragraph(p, "header" if "header" in name else "footer")
+        except (*_DAMAGE, IndexError, TypeError, AttributeError):
+            taken.broken = True
+    return "relation_broken" if taken.broken else "ok", taken.parts, taken.media
 
 
 def read_docx(spark: SparkSession, path: str) -> DataFrame:

@@ -45,6 +45,56 @@ def test_docx(spark, tmp_path):
     assert all(r.stable and r.images_there for r in good)
 
 
+def m(tag, *kids, **props):
+    inner = "".join(f'<m:{k} m:val="{v}"/>' for k, v in props.items())
+    return f"<m:{tag}>" + (f"<m:{tag}Pr>{inner}</m:{tag}Pr>" if props else "") + "".join(kids) + f"</m:{tag}>"
+
+
+def test_no_silent_loss(tmp_path):
+    """What stands in a document is read in its place or named unresolved; nothing stops the reader."""
+    x, y = m("r", "<m:t>x</m:t>"), m("r", "<m:t>y</m:t>")
+    formula = lambda *k: f"<m:oMath>{''.join(k)}</m:oMath>"
+    picture = '<w:r><w:drawing><a:blip r:embed="r1"/></w:drawing></w:r>'
+    inner = f"<w:tbl><w:tr><w:tc><w:p>{T('deep')}</w:p></w:tc></w:tr></w:tbl>"
+    body = (
+        f"<w:sdt><w:sdtPr/><w:sdtContent><w:p>{T('controlled')}</w:p></w:sdtContent></w:sdt>"
+        f"<w:p>{formula(m('d', m('e', x), begChr='|', endChr='|'))}{formula(m('d', m('e', x), m('e', y), begChr='[', endChr=''))}{formula(m('nary', m('sub', x), m('sup', y), m('e', x), chr='∑'))}</w:p>"
+        f"<w:tbl><w:tr><w:tc><w:p>{T('a ')}{formula(m('f', m('num', x), m('den', y)))}{picture}</w:p></w:tc><w:tc>{inner}<w:p>{formula('<m:box/>')}</w:p></w:tc></w:tr></w:tbl>"
+        f'<w:tbl><w:tr><w:tc><w:tcPr><w:gridSpan w:val="2"/></w:tcPr><w:p>{T("w")}</w:p></w:tc><w:tc><w:tcPr><w:vMerge w:val="restart"/></w:tcPr><w:p>{T("t")}</w:p></w:tc></w:tr><w:tr><w:tc><w:p>{T("1")}</w:p></w:tc><w:tc><w:p>{T("2")}</w:p></w:tc><w:tc><w:tcPr><w:vMerge/></w:tcPr><w:p/></w:tc></w:tr></w:tbl>'
+        f'<w:p><w:r><w:object><v:shape xmlns:v="urn:schemas-microsoft-com:vml"><v:imagedata r:id="r1"/></v:shape></w:object></w:r></w:p>'
+        f"<w:p><w:r><w:drawing><w:txbxContent><w:p>{T('boxed')}</w:p></w:txbxContent></w:drawing></w:r></w:p>"
+        f"<w:strange>{T('kept')}</w:strange>"
+    )
+    write(tmp_path / "a.docx", body)
+    status, parts, media = docx.parse((tmp_path / "a.docx").read_bytes())
+    assert status == "ok" and [p[0] for p in parts] == list(range(len(parts)))
+    shown = [(p[1], p[5] or p[2]) for p in parts]
+    assert shown[:4] == [("paragraph", "controlled"), ("formula", r"\left|x\right|"), ("formula", r"\left[x,y\right."), ("formula", r"\sum_{x}^{y}{x}")]
+    assert shown[4][0] == "table" and r"$\frac{x}{y}$" in shown[4][1] and '<img src="image/img_' in shown[4][1] and "deep" in shown[4][1] and shown[5][0] == "unresolved"
+    assert shown[6] == ("table", '<table><tr><td colspan="2">w</td><td rowspan="2">t</td></tr><tr><td>1</td><td>2</td></tr></table>')
+    assert parts[7][1] == "unresolved" and parts[7][6] is not None and media[parts[7][6]][1] == b"png" and shown[8] == ("textbox", "boxed")
+    assert shown[9][0] == "unresolved" and "kept" in shown[9][1]
+    with zipfile.ZipFile(tmp_path / "a.docx") as z:
+        entry = next(i for i in z.infolist() if i.filename == "word/media/i.png")
+    raw = bytearray((tmp_path / "a.docx").read_bytes())
+    raw[raw.index(b"png", entry.header_offset + 40 + len("word/media/i.png") - 10)] ^= 255  # the picture's checksum no longer holds
+    damaged = docx.parse(bytes(raw))
+    assert damaged[0] == "relation_broken" and any(p[1] == "unresolved" for p in damaged[1])
+    for broken in (b"", raw[:200], b"PK" + bytes(100)):
+        assert docx.parse(bytes(broken))[0] == "parse_failed"
+
+
+def test_labels():
+    want = {"chineseCounting": {1: "一", 10: "十", 11: "十一", 20: "二十", 100: "一百", 105: "一百零五", 110: "一百一十", 1010: "一千零一十"}, "upperRoman": {4: "IV", 1999: "MCMXCIX"}, "lowerLetter": {1: "a", 26: "z", 27: "aa"}, "decimalEnclosedCircle": {1: "①", 21: "21"}}
+    assert {f: {n: docx._spelled(n, f) for n in v} for f, v in want.items()} == want
+    level = '<w:lvl w:ilvl="0"><w:start w:val="1"/><w:numFmt w:val="decimal"/><w:lvlText w:val="%1."/></w:lvl>'
+    xml = f'<w:numbering {W}><w:abstractNum w:abstractNumId="0">{level}</w:abstractNum><w:num w:numId="1"><w:abstractNumId w:val="0"/></w:num><w:num w:numId="2"><w:abstractNumId w:val="0"/><w:lvlOverride w:ilvl="0"><w:startOverride w:val="5"/></w:lvlOverride></w:num></w:numbering>'
+    styles = f'<w:styles {W}><w:style w:styleId="Q"><w:pPr><w:numPr><w:numId w:val="2"/></w:numPr></w:pPr></w:style></w:styles>'
+    numbering = docx.Numbering(xml.encode(), styles.encode())
+    assert [numbering.label("1", "0"), numbering.label(*numbering.styled["Q"]), numbering.label("2", "0"), numbering.label("1", "0"), numbering.label("9", "0")] == ["1.", "5.", "6.", "2.", None]
+    assert docx.valid_formula(r"\frac{1}{x}") and not any(map(docx.valid_formula, ("", "{}", "{x", r"\left(x")))
+
+
 def test_alignment(spark):
     q = spark.createDataFrame([("c", i, str(i), f"q{i}") for i in range(1, 6)], "cluster_id string, ord int, number string, id string")
     a = spark.createDataFrame([("c", i, str(i), f"a{i}") for i in (1, 2, 4, 5)], q.schema)
