@@ -17,9 +17,11 @@ BLANKS = "\t\n\x0b\f\r"
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 
-    Only where the setting is absent (local tests) a temporary folder of this machine is used.
+    Only where the setting is absent in local mode (tests) a temporary folder of this machine is used.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not base:
         base = _LOCAL.setdefault("dir", tempfile.mkdtemp(prefix="spark-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -71,8 +73,3 @@ def words_of(text: Column) -> Column:
     for blank in BLANKS:
         flat = F.replace(flat, F.lit(blank), F.lit(" "))
     return F.array_remove(F.split(flat, " "), "")
-
-
-def let(value: Column, then) -> Column:
-    """Native: then(value), with value computed once instead of once for each element that refers to it."""
-    return F.element_at(F.transform(F.array(value), then), 1)

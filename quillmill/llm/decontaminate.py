@@ -4,7 +4,8 @@ Texts and items are sequences of words (lower case, ASCII punctuation is a blank
 sequence: each step writes the word under the pointer, and a random bit for (step, word) says whether the pointer
 moves on. Two sequences within a few edits fall back into step, so edits become few differing places. A repetition
 samples some places of the walk over an item-sized window and hashes them; repetitions are added until edited copies
-of the items, made at the largest allowed distance, are found with the target recall. Collisions are verified by
+of the items, made at the largest allowed distance, are found with the target recall. Items that miss it after
+`most` repetitions are searched exactly: each window that holds enough words of the item is verified. Collisions are verified by
 the exact edit distance of the item to its best place around the window. Only windows are walked that hold as many
 words of the items as any window within the distance must, which loses none.
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 import string
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import pairwise, repeat
+from itertools import batched, pairwise, repeat
 
 import numpy as np
 import pandas as pd
@@ -72,10 +73,12 @@ class Matcher:
         longest = max([c.steps for c in self.classes], default=1)
         self.bits = rng.integers(0, 1 << 63, (most, longest // 63 + 1, self.base), np.int64)
         self.rounds = [self._rounds(c, rng, recall, samples, most) for c in self.classes]
+        #: For each class, whether its repetitions reach the recall.
+        self.reached = [bool(r) for r in self.rounds]
         self.bits = self.bits[: max(map(len, self.rounds), default=0)].copy()
 
     def _rounds(self, c: _Class, rng, recall: float, samples: int, most: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(steps, sorted keys of the items, their items) for as many repetitions as the recall needs."""
+        """(steps, sorted keys of the items, their items) for as many repetitions as the recall needs; none if `most` are too few."""
         some = [c.members[i] for i in rng.permutation(len(c.members))[:100]]
         copies = [(i, self._edited(self.items[i], self.edits[i], rng)) for i in some for _ in range(max(1, 400 // len(some)))]
         pad = np.full(c.steps, self.base - 1, np.int32)
@@ -92,8 +95,8 @@ class Matcher:
             order = np.argsort(keys, kind="stable")
             out.append((steps, keys[order], np.array(c.members)[order]))
             if found.mean() >= recall:
-                break
-        return out
+                return out
+        return []
 
     def _edited(self, ids: np.ndarray, edits: int, rng) -> np.ndarray:
         out = ids.tolist()
@@ -130,8 +133,8 @@ class Matcher:
                 best, end = now, i
         return best, end
 
-    def search(self, texts: list[str | None]) -> list[list[tuple[int, int, int]]]:
-        """For each text: (item, distance, word after its best place) of each item found in it."""
+    def search(self, texts: list[list[bytes]]) -> list[list[tuple[int, int, int]]]:
+        """For each text, given by its words: (item, distance, word after its best place) of each item found in it."""
         out: list[list[tuple[int, int, int]]] = []
         parts, sizes = [], []
 
@@ -141,8 +144,7 @@ class Matcher:
                 parts.clear()
                 sizes.clear()
 
-        for text in texts:
-            words = words_of_text(text)
+        for words in texts:
             parts.append(np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int32, len(words)))
             sizes.append(len(words))
             if sum(sizes) > BLOCK:
@@ -156,7 +158,15 @@ class Matcher:
         if not len(ids) or not self.classes:
             return results
         pairs, padded = [], np.concatenate([ids, np.zeros(max(c.steps for c in self.classes), np.int32)])
-        for c, holder, rounds in zip(self.classes, self.holders, self.rounds, strict=True):
+        for c, holder, rounds, reached in zip(self.classes, self.holders, self.rounds, self.reached, strict=True):
+            for i in () if reached else c.members:  # exactly
+                own = np.zeros(self.base, bool)
+                own[self.items[i]] = True
+                held = np.concatenate([[0], np.cumsum(own[ids], dtype=np.int32)])
+                n, k = len(self.items[i]), self.edits[i]
+                starts = np.flatnonzero(held[np.minimum(np.arange(len(ids)) + n + k, len(ids))] - held[:-1] >= n - k)
+                if len(starts):
+                    pairs.append(np.stack([np.full(len(starts), i), starts]))
             held = np.concatenate([[0], np.cumsum(holder[ids], dtype=np.int32)])
             ends = np.minimum(np.arange(len(ids)) + c.low, len(ids))
             starts = np.flatnonzero(held[ends] - held[:-1] >= c.least)
@@ -208,27 +218,27 @@ def _blocks(items: DataFrame, key: str, text: str, block_bytes: int) -> Iterator
         yield [(r.k, r.t) for r in rows.where(F.pmod(F.xxhash64("t", "k"), F.lit(blocks)) == b).orderBy("k", "t").collect()]
 
 
-def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", similarity: float = 0.8, recall: float = 0.95, block_bytes: int = 1 << 18) -> DataFrame:
+def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", similarity: float = 0.8, recall: float = 0.95, block_bytes: int = 1 << 18, together: int = 8) -> DataFrame:
     """(key, item key, item_words, distance, end_word): the items found in each row of df, at their best place.
 
     An item of n words is found where a part of the text is within (1 - similarity) n word edits. Null, empty or
     blank texts hold no item, and null, empty or blank items are in no text. Items with equal keys are items of
     their own; rows of df give their finds each, also where keys repeat or are null. Empty tables give an empty
-    result. Other columns are not read. The items are taken in blocks of bounded size, each against all texts in
-    one pass without a shuffle.
+    result. Other columns are not read. The items are taken in blocks of bounded size, `together` of them in each
+    pass over all texts, without a shuffle.
     """
     spark = df.sparkSession
     ship(spark)
     docs = df.select(df[f"`{key}`"].alias("k"), df[f"`{text}`"].alias("t"))
     kind, item_kind = docs.schema["k"].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     out = None
-    for block in _blocks(items, item_key, item_text, block_bytes):
-        shared = spark.sparkContext.broadcast(Matcher(block, similarity, recall))
+    for blocks in batched(_blocks(items, item_key, item_text, block_bytes), together):
+        shared = [spark.sparkContext.broadcast(Matcher(block, similarity, recall)) for block in blocks]
 
         def found(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            m = shared.value
             for batch in batches:
-                rows = [(k, m.keys[i], len(m.items[i]), d, e) for k, hits in zip(batch["k"], m.search(list(batch["t"])), strict=True) for i, d, e in hits]
+                texts = [words_of_text(t) for t in batch["t"]]
+                rows = [(k, m.keys[i], len(m.items[i]), d, e) for m in (b.value for b in shared) for k, hits in zip(batch["k"], m.search(texts), strict=True) for i, d, e in hits]
                 yield pd.DataFrame(rows, columns=["k", "i", "n", "d", "e"])
 
         part = docs.mapInPandas(found, f"k {kind}, i {item_kind}, n int, d int, e long")
@@ -236,20 +246,23 @@ def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     return out.select(F.col("k").alias(key), F.col("i").alias(item_key), F.col("n").alias("item_words"), F.col("d").alias("distance"), F.col("e").alias("end_word"))
 
 
-def drop_contaminated(df: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", similarity: float = 0.8, recall: float = 0.95, block_bytes: int = 1 << 18) -> DataFrame:
+def drop_contaminated(df: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", similarity: float = 0.8, recall: float = 0.95, block_bytes: int = 1 << 18, together: int = 8) -> DataFrame:
     """The rows of df in which find_items finds nothing, with the columns of df. No shuffle."""
     spark = df.sparkSession
     ship(spark)
     out = df
-    for block in _blocks(items, item_key, item_text, block_bytes):
-        out = out.where(_clean(spark.sparkContext.broadcast(Matcher(block, similarity, recall)), out[f"`{text}`"]))
+    for blocks in batched(_blocks(items, item_key, item_text, block_bytes), together):
+        out = out.where(_clean([spark.sparkContext.broadcast(Matcher(block, similarity, recall)) for block in blocks], out[f"`{text}`"]))
     return out
 
 
-def _clean(shared: Broadcast, text: Column) -> Column:
+def _clean(shared: list[Broadcast], text: Column) -> Column:
     @F.pandas_udf("boolean")
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield pd.Series([not hits for hits in shared.value.search(list(batch))], dtype=bool)
+            words, clean = [words_of_text(t) for t in batch], np.ones(len(batch), bool)
+            for b in shared:
+                clean &= np.array([not hits for hits in b.value.search(words)], bool)
+            yield pd.Series(clean)
 
     return clean(text)

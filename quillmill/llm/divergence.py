@@ -1,8 +1,9 @@
 """Quality rules by distribution divergence, in DataFrame operations alone.
 
 Each document has a histogram of character classes and one of common words of its language. Both are compared by
-the Jensen-Shannon distance to references of the language, which are the histograms of all documents of that
-language that pass the base rules, added up. Short documents are not judged by a histogram.
+the Jensen-Shannon distance to references of the language. References are an input: `references` adds up the
+histograms of a trusted corpus's documents that pass the base rules, by language; without one, the judged corpus itself
+gives them, all of it. Short documents are not judged by a histogram.
 """
 
 from __future__ import annotations
@@ -61,8 +62,12 @@ def measured(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     return out.select(*kept, failed.alias("base_failed"))
 
 
-def references(rows: DataFrame) -> DataFrame:
-    """(lang, char_reference, word_reference): the added histograms of the rows that pass the base rules."""
+def references(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, char_reference, word_reference) of a corpus: the added histograms of its documents that pass the base rules."""
+    return staged(_added(measured(df, text, text, lang)), "references")
+
+
+def _added(rows: DataFrame) -> DataFrame:
     good = rows.where("NOT base_failed")
     sums = [F.sum(F.get(c, i)).alias(f"{c}_{i}") for c, n in (("char_counts", 5), ("word_counts", 13)) for i in range(n)]
     return good.groupBy("lang").agg(*sums).select("lang", F.array(*[f"char_counts_{i}" for i in range(5)]).alias("char_reference"), F.array(*[f"word_counts_{i}" for i in range(13)]).alias("word_reference"))
@@ -75,18 +80,19 @@ def distance(counts: str, reference: str) -> Column:
     return F.expr(f"sqrt(greatest(0D, aggregate(zip_with({shares(counts)}, {shares(reference)}, (p, q) -> {part}), 0D, (a, b) -> a + b) / 2))")
 
 
-def judge(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", char_limit: float = 0.27, word_limit: float = 0.28, least_chars: int = 300, least_words: int = 100) -> DataFrame:
+def judge(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", char_limit: float = 0.27, word_limit: float = 0.28, least_chars: int = 300, least_words: int = 100, trusted: DataFrame | None = None) -> DataFrame:
     """The key, base counts, base_failed, both distances and kept, for each row.
 
     kept is false if a base rule fails, if the document has `least_chars` characters in words and its character
     classes are further than `char_limit` from its language's reference, or if it has `least_words` words and its
-    common words are further than `word_limit` from it. A distance that is not judged is null. A null text is
+    common words are further than `word_limit` from it. `trusted` are references of another corpus; without them
+    they are added up over all rows of df, so that a document's verdict depends on the corpus. A distance that is not judged is null. A null text is
     empty. A null language is a language of its own; a language without a word list is judged by characters alone,
     and one without a reference by base rules alone. Repeated rows and null keys give a row each; an empty table
     gives an empty result. Columns other than the three named ones are not read. One pass over the texts.
     """
     rows = staged(measured(df, key, text, lang), "measured")
-    judged = rows.join(staged(references(rows), "references"), "lang", "left")
+    judged = rows.join((staged(_added(rows), "references") if trusted is None else trusted), "lang", "left")
     listed = F.col("lang").isin(*COMMON_WORDS)
     judged = judged.withColumn("char_distance", F.when(F.col("word_chars") >= least_chars, distance("char_counts", "char_reference")))
     judged = judged.withColumn("word_distance", F.when((F.col("n_words") >= least_words) & listed, distance("word_counts", "word_reference")))

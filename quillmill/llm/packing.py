@@ -197,20 +197,22 @@ class Plan:
             at = end
 
 
-def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", window: int = 2048, end_id: int = 1, grid: int = 64, salts: int = 64) -> DataFrame:
+def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", window: int = 2048, end_id: int = 1, grid: int = 64, group_rows: int = 1 << 20) -> DataFrame:
     """Pieces of all documents: key, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Each row of df is a document of its own, also where keys repeat or are null. A null or empty text is its end
     id alone. A text of any length is cut freely; each of its ids lies in exactly one piece. Every sequence is
     full or, at most a few of all, a power of two long. An empty table gives an empty result. Columns other than
     the two named ones are not read. The driver holds the histogram and the plan, both bounded by the window; ranks
-    are dealt over `salts` groups for each length, so that a length that a third of all documents have is split.
+    are dealt over groups for each length, as many as keep a group at `group_rows` rows on average if all documents
+    have one length (64 at least), so that a length that a third of all documents have is split.
     """
     spark = df.sparkSession
     ship(spark)
     docs = df.select(df[f"`{key}`"].alias("doc_id"), _tokenised(df[f"`{text}`"], path, window, end_id).alias("t"))
     docs = docs.select("doc_id", "t.*").withColumn("uid", F.monotonically_increasing_id())
     docs = staged(docs, "tokens")  # uid is fixed from here on
+    salts = max(64, -(-docs.count() // group_rows))
     lengths = docs.select("uid", "doc_id", "n", "crcs", "rest_crc", (F.col("n") % window).alias("rest"), F.floor(F.col("n") / window).alias("full"), F.pmod(F.xxhash64("uid"), F.lit(salts)).alias("salt"))
     sums = staged(lengths.groupBy("rest", "salt").agg(F.count("*").alias("docs"), F.sum("full").alias("fulls")), "sums")
     bins = sums.groupBy("rest").agg(F.sum("docs").alias("docs"), F.sum("fulls").alias("fulls")).orderBy("rest").collect()  # at most `window` rows

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -44,6 +45,20 @@ def test_prior():
     assert abs(quality.estimated_prior(p, u) - 0.7) < 0.08
 
 
+def test_risk():
+    """The fit minimises the non-negative risk, worked out here plainly; no step near it is better."""
+    rng = np.random.default_rng(3)
+    p, u = rng.normal(1, 1, (400, 3)), np.concatenate([rng.normal(1, 1, (300, 3)), rng.normal(-1, 1, (300, 3))])
+    prior = 0.5
+
+    def risk(w):
+        loss = lambda z, y: sum(np.log1p(np.exp(-y * v)) for v in z) / len(z)
+        return prior * loss(p @ w, 1) + max(0.0, loss(u @ w, -1) - prior * loss(p @ w, -1)) + 0.5e-3 * (w**2).sum()
+
+    w = quality._fitted(p, u, prior, 1500, 0.02, 1e-3)
+    assert all(risk(w) <= risk(w + d) + 1e-4 for d in rng.normal(0, 0.2, (50, 3))) and risk(w) < risk(np.zeros(3))
+
+
 def test_token_counts(spark):
     """Every prefix of every text against the library, and what is read from the stored tables."""
     P = pytest.importorskip("public_tokenizers")
@@ -111,7 +126,10 @@ def test_decontamination(spark):
     clean = {r.doc_id for r in decontaminate.drop_contaminated(df, bench).collect()}
     assert clean == {d for d, *_ in docs} - {d for d, _ in got}
     assert decontaminate.find_items(odd_rows(spark), bench).count() == 0 == decontaminate.find_items(df, bench.limit(0)).count()
-    small = decontaminate.find_items(df, bench, block_bytes=600)  # blocks of items give what one block gives
+    exact = decontaminate.Matcher([x for x in items if (x[1] or "").strip()], recall=1.1)  # no number of repetitions reaches it
+    hits = exact.search([decontaminate.words_of_text(t) for _, t, _ in docs])
+    assert not any(exact.reached) and {(d, exact.keys[i]) for (d, *_), found in zip(docs, hits, strict=True) for i, *_ in found} == want
+    small = decontaminate.find_items(df, bench, block_bytes=600, together=3)  # blocks of items give what one block gives
     assert {(r.doc_id, r.item_id) for r in small.collect()} <= want
 
 
@@ -389,6 +407,16 @@ def test_packing(spark):
         assert by.get(r.sequence_id, 0) == r.offset
         by[r.sequence_id] = r.offset + r.length
     assert all(n == 2048 or n & (n - 1) == 0 for n in by.values())
+    texts = {r.doc_id: r.text for r in df.collect()}
+    ids = {k: np.frombuffer(next(encode([t])) + np.array([1], "<u4").tobytes(), "<u4") for k, t in texts.items()}
+    pieces = {}
+    for r in sorted((r for r in rows if r.doc_id != 3), key=lambda r: r.start):  # document 3 stands twice
+        own, at = ids[r.doc_id], pieces.get(r.doc_id, 0)
+        assert r.start == at and r.doc_tokens == len(own) and r.ids_crc32 == zlib.crc32(own[r.start : r.start + r.length].tobytes())
+        pieces[r.doc_id] = at + r.length
+    assert pieces == {k: len(v) for k, v in ids.items() if k != 3} and {(r.doc_id, r.ids_crc32) for r in rows if r.doc_id == 3} == {(3, zlib.crc32(ids[3].tobytes()))}
+    split = packing.pack(df, path, group_rows=1).collect()  # more groups than documents: other places, the same pieces of whole windows
+    assert sum(r.length for r in split) == sum(want) and sorted(r.doc_tokens for r in split if r.start == 0) == want
     assert packing.pack(df.limit(0), path).count() == 0
     library = packing.Encoder(path).library
     for t in ["it's 漢字 <|endoftext|>  x", "a\u00a0 b\x85c", "Ω ²3 😀\n\n z"]:
@@ -449,4 +477,8 @@ def test_quality_rules(spark):
         lines = [x for x in r.text.split("\n") if WORD.search(x)]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in r.text), len(lines) - len(set(lines)), len(repeated))
         assert r.base_failed == (len(words) < 20 or 100 * len(repeated) > 30 * len(words)) and not (r.base_failed and r.kept)
+    own, given = divergence.judge(df), divergence.judge(df, trusted=divergence.references(df))
+    assert sorted(map(repr, own.collect())) == sorted(map(repr, given.collect()))
+    other = divergence.references(spark.createDataFrame([(1, " ".join(f"UPPER{i}!!! {i * 7919}" for i in range(200)), "en")], DOCS))
+    assert divergence.judge(df, trusted=other).where("char_distance > 0.27").count() > own.where("char_distance > 0.27").count()
     assert divergence.judge(df).count() == 67 and divergence.judge(df.limit(0)).count() == 0
