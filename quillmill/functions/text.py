@@ -18,7 +18,13 @@ ALIASES = {
     "text_course": {"思想政治": "政治", "道德与法治": "政治", "English": "英语"},
     "entrance_exam_type": {"小升初考试": "小升初", "中考真题": "中考", "高考真题": "高考"},
 }
-LANGUAGES = ("ar", "de", "en", "es", "fr", "it", "ja", "ko", "pt", "ru", "zh")
+#: The two-letter codes of ISO 639-1: fixed values.
+LANGUAGES = tuple("""
+    aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu fa ff fi fj fo fr fy
+    ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj kk kl km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv
+    mg mh mi mk ml mn mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si sk sl sm sn so sq sr ss
+    st su sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu
+""".split())
 
 
 @F.pandas_udf(StringType())
@@ -70,6 +76,17 @@ def iso_language(value: Column) -> Column:
     return F.when(code.isin(*LANGUAGES), code)
 
 
+def script_counts(text: Column) -> Column:
+    """(han, latin): Chinese characters and words of Latin letters."""
+    value = F.coalesce(text, F.lit(""))
+    return F.struct(F.regexp_count(value, F.lit("[一-龥]")).alias("han"), F.regexp_count(value, F.lit("[A-Za-z]{2,}")).alias("latin"))
+
+
+def main_language(han: Column, latin: Column) -> Column:
+    """zh where Chinese characters outnumber Latin words, en where there are Latin words at least as many, else null."""
+    return F.when(han > latin, "zh").when(latin > 0, "en")
+
+
 def static_info(question: Column, **fields: Column) -> Column:
     """The JSON text of the static information, with keys in order."""
     values = {"copyright": F.lit(""), "slim_md5_version": F.lit("v1"), "slim_question_md5": slim_md5(question), **fields}

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillmill.functions.text import grade_of, includes_picture, iso_language, static_info, with_default
+from quillmill.functions.text import grade_of, includes_picture, iso_language, main_language, script_counts, static_info, with_default
 from quillmill.operators import blocks as B
 from quillmill.operators import gates, matching, providers, splitting, understanding
 from quillmill.schemas import FINAL_FIELDS
@@ -69,7 +69,8 @@ def _documents(parsed: DataFrame, parts: DataFrame) -> DataFrame:
     made = names.join(understanding.classify(understanding.features(parts)), "document_id", "left").join(title, "document_id", "left").join(fields, "document_id", "left")
     none = F.array().cast("array<string>")
     made = made.withColumns({"document_class": F.coalesce("document_class", F.lit("UNKNOWN")), "question_numbers": F.coalesce("question_numbers", none), "answer_numbers": F.coalesce("answer_numbers", none)})
-    spoken = parts.groupBy("document_id").agg(F.when(F.sum(F.regexp_count("raw_text", F.lit("[一-龥]"))) > 0, "zh").when(F.sum(F.regexp_count("raw_text", F.lit("[A-Za-z]{2,}"))) > 0, "en").alias("document_language"))
+    signs = script_counts(F.col("raw_text"))
+    spoken = parts.where("type NOT IN ('formula', 'unresolved')").groupBy("document_id").agg(main_language(F.sum(signs["han"]), F.sum(signs["latin"])).alias("document_language"))
     made = made.join(spoken, "document_id", "left").withColumn("own_fields", F.array(*understanding.FIELDS))
     placed = understanding.clusters(made)
     lent = understanding.wide(understanding.prioritised(understanding.from_cluster(values, placed), "document_id"), "document_id")
@@ -101,14 +102,18 @@ def _questions(parts: DataFrame, assets: DataFrame, settled: DataFrame | None, d
     else:
         shown = shown.join(settled.select("block_id", "content", "action"), "block_id", "left")
     text = B.rendered(F.col("type"), F.col("raw_text"), F.col("latex"), F.col("asset_id"), F.col("ext"))
-    texts = B.joined_in_order(shown.withColumn("_text", text), "question_candidate_id", F.col("_text")).withColumnRenamed("text", "text_question")
+    # blocks of one paragraph are one line: a formula inside a sentence stays in it
+    before = F.lag("para").over(W.partitionBy("question_candidate_id").orderBy("ord"))
+    laid = shown.select("question_candidate_id", "ord", F.concat(F.when(before == F.col("para"), "").otherwise("\n"), F.coalesce(text, F.lit(""))).alias("shown"))
+    texts = B.joined_in_order(laid, "question_candidate_id", F.col("shown"), "").select("question_candidate_id", F.expr("substring(text, 2)").alias("text_question"))
     image = F.col("type") == "image"
     state = shown.groupBy("question_candidate_id").agg(
         F.bool_or(image & F.col("there").isNull()).alias("image_missing"), F.bool_or((F.col("type") == "unresolved") | ((F.col("type") == "formula") & F.col("latex").isNull())).alias("unresolved"), F.bool_or(image & (F.col("action") == "reject")).alias("unread"),
     )
     sound = gates.block_gate(parts, assets).select("document_id", "stable")
     placed = documents.select("document_id", "cluster_id", "source_file", "status").join(sound, "document_id")
-    return found.join(texts, "question_candidate_id").join(state, "question_candidate_id").join(placed, "document_id")
+    lost = gates.ownership_gate(found, side).join(side.select("block_id", "document_id"), "block_id").select("document_id", F.lit(True).alias("lost")).distinct()
+    return found.join(texts, "question_candidate_id").join(state, "question_candidate_id").join(placed, "document_id").join(lost, "document_id", "left")
 
 
 def _matches(questions: DataFrame, answers: DataFrame, documents: DataFrame) -> DataFrame:
@@ -132,7 +137,8 @@ def _outcomes(questions: DataFrame, answers: DataFrame, matched: DataFrame, chec
     about = documents.select("document_id", "title", "document_language", *understanding.FIELDS)
     df = questions.join(matched, "question_candidate_id", "left").join(checked, ["question_candidate_id", "answer_candidate_id"], "left").join(said, "answer_candidate_id", "left").join(about, "document_id", "left")
     # a question without words of its own is in its document's language
-    language = F.when(F.col("text_question").rlike("[一-龥]"), "zh").when(F.col("text_question").rlike("[A-Za-z]{2,}"), "en").otherwise(F.col("document_language"))
+    signs = script_counts(F.regexp_replace("text_question", r"\$[^$]*\$|<[^>]*>", " "))
+    language = F.coalesce(main_language(signs["han"], signs["latin"]), "document_language")
     made = {
         "text_course": F.col("course"), "text_grade_level": F.col("level"), "text_grade": grade_of(F.col("level")), "text_paper": F.col("title"), "text_year": F.col("year"), "text_city": F.col("city"), "entrance_exam_type": F.col("exam"),
         "question_type": F.col("question_type_candidate"), "language": iso_language(language), "is_pic_included": includes_picture(F.col("text_question")),
@@ -147,7 +153,7 @@ def _outcomes(questions: DataFrame, answers: DataFrame, matched: DataFrame, chec
     return gates.outcome(df, [
         *gates.file_gate(F.col("status")), ("ir", "DOCUMENT_RELATION_BROKEN", ~F.col("stable")),
         ("recognition", "IMAGE_MISSING", F.col("image_missing")), ("recognition", "FORMULA_UNRESOLVED", F.col("unresolved")), ("recognition", "OCR_LOW_CONFIDENCE", F.coalesce("unread", F.lit(False))),
-        ("split", "QUESTION_SPLIT_LOW_CONFIDENCE", F.col("split_score") < d(t["split_accept"])), ("split", "QUESTION_CONTENT_INCOMPLETE", F.trim("text_question") == ""),
+        ("split", "QUESTION_SPLIT_LOW_CONFIDENCE", F.col("split_score") < d(t["split_accept"])), ("split", "QUESTION_SPLIT_LOW_CONFIDENCE", F.coalesce("lost", F.lit(False))), ("split", "QUESTION_CONTENT_INCOMPLETE", F.trim("text_question") == ""),
         *[("match", code, decision == code) for code in ("ANSWER_NOT_FOUND", "ANSWER_MATCH_AMBIGUOUS", "ANSWER_VERIFICATION_FAILED")],
         *gates.contract_failures(),
     ])

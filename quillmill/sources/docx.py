@@ -28,7 +28,7 @@ _V = "{urn:schemas-microsoft-com:vml}"
 _SILENT = {_W + x for x in ("pPr", "rPr", "sectPr", "bookmarkStart", "bookmarkEnd", "proofErr", "lastRenderedPageBreak", "commentRangeStart", "commentRangeEnd", "permStart", "permEnd", "del", "delText", "instrText", "fldChar", "noBreakHyphen", "softHyphen", "sdtPr", "sdtEndPr", "footnoteReference", "commentReference", "annotationRef", "moveFrom", "tblPr", "tblGrid", "trPr", "tcPr")}
 #: Errors that a damaged package may raise on reading.
 _DAMAGE = (zipfile.BadZipFile, zlib.error, KeyError, ValueError, ET.ParseError, RuntimeError, NotImplementedError, OSError, EOFError)
-PARTS = "array<struct<ord: int, type: string, raw_text: string, style_id: string, resolved_label: string, latex: string, asset: int, is_critical: boolean>>"
+PARTS = "array<struct<ord: int, type: string, raw_text: string, style_id: string, resolved_label: string, latex: string, asset: int, is_critical: boolean, para: int>>"
 PARSED = f"document_id string, source_file string, source_sha256 string, status string, parts {PARTS}, media array<struct<ext: string, content: binary>>"
 
 
@@ -198,9 +198,11 @@ class _Package:
         self.parts: list[tuple] = []
         self.media: list[tuple[str, bytes]] = []
         self.broken = self.body is None
+        #: The number of the paragraph or table that is being read.
+        self.para = 0
 
     def add(self, kind, text=None, style=None, label=None, latex=None, asset=None, critical=False) -> None:
-        self.parts.append((len(self.parts), kind, text, style, label, latex, asset, critical))
+        self.parts.append((len(self.parts), kind, text, style, label, latex, asset, critical, self.para))
 
     def medium(self, rel: str | None) -> int | None:
         """The place among the media of what a relation names; None if it is not there or damaged."""
@@ -273,6 +275,7 @@ class _Package:
         return "".join(out).strip()
 
     def paragraph(self, p: ET.Element, kind: str = "paragraph") -> None:
+        self.para += 1
         props = p.find(_W + "pPr")
         style = None if props is None else next((x.get(_W + "val") for x in props.findall(_W + "pStyle")), None)
         number = None if props is None else props.find(_W + "numPr")
@@ -324,6 +327,7 @@ class _Package:
             if node.tag == _W + "p":
                 self.paragraph(node, kind)
             elif node.tag == _W + "tbl":
+                self.para += 1
                 self.add("table", None, critical=True)
                 at = len(self.parts) - 1
                 self.parts[at] = (*self.parts[at][:2], _table(node, self.cell), *self.parts[at][3:])
@@ -364,7 +368,7 @@ def read_docx(spark: SparkSession, path: str) -> DataFrame:
             for name, content in zip(batch["path"], batch["content"], strict=True):
                 digest = hashlib.sha256(content).hexdigest()
                 status, parts, media = parse(content)
-                keys = ("ord", "type", "raw_text", "style_id", "resolved_label", "latex", "asset", "is_critical")
+                keys = ("ord", "type", "raw_text", "style_id", "resolved_label", "latex", "asset", "is_critical", "para")
                 rows.append((f"doc_{digest[:16]}", name.rpartition("/")[2], digest, status, [dict(zip(keys, p, strict=True)) for p in parts], [{"ext": e, "content": c} for e, c in media]))
             yield pd.DataFrame(rows, columns=["document_id", "source_file", "source_sha256", "status", "parts", "media"])
 
@@ -375,7 +379,7 @@ def blocks(parsed: DataFrame) -> DataFrame:
     """(document_id, block_id, ord, type, ...): each block, with the asset it shows."""
     each = parsed.select("document_id", "media", F.explode("parts").alias("p"))
     asset = F.concat(F.lit("img_"), F.substring(F.sha2(F.get("media.content", F.col("p.asset")), 256), 1, 16))
-    return each.select("document_id", F.concat_ws("_", "document_id", F.lpad(F.col("p.ord").cast("string"), 5, "0")).alias("block_id"), "p.ord", "p.type", "p.raw_text", F.trim("p.raw_text").alias("normalized_text"), "p.style_id", "p.resolved_label", "p.latex", asset.alias("asset_id"), "p.is_critical")
+    return each.select("document_id", F.concat_ws("_", "document_id", F.lpad(F.col("p.ord").cast("string"), 5, "0")).alias("block_id"), "p.ord", "p.type", "p.raw_text", F.trim("p.raw_text").alias("normalized_text"), "p.style_id", "p.resolved_label", "p.latex", asset.alias("asset_id"), "p.is_critical", "p.para")
 
 
 def assets(parsed: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ def exam(folder):
     folder.mkdir()
     write(folder / "期中数学.docx", paragraphs("2024年北京市初一数学期中", "1. 1+1= A. 1 B. 2", "2. 2+2= A. 4 B. 5", "3. 3+3= ____", "4. 4+4= ____"))
     write(folder / "期中数学答案.docx", paragraphs("参考答案", "1. B", "2. A", "4. 8【解析】4+4"))
+    write(folder / "口算练习题.docx", f"<w:p>{T('1. 已知 ')}<m:oMath><m:f><m:num><m:r><m:t>1</m:t></m:r></m:num><m:den><m:r><m:t>x</m:t></m:r></m:den></m:f></m:oMath>{T(' in x, 求 ____')}</w:p>")
     write(folder / "期末物理卷.docx", paragraphs("高二物理期末", "1. g= ____"))
     (folder / "broken.docx").write_bytes(b"no package")
     return str(folder)
@@ -33,8 +34,10 @@ def test_run(spark, tmp_path):
     assert {(r["text_question"], r["text_answer"], r["answer_analysis"]) for r in rows} == {("1. 1+1= A. 1 B. 2", "B", "略"), ("2. 2+2= A. 4 B. 5", "A", "略"), ("4. 4+4= ____", "8", "4+4")}
     assert all(len(r) == 19 and (r["text_course"], r["text_grade_level"], r["text_grade"], r["text_year"], r["text_city"], r["language"]) == ("数学", "初中一年级", "初中", "2024", "北京", "zh") for r in rows)
     rejected = [json.loads(line) for f in (tmp_path / "out" / done.run_id / "rejected.jsonl").glob("*.json") for line in f.read_text(encoding="utf-8").splitlines()]
-    assert sorted(r["reason_code"] for r in rejected) == ["ANSWER_NOT_FOUND", "ANSWER_NOT_FOUND", "DOCUMENT_PARSE_FAILED"]
-    assert (done.report["candidates"], done.report["accepted"], done.report["documents"], done.report["calls"][0]["calls"]) == (5, 3, 4, 3)
+    assert sorted(r["reason_code"] for r in rejected) == ["ANSWER_NOT_FOUND", "ANSWER_NOT_FOUND", "ANSWER_NOT_FOUND", "DOCUMENT_PARSE_FAILED"]
+    assert (done.report["candidates"], done.report["accepted"], done.report["documents"], done.report["calls"][0]["calls"]) == (6, 3, 5, 3)
+    inline = spark.read.parquet(f"{out}/workspace/{done.run_id}/outcomes").where("source_file = '口算练习题.docx'").first()
+    assert (inline.text_question, inline.language) == (r"1. 已知 $\frac{1}{x}$ in x, 求 ____", "zh")
     work = f"{out}/workspace/{done.run_id}"
     some = spark.read.parquet(f"{work}/outcomes").where("reason_code IS NULL").first().question_candidate_id
     assert {r.side: r.source_file for r in pipeline.trace(spark, work, some).collect()} == {"question": "期中数学.docx", "answer": "期中数学答案.docx"}
