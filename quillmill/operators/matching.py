@@ -15,9 +15,21 @@ from quillmill.schemas import SCORE
 WEIGHTS = {"number": 0.35, "sequence": 0.15, "file": 0.1, "type": 0.1, "counts": 0.05, "format": 0.05, "order": 0.1, "semantic": 0.05, "title": 0.05}
 
 
-def candidate_pairs(questions: DataFrame, answers: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of one cluster that agree on the keys; never across clusters."""
-    return questions.join(answers, ["cluster_id", *keys])
+def candidate_pairs(questions: DataFrame, answers: DataFrame, reach: int) -> DataFrame:
+    """(cluster_id, q, a): pairs of one cluster, from (cluster_id, q, qp, qn, low, last_qp) and (cluster_id, a, ap, an).
+
+    An answer within `reach` places of a question is a candidate, counted from the beginning or from the last aligned
+    question (last_qp, with its answer at low), and so is one of the same number, if the number stands once on one
+    side: a number that both sides repeat tells nothing, and its pairs would grow with the square of a cluster.
+    """
+    expected = F.coalesce(F.col("low") + F.col("qp") - F.col("last_qp"), F.col("qp")).cast("int")
+    near = F.array_union(F.sequence(F.col("qp") - reach, F.col("qp") + reach), F.sequence(expected - reach, expected + reach))
+    placed = questions.select("cluster_id", "q", F.explode(near).alias("ap")).join(answers.select("cluster_id", "ap", "a"), ["cluster_id", "ap"]).select("cluster_id", "q", "a")
+    counted = lambda df, n, c: df.groupBy("cluster_id", F.col(n).alias("number")).agg(F.count("*").alias(c))
+    telling = counted(questions, "qn", "nq").join(counted(answers, "an", "na"), ["cluster_id", "number"]).where("nq = 1 OR na = 1").select("cluster_id", "number")
+    mine = questions.select("cluster_id", F.col("qn").alias("number"), "q").join(telling, ["cluster_id", "number"])
+    same = mine.join(answers.select("cluster_id", F.col("an").alias("number"), "a"), ["cluster_id", "number"]).select("cluster_id", "q", "a")
+    return placed.union(same).distinct()
 
 
 def evidence_score(signals: dict[str, Column], conflict: Column | None = None) -> Column:
@@ -103,9 +115,8 @@ def signals(questions: DataFrame, answers: DataFrame, reach: int = 2) -> DataFra
     """(cluster_id, q, a, conflict, and a column for each of WEIGHTS): the evidence for pairs of one cluster, each signal 0 or 1.
 
     Both sides have cluster_id, ord, number (int), id, document, file (what file names of one exam share) and fields (an
-    array of what the document says of itself); questions have kind and stem, answers have answer. Pairs are those of equal
-    numbers and those within `reach` places of each other, by order or counted from the last aligned question, so
-    an answer under another number is seen and no cluster is paired with itself.
+    array of what the document says of itself); questions have kind and stem, answers have answer. The pairs are those of
+    candidate_pairs, so an answer under another number is seen and no cluster is paired with itself.
 
     number: equal. sequence: aligned in the sequences of both sides. order: the answers of the nearest aligned questions
     before and after stand before and after this one, of which one at least is there, or both sides have one
@@ -124,11 +135,7 @@ def signals(questions: DataFrame, answers: DataFrame, reach: int = 2) -> DataFra
     q = q.join(a.select("cluster_id", F.col("a").alias("aligned"), F.col("ap").alias("at")), ["cluster_id", "aligned"], "left")
     past, next_ = by("q").rowsBetween(W.unboundedPreceding, -1), by("q").rowsBetween(1, W.unboundedFollowing)
     q = q.withColumns({"low": F.last("at", ignorenulls=True).over(past), "high": F.first("at", ignorenulls=True).over(next_), "last_qp": F.last(F.when(F.col("at").isNotNull(), F.col("qp")), ignorenulls=True).over(past)})
-    expected = F.coalesce(F.col("low") + F.col("qp") - F.col("last_qp"), F.col("qp"))
-    near = F.array_union(F.sequence(F.col("qp") - reach, F.col("qp") + reach), F.sequence(expected.cast("int") - reach, expected.cast("int") + reach))
-    placed = q.select("cluster_id", "q", F.explode(near).alias("ap")).join(a.select("cluster_id", "ap", "a"), ["cluster_id", "ap"]).select("cluster_id", "q", "a")
-    same = q.select("cluster_id", "q", F.col("qn").alias("an")).join(a.select("cluster_id", "an", "a"), ["cluster_id", "an"]).select("cluster_id", "q", "a")
-    pairs = placed.union(same).distinct().join(q.drop("ord"), ["cluster_id", "q"]).join(a.drop("ord"), ["cluster_id", "a"])
+    pairs = candidate_pairs(q, a, reach).join(q.drop("ord"), ["cluster_id", "q"]).join(a.drop("ord"), ["cluster_id", "a"])
     letters = F.coalesce(F.col("answer").rlike("^[A-H]{1,8}$"), F.lit(False))
     each = F.split("answer", "")
     both = F.zip_with("qfields", "afields", lambda x, y: F.when(x.isNotNull() & y.isNotNull(), x == y))
