@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.llm import alignment, chat, decontaminate, divergence, linededup, packing, quality, simhash, sql, tokens, urls, warc
+from quillmill.llm import alignment, chat, decontaminate, divergence, linededup, packing, quality, simhash, sql, tokens, urls, vectorcodes, warc
 from quillmill.llm.common import shared_dir, staged, table
 
 
@@ -67,6 +67,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
 
@@ -82,8 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op12_vector_codes": op12_vector_codes,
     "op13_alignment": op13_alignment,
 }
 
 #: The others hold a fitted model, a tokenizer or a hash that SQL lacks; brute force tests them.
-ORACLE_SQL: dict[str, str] = {"op5_chat": sql.OP5_CHAT, "op9_warc": sql.OP9_WARC, "op10_quality_rules": sql.OP10_RULES}
+ORACLE_SQL: dict[str, str] = {"op5_chat": sql.OP5_CHAT, "op9_warc": sql.OP9_WARC, "op10_quality_rules": sql.OP10_RULES, "op12_vector_codes": sql.OP12_VECTORS}

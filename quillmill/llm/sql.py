@@ -51,3 +51,28 @@ k AS (SELECT * EXCLUDE (words), list_append(common, n_words - list_sum(common))
 f AS (SELECT lang, [{', '.join(f'sum(chars[{i}])' for i in range(1, 6))}] AS char_reference, [{', '.join(f'sum(counts[{i}])' for i in range(1, 14))}] AS word_reference FROM k WHERE NOT base_failed GROUP BY lang),
 j AS (SELECT k.*, CASE WHEN word_chars >= 300 THEN {_distance('chars', 'char_reference')} END AS cd, CASE WHEN n_words >= 100 AND listed IS NOT NULL THEN {_distance('counts', 'word_reference')} END AS wd FROM k LEFT JOIN f USING (lang))
 SELECT doc_id, n_words, word_chars::bigint AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(cd <= 0.27, true) AND coalesce(wd <= 0.28, true) AS kept FROM j"""
+
+
+def _assigned(book: str) -> str:
+    """The nearest entry of each part: distance and index in one number, so that equal distances go to the lower index."""
+    far = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"SELECT row, part, x, m % 64 AS i, m // 64 AS far FROM (SELECT row, part, any_value(x) AS x, min({far} * 64 + i) AS m FROM p JOIN {book} USING (part) GROUP BY row, part)"
+
+
+def _refined(book: str, assigned: str) -> str:
+    """The entries of a codebook, each replaced by the floors of its parts' means."""
+    means = f"SELECT part, i, list(floor(s / n)::bigint ORDER BY pos) AS mean FROM (SELECT part, i, pos, sum(x[pos]) AS s, count(*) AS n FROM {assigned}, unnest(range(1, len(x) + 1)) AS u(pos) GROUP BY part, i, pos) GROUP BY part, i"
+    return f"SELECT part, i, coalesce(mean, c) AS c FROM {book} LEFT JOIN ({means}) USING (part, i)"
+
+
+OP12_VECTORS = f"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT row, part, e[part * (len(e) // 16) + 1:(part + 1) * (len(e) // 16)] AS x FROM v, unnest(range(16)) AS u(part)),
+k0 AS (SELECT part, row - 1 AS i, x AS c FROM p WHERE row <= 64),
+a0 AS MATERIALIZED ({_assigned("k0")}), k1 AS MATERIALIZED ({_refined("k0", "a0")}),
+a1 AS MATERIALIZED ({_assigned("k1")}), k2 AS MATERIALIZED ({_refined("k1", "a1")}),
+a2 AS MATERIALIZED ({_assigned("k2")}),
+s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, i)) AS codebooks_sha256 FROM k2),
+f AS (SELECT row, string_agg(lpad(lower(hex(i::bigint)), 2, '0'), '' ORDER BY part) AS code, sum(far)::bigint AS error FROM a2 GROUP BY row)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::bigint AS label_error, codebooks_sha256 FROM f JOIN v USING (row), s"""
