@@ -5,8 +5,9 @@ sorted by offset within each task, and streamed through a small state machine: w
 group of tokens is closed, and every stretch between two events beside each other is covered by one token of each
 side, which is a link. So links are as many as different offsets, and no token is compared with any other.
 
-An event row holds the events of one side that fall into BLOCK bytes of a text, so a row is bounded whatever the text,
-and events take some three bytes each in the shuffle. The state is the open group: the events since both sides met last.
+An event row holds the events of one side that fall into BLOCK bytes of a text, so a row is bounded whatever the text. An
+event is its id alone: an id's bytes are known, so offsets add up along the events of a side. The state is the open
+group: the events since both sides met last.
 
 The counts of linked id pairs need all documents. A sweep cuts its links into batches of bounded size, each with a
 dictionary of its different id pairs and their numbers. Only the dictionaries are shuffled by pair; the counts come
@@ -84,37 +85,41 @@ def encoded(text: str | None, a, b) -> tuple[np.ndarray, np.ndarray]:
     return (ids_a, ids_b) if same else (none, none)
 
 
+def _sign(sizes: np.ndarray) -> str:
+    """How ids of a vocabulary are written."""
+    return "<u2" if len(sizes) <= 1 << 16 else "<u4"
+
+
 def end_events(df: DataFrame, path_a: str, path_b: str, key: str, text: str, block: int = BLOCK) -> DataFrame:
-    """(row, name, at, side, ids, sizes): the end events of both sides of each row of df, in rows for `block` bytes each.
+    """(row, name, at, side, ids): the end events of both sides of each row of df, in rows for `block` bytes each.
 
-    `row` numbers the rows of df, `name` is the key as text, `at` the number of the block, `side` 0 or 1. Sizes are the
-    tokens' bytes, so an event's offset is the sum of those before it. A text without tokens has one row without events.
+    `row` numbers the rows of df, `name` is the key as text, `at` the number of the block, `side` 0 or 1. An event's offset is the
+    sum of the bytes of its id and of those before it. A text without tokens has one row without events.
     """
     docs = df.select(F.monotonically_increasing_id().alias("row"), df[f"`{key}`"].cast("string").alias("name"), df[f"`{text}`"].cast("string").alias("t"))
 
     def events(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = _side(ByteLevel, path_a), _side(Pieces, path_b)
-        columns = ["row", "name", "at", "side", "ids", "sizes"]
+        columns, signs = ["row", "name", "at", "side", "ids"], [_sign(x.sizes) for x in (a, b)]
         for batch in batches:
             out, held = [], 0
             for row, name, t in zip(batch["row"], batch["name"], batch["t"], strict=True):
                 both = encoded(t, a, b)
                 if not len(both[0]):
-                    out.append((row, name, 0, 0, b"", b""))
+                    out.append((row, name, 0, 0, b""))
                 for side, ids, of in zip((0, 1), both, (a, b), strict=True):
-                    sizes = of.sizes[ids]
-                    places = (np.cumsum(sizes) - 1) // block
+                    places = (np.cumsum(of.sizes[ids]) - 1) // block
                     cuts = np.flatnonzero(np.diff(places)) + 1
                     for first, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
                         if stop > first:
-                            out.append((row, name, int(places[first]), side, ids[first:stop].tobytes(), sizes[first:stop].astype("<u2").tobytes()))
+                            out.append((row, name, int(places[first]), side, ids[first:stop].astype(signs[side]).tobytes()))
                 held += len(t or "")
                 if held > 1 << 24:
                     yield pd.DataFrame(out, columns=columns)
                     out, held = [], 0
             yield pd.DataFrame(out, columns=columns)
 
-    return docs.mapInPandas(events, "row long, name string, at long, side int, ids binary, sizes binary")
+    return docs.mapInPandas(events, "row long, name string, at long, side int, ids binary")
 
 
 class Stretch:
@@ -151,22 +156,23 @@ def _decimals(n: int) -> np.ndarray:
     return np.array([b"%c%d" % (c, i) for c in b",;|" for i in range(n)], object)
 
 
-def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, str | None, Stretch | None]]:
-    """(row, name, stretch) for the sorted event rows of whole texts; a text ends with (row, name, None).
+def sweep(batches: Iterator[pd.DataFrame], sizes: list[np.ndarray]) -> Iterator[tuple[int, str | None, Stretch | None]]:
+    """(row, name, stretch) for the sorted event rows of whole texts, with the bytes of each side's ids; a text ends with (row, name, None).
 
     The state is the open group. It is joined with a block's events only where the block holds an offset at which both
     sides end, so the work is in proportion to the events.
     """
-    last, name, held, at = None, None, ([], []), [0, 0]
+    last, name, held, at, signs = None, None, ([], []), [0, 0], [_sign(s) for s in sizes]
     empty = np.zeros(0, np.int64)
 
     def pieces(rows: list) -> Iterator[Stretch]:
         """Add the events of one block; a stretch up to the block's last meeting."""
         new = [(empty, empty), (empty, empty)]
-        for side, ids, sizes in rows:
-            ends = at[side] + np.cumsum(np.frombuffer(sizes, "<u2").astype(np.int64))
+        for side, written in rows:
+            ids = np.frombuffer(written, signs[side])
+            ends = at[side] + np.cumsum(sizes[side][ids])
             at[side] = int(ends[-1]) if len(ends) else at[side]
-            new[side] = (np.frombuffer(ids, "<u4"), ends)
+            new[side] = (ids, ends)
         common = np.intersect1d(new[0][1], new[1][1], assume_unique=True)
         if not len(common):
             for side in (0, 1):
@@ -185,7 +191,7 @@ def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, str | None, St
 
     block, waiting = None, []
     for batch in batches:
-        for row, label, place, side, ids, sizes in zip(batch["row"].tolist(), batch["name"], batch["at"].tolist(), batch["side"].tolist(), batch["ids"], batch["sizes"], strict=True):
+        for row, label, place, side, written in zip(batch["row"].tolist(), batch["name"], batch["at"].tolist(), batch["side"].tolist(), batch["ids"], strict=True):
             if (row, place) != block:
                 for s in pieces(waiting):
                     yield last, name, s
@@ -196,13 +202,17 @@ def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, str | None, St
                 last, name, at = row, label, [0, 0]
                 for h in held:
                     h.clear()
-            waiting.append((side, ids, sizes))
+            waiting.append((side, written))
     for s in pieces(waiting):
         yield last, name, s
     if last is not None:
         yield last, name, None
 
 
+def _sizes(path_a: str, path_b: str) -> list[np.ndarray]:
+    return [_side(ByteLevel, path_a).sizes, _side(Pieces, path_b).sizes]
+
+
 def _swept(events: DataFrame) -> DataFrame:
     return events.repartition("row").sortWithinPartitions("row", "at", "side")
 
@@ -214,11 +224,11 @@ def groups(df: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text: s
     A text that is null or empty, or that one of the two changes, has none. Columns other than the two named ones are not read.
     """
     ship(df.sparkSession)
-    kind = df.schema[key].dataType.simpleString()
+    kind, sizes = df.schema[key].dataType.simpleString(), _sizes(path_a, path_b)
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, begin = [], 0
-        for row, name, s in sweep(batches):
+        for row, name, s in sweep(batches, sizes):
             if s is None:
                 begin = 0
                 continue
@@ -238,7 +248,7 @@ def groups(df: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text: s
     return found.select(F.col("name").cast(kind).alias(key), "row", "start", "stop", "a", "b", "links")
 
 
-def _batches(most_links: int, most_docs: int):
+def _batches(sizes: list[np.ndarray], most_links: int, most_docs: int):
     """The sweep's consumer: a row for each text (and batch) with its pairs as places in the batch's dictionary, and the dictionaries."""
     from pyspark import TaskContext
 
@@ -272,7 +282,7 @@ def _batches(most_links: int, most_docs: int):
             batch, rows, codes, times, kept = batch + 1, [], [], [], 0
             return frame
 
-        for row, name, s in sweep(batches):
+        for row, name, s in sweep(batches, sizes):
             if s is None:
                 add(row, name, True)
             else:
@@ -303,7 +313,7 @@ def align(df: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text: st
     ship(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     schema = "batch long, row long, name string, n_a long, n_b long, n_groups long, n_links long, digest string, places binary, times binary, pairs array<long>, numbers array<long>"
-    swept = staged(_swept(end_events(df, path_a, path_b, key, text, block)).mapInPandas(_batches(most_links, most_docs), schema), "swept")
+    swept = staged(_swept(end_events(df, path_a, path_b, key, text, block)).mapInPandas(_batches(_sizes(path_a, path_b), most_links, most_docs), schema), "swept")
     each = swept.where("row IS NULL").select("batch", F.explode(F.arrays_zip("pairs", "numbers")).alias("p")).select("batch", F.col("p.pairs").alias("pair"), F.col("p.numbers").alias("n"))
     counts = staged(each.groupBy("pair").agg(F.sum("n").alias("count")), "counts")
     b_id = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))
