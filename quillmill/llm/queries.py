@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.llm import alignment, chat, decontaminate, divergence, linededup, packing, quality, simhash, sql, tokens, urls, vectorcodes, warc
+from quillmill.llm import alignment, chat, decontaminate, divergence, linededup, packing, quality, setjoin, simhash, sql, tokens, urls, vectorcodes, warc
 from quillmill.llm.common import shared_dir, staged, table
 
 
@@ -67,6 +67,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.joined_sets(table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op11_set_join": op11_set_join,
     "op12_vector_codes": op12_vector_codes,
     "op13_alignment": op13_alignment,
 }

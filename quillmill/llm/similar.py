@@ -14,7 +14,7 @@ pairs are never rows, and nothing is capped.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -121,32 +121,15 @@ def _blockwise(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     return members.groupBy("key", "low", "high").applyInPandas(compared, "a long, b long").distinct()
 
 
-def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float = SIMILARITY) -> DataFrame:
-    """Per row of df with a key: the key and component_id, the smallest key that the row reaches by similar texts.
+def connected(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """(node, root): the components of the nodes that similar sets link, of pairs that share a key of postings (node, key).
 
-    Similar are texts whose sets of shingles of `size` words (ASCII lower case; a shorter text is one shingle) have a Jaccard similarity
-    of at least `similarity`. Null, empty and blank texts are all similar to each other. An empty table gives an empty result.
+    sets_of gives (node, shingles) for a table of nodes. Nodes without links may be missing.
     """
-    ship(df.sparkSession)
-
-    @F.pandas_udf("array<long>")
-    def bands(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([bands_of(t, size) for t in batch])
-
-    @F.pandas_udf("array<long>")
-    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([shingle_set(t, size) for t in batch])
-
-    rows = df.where(df[f"`{key}`"].isNotNull()).select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), _node(text).alias("node"))
-    docs = staged(rows.select("doc_id", "node", bands("text").alias("bands")), "bands")
-    distinct = staged(docs.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("bands").alias("bands")), "distinct")
-    postings = distinct.select("node", F.explode("bands").alias("key"))
     several = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     placed = staged(postings.join(several, "key").withColumn("root", F.col("node")), "postings")
     weights = staged(placed.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
-    sets = staged(rows.join(weights, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")).select("node", shingles("text").alias("shingles")), "sets")
+    sets = staged(sets_of(weights.select("node")), "sets")
     placed, nodes, edges = placed.join(weights, "node").select("key", "node", "root", "weight"), weights.count(), None
     for turn in range(ROUNDS + 1):
         counts = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
@@ -165,8 +148,33 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size:
         edges = links if edges is None else links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = components(edges)
         if last:
-            break
+            return roots
         placed = placed.join(roots, "node", "left").select("key", "node", F.coalesce(roots.root, "node").alias("root"), "weight")
+
+
+def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float = SIMILARITY) -> DataFrame:
+    """Per row of df with a key: the key and component_id, the smallest key that the row reaches by similar texts.
+
+    Similar are texts whose sets of shingles of `size` words (ASCII lower case; a shorter text is one shingle) have a Jaccard similarity
+    of at least `similarity`. Null, empty and blank texts are all similar to each other. An empty table gives an empty result.
+    """
+    ship(df.sparkSession)
+
+    @F.pandas_udf("array<long>")
+    def bands(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([bands_of(t, size) for t in batch])
+
+    @F.pandas_udf("array<long>")
+    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([shingle_set(t, size) for t in batch])
+
+    rows = df.where(df[f"`{key}`"].isNotNull()).select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), _node(text).alias("node"))
+    docs = staged(rows.select("doc_id", "node", bands("text").alias("bands")), "bands")
+    distinct = staged(docs.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("bands").alias("bands")), "distinct")
+    sets = lambda nodes: rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")).select("node", shingles("text").alias("shingles"))
+    roots = connected(distinct.select("node", F.explode("bands").alias("key")), sets, similarity)
     found = staged(distinct.join(roots, distinct.node == roots.node, "left").select(distinct.node, "least", F.coalesce("root", distinct.node).alias("root")), "roots")
     first = found.groupBy("root").agg(F.min("least").alias("component_id"))
     named = found.join(first, "root").select("node", "component_id")
