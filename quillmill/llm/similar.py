@@ -10,6 +10,9 @@ components: large groups become one in few rounds. The pairs that are then left,
 components, are all compared, in blocks: a band's members are dealt into blocks of bounded size, and each pair of
 blocks is one group, whatever the size of the band. So every proposed pair is either decided or inside one component,
 pairs are never rows, and nothing is capped.
+
+Before sets are compared their sketches are: bits that say whether an odd number of a set's shingles falls on a place. They
+differ in no more bits than the sets in shingles, so pairs that differ in too many cannot be similar and go without their sets.
 """
 
 from __future__ import annotations
@@ -80,40 +83,109 @@ def similar_pairs(sets: list[np.ndarray], roots: np.ndarray, blocks: np.ndarray,
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int), np.zeros(0, int))
 
 
+def odd_sketch(shingles: np.ndarray) -> bytes:
+    """A bit for each of B places, B a power of two of at least twice the set's size: whether an odd number of shingles falls on it.
+
+    Sets that differ in d shingles have sketches that differ in d bits at most. Folded in half, a sketch is that of half the places.
+    """
+    places = 64
+    while places < 2 * len(shingles):
+        places *= 2
+    at = (shingles.view(np.uint64) >> np.uint64(7)) % np.uint64(places)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=places) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """A sketch of as many 64-bit words."""
+    while len(sketch) > words:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
+
+
+def may_be_similar(a: bytes, b: bytes, n: int, m: int, similarity: float) -> bool:
+    """False only if sets of n and m shingles with these sketches cannot reach the similarity."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    words = min(len(x), len(y))
+    return min(n, m) >= similarity * max(n, m) - 1e-9 and int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()) <= (n + m) * (1 - similarity) / (1 + similarity) + 1e-6
+
+
+def possible(sketches: list[bytes], sizes: np.ndarray, roots: np.ndarray, blocks: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the members may be similar to another one with a different root; of two blocks, to one of the other block."""
+    own = [np.frombuffer(x, np.uint64) for x in sketches]
+    words, out, two = np.array([len(x) for x in own]), np.zeros(len(own), bool), len(np.unique(blocks)) > 1
+    for level in np.unique(words):  # pairs whose shorter sketch has this length
+        here = np.flatnonzero(words >= level)
+        bits, n, root, block, least = np.array([folded(own[i], level) for i in here]), sizes[here], roots[here], blocks[here], words[here] == level
+        for i in range(len(here)):
+            j = np.arange(i + 1, len(here))
+            j = j[(root[j] != root[i]) & (least[j] | least[i]) & (np.minimum(n[j], n[i]) >= similarity * np.maximum(n[j], n[i]) - 1e-9)]
+            j = j[block[j] != block[i]] if two else j
+            j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64) <= (n[j] + n[i]) * (1 - similarity) / (1 + similarity) + 1e-6]
+            if len(j):
+                out[here[i]] = True
+                out[here[j]] = True
+    return out
+
+
 def _node(text: str) -> Column:
     """Rows of equal text are one node."""
     return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets of shingles reach the similarity."""
+    """The pairs (a, b) whose sets of shingles reach the similarity. Sketches are compared first: they are short, and sets are joined to what they leave."""
+
+    @F.pandas_udf("boolean")
+    def screened(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for a, b, n, m in batches:
+            yield pd.Series([may_be_similar(*x, similarity) for x in zip(a, b, n, m, strict=True)], dtype=bool)
 
     @F.pandas_udf("boolean")
     def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for left, right in batches:
             yield pd.Series([is_similar(a, b, similarity) for a, b in zip(left, right, strict=True)], dtype=bool)
 
+    left, right = (sets.select(F.col("node").alias(c), F.col("sketch").alias(f"s{c}"), F.col("size").alias(f"n{c}")) for c in "ab")
+    pairs = staged(pairs.join(left, "a").join(right, "b").where(screened("sa", "sb", "na", "nb")).select("a", "b"), "screened")
     left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
     return pairs.join(left, "a").join(right, "b").where(similar("_a", "_b")).select("a", "b")
 
 
+def _dealt(placed: DataFrame, size: str, most: int) -> DataFrame:
+    """Rows (key, low, high, block, node, root) for each pair of blocks of a key; a block has `most` of the summed `size` on average at most, and BLOCK_MEMBERS members."""
+    dealt = placed.groupBy("key").agg(F.greatest(F.sum(size) / most, F.count("*") / BLOCK_MEMBERS).alias("x")).select("key", F.ceil("x").cast("int").alias("blocks"))
+    own = placed.join(dealt.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.greatest(F.col("blocks"), F.lit(1))).cast("int"))
+    pairs = own.select("key", "node", "root", "block", F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks"), F.lit(1)) - 1)).alias("other"))
+    return pairs.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root")
+
+
+def _one_sided(frame: pd.DataFrame) -> bool:
+    """Whether one of two blocks has no members."""
+    return frame["low"].iat[0] != frame["high"].iat[0] and frame["block"].min() == frame["block"].max()
+
+
 def _blockwise(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) that connect what all similar pairs of members of a band in different components connect.
 
-    A pair of blocks is a group: its size is bounded by the blocks, so a large band is many groups on many tasks.
+    A pair of blocks is a group: its size is bounded by the blocks, so a large band is many groups on many tasks. At first
+    members are compared by their sketches, which take a sixteenth of the sets at most; those that may be similar to none go. The
+    sets are joined to the others alone.
     """
-    rows = placed.join(sets.select("node", F.size("shingles").alias("size")), "node")
-    dealt = rows.groupBy("key").agg(F.greatest(F.sum("size") / BLOCK_SHINGLES, F.count("*") / BLOCK_MEMBERS).alias("x")).select("key", F.ceil("x").cast("int").alias("blocks"))
-    own = rows.join(dealt.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.greatest(F.col("blocks"), F.lit(1))).cast("int"))
-    pairs = own.select("key", "node", "root", "block", F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks"), F.lit(1)) - 1)).alias("other"))
-    pairs = pairs.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root")
-    members = pairs.join(sets.hint("merge"), "node")
+    sized = placed.join(sets.select("node", "size"), "node")
+    members = _dealt(sized, "size", 16 * BLOCK_SHINGLES).join(sets.select("node", "size", "sketch").hint("merge"), "node")
+
+    def tried(frame: pd.DataFrame) -> pd.DataFrame:
+        stay = np.zeros(len(frame), bool) if _one_sided(frame) else possible(list(frame["sketch"]), frame["size"].to_numpy(), frame["root"].to_numpy(), frame["block"].to_numpy(), similarity)
+        return frame.loc[stay, ["key", "node", "root", "size"]]
+
+    left = members.groupBy("key", "low", "high").applyInPandas(tried, "key long, node long, root long, size long").distinct()
+    members = _dealt(staged(left, "possible"), "size", BLOCK_SHINGLES).join(sets.select("node", "shingles").hint("merge"), "node")
 
     def compared(frame: pd.DataFrame) -> pd.DataFrame:
-        nodes, blocks = frame["node"].to_numpy(), frame["block"].to_numpy()
-        if frame["low"].iat[0] != frame["high"].iat[0] and blocks.min() == blocks.max():  # one of two blocks has no members
+        nodes = frame["node"].to_numpy()
+        if _one_sided(frame):
             return pd.DataFrame({"a": nodes[:0], "b": nodes[:0]})
-        a, b = similar_pairs([np.asarray(x, np.int64) for x in frame["shingles"]], frame["root"].to_numpy(), blocks, similarity)
+        a, b = similar_pairs([np.asarray(x, np.int64) for x in frame["shingles"]], frame["root"].to_numpy(), frame["block"].to_numpy(), similarity)
         root = local_roots(len(nodes), a, b)
         later = np.flatnonzero(root != np.arange(len(nodes)))
         return pd.DataFrame({"a": nodes[later], "b": nodes[root[later]]})
@@ -129,7 +201,13 @@ def connected(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], si
     several = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     placed = staged(postings.join(several, "key").withColumn("root", F.col("node")), "postings")
     weights = staged(placed.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
-    sets = staged(sets_of(weights.select("node")), "sets")
+
+    @F.pandas_udf("binary")
+    def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([odd_sketch(np.asarray(x, np.int64)) for x in batch])
+
+    sets = staged(sets_of(weights.select("node")).select("node", "shingles", F.size("shingles").cast("long").alias("size"), sketched("shingles").alias("sketch")), "sets")
     placed, nodes, edges = placed.join(weights, "node").select("key", "node", "root", "weight"), weights.count(), None
     for turn in range(ROUNDS + 1):
         counts = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
