@@ -1,17 +1,17 @@
 """Line dedup by winnowing over line hashes, in DataFrame operations alone.
 
-A text is the sequence of the hashes of its lines that have a word; other lines are passed over. From each line, a
-window takes as few lines as hold `least_words` words. The minimum of a window's hashes (the first of equal ones)
-is its fingerprint, and windows beside each other mostly share one, so the index holds the distinct minima with the
-windows that chose them. Any repeated run of `least_words` words holds a whole window, which chooses the same line in
-both texts: a guaranteed fingerprint. So a fingerprint that the corpus has once cannot be part of a repeated run, and
-its windows go no further. Those of repeated fingerprints are compared by all their lines and joined, at the places of
-their fingerprints, to their first occurrence; the two places give the shift between the texts.
-
-Matches of one shift grow both ways. Any whole window of a run is matched itself, so to the left, and to the right
-as long as a window fits, a match grows by joining the matched windows beside it (gaps and islands). At the right end
-fewer than `least_words` words may be left, too few for a window; these lines are compared one by one. No row of a
-match carries more than these few lines of either text.
+A text is the sequence of the hashes of its lines that have a word; other lines are passed over. Windows are the shortest
+stretches of `least_words` words that begin at a line, and the shortest that end at one. The minimum of a window's
+hashes (the first of equal ones) is its fingerprint, and windows beside each other mostly share one, so the index
+holds the distinct minima with the windows that chose them. Any repeated run of `least_words` words holds a whole window, which
+chooses the same line in both texts: a guaranteed fingerprint. So a fingerprint that the corpus has once cannot be part
+of a repeated run, and its windows go no further. Those of repeated fingerprints are compared by all their lines and joined, at
+their fingerprint, to the first of all places that have them.
+
+A match extends both ways by the windows beside it. Every line of a run lies in a window that begins in the run and ends in it: to
+the left, where a window that begins at the line still fits, and at the right end, where it does not, in one that ends
+at the run's last line. Each window finds an earlier place of its own, so a run is matched from end to end, whatever texts
+hold its parts, and no text is compared with another one line by line.
 """
 
 from __future__ import annotations
@@ -39,70 +39,59 @@ def line_hashes(df: DataFrame, key: str, text: str) -> DataFrame:
     return split.select("k", "th", F.transform("lines", lambda p: F.xxhash64(p["line"])).alias("hashes"), sizes.alias("sizes"), F.col("lines.i").alias("places"))
 
 
-def fingerprints(lines: DataFrame, least_words: int) -> DataFrame:
-    """(k, th, print, at, windows): each distinct window minimum, its place, and (first, stop, key) of the windows that chose it."""
-    taken = F.expr(f"""
-        transform(sizes, (size, i) -> aggregate(slice(sizes, i + 1, {least_words}), named_struct('words', 0, 'lines', 0),
+def _taken(sizes: str, least_words: int) -> Column:
+    """From each line on, how many lines hold the words of a window, and how many words these are."""
+    return F.expr(f"""
+        transform({sizes}, (size, i) -> aggregate(slice({sizes}, i + 1, {least_words}), named_struct('words', 0, 'lines', 0),
             (a, w) -> if(a.words >= {least_words}, a, named_struct('words', a.words + w, 'lines', a.lines + 1))))""")
-    counted = lines.select("k", "th", "hashes", taken.alias("taken"))
-    parts = F.expr(f"""
-        filter(transform(taken, (w, i) -> if(w.words >= {least_words}, named_struct('first', i, 'stop', i + w.lines, 'part', slice(hashes, i + 1, w.lines)), null)), w -> w IS NOT NULL)""")
-    cut = counted.select("k", "th", "hashes", parts.alias("parts")).where("size(parts) > 0")
-    each = F.expr("transform(parts, w -> named_struct('first', w.first, 'stop', w.stop, 'at', int(w.first + array_position(w.part, array_min(w.part)) - 1), 'key', xxhash64(w.part)))")
-    windows = cut.select("k", "th", "hashes", each.alias("w"))
+
+
+def fingerprints(lines: DataFrame, least_words: int) -> DataFrame:
+    """(k, th, print, windows): each distinct window minimum and the windows that chose it, with their places and a hash of all their lines.
+
+    Places are first and stop in the sequence of lines with words, and low and high in the text.
+    """
+    counted = lines.select("k", "th", "hashes", "places", _taken("sizes", least_words).alias("begin"), _taken("reverse(sizes)", least_words).alias("end"))
+    begin = f"transform(begin, (w, i) -> if(w.words >= {least_words}, named_struct('first', i, 'stop', i + w.lines), null))"
+    end = f"transform(end, (w, i) -> if(w.words >= {least_words}, named_struct('first', size(hashes) - i - w.lines, 'stop', size(hashes) - i), null))"
+    cut = counted.select("k", "th", "hashes", "places", F.expr(f"array_sort(array_distinct(array_compact(concat({begin}, {end}))))").alias("parts")).where("size(parts) > 0")
+    each = F.expr("transform(transform(parts, w -> named_struct('first', w.first, 'stop', w.stop, 'part', slice(hashes, w.first + 1, w.stop - w.first))), w -> named_struct('first', w.first, 'stop', w.stop, 'at', int(w.first + array_position(w.part, array_min(w.part)) - 1), 'key', xxhash64(w.part)))")
+    windows = cut.select("k", "th", "hashes", "places", each.alias("w"))
     # windows move to the right and so do their minima: those with one minimum stand side by side
     starts = F.expr("filter(transform(w, (x, n) -> if(n = 0 OR x.at <> get(w, n - 1).at, n, null)), n -> n IS NOT NULL)")
-    begun = windows.select("k", "th", "hashes", "w", starts.alias("starts"))
+    begun = windows.select("k", "th", "hashes", "places", "w", starts.alias("starts"))
     groups = F.expr("zip_with(starts, concat(slice(starts, 2, size(starts)), array(size(w))), (a, b) -> slice(w, a + 1, b - a))")
-    found = begun.select("k", "th", "hashes", F.explode(groups).alias("g"))
-    return found.select("k", "th", F.expr("get(hashes, g[0].at)").alias("print"), F.expr("g[0].at").alias("at"), F.expr("transform(g, w -> named_struct('first', w.first, 'stop', w.stop, 'key', w.key))").alias("windows"))
+    found = begun.select("k", "th", "hashes", "places", F.explode(groups).alias("g"))
+    placed = F.expr("transform(g, w -> named_struct('first', w.first, 'stop', w.stop, 'low', get(places, w.first), 'high', get(places, w.stop - 1), 'key', w.key))")
+    return found.select("k", "th", F.expr("get(hashes, g[0].at)").alias("print"), placed.alias("windows"))
 
 
 def matches(found: DataFrame) -> DataFrame:
-    """(k, th, k0, th0, shift, first, stop): the windows of each text that an earlier place has, with that text and how far the one is shifted.
-
-    Within a text a window is matched to its last occurrence before; the first of a text to the first of all texts.
-    """
+    """(k, th, low, high): the windows of each text that an earlier text has, or an earlier place of the same text that does not overlap."""
     found = staged(found, "fingerprints")
     repeated = found.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
-    windows = found.join(repeated.hint("merge"), "print").select("k", "th", "print", "at", F.explode("windows").alias("w")).select("k", "th", "print", "at", "w.*")
-    in_text = W.partitionBy("print", "key", "k", "th").orderBy("at", "first")
-    windows = staged(windows.withColumn("before", F.lag("at").over(in_text)), "windows")
-    within = windows.where("before IS NOT NULL").select("k", "th", F.col("k").alias("k0"), F.col("th").alias("th0"), (F.col("at") - F.col("before")).alias("shift"), "first", "stop")
-    heads = windows.where("before IS NULL").select("print", "key", "k", "th", "at", "first", "stop")
-    order = F.struct(F.col("k").isNull().alias("none"), "k", "th", "at")
-    first = heads.groupBy("print", "key").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1")
-    first = staged(first.select("print", "key", F.col("f.k").alias("k0"), F.col("f.th").alias("th0"), F.col("f.at").alias("at0")), "first")
-    across = heads.join(first.hint("merge"), ["print", "key"]).where(~(F.col("k").eqNullSafe(F.col("k0")) & (F.col("th") == F.col("th0")))).select("k", "th", "k0", "th0", (F.col("at") - F.col("at0")).alias("shift"), "first", "stop")
-    return within.unionByName(across)
+    windows = staged(found.join(repeated.hint("merge"), "print").select("k", "th", "print", F.explode("windows").alias("w")).select("k", "th", "print", "w.*"), "windows")
+    order = F.struct(F.col("k").isNull().alias("none"), "k", "th", "first")
+    first = windows.groupBy("print", "key").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1")
+    first = first.select("print", "key", F.col("f.k").alias("k0"), F.col("f.th").alias("th0"), F.col("f.first").alias("first0"))
+    same = F.col("k").eqNullSafe(F.col("k0")) & (F.col("th") == F.col("th0"))
+    return windows.join(first.hint("merge"), ["print", "key"]).where(~same | (F.col("first") >= F.col("first0") + F.col("stop") - F.col("first"))).select("k", "th", "low", "high")
 
 
 def repeated_runs(lines: DataFrame, least_words: int) -> DataFrame:
-    """(k, th, gone): the places of the lines of each text that are in a later repeated run."""
-    match = ["k", "th", "k0", "th0", "shift"]
-    along = W.partitionBy(*match).orderBy("first")
-    marked = matches(fingerprints(lines, least_words)).withColumn("begins", F.coalesce(F.col("first") > F.lag("first").over(along) + 1, F.lit(True)).cast("int"))
-    islands = marked.withColumn("island", F.sum("begins").over(along)).groupBy(*match, "island").agg(F.min("first").alias("first"), F.max("stop").alias("stop"))
-    islands = staged(islands.drop("island"), "islands")
-    tail = lambda stop: F.slice("hashes", stop + 1, least_words - 1)
-    earlier = lines.select(F.col("k").alias("ke"), F.col("th").alias("te"), "hashes")
-    both = islands.join(earlier.hint("merge"), (F.col("th0") == F.col("te")) & F.col("k0").eqNullSafe(F.col("ke")))
-    both = both.select("k", "th", "first", "stop", tail(F.col("stop") - F.col("shift")).alias("others"))
-    own = lines.select(F.col("k").alias("ko"), F.col("th").alias("tho"), "hashes", "places")
-    both = both.join(own.hint("merge"), (F.col("th") == F.col("tho")) & F.col("k").eqNullSafe(F.col("ko")))
-    same = both.withColumn("same", F.zip_with(tail(F.col("stop")), "others", lambda x, y: F.coalesce(x == y, F.lit(False))))
-    grown = F.coalesce(F.nullif(F.array_position("same", False), F.lit(0)) - 1, F.size("same"))
-    each = same.select("k", "th", F.slice("places", F.col("first") + 1, (F.col("stop") - F.col("first") + grown).cast("int")).alias("gone"))
-    return each.groupBy("k", "th").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone"))
+    """(k, th, gone): the places of the lines of each text, with any lines without words between them, that are in a later repeated run."""
+    along = W.partitionBy("k", "th").orderBy("low", "high")
+    marked = matches(fingerprints(lines, least_words)).withColumn("begins", F.coalesce(F.col("low") > F.max("high").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(True)).cast("int"))
+    islands = marked.withColumn("island", F.sum("begins").over(along)).groupBy("k", "th", "island").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    return islands.groupBy("k", "th").agg(F.flatten(F.collect_list(F.sequence("low", "high"))).alias("gone"))
 
 
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = 50) -> DataFrame:
     """df with the text without its later repeated runs, and n_lines and n_removed (of lines with a word).
 
     A run of lines with `least_words` words or more goes where the same lines stand in a text with a smaller key,
-    or earlier in the same text; the first occurrence stays. Each window of a run is matched to its own first
-    occurrence (in its own text to the one before), so every repeated window goes, and with it whatever agrees beside
-    it there. Order is by key, then
+    or earlier in the same text without overlap; the first occurrence stays. So a line goes if any run that holds it does, whichever
+    earlier texts hold the parts of its text. Order is by key, then by
     by a hash of the text; null keys come last. Rows that repeat both key and text are one document and are
     treated alike. A null text stays null, an empty one empty; a text may become empty. Lines without a word stay.
     Single long lines are runs of one. A passage inside a line is not a line run. An empty table gives an empty
@@ -114,12 +103,15 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_wo
     names = [c for c in df.columns if c.lower() not in ("n_lines", "n_removed")]
     value = df[f"`{text}`"]
     joined = df.join(runs.hint("merge"), (F.xxhash64(value) == runs["_th"]) & df[f"`{key}`"].eqNullSafe(runs["_k"]), "left")
-    split, gone = _lines(value), runs["_gone"]
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), gone), lambda i: F.get(split, i))
-    left = F.when(gone.isNull(), value).otherwise(F.array_join(kept, "\n"))
-    counts = F.size(F.filter(split, lambda line: line.rlike(_WORD))).cast("long"), F.coalesce(F.size(gone), F.lit(0)).cast("long")
-    out = [left.alias(c) if c.lower() == text.lower() else df[f"`{c}`"] for c in names]
-    return joined.select(*out, counts[0].alias("n_lines"), F.when(gone.isNull(), F.lit(0)).otherwise(counts[1]).cast("long").alias("n_removed"))
+    rows = joined.select(F.struct(*[df[f"`{c}`"] for c in names]).alias("row"), value.alias("text"), _lines(value).alias("split"), runs["_gone"].alias("gone"))
+    blank = F.filter(F.transform("split", lambda line, i: F.struct(line.alias("line"), i.alias("i"))), lambda p: ~p["line"].rlike(_WORD))
+    rows = rows.select("*", F.transform(blank, lambda p: p["i"]).alias("blank"))
+    kept = F.array_sort(F.array_union(F.array_except(F.sequence(F.lit(0), F.size("split") - 1), "gone"), "blank"))
+    rows = rows.select("*", F.when(F.col("gone").isNotNull(), kept).alias("kept"))
+    left = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join(F.transform("kept", lambda i: F.get("split", i)), "\n"))
+    removed = F.when(F.col("kept").isNull(), F.lit(0)).otherwise(F.size("split") - F.size("kept"))
+    out = [left.alias(c) if c.lower() == text.lower() else F.col("row").getField(c).alias(c) for c in names]
+    return rows.select(*out, (F.size("split") - F.size("blank")).cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
 
 
 def renewed(df: DataFrame, key: str = "doc_id", text: str = "text", count: str = "n_chars", least_words: int = 50) -> DataFrame:
