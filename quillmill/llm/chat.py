@@ -74,25 +74,24 @@ def format_conversations(df: DataFrame, key: str = "conv_id", turn: str = "turn"
     in order and in batches, and holds one batch.
     """
     ship(df.sparkSession)
-    rows = df.select(df[f"`{key}`"].alias("conv"), df[f"`{turn}`"].alias("turn"), df[f"`{role}`"].cast("string").alias("role"), df[f"`{text}`"].cast("string").alias("text"))
-    kind = rows.schema["conv"].dataType.simpleString()
+    rows = df.select(df[f"`{key}`"].cast("string").alias("conv"), df[f"`{turn}`"].alias("turn"), df[f"`{role}`"].cast("string").alias("role"), df[f"`{text}`"].cast("string").alias("text"))
+    kind = df.schema[key].dataType.simpleString()
 
     def formatted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, ordinal, at = object(), 0, 0
         for batch in batches:
             out = []
             for conv, r, t in zip(batch["conv"], batch["role"], batch["text"], strict=True):
-                conv = None if pd.isna(conv) else conv
                 if conv != last:
                     last, ordinal, at = conv, 0, 0
                 piece, a, b = format_turn(r, t)
                 out.append((conv, ordinal, piece, at, at + len(piece), at + a, at + b))
                 ordinal, at = ordinal + 1, at + len(piece)
-            frame = pd.DataFrame(out, columns=["conv", "ordinal", "piece", "start", "stop", "loss_start", "loss_stop"])
-            frame["conv"] = frame["conv"].astype(batch["conv"].dtype)
-            yield frame
+            yield pd.DataFrame(out, columns=["conv", "ordinal", "piece", "start", "stop", "loss_start", "loss_stop"])
 
-    return _ordered(rows, "turn", "role", "text").mapInPandas(formatted, f"conv {kind}, ordinal long, piece string, start long, stop long, loss_start long, loss_stop long")
+    # keys go through Python as text: a batch with a null makes numbers of other keys inexact
+    made = _ordered(rows, "turn", "role", "text").mapInPandas(formatted, "conv string, ordinal long, piece string, start long, stop long, loss_start long, loss_stop long")
+    return made.withColumn("conv", F.col("conv").cast(kind))
 
 
 def laid_out(pieces: DataFrame, turns: int = TURNS) -> DataFrame:
@@ -127,8 +126,9 @@ def read_back(examples: DataFrame) -> DataFrame:
     order, so one task reads them, in batches, whatever their number.
     """
     kind = examples.schema["conv"].dataType.simpleString()
-    masked = examples.where("loss_stop > loss_start").select("conv", F.lit(1).alias("what"), F.col("ordinal").alias("at"), F.expr("substring(text, int(loss_start + 1), int(loss_stop - loss_start))").alias("text"))
-    texts = examples.where("last").select("conv", F.lit(0).alias("what"), F.col("part").alias("at"), "text")
+    named = F.col("conv").cast("string").alias("conv")
+    masked = examples.where("loss_stop > loss_start").select(named, F.lit(1).alias("what"), F.col("ordinal").alias("at"), F.expr("substring(text, int(loss_start + 1), int(loss_stop - loss_start))").alias("text"))
+    texts = examples.where("last").select(named, F.lit(0).alias("what"), F.col("part").alias("at"), "text")
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, state = object(), None
@@ -136,7 +136,6 @@ def read_back(examples: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for conv, what, text in zip(batch["conv"], batch["what"], batch["text"], strict=True):
-                conv = None if pd.isna(conv) else conv
                 if state is None or conv != last:
                     if state is not None:
                         out.append(row())
@@ -149,16 +148,13 @@ def read_back(examples: DataFrame) -> DataFrame:
                     for role, said in parse_turns(text):
                         state[0] += 1
                         state[1].update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
-            yield _frame(out, batch)
+            yield pd.DataFrame(out, columns=columns)
         if state is not None:
-            yield _frame([row()], batch)
+            yield pd.DataFrame([row()], columns=columns)
 
-    def _frame(rows: list, like: pd.DataFrame) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256"])
-        frame["conv"] = frame["conv"].astype(like["conv"].dtype)
-        return frame
-
-    read = _ordered(texts.unionByName(masked), "what", "at").mapInPandas(digests, f"conv {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string")
+    columns = ["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256"]
+    read = _ordered(texts.unionByName(masked), "what", "at").mapInPandas(digests, "conv string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string")
+    read = read.withColumn("conv", F.col("conv").cast(kind))
     sizes = examples.groupBy(F.col("conv").alias("c")).agg(F.sum(F.char_length("text")).alias("formatted_chars"))
     return read.join(sizes, read.conv.eqNullSafe(sizes.c)).drop("c")
 

@@ -211,7 +211,7 @@ class Matcher:
 
 def _blocks(items: DataFrame, key: str, text: str, block_bytes: int) -> Iterator[list[tuple[object, str]]]:
     """The items in blocks of about `block_bytes` at most, each of a size that a task holds. Items without words are passed over."""
-    rows = items.select(items[f"`{key}`"].alias("k"), items[f"`{text}`"].alias("t")).where("t IS NOT NULL").distinct()
+    rows = items.select(items[f"`{key}`"].cast("string").alias("k"), items[f"`{text}`"].cast("string").alias("t")).where("t IS NOT NULL").distinct()
     size = rows.agg(F.sum(F.octet_length("t") + 64)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     for b in range(blocks):
@@ -229,8 +229,9 @@ def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     """
     spark = df.sparkSession
     ship(spark)
-    docs = df.select(df[f"`{key}`"].alias("k"), df[f"`{text}`"].alias("t"))
-    kind, item_kind = docs.schema["k"].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
+    # keys go through Python as text: a batch with a null makes numbers of other keys inexact
+    docs = df.select(df[f"`{key}`"].cast("string").alias("k"), df[f"`{text}`"].alias("t"))
+    kind, item_kind = df.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     out = None
     for blocks in batched(_blocks(items, item_key, item_text, block_bytes), together):
         shared = [spark.sparkContext.broadcast(Matcher(block, similarity, recall)) for block in blocks]
@@ -241,9 +242,9 @@ def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
                 rows = [(k, m.keys[i], len(m.items[i]), d, e) for m in (b.value for b in shared) for k, hits in zip(batch["k"], m.search(texts), strict=True) for i, d, e in hits]
                 yield pd.DataFrame(rows, columns=["k", "i", "n", "d", "e"])
 
-        part = docs.mapInPandas(found, f"k {kind}, i {item_kind}, n int, d int, e long")
+        part = docs.mapInPandas(found, "k string, i string, n int, d int, e long")
         out = part if out is None else out.unionByName(part)
-    return out.select(F.col("k").alias(key), F.col("i").alias(item_key), F.col("n").alias("item_words"), F.col("d").alias("distance"), F.col("e").alias("end_word"))
+    return out.select(F.col("k").cast(kind).alias(key), F.col("i").cast(item_kind).alias(item_key), F.col("n").alias("item_words"), F.col("d").alias("distance"), F.col("e").alias("end_word"))
 
 
 def drop_contaminated(df: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", similarity: float = 0.8, recall: float = 0.95, block_bytes: int = 1 << 18, together: int = 8) -> DataFrame:

@@ -47,6 +47,15 @@ def _name(key: Column, row: Column) -> Column:
     return F.concat(F.substring(digest, 1, 8), F.lit("-"), F.substring(digest, 9, 4), F.lit("-8"), F.substring(digest, 14, 3), F.lit("-8"), F.substring(digest, 18, 3), F.lit("-"), F.substring(digest, 21, 12))
 
 
+def _written(key: Column) -> Column:
+    """A key as a header can hold it, whatever its signs; an empty key is not an absent one."""
+    return F.concat(F.lit("="), F.url_encode(key.cast("string")))
+
+
+def _read(field: Column) -> Column:
+    return F.url_decode(F.regexp_replace(field, "^=", ""))
+
+
 def _field(name: str, value: Column) -> Column:
     """A line of a header; none for a null or empty value."""
     return F.when(F.length(value) > 0, F.concat(F.lit(f"{name}: "), value, F.lit(_END))).otherwise("")
@@ -59,8 +68,8 @@ def _head(date: str) -> Column:
     length = F.when(revisit, F.lit(0)).otherwise(F.octet_length(F.encode(http, "UTF-8")) + F.col("n"))
     text = F.concat(
         F.lit(f"WARC/1.1{_END}"), _field("WARC-Type", F.col("record_type")), _field("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), "name", F.lit(">"))), _field("WARC-Date", F.lit(date)),
-        _field("WARC-Target-URI", _target(F.col("url"))), _field("X-Key", F.col("id").cast("string")), _field("X-Original-URL", F.when(_target(F.col("url")) != F.col("url"), F.translate(F.base64(F.encode("url", "UTF-8")), _END, ""))),
-        _field("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<urn:uuid:"), "first_name", F.lit(">")))), _field("X-Refers-To-Key", F.when(revisit, F.col("first_id").cast("string"))),
+        _field("WARC-Target-URI", _target(F.col("url"))), _field("X-Key", _written(F.col("id"))), _field("X-Original-URL", F.when(_target(F.col("url")) != F.col("url"), F.translate(F.base64(F.encode("url", "UTF-8")), _END, ""))),
+        _field("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<urn:uuid:"), "first_name", F.lit(">")))), _field("X-Refers-To-Key", F.when(revisit, _written(F.col("first_id")))),
         _field("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))), _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
         _field("Content-Type", F.when(~revisit, F.lit("application/http; msgtype=response"))), _field("Content-Length", length.cast("string")), F.lit(_END),
     )
@@ -76,7 +85,7 @@ def write_archive(df: DataFrame, path: str, key: str = "page_id", url: str = "ur
     key comes last. A URL with signs that a URI cannot have is written in percent form and beside it as it is, in
     base64. An empty table gives an empty archive. Other columns are not read.
     """
-    # only digests are shuffled: the payload goes from the scan to the store beside a small table of first records
+    # digests decide which record is first; payloads are shuffled once, to be stored once
     content = F.encode(F.coalesce(df[f"`{payload}`"].cast("string"), F.lit("")), "UTF-8")
     rows = df.select(df[f"`{key}`"].alias("id"), F.coalesce(df[f"`{url}`"], F.lit("")).alias("url"), content.alias("body"))
     pages = rows.select("id", "url", F.octet_length("body").cast("long").alias("n"), F.sha2("body", 256).alias("address"), base32_sha1(F.col("body")).alias("digest"))
@@ -132,7 +141,7 @@ def parsed(records: DataFrame) -> DataFrame:
     url = F.coalesce(F.decode(F.unbase64(field("X-Original-URL")), "UTF-8"), field("WARC-Target-URI"), F.lit(""))
     http = F.octet_length(F.encode(F.regexp_extract("text", r"(?s)\r\n\r\n(.*)$", 1), "UTF-8"))
     out = text.select(
-        field("X-Key").alias("id"), url.alias("url"), field("WARC-Type").alias("record_type"), field("X-Refers-To-Key").alias("refers_to"), uuid("WARC-Record-ID").alias("record_id"), uuid("WARC-Refers-To").alias("refers_to_id"),
+        _read(field("X-Key")).alias("id"), url.alias("url"), field("WARC-Type").alias("record_type"), _read(field("X-Refers-To-Key")).alias("refers_to"), uuid("WARC-Record-ID").alias("record_id"), uuid("WARC-Refers-To").alias("refers_to_id"),
         F.octet_length("payload").cast("long").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.substring_index(field("WARC-Payload-Digest"), ":", -1).alias("said"), field("Content-Length").cast("long").alias("length"), http.alias("http"),
     )
     block = F.when(F.col("record_type") == "revisit", F.lit(0)).otherwise(F.col("http") + F.col("payload_bytes"))
