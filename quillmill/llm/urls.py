@@ -3,23 +3,20 @@
 Two variable-order Markov models of characters, one of accepted and one of rejected URLs, share one set of contexts:
 the longest one of up to three characters that the examples of both kinds have often enough is used: one that only
 one kind has would compare a sharp guess with a vague one. Each is smoothed down to its
-shorter contexts (a context's own counts against its number of different followers, Witten and Bell's weights). Host
-and path are two texts, each with its own score: the mean over its characters of the log ratio of the two
-probabilities. So a long path does not drown a host, and URLs of one host differ in their verdicts by their paths alone.
+shorter contexts (a context's own counts against its number of different followers, Witten and Bell's weights). A URL's
+score is the mean over its characters of the log ratio of the two probabilities: the difference of its log-likelihoods, by its length.
 
-Examples are the URLs that rules decide and those that the caller adds; no words are built in. What rules read of a
-URL is not read by the models, else they would learn the rules over again. The thresholds are calibrated on examples
-that the models have not seen: the scores that reject a given share of the accepted ones. What the filter does to
-held-out examples of both kinds is measured.
+Examples are the URLs that rules decide, each as often as it stands there, and those that the caller adds; no words are built in.
+The whole URL behind the scheme is learned and scored, host, path, query and fragment. The threshold is calibrated on
+examples of hosts that the models have not seen: it rejects a given share of the accepted ones. What the filter does to
+unseen examples of both kinds is measured by error_rates.
 
-URLs are read in an alphabet of 40 characters (letters in lower case, one sign for a run of digits, some punctuation, one
+URLs are read in an alphabet of 40 characters (letters in lower case, one sign for any digit, some punctuation, one
 for all else, one for the start), so the models have at most 40^3 contexts, whatever the corpus.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +27,8 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 ALPHABET = "^abcdefghijklmnopqrstuvwxyz0./-_?=&:%+~"
 OTHER = "*"
 SIGNS = len(ALPHABET)
+
+
 def host_of(url: Column) -> Column:
     """After the first :// up to /, ?, # or the end, with A-Z lower-cased; empty without ://."""
     rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1)
@@ -53,35 +52,13 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def _signs(text: Column) -> Column:
-    plain = F.regexp_replace(F.lower(text), "[0-9]+", "0")
+def url_text(url: Column) -> Column:
+    """What is learned and scored of a URL: all behind the first ://, in the model's alphabet; nothing without one."""
+    rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://(.*)$", 1)
+    plain = F.regexp_replace(F.lower(rest), "[0-9]", "0")
     return F.concat(F.lit("^^^"), F.regexp_replace(plain, r"[^a-z0./\-_?=&:%+~]", OTHER))
 
 
-def _labels(rules) -> str:
-    return "|".join(sorted({re.escape(x) for rule, _ in rules for x in rule.partition("/")[0].split(".")}))
-
-
-def host_text(host: Column, rules=RULES) -> Column:
-    """What is scored of a host: all of it but the labels at its end that rules name; all of it if there are no others."""
-    names = F.regexp_replace(host, rf"((^|\.)({_labels(rules)}))+$", "")
-    return _signs(F.when(names == "", host).otherwise(names))
-
-
-def path_text(path: Column, rules=RULES) -> Column:
-    """What is scored of a path: all of it but a first part that rules name."""
-    firsts = sorted({re.escape(x) for rule, _ in rules if (x := rule.partition("/")[2].strip("/"))})
-    return _signs(F.regexp_replace(path, rf"(?s)^/({'|'.join(firsts)})/", "/") if firsts else path)
-
-
-def path_lesson(path: Column, rules=RULES) -> Column:
-    """What the models learn from a path. Where a rule names a first part, the absence of that part would tell as much
-
-    as the part, so no example's first part is learned if another one follows it.
-    """
-    return _signs(F.regexp_replace(path, r"(?s)^/[^/]*/", "/") if any(rule.partition("/")[2] for rule, _ in rules) else path)
-
-
 def _grams(texts: DataFrame, *keep: str) -> DataFrame:
     """keep and, for each character: ctx (the three before it) and c (its number in the alphabet)."""
     at = texts.select(*keep, "s", F.explode(F.sequence(F.lit(4), F.char_length("s"))).alias("i")).where("char_length(s) > 3")
@@ -89,11 +66,11 @@ def _grams(texts: DataFrame, *keep: str) -> DataFrame:
 
 
 def train(examples: DataFrame, least: int = 20) -> list[DataFrame]:
-    """Models of orders 3, 2, 1, 0 from (s, good): (ctx, ratios), with the log ratio of each next character.
+    """Models of orders 3, 2, 1, 0 from (s, good, n), n being how often an example stands there: (ctx, ratios), with the log ratio of each next character.
 
     A context is kept if the examples of both kinds have it `least` times. Work after the counts depends on the alphabet alone.
     """
-    long = _grams(examples, "good").groupBy("ctx", "c").agg(F.sum(F.col("good").cast("long")).alias("yes"), F.sum((~F.col("good")).cast("long")).alias("no"))
+    long = _grams(examples, "good", "n").groupBy("ctx", "c").agg(F.sum(F.when(F.col("good"), F.col("n")).otherwise(F.lit(0))).alias("yes"), F.sum(F.when(F.col("good"), F.lit(0)).otherwise(F.col("n"))).alias("no"))
     counts = staged(long, "grams")
     models, below = [], None
     flat = F.expr(f"transform(sequence(0, {SIGNS}), i -> struct({1 / (SIGNS + 1)}D AS yes, {1 / (SIGNS + 1)}D AS no))")
@@ -128,68 +105,54 @@ def scored(texts: DataFrame, models: list[DataFrame], key: str) -> DataFrame:
     return out.select(key, ratio.alias("ratio")).groupBy(key).agg(F.avg("ratio").alias("score"))
 
 
-def learned(examples: DataFrame, least: int, rules=RULES) -> list[DataFrame]:
-    """The models of (host, path, good): of each text that examples of one kind alone have, once."""
-    hosts = examples.select(host_text(F.col("host"), rules).alias("s"), "good")
-    paths = examples.select(path_lesson(F.col("path"), rules).alias("s"), "good")
-    told = hosts.unionByName(paths).groupBy("s").agg(F.min("good").alias("good"), F.max("good").alias("most")).where("good = most")
-    return train(told.select("s", "good"), least)
-
-
-def filter_urls(df: DataFrame, url: str = "url", rules=RULES, examples: DataFrame | None = None, share: float = 0.02, least: int = 20, margin: float = 0.69) -> DataFrame:
-    """df with host, path, rule, host_score, path_score, score and verdict (allow or block).
+def filter_urls(df: DataFrame, url: str = "url", rules=RULES, examples: DataFrame | None = None, share: float = 0.01, least: int = 20, margin: float = 0.05) -> DataFrame:
+    """df with host, path, rule, score and verdict (allow or block).
 
-    A rule that fits decides. Else the method does: block if the score is below 0. It is the lesser of host_score and
-    path_score, each less its threshold. The examples are the URLs of df that rules decide, with what they decide,
-    and those of `examples` (columns url and good), without weights: each text once, and none that both kinds have.
-    Four fifths of them (by a hash of the host, so that no host is on both sides) train the models, the rest
-    calibrates: a threshold rejects `share` of the accepted among them, but never a text that the model of the
-    rejected does not prefer by `margin` a character (0.69: it finds each twice as likely); without accepted ones it is -margin. Equal URLs have equal
-    verdicts, and URLs of one host that differ do so by their paths. A null or malformed URL has an empty host and
-    path, no rule, scores of 0 and is allowed. Repeated rows give a row each, and an empty table gives an empty
-    one. Columns of df with a name of the result are replaced; other columns stay.
+    A rule that fits decides. Else the method does: block if the score is below the threshold. The examples are the URLs of df that rules decide, with what they decide,
+    and those of `examples` (columns url and good). Four fifths of them (by a hash of the host, so that no host is on both sides) train the models, the rest
+    calibrates: the threshold rejects `share` of the accepted among them, but is -margin at most, the log ratio that the model of the
+    rejected must have over the other at each character on average. Equal URLs have equal
+    verdicts. A null or malformed URL has an empty host and path, no rule, a score of 0 and is allowed. Repeated rows give a row
+    each, and an empty table gives an empty one. Columns of df with a name of the result are replaced; other columns stay.
     """
-    host, path = host_of(df[f"`{url}`"]), path_of(df[f"`{url}`"])
-    judged, cuts = _judged(df.select(host.alias("host"), path.alias("path")).distinct(), rules, examples, share, least, margin)
-    verdict = F.when(F.col("rule").isNotNull(), F.when(F.col("good"), "allow").otherwise("block")).otherwise(F.when(_score(cuts) < 0, "block").otherwise("allow"))
-    named = judged.where("NOT given").select(F.col("host").alias("_host"), F.col("path").alias("_path"), "rule", "host_score", "path_score", _score(cuts).alias("score"), verdict.alias("verdict"))
-    own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), host.alias("_host"), path.alias("_path"))
-    out = own.join(named, ["_host", "_path"])
-    made = ["host", "path", "rule", "host_score", "path_score", "score", "verdict"]
+    value = df[f"`{url}`"].cast("string")
+    scores, cut, _ = _scores(df.select(value.alias("url")), rules, examples, share, least, margin)
+    host, path = host_of(value), path_of(value)
+    own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), host.alias("host"), path.alias("path"), url_text(value).alias("s"))
+    own = own.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
+    out = own.join(scores, "s")
+    blocked = [r for r, verdict in rules if verdict == "block"]
+    ruled = F.when(F.col("rule").isin(blocked), "block").otherwise("allow")
+    verdict = F.when(F.col("rule").isNotNull(), ruled).when(F.col("score") < cut, "block").otherwise("allow")
+    made = ["host", "path", "rule", "score", "verdict"]
     names = [c for c in df.columns if c.lower() not in made]
-    return out.select(*[F.col("_row").getField(c).alias(c) for c in names], F.col("_host").alias("host"), F.col("_path").alias("path"), *made[2:])
-
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in names], "host", "path", "rule", "score", verdict.alias("verdict"))
 
-def _score(cuts: tuple[float, float]) -> Column:
-    return F.least(F.col("host_score") - cuts[0], F.col("path_score") - cuts[1])
 
-
-def _judged(parsed: DataFrame, rules, examples: DataFrame | None, share: float, least: int, margin: float) -> tuple[DataFrame, tuple[float, float]]:
-    """((host, path, rule, good, host_score, path_score) of each distinct host and path, both thresholds)."""
+def _scores(urls: DataFrame, rules, examples: DataFrame | None, share: float, least: int, margin: float) -> tuple[DataFrame, float, DataFrame]:
+    """((s, score) of each text, the threshold, (s, good, unseen) of each example)."""
     blocked = [r for r, verdict in rules if verdict == "block"]
-    parsed = parsed.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
-    parsed = parsed.withColumn("good", ~F.col("rule").isin(blocked)).withColumn("given", F.lit(False))
+    parsed = urls.select(url_text(F.col("url")).alias("s"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    rule = matching_rule(F.col("host"), F.col("path"), rules)
+    told = parsed.withColumn("rule", rule).where("rule IS NOT NULL").select("s", "host", (~F.col("rule").isin(blocked)).alias("good"))
     if examples is not None:
-        more = examples.where("good IS NOT NULL").select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.lit(None).cast("string").alias("rule"), F.col("good").cast("boolean").alias("good"), F.lit(True).alias("given"))
-        parsed = parsed.unionByName(more.distinct())
-    known = staged(parsed.select("*", host_text(F.col("host"), rules).alias("h"), path_text(F.col("path"), rules).alias("p")), "urls")
-    fold = F.pmod(F.xxhash64("h"), F.lit(5)) == 0
-    models = learned(known.where("good IS NOT NULL").where(~fold).select("host", "path", "good"), least, rules)
-    texts = known.select(F.explode(F.array("h", "p")).alias("s")).distinct()
-    scores = staged(scored(texts.withColumn("id", F.col("s")), models, "id"), "scores")
-    both = known
-    for part, name in (("h", "host_score"), ("p", "path_score")):
-        named = scores.select(F.col("id").alias(part), F.col("score").alias(name))
-        both = both.join(named, part, "left")
-    judged = staged(both.select("host", "path", "rule", "good", "given", fold.alias("unseen"), F.coalesce("host_score", F.lit(0.0)).alias("host_score"), F.coalesce("path_score", F.lit(0.0)).alias("path_score")), "judged")
-    held = judged.where("unseen AND good").agg(*[F.percentile_approx(c, share / 2, 10_000) for c in ("host_score", "path_score")]).first()
-    cuts = tuple(-margin if c is None else min(-margin, c) for c in held)
-    return judged, cuts
-
-
-def error_rates(df: DataFrame, url: str = "url", rules=RULES, examples: DataFrame | None = None, share: float = 0.02, least: int = 20, margin: float = 0.69) -> DataFrame:
-    """One row: accepted and rejected, the numbers of unseen examples, and accepted_blocked and rejected_allowed, what the scores alone do to them."""
-    host, path = host_of(df[f"`{url}`"]), path_of(df[f"`{url}`"])
-    judged, cuts = _judged(df.select(host.alias("host"), path.alias("path")).distinct(), rules, examples, share, least, margin)
-    block = _score(cuts) < 0
-    return judged.where("unseen AND good IS NOT NULL").agg(F.count_if("good").alias("accepted"), F.count_if(~F.col("good")).alias("rejected"), F.count_if(F.col("good") & block).alias("accepted_blocked"), F.count_if(~F.col("good") & ~block).alias("rejected_allowed"))
+        value = F.col("url").cast("string")
+        told = told.unionByName(examples.where("good IS NOT NULL AND url IS NOT NULL").select(url_text(value).alias("s"), host_of(value).alias("host"), F.col("good").cast("boolean").alias("good")))
+    told = told.select("s", "good", (F.pmod(F.xxhash64("host"), F.lit(5)) == 0).alias("unseen"))
+    counted = staged(told.groupBy("s", "good", "unseen").agg(F.count("*").alias("n")), "examples")
+    models = train(counted.where("NOT unseen"), least)
+    texts = parsed.select("s").union(counted.select("s")).distinct()
+    scores = scored(texts.withColumn("id", F.col("s")), models, "id").withColumnRenamed("id", "s")
+    scores = staged(texts.join(scores, "s", "left").select("s", F.coalesce("score", F.lit(0.0)).alias("score")), "scores")
+    held = told.where("unseen AND good").join(scores, "s").agg(F.percentile_approx("score", share, 10_000)).first()[0]
+    return scores, -margin if held is None else min(-margin, held), told
+
+
+def error_rates(df: DataFrame, url: str = "url", rules=RULES, examples: DataFrame | None = None, share: float = 0.01, least: int = 20, margin: float = 0.05) -> DataFrame:
+    """One row: accepted and rejected, the numbers of unseen examples, and accepted_blocked and rejected_allowed, what the scores alone do to them.
+
+    Null URLs are no examples; an example counts as often as it stands there. An empty table gives zeros.
+    """
+    scores, cut, told = _scores(df.select(df[f"`{url}`"].cast("string").alias("url")), rules, examples, share, least, margin)
+    block = F.col("score") < cut
+    return told.where("unseen").join(scores, "s").agg(F.count_if("good").alias("accepted"), F.count_if(~F.col("good")).alias("rejected"), F.count_if(F.col("good") & block).alias("accepted_blocked"), F.count_if(~F.col("good") & ~block).alias("rejected_allowed"))
