@@ -129,8 +129,8 @@ def test_decontamination(spark):
     exact = decontaminate.Matcher([x for x in items if (x[1] or "").strip()], recall=1.1)  # no number of repetitions reaches it
     hits = exact.search([decontaminate.words_of_text(t) for _, t, _ in docs])
     assert not any(exact.reached) and {(d, exact.keys[i]) for (d, *_), found in zip(docs, hits, strict=True) for i, *_ in found} == want
-    small = decontaminate.find_items(df, bench, block_bytes=600, together=3)  # blocks of items give what one block gives
-    assert {(r.doc_id, r.item_id) for r in small.collect()} <= want
+    small = {(r.doc_id, r.item_id) for r in decontaminate.find_items(df, bench, block_bytes=600, together=3).collect()}  # in several blocks of items
+    assert small <= want and len(small) >= 0.9 * len(want)
 
 
 def test_urls(spark):
@@ -139,7 +139,7 @@ def test_urls(spark):
     got = {r.page_id: r for r in urls.filter_urls(df).collect()}
     assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("www.example.net", "/en/a", "example.net/en/", "allow")
     assert [got[k].rule for k in (2, 3, 4, 5, 6, 7, 8)] == ["example.com/de/", "org/fr/", None, None, None, None, "net/"]
-    assert (got[4].host, got[4].path, got[5].host, got[10].host) == ("", "", "", "y:") and (got[4].score, got[4].verdict) == (0.69, "allow")
+    assert (got[4].host, got[4].path, got[5].host, got[10].host) == ("", "", "", "y:") and (got[4].score, got[4].verdict, got[5].verdict) == (0, "allow", "allow")
     assert urls.filter_urls(df).count() == len(rows) and urls.filter_urls(df.limit(0)).count() == 0
 
 
@@ -172,41 +172,45 @@ def brute_url_scores(texts, told, least):
 
 
 def test_urls_whole(spark):
-    """Scores, thresholds and verdicts against plain Python; whole hosts and paths, given examples, no host with two verdicts."""
+    """Scores, threshold and verdicts against plain Python; whole URLs, examples as often as they stand there, both error rates."""
     rnd = random.Random(14)
-    spell = lambda t: "^^^" + re.sub(r"[^a-z0./\-_?=&:%+~]", "*", re.sub("[0-9]+", "0", t.lower()))
+    spell = lambda u: "^^^" + re.sub(r"[^a-z0./\-_?=&:%+~]", "*", re.sub("[0-9]", "0", u.split("://", 1)[1].lower()))
     given = [(f"http://{rnd.choice(ACCEPTED)}-{w}.info/{rnd.choice(ACCEPTED)}/{i}", True) for i in range(8) for w in ACCEPTED] + [(f"http://{rnd.choice(REJECTED)}-{w}.info/{rnd.choice(REJECTED)}/{i}", False) for i in range(8) for w in REJECTED]
-    ruled = [f"http://{w}.example.net/{lang}/{i}" for i, w in enumerate(ACCEPTED) for lang in ("en", "de")]
-    free = [f"http://{w}.com/{p}/{n}" for w in ("casino-bonus", "weather", "cheap-pills-online", "Library") for p in ("en", "a b") for n in (1, 22)] + ["http://free-porn.xyz/xxx-videos/", "http://science.fr/viagra-online/spam-farm/", "https://example.com", "http://näme.org/Ä?x"]
-    df, examples = spark.createDataFrame([(u,) for u in ruled + free], "url string"), spark.createDataFrame(given, "url string, good boolean")
+    given += given[:40]  # repeated examples count each time
+    ruled = [f"http://{w}.example.net/{lang}/{i}" for i, w in enumerate(ACCEPTED) for lang in ("en", "de")] * 2
+    free = [f"http://{w}.com/{p}/{n}" for w in ("casino-bonus", "weather", "cheap-pills-online", "Library") for p in ("en", "a b") for n in (1, 22)]
+    free += ["http://free-porn.xyz/xxx-videos/", "http://science.fr/viagra-online/spam-farm/", "https://example.com", "http://näme.org/Ä?x", "http://museum.com/?q=buy-followers-lottery-winner-casino-bonus#spam-farm"]
+    df, examples = spark.createDataFrame([(u,) for u in ruled + free], "url string"), spark.createDataFrame([*given, (None, True)], "url string, good boolean")
     got = {r.url: r for r in urls.filter_urls(df, examples=examples, least=5).collect()}
-    known = []
-    for u, good in given + [(u, "/en/" in u) for u in ruled] + [(u, None) for u in free]:
-        host, path = re.match(r"[a-z]+://([^/?#]*)([^?#]*)", u).groups()
-        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
-        bare = re.sub(r"((^|\.)(com|example|fr|net|org))+$".replace("|fr", ""), "", host)
-        known.append((u, spell(bare or host), spell(re.sub("^/(de|en|fr)/", "/", path)), spell(re.sub("^/[^/]*/", "/", path)), good))
-    folds = {r.h: r.f for r in spark.createDataFrame([(h,) for h in {k[1] for k in known}], "h string").select("h", F.expr("pmod(xxhash64(h), 5) = 0").alias("f")).collect()}
-    kinds = {}
-    for _, h, _, lesson, good in known:
-        if good is not None and not folds[h]:
-            for t in (h, lesson):
-                kinds.setdefault(t, set()).add(good)
-    told = [(t, *k) for t, k in kinds.items() if len(k) == 1]
-    score = brute_url_scores({t for k in known for t in k[1:3]}, told, 5)
-    unseen = {k for k in known if k[4] and folds[k[1]]}
-    cuts = [min(-0.69, sorted(score[k[p]] for k in unseen)[0]) for p in (1, 2)]  # 1 % of fewer than a hundred is the least
+    host = lambda u: "".join(c.lower() if "A" <= c <= "Z" else c for c in re.match(r"[a-z]+://([^/?#]*)", u)[1])
+    known = [(u, good) for u, good in given] + [(u, "/en/" in u) for u in ruled]
+    folds = {r.h: r.f for r in spark.createDataFrame([(h,) for h in {host(u) for u, _ in known}], "h string").select("h", F.expr("pmod(xxhash64(h), 5) = 0").alias("f")).collect()}
+    told = [(spell(u), good) for u, good in known if not folds[host(u)]]
+    score = brute_url_scores({spell(u) for u, _ in known} | {spell(u) for u in free}, told, 5)
+    unseen = sorted(score[spell(u)] for u, good in known if good and folds[host(u)])
     assert len(unseen) < 100
-    for u, h, p, _, good in known:
-        if u in got:
-            r = got[u]
-            assert abs(r.host_score - score[h]) < 1e-9 and abs(r.path_score - score[p]) < 1e-9
-            assert abs(r.score - min(score[h] - cuts[0], score[p] - cuts[1])) < 1e-9
-            assert r.verdict == ("block" if good is False or good is None and r.score < 0 else "allow")
-    assert got["http://casino-bonus.com/en/1"].verdict == got["http://free-porn.xyz/xxx-videos/"].verdict == got["http://science.fr/viagra-online/spam-farm/"].verdict == "block"
+    cut = min(-0.05, unseen[0])  # 1 % of fewer than a hundred is the least
+    for u, r in got.items():
+        good = "/en/" in u if u in ruled else None
+        assert abs(r.score - score[spell(u)]) < 1e-9
+        assert r.verdict == ("block" if good is False or good is None and score[spell(u)] < cut else "allow")
+    assert all(got[u].verdict == "block" for u in ("http://free-porn.xyz/xxx-videos/", "http://science.fr/viagra-online/spam-farm/", "http://museum.com/?q=buy-followers-lottery-winner-casino-bonus#spam-farm"))
     assert got["http://weather.com/en/22"].verdict == got["http://Library.com/en/1"].verdict == "allow"
-    rates = urls.error_rates(df, examples=examples, least=5).first()
-    assert (rates.accepted, rates.accepted_blocked) == (len(unseen), 0) and rates.rejected_allowed < 0.5 * rates.rejected
+    rates, lost = urls.error_rates(df, examples=examples, least=5).first(), [score[spell(u)] for u, good in known if not good and folds[host(u)]]
+    assert (rates.accepted, rates.rejected, rates.accepted_blocked, rates.rejected_allowed) == (len(unseen), len(lost), 0, sum(x >= cut for x in lost)) and rates.rejected_allowed < 0.5 * rates.rejected
+    assert tuple(urls.error_rates(df.limit(0)).first()) == (0, 0, 0, 0)
+
+
+def test_large_keys(spark):
+    """Keys that a double cannot hold stay apart, beside null ones too."""
+    big = 2**60
+    rows = [(big + 1, 0, "user", "a"), (big + 1, 1, "assistant", "b"), (big + 2, 0, "user", "c"), (big + 2, 1, "assistant", "d"), (None, 0, "user", "e")]
+    got = chat.format_and_read(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1)).collect()
+    assert sorted((r.conv_id or 0, r.n_turns, r.loss_chars) for r in got) == [(0, 1, 0), (big + 1, 2, 1), (big + 2, 2, 1)]
+    item = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(big + 1, item), (None, item), (big + 2, "x"), (big + 3, item)], "doc_id long, text string").coalesce(1)
+    found = decontaminate.find_items(docs, spark.createDataFrame([(big + 5, item), (None, item + " more")], "item_id long, text string"))
+    assert sorted(((r.doc_id or 0), (r.item_id or 0)) for r in found.collect()) == sorted((d, i) for d in (0, big + 1, big + 3) for i in (0, big + 5))
 
 
 def test_chat(spark):
@@ -239,37 +243,24 @@ def test_chat(spark):
     assert chat.format_and_read(df.limit(0)).count() == 0
 
 
-def brute_lines(docs, least):
-    """Windows of each text, matched to their first occurrence (within a text: to the last before), grown both ways."""
-    lines = {k: [(i, x) for i, x in enumerate((t or "").split("\n")) if WORD.search(x)] for k, t in docs}
-    seen, gone = {}, {k: set() for k in lines}
-    for k in sorted(lines):
-        own, last = lines[k], {}
-        for i in range(len(own)):
-            size, j = 0, i
-            while j < len(own) and size < least:
-                size, j = size + len(WORD.findall(own[j][1])), j + 1
-            if size < least:
-                continue
-            key = tuple(x for _, x in own[i:j])
-            ref = last.get(key) or seen.get(key)
-            last[key] = (k, i)
-            if ref is None:
-                continue
-            other, shift = lines[ref[0]], i - ref[1]
-            a, b = i, j
-            while a > 0 and 0 <= a - 1 - shift and own[a - 1][1] == other[a - 1 - shift][1]:
-                a -= 1
-            while b < len(own) and b - shift < len(other) and own[b][1] == other[b - shift][1]:
-                b += 1
-            gone[k].update(p for p, _ in own[a:b])
-        for i in range(len(own)):
-            size, j = 0, i
-            while j < len(own) and size < least:
-                size, j = size + len(WORD.findall(own[j][1])), j + 1
-            if size >= least:
-                seen.setdefault(tuple(x for _, x in own[i:j]), (k, i))
-    return {k: "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone[k]) for k, t in docs}
+def whole_runs(docs, least):
+    """A line goes if a run with it, of `least` words, stands in an earlier text, or before the run in its own; runs are tried one by one."""
+    earlier, out = [], {}
+    places = lambda lines, run: [i for i in range(len(lines) - len(run) + 1) if lines[i : i + len(run)] == run]
+    for k, t in sorted(docs):
+        own = [(i, x) for i, x in enumerate((t or "").split("\n")) if WORD.search(x)]
+        lines, gone = [x for _, x in own], set()
+        for p in range(len(lines)):
+            for q in range(p, len(lines)):
+                run = lines[p : q + 1]
+                if sum(len(WORD.findall(x)) for x in run) < least:
+                    continue
+                if not any(places(o, run) for o in earlier) and not any(i + len(run) <= p for i in places(lines, run)):
+                    break
+                gone |= {i for i, _ in own[p : q + 1]}
+        earlier.append(lines)
+        out[k] = "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone)
+    return out
 
 
 def test_line_dedup(spark):
@@ -277,9 +268,15 @@ def test_line_dedup(spark):
     pool = [" ".join(rnd.choices("a b c d e f".split(), k=rnd.choice([1, 3, 6, 12]))) for _ in range(14)] + ["", "  "]
     docs = [(i, "\n".join(rnd.choices(pool, k=rnd.choice([0, 3, 8, 20])))) for i in range(60)]
     docs += [(100, docs[7][1]), (101, "\n".join([pool[0]] * 40)), (102, docs[9][1] + "\n" + docs[9][1])]
-    df = spark.createDataFrame([(k, t, "en") for k, t in docs], DOCS).withColumn("n_lines", F.lit(1))
-    got = {r.doc_id: r.text for r in linededup.dedup_lines(df, least_words=12).collect()}
-    assert got == brute_lines(docs, 12)
+    shared, more = "\n".join(" ".join(f"r{i}{j}" for j in range(10)) for i in range(5)), " ".join(f"x{j}" for j in range(10))
+    docs += [(200, f"{shared}\na"), (201, f"{shared}\n{more}\nb"), (202, f"{shared}\n{more}\nc")]  # 202 has a run that 201 has whole and 200 in part
+    df = spark.createDataFrame([(k, t, "en") for k, t in docs], DOCS).withColumn("n_lines", F.lit(1)).withColumn("Split", F.lit(1))
+    for least in (12, 50):
+        rows = linededup.dedup_lines(df, least_words=least).collect()
+        assert {r.doc_id: r.text for r in rows} == whole_runs(docs, least)
+        count = lambda t: sum(1 for x in t.split("\n") if WORD.search(x))
+        assert all((r.n_lines, r.n_removed) == (count(t), count(t) - count(r.text)) for r in rows for k, t in docs if k == r.doc_id)
+    assert {r.doc_id: r.text for r in rows if r.doc_id > 200} == {201: f"{more}\nb", 202: "c"}
     odd = {r.doc_id: r.text for r in linededup.dedup_lines(odd_rows(spark)).collect()}
     assert odd[1] is None and odd[2] == "" and odd[5] == "word " * 5000 and len(odd) == 6
     assert linededup.dedup_lines(df.limit(0)).count() == 0
@@ -289,19 +286,22 @@ def test_line_dedup(spark):
 
 
 def test_winnowing(spark):
-    """The index holds the distinct window minima alone, each with the windows that chose it."""
+    """The index holds the distinct window minima alone, each with the windows that chose it: the shortest from each line on, and up to each line."""
     rnd = random.Random(10)
     docs = [(i, "\n".join(" ".join(rnd.choices("a b c d".split(), k=rnd.choice([1, 2, 5, 20]))) for _ in range(rnd.choice([0, 1, 9, 40])))) for i in range(40)]
     lines = staged(linededup.line_hashes(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text"), "lines")
     want = {}
     for r in lines.collect():
-        for i in range(len(r.hashes)):
-            stop = next((j for j in range(i + 1, len(r.hashes) + 1) if sum(r.sizes[i:j]) >= 12), None)
-            if stop:
-                at = min(range(i, stop), key=lambda p: (r.hashes[p], p))
-                want.setdefault((r.k, at, r.hashes[at]), []).append((i, stop))
-    got = {(r.k, r.at, r.print): [(w.first, w.stop) for w in r.windows] for r in linededup.fingerprints(lines, 12).collect()}
-    assert got == want and len(want) < 0.8 * sum(map(len, want.values()))
+        n, windows = len(r.hashes), set()
+        for i in range(n):
+            windows |= {(i, j) for j in [next((j for j in range(i + 1, n + 1) if sum(r.sizes[i:j]) >= 12), None)] if j}
+            windows |= {(j, i + 1) for j in [next((j for j in range(i, -1, -1) if sum(r.sizes[j : i + 1]) >= 12), None)] if j is not None}
+        for i, stop in sorted(windows):
+            at = min(range(i, stop), key=lambda p: (r.hashes[p], p))
+            want.setdefault((r.k, at, r.hashes[at]), []).append((i, stop))
+    rows = linededup.fingerprints(lines, 12).collect()
+    assert sorted((r.k, r.print, [(w.first, w.stop) for w in r.windows]) for r in rows) == sorted((k, h, w) for (k, _, h), w in want.items())
+    assert len(want) < 0.8 * sum(map(len, want.values()))
 
 
 def test_simhash(spark):

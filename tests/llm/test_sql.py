@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from quillmill.llm import urls
 from quillmill.llm.queries import ORACLE_SQL, QUERIES
@@ -16,7 +17,7 @@ DATA = "/root/testdata/sf0.001"
 def test_query(spark, name):
     df = QUERIES[name](spark, DATA)
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     cursor = con.execute(ORACLE_SQL[name])
     names = [d[0] for d in cursor.description]
@@ -55,7 +56,7 @@ def test_url_models(spark):
     make = lambda letters: "^^^" + "".join(rnd.choices(letters, k=rnd.randrange(1, 9)))
     examples = [(make("aab/"), True) for _ in range(30)] + [(make("abb*"), False) for _ in range(30)]
     texts = [(i, make("ab/*z")) for i in range(12)] + [(99, "^^^")]
-    models = urls.train(spark.createDataFrame(examples, "s string, good boolean"), least=6)
+    models = urls.train(spark.createDataFrame(examples, "s string, good boolean").withColumn("n", F.lit(1)), least=6)
     got = {r.id: r.score for r in urls.scored(spark.createDataFrame(texts, "id int, s string"), models, "id").collect()}
     assert set(got) == set(range(12))
     for i, s in texts[:-1]:
