@@ -1,16 +1,16 @@
 """Exact Jaccard self-join of shingle sets by partitions of the universe and the pigeonhole principle.
 
-Two sets of r and s shingles whose similarity reaches num / den differ in at most (r + s) (den - num) / (den + num)
-shingles. Sizes are cut into bands by the factor den / num, so similar sets are in one band or in two beside each other.
-A scheme serves two such bands: its bound H is that of their largest sizes, and it hashes all shingles into H + 1 segments. A set is
-in the schemes of its band and of the band below, so every similar pair shares a scheme.
-
-A segment's part of a set is indexed by a hash that adds up over its shingles, together with the segment. A segment may be
-allotted one unit (its parts are indexed as they are: found if the two sets do not differ in it), two units (also
-each part less one shingle, its one-deletion neighbourhood: found if they differ in one shingle at most) or none. If a
-scheme's units are H + 1 or more, a pair that differs in H shingles at most is found in some segment. The units are
-allotted by cost: all parts of all sets are counted first, and each scheme buys its cheapest units, so a segment
-that many sets agree in (it is empty in them, or holds what all of them quote) is left to others' second units.
+Two sets of r <= s shingles whose similarity reaches num / den differ in at most (r + s) (den - num) / (den + num)
+shingles, and s is at most r den / num, so they differ in less than a budget of r (den - num) / num + 1 that follows the smaller one alone.
+Sizes are cut into bands by a factor of 3 / 2. A band's scheme hashes all shingles into as many segments as the budget of its largest
+size. A set is in the scheme of its band, and in the next one if it reaches up to sizes there; so every similar pair shares a scheme.
+
+A segment's part of a set is indexed by a hash that adds up over its shingles, together with the segment. A segment has two
+units to buy: with the first its parts are indexed as they are (found if two sets do not differ in it), with the second also
+each part less one shingle, its one-deletion neighbourhood (found if they differ in one shingle at most). The units of a scheme are
+put in one order by cost: all parts of all sets are counted first, so a segment that many sets agree in (it is empty in
+them, or holds what all of them quote) comes late. Each set buys units in this order up to its budget. Of two sets the smaller one's
+units are the larger one's too, and if they were all missed, the sets would differ in as many shingles as the budget has units.
 
 Sets that share an index entry are verified exactly and grown to components as in `similar`; equal sets are one node.
 """
@@ -26,8 +26,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import ship, staged
-from quillmill.llm.similar import connected, shingle_set
+from quillmill.llm.similar import connected, shingle_set, spread
 
+#: Segments of a scheme at most.
+_SLOT = 1 << 40
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,26 +45,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Schemes:
-    """The bands of sizes and the segments of each scheme, for a similarity of num / den. Scheme c serves the bands c and c + 1."""
+    """The bands of sizes, each with its scheme of segments, for a similarity of num / den."""
 
     def __init__(self, num: int, den: int, most: int = 1 << 40):
-        self.low, high = [1], []
-        while self.low[-1] <= most:
-            high.append(self.low[-1] * den // num)
-            self.low.append(high[-1] + 1)
-        self.starts = np.array(self.low[:-1], np.int64)
-        self.bounds = [(high[c] + high[c + 1]) * (den - num) // (den + num) for c in range(len(high) - 1)]
-
-    def band(self, size: int) -> int:
-        return int(np.searchsorted(self.starts, size, "right")) - 1
+        self.num, self.den, low = num, den, 1
+        self.low, self.high = [], []
+        while low <= most:
+            self.low.append(low)
+            self.high.append(max(low, low * 3 // 2, low * den // num))
+            low = self.high[-1] + 1
+        self.starts = np.array(self.low, np.int64)
+
+    def budget(self, size: int) -> int:
+        """One more than the shingles in which the set and a similar one that is no smaller can differ."""
+        return size * (self.den - self.num) // self.num + 1
 
     def of(self, size: int) -> list[int]:
         """The schemes of a set that can find sets other than equal ones."""
-        band = self.band(size)
-        return [c for c in (band - 1, band) if c >= 0 and self.bounds[c] > 0]
+        reach = size * self.den // self.num
+        band = int(np.searchsorted(self.starts, size, "right")) - 1
+        if reach == size:  # nor does a smaller set reach it then
+            return []
+        return [band, band + 1] if reach >= self.low[band + 1] else [band]
 
     def segments(self, scheme: int) -> int:
-        return self.bounds[scheme] + 1
+        return self.budget(self.high[scheme])
 
 
 def parts_of(shingles: np.ndarray, scheme: int, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,42 +101,39 @@ def less_one(shingles: np.ndarray, scheme: int, segments: int, chosen: list[int]
 
 
 def _sketch(text: Column, schemes: Schemes, size: int) -> Column:
-    """(n, node, band, below, own): the set's size and hash, its band, and its entries in the schemes of the band below and its own."""
+    """(n, node, schemes, entries): the set's size and hash, its schemes, and the entries of its parts, scheme after scheme."""
     import xxhash
 
-    @F.pandas_udf("n long, node long, band int, below array<long>, own array<long>")
+    @F.pandas_udf("n long, node long, schemes array<int>, entries array<long>")
     def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        none = np.zeros(0, np.int64)
         for batch in texts:
             rows = []
             for text in batch:
                 shingles = shingle_set(text, size)
-                band = schemes.band(max(1, len(shingles)))
-                made = {c: entries(shingles, c, schemes.segments(c)) for c in schemes.of(len(shingles))} if len(shingles) else {}
+                own = schemes.of(len(shingles)) if len(shingles) else []
+                made = [entries(shingles, c, schemes.segments(c)) for c in own]
                 node = int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes())).view(np.int64))
-                rows.append((len(shingles), node, band, made.get(band - 1, none), made.get(band, none)))
-            yield pd.DataFrame(rows, columns=["n", "node", "band", "below", "own"])
+                rows.append((len(shingles), node, np.array(own, np.int32), np.concatenate(made) if made else np.zeros(0, np.int64)))
+            yield pd.DataFrame(rows, columns=["n", "node", "schemes", "entries"])
 
     return sketch(text)
 
 
-def allotted(parts: DataFrame, sets: DataFrame) -> DataFrame:
-    """(scheme, segment, units) where the units are not one, from (scheme, segment, entry) of all sets' parts and (scheme, segments, sets, size).
+def ordered_units(shared: DataFrame, sets: DataFrame) -> DataFrame:
+    """(scheme, segment, unit, rank): the units of each scheme by rising cost, from (scheme, segment, n) of all entries that n > 1 sets share and (scheme, segments, sets, size).
 
     A unit costs its index rows and the pairs that share an entry: the first one a row for each set, the second one as many more as a
-    part has shingles, and the pairs again. A segment has its second unit only after its first. The rows here are as many as all
-    schemes have segments, which the largest set bounds.
+    part has shingles, and the pairs again; it comes after the first. The rows here are as many as all schemes have
+    segments, which the largest set bounds.
     """
-    shared = parts.groupBy("scheme", "segment", "entry").agg(F.count("*").alias("n")).where("n > 1")
     pairs = shared.groupBy("scheme", "segment").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"))
     every = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("segments") - 1)).alias("segment")).join(pairs, ["scheme", "segment"], "left")
     agreed = F.coalesce("pairs", F.lit(0.0))
     first = F.col("sets") + agreed
     second = F.greatest(first, F.col("size") / F.col("segments") + agreed)
-    units = every.select("scheme", "segment", "segments", F.explode(F.array(F.struct(F.lit(1).alias("unit"), first.alias("cost")), F.struct(F.lit(2).alias("unit"), second.alias("cost")))).alias("u"))
-    cheapest = units.withColumn("rank", F.row_number().over(W.partitionBy("scheme").orderBy("u.cost", "u.unit", "segment")))
-    bought = cheapest.groupBy("scheme", "segment").agg(F.count_if(F.col("rank") <= F.col("segments")).cast("int").alias("units"))
-    return bought.where("units <> 1")
+    units = every.select("scheme", "segment", F.explode(F.array(F.struct(F.lit(1).alias("unit"), first.alias("cost")), F.struct(F.lit(2).alias("unit"), second.alias("cost")))).alias("u"))
+    by = W.partitionBy("scheme").orderBy("u.cost", "u.unit", "segment")
+    return units.select("scheme", "segment", "u.unit", (F.row_number().over(by) - 1).alias("rank"))
 
 
 def joined_sets(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, num: int = 9, den: int = 10) -> DataFrame:
@@ -145,8 +149,8 @@ def joined_sets(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
     schemes = Schemes(num, den)
     rows = df.select(df[f"`{key}`"].alias("k"), df[f"`{text}`"].cast("string").alias("text"))
     named = F.struct(F.xxhash64("text").alias("x"), F.xxhash64(F.lit("text"), "text").alias("y"))  # texts are found again by 128 bits
-    docs = staged(rows.select("k", named.alias("name"), _sketch(F.col("text"), schemes, size).alias("s")).select("k", "name", "s.*"), "sketches")
-    distinct = staged(docs.where("n > 0").groupBy("node").agg(F.min("k").alias("least"), F.any_value(F.struct("name", "n", "band", "below", "own")).alias("s")).select("node", "least", "s.*"), "sets")
+    docs = staged(rows.select("k", named.alias("name"), _sketch(F.col("text"), schemes, size).alias("s")).select(F.monotonically_increasing_id().alias("row"), "k", "name", "s.*"), "sketches")
+    distinct = staged(docs.where("n > 0").groupBy("node").agg(F.min("k").alias("least"), F.min_by(F.struct("row", "name", "n", "schemes"), "row").alias("s")).select("node", "least", "s.*"), "distinct")
 
     @F.pandas_udf("array<long>")
     def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -155,24 +159,39 @@ def joined_sets(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         wanted = distinct.join(nodes, "node", "left_semi").select("node", "name")
-        return rows.select(named.alias("name"), "text").join(wanted, "name").groupBy("node").agg(F.any_value("text").alias("text")).select("node", shingles("text").alias("shingles"))
-
-    each = distinct.select("node", "n", F.explode(F.array(F.struct((F.col("band") - 1).alias("scheme"), F.col("below").alias("entries")), F.struct(F.col("band").alias("scheme"), F.col("own").alias("entries")))).alias("e")).select("node", "n", "e.*").where("size(entries) > 0")
-    parts = each.select("node", "scheme", F.posexplode("entries").alias("segment", "entry"))
-    sets = each.groupBy("scheme").agg(F.max(F.size("entries")).alias("segments"), F.count("*").alias("sets"), F.sum("n").alias("size"))
-    units = staged(allotted(parts, sets), "units")
-    whole = parts.join(units, ["scheme", "segment"], "left").where("coalesce(units, 1) > 0").select("node", F.col("entry").alias("key"))
+        return spread(rows.select(named.alias("name"), "text").join(wanted, "name").select("node", "text"), "node").groupBy("node").agg(F.any_value("text").alias("text")).select("node", shingles("text").alias("shingles"))
+
+    # a place counts the segments of both schemes through: those of the second begin where those of the first end
+    segments = F.create_map(*[F.lit(x) for c in range(len(schemes.low) - 1) for x in (c, schemes.segments(c))])
+    own = docs.select("row", "node", "entries", segments[F.get("schemes", F.lit(0))].alias("first"), "schemes").join(distinct.select("row"), "row", "left_semi")
+    placed = own.where("size(entries) > 0").select("node", "schemes", "first", F.posexplode("entries").alias("place", "entry"))
+    second = F.col("place") >= F.col("first")
+    scheme, segment = F.get("schemes", second.cast("int")), F.col("place") - F.when(second, F.col("first")).otherwise(0)
+    parts = placed.select("entry", "node", (scheme.cast("long") * _SLOT + segment).alias("slot"))
+    several = parts.groupBy("entry").agg(F.count("*").alias("n_sets")).where("n_sets > 1")
+    shared = staged(parts.join(several.hint("merge"), "entry").select("entry", "node", F.floor(F.col("slot") / _SLOT).cast("int").alias("scheme"), (F.col("slot") % _SLOT).cast("int").alias("segment"), "n_sets"), "shared")
+    each = distinct.select("node", "n", F.explode("schemes").alias("scheme"))
+    sets = each.groupBy("scheme").agg(F.count("*").alias("sets"), F.sum("n").alias("size")).withColumn("segments", segments[F.col("scheme")].cast("int"))
+    heads = shared.groupBy("scheme", "segment", "entry").agg(F.max("n_sets").alias("n"))
+    units = staged(ordered_units(heads, sets), "units")
+    budget = F.floor(F.col("n") * (den - num) / num) + 1
+    first_units = units.where("unit = 1").select("scheme", "segment", "rank")
+    whole = shared.join(first_units, ["scheme", "segment"]).join(distinct.select("node", "n"), "node").where(F.col("rank") < budget).select("node", F.col("entry").alias("key"))
 
     @F.pandas_udf("array<long>")
     def neighbourhoods(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for sets_, chosen in batches:
             yield pd.Series([np.concatenate([less_one(np.asarray(s, np.int64), c["scheme"], schemes.segments(c["scheme"]), list(c["segments"])) for c in cs]) for s, cs in zip(sets_, chosen, strict=True)])
 
-    double = units.where("units = 2").groupBy("scheme").agg(F.sort_array(F.collect_list("segment")).alias("segments"))
-    chosen = each.select("node", "scheme").join(double, "scheme").groupBy("node").agg(F.collect_list(F.struct("scheme", "segments")).alias("chosen"))
-    chosen = staged(chosen, "chosen")
+    # second units that come so early that the largest sets of their scheme buy them
+    double = units.where("unit = 2").join(sets.select("scheme", "segments"), "scheme").where("rank < segments").select("scheme", "segment", "rank")
+    bought = each.join(double, "scheme").where(F.col("rank") < budget).groupBy("node", "scheme").agg(F.sort_array(F.collect_list("segment")).alias("segments"))
+    chosen = staged(bought.groupBy("node").agg(F.collect_list(F.struct("scheme", "segments")).alias("chosen")), "chosen")
     near = sets_of(chosen.select("node")).join(chosen, "node").select("node", F.explode(neighbourhoods("shingles", "chosen")).alias("key"))
-    roots = connected(whole.unionByName(near), sets_of, num / den)
+    # neighbourhoods meet parts that no other set has as they are
+    slots = double.select((F.col("scheme").cast("long") * _SLOT + F.col("segment")).alias("slot"), "rank")
+    alone = parts.join(slots, "slot").join(distinct.select("node", "n"), "node").where(F.col("rank") < budget).select("node", F.col("entry").alias("key"))
+    roots = connected(whole.unionByName(near).unionByName(alone).distinct(), sets_of, num / den)
     found = staged(distinct.join(roots, distinct.node == roots.node, "left").select(distinct.node, "least", F.coalesce("root", distinct.node).alias("root")), "roots")
     first = found.groupBy("root").agg(F.min("least").alias("component_id"))
     named_ = found.join(first, "root").select("node", "component_id")

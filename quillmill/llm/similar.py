@@ -4,12 +4,12 @@ Two texts of similarity s agree in a band of ROWS minima with probability s^ROWS
 BANDS bands with probability (1 - 0.8^5)^24, below one in ten thousand. The positional bytes of a SimHash cannot do
 this: such pairs differ in up to a dozen bits or more, and of eight bytes not even one then has to be equal.
 
-Members of a band are not all paired at first. In each round one member of each band, that with the most neighbours of
+Pairs of bands with few members are rows, each once. Members of larger bands are not all paired at first. In each round one member of each band, that with the most neighbours of
 those not tried yet, is compared with those that are not yet in its component, and the links found are grown to
 components: large groups become one in few rounds. The pairs that are then left, of members of a band in different
 components, are all compared, in blocks: a band's members are dealt into blocks of bounded size, and each pair of
 blocks is one group, whatever the size of the band. So every proposed pair is either decided or inside one component,
-pairs are never rows, and nothing is capped.
+pairs of large bands are never rows, and nothing is capped.
 
 Before sets are compared their sketches are: bits that say whether an odd number of a set's shingles falls on a place. They
 differ in no more bits than the sets in shingles, so pairs that differ in too many cannot be similar and go without their sets.
@@ -31,6 +31,8 @@ SIZE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
 #: At most so many rounds with single members before all pairs left are compared, and no more if so few pairs a text are left.
 ROUNDS, LEFT = 4, 500
+#: Members of a posting whose pairs are rows, at most.
+SMALL = 6
 #: Shingles and members in a block, on average at most.
 BLOCK_SHINGLES, BLOCK_MEMBERS = 1 << 15, 512
 _RNG = np.random.default_rng(42)
@@ -159,6 +161,11 @@ def _dealt(placed: DataFrame, size: str, most: int) -> DataFrame:
     return pairs.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root")
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt out by these columns to as many tasks as the session shuffles to: Python works long on few bytes, by which small partitions are else put together."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def _one_sided(frame: pd.DataFrame) -> bool:
     """Whether one of two blocks has no members."""
     return frame["low"].iat[0] != frame["high"].iat[0] and frame["block"].min() == frame["block"].max()
@@ -178,7 +185,7 @@ def _blockwise(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFra
         stay = np.zeros(len(frame), bool) if _one_sided(frame) else possible(list(frame["sketch"]), frame["size"].to_numpy(), frame["root"].to_numpy(), frame["block"].to_numpy(), similarity)
         return frame.loc[stay, ["key", "node", "root", "size"]]
 
-    left = members.groupBy("key", "low", "high").applyInPandas(tried, "key long, node long, root long, size long").distinct()
+    left = spread(members, "key", "low", "high").groupBy("key", "low", "high").applyInPandas(tried, "key long, node long, root long, size long").distinct()
     members = _dealt(staged(left, "possible"), "size", BLOCK_SHINGLES).join(sets.select("node", "shingles").hint("merge"), "node")
 
     def compared(frame: pd.DataFrame) -> pd.DataFrame:
@@ -190,7 +197,7 @@ def _blockwise(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFra
         later = np.flatnonzero(root != np.arange(len(nodes)))
         return pd.DataFrame({"a": nodes[later], "b": nodes[root[later]]})
 
-    return members.groupBy("key", "low", "high").applyInPandas(compared, "a long, b long").distinct()
+    return spread(members, "key", "low", "high").groupBy("key", "low", "high").applyInPandas(compared, "a long, b long").distinct()
 
 
 def connected(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
@@ -199,7 +206,7 @@ def connected(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], si
     sets_of gives (node, shingles) for a table of nodes. Nodes without links may be missing.
     """
     several = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    placed = staged(postings.join(several, "key").withColumn("root", F.col("node")), "postings")
+    placed = staged(postings.join(several, "key").select("key", "node", "n", F.col("node").alias("root")), "postings")
     weights = staged(placed.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
 
     @F.pandas_udf("binary")
@@ -208,7 +215,13 @@ def connected(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], si
             yield pd.Series([odd_sketch(np.asarray(x, np.int64)) for x in batch])
 
     sets = staged(sets_of(weights.select("node")).select("node", "shingles", F.size("shingles").cast("long").alias("size"), sketched("shingles").alias("sketch")), "sets")
-    placed, nodes, edges = placed.join(weights, "node").select("key", "node", "root", "weight"), weights.count(), None
+    # the pairs of small postings, each once however many postings it is in
+    few = placed.where(F.col("n") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("m"))
+    pair = F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", F.lit(1), i), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
+    edges = staged(_verified(staged(few.select(pair.alias("p")).select("p.a", "p.b").distinct(), "pairs"), sets, similarity), "links")
+    roots = components(edges)
+    large = placed.where(F.col("n") > SMALL).join(weights, "node")
+    placed, nodes = large.join(roots, "node", "left").select("key", "node", F.coalesce(roots.root, "node").alias("root"), "weight"), weights.count()
     for turn in range(ROUNDS + 1):
         counts = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
         mixed = staged(counts.where("groups > 1"), "counts")
@@ -223,8 +236,7 @@ def connected(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], si
             pairs = placed.withColumnRenamed("node", "a").join(hub, "key").where("root <> other").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
             links = _verified(staged(pairs, "pairs"), sets, similarity)
         links = staged(links, "links")
-        edges = links if edges is None else links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(edges)
+        roots = components(links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         if last:
             return roots
         placed = placed.join(roots, "node", "left").select("key", "node", F.coalesce(roots.root, "node").alias("root"), "weight")
@@ -251,7 +263,7 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size:
     rows = df.where(df[f"`{key}`"].isNotNull()).select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), _node(text).alias("node"))
     docs = staged(rows.select("doc_id", "node", bands("text").alias("bands")), "bands")
     distinct = staged(docs.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("bands").alias("bands")), "distinct")
-    sets = lambda nodes: rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")).select("node", shingles("text").alias("shingles"))
+    sets = lambda nodes: spread(rows.join(nodes, "node", "left_semi"), "node").groupBy("node").agg(F.any_value("text").alias("text")).select("node", shingles("text").alias("shingles"))
     roots = connected(distinct.select("node", F.explode("bands").alias("key")), sets, similarity)
     found = staged(distinct.join(roots, distinct.node == roots.node, "left").select(distinct.node, "least", F.coalesce("root", distinct.node).alias("root")), "roots")
     first = found.groupBy("root").agg(F.min("least").alias("component_id"))
