@@ -71,37 +71,39 @@ def test_set_join(spark):
 
 
 def test_schemes():
-    """Bands are whole and any two sizes that may be linked share a scheme, whose bound is not below what they may differ in."""
+    """Any two sizes that may be linked share a scheme, and the smaller one's budget covers what they may differ in."""
     schemes = setjoin.Schemes(9, 10)
     for r in range(1, 700):
         for s in range(r, r * 10 // 9 + 1):
-            assert schemes.band(s) - schemes.band(r) in (0, 1)
             shared = set(schemes.of(r)) & set(schemes.of(s))
-            assert (r + s) // 19 == 0 or shared and all(schemes.bounds[c] >= (r + s) // 19 for c in shared)
+            assert (r + s) // 19 == 0 or shared and schemes.budget(r) > (r + s) // 19
+            assert all(schemes.segments(c) >= schemes.budget(s) for c in shared)
+    assert all(len(schemes.of(s)) <= 2 for s in range(1, 5000)) and schemes.of(8) == []
 
 
 def test_pigeonhole(spark):
-    """Whatever units a scheme buys, two sets within its bound share an entry; segments that all agree in are left out."""
-    rng = np.random.default_rng(5)
-    segments, bound = 8, 7
+    """Whatever the order of units, two sets within the smaller one's budget share an entry; segments that all agree in come late."""
+    rng, schemes = np.random.default_rng(5), setjoin.Schemes(9, 10)
     for _ in range(200):
-        a = rng.integers(-(2**62), 2**62, 60)
-        b = np.concatenate([a[rng.integers(0, bound + 1) :], rng.integers(-(2**62), 2**62, 0)])
-        spare = bound - (len(a) - len(b))
-        b = np.concatenate([b, rng.integers(-(2**62), 2**62, rng.integers(0, spare + 1))])
-        units = np.ones(segments, int)
-        for _ in range(3):
-            low, high = rng.integers(0, segments, 2)
-            if units[low] == 1 == units[high] and low != high:
-                units[low], units[high] = 0, 2
-        found = []
-        for x in (a, b):
-            whole, two = setjoin.entries(x, 3, segments), np.flatnonzero(units == 2).tolist()
-            found.append({*whole[units > 0].tolist(), *setjoin.less_one(x, 3, segments, two).tolist()})
+        a = rng.integers(-(2**62), 2**62, int(rng.integers(70, 90)))
+        b = a
+        while 10 * len(np.intersect1d(a, b)) >= 9 * len(np.union1d(a, b)):
+            last, b = b, np.concatenate([b[1:], rng.integers(-(2**62), 2**62, int(rng.integers(0, 2)))]) if rng.random() < 0.7 else np.concatenate([b, rng.integers(-(2**62), 2**62, 1)])
+        scheme = (set(schemes.of(len(a))) & set(schemes.of(len(last)))).pop()
+        segments, found = schemes.segments(scheme), []
+        order = [(i, 1) for i in rng.permutation(segments)]
+        for i in rng.integers(0, segments, 5):  # some second units early, each after its first
+            if (i, 2) not in order:
+                order.insert(int(rng.integers(order.index((i, 1)) + 1, len(order) + 1)), (i, 2))
+        for x in (a, last):
+            units = order[: schemes.budget(len(x))]
+            whole = setjoin.entries(x, scheme, segments)
+            found.append({*whole[[i for i, u in units if u == 1]].tolist(), *setjoin.less_one(x, scheme, segments, [i for i, u in units if u == 2]).tolist()})
         assert found[0] & found[1]
-    parts = spark.createDataFrame([(1, 0, 5)] * 50 + [(1, s, 100 * s + i) for s in (1, 2) for i in range(50)], "scheme int, segment int, entry long")
+    shared = spark.createDataFrame([(1, 0, 500), (1, 1, 2)], "scheme int, segment int, n long")
     sets = spark.createDataFrame([(1, 3, 50, 600)], "scheme int, segments int, sets long, size long")
-    assert {(r.segment, r.units) for r in setjoin.allotted(parts, sets).collect()} in ({(0, 0), (1, 2)}, {(0, 0), (2, 2)})
+    order = [(r.segment, r.unit) for r in setjoin.ordered_units(shared, sets).orderBy("rank").collect()]
+    assert order == [(2, 1), (1, 1), (2, 2), (1, 2), (0, 1), (0, 2)]
 
 
 def test_sketches():
