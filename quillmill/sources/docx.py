@@ -18,14 +18,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmill.sources import equations
+
 # The namespaces of the format.
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _M = "{http://schemas.openxmlformats.org/officeDocument/2006/math}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
 _V = "{urn:schemas-microsoft-com:vml}"
+_O = "{urn:schemas-microsoft-com:office:office}"
 #: Parts of a paragraph or body that show nothing of their own.
-_SILENT = {_W + x for x in ("pPr", "rPr", "sectPr", "bookmarkStart", "bookmarkEnd", "proofErr", "lastRenderedPageBreak", "commentRangeStart", "commentRangeEnd", "permStart", "permEnd", "del", "delText", "instrText", "fldChar", "noBreakHyphen", "softHyphen", "sdtPr", "sdtEndPr", "footnoteReference", "commentReference", "annotationRef", "moveFrom", "tblPr", "tblGrid", "trPr", "tcPr")}
+_SILENT = {_W + x for x in ("pPr", "rPr", "sectPr", "bookmarkStart", "bookmarkEnd", "proofErr", "lastRenderedPageBreak", "commentRangeStart", "commentRangeEnd", "permStart", "permEnd", "del", "delText", "instrText", "fldChar", "sdtPr", "sdtEndPr", "commentReference", "annotationRef", "footnoteRef", "endnoteRef", "separator", "continuationSeparator", "rubyPr", "moveFrom", "tblPr", "tblGrid", "trPr", "tcPr")}
+#: Signs of the symbol font that papers use, by their codes: fixed values of that font.
+_SYMBOLS = {0xB4: "×", 0xB8: "÷", 0xB1: "±", 0xA3: "≤", 0xB3: "≥", 0xB9: "≠", 0xBB: "≈", 0xA5: "∞", 0xD0: "∠", 0x5E: "⊥", 0xB0: "°", 0x70: "π", 0x61: "α", 0x62: "β", 0x67: "γ", 0x71: "θ", 0x6C: "λ", 0x6D: "μ", 0x77: "ω", 0x44: "Δ", 0xD7: "·", 0xAE: "→", 0xCE: "∈", 0xC8: "∪", 0xC7: "∩"}
+#: Containers in a line whose own tags show nothing.
+_HOLDERS = {_W + x for x in ("r", "hyperlink", "smartTag", "ins", "moveTo", "fldSimple", "sdt", "sdtContent", "customXml", "p", "drawing", "pict", "rubyBase", "rt", "dir", "bdo")}
 #: Errors that a damaged package may raise on reading.
 _DAMAGE = (zipfile.BadZipFile, zlib.error, KeyError, ValueError, ET.ParseError, RuntimeError, NotImplementedError, OSError, EOFError)
 PARTS = "array<struct<ord: int, type: string, raw_text: string, style_id: string, resolved_label: string, latex: string, asset: int, is_critical: boolean, para: int>>"
@@ -184,6 +191,24 @@ def _table(node: ET.Element, cell_text) -> str:
     return f"<table>{''.join(out)}</table>"
 
 
+def _script(run: ET.Element) -> str:
+    """^ or _ for a run that is set above or below the line."""
+    set_ = run.find(f"{_W}rPr/{_W}vertAlign") if run.tag == _W + "r" else None
+    return {"superscript": "^", "subscript": "_"}.get("" if set_ is None else set_.get(_W + "val", ""), "")
+
+
+def _scripted(text: str, script: str) -> str:
+    return f"${script}{{{text}}}$" if script and text.strip() and not text.startswith("[^") else text
+
+
+def _joined(texts: list[str]) -> str:
+    """Texts of runs; a script that goes on over several runs is one."""
+    out = "".join(texts)
+    while (one := re.sub(r"(\$([\^_])\{[^{}$]*)\}\$\$\2\{", r"\1", out)) != out:
+        out = one
+    return out
+
+
 class _Package:
     """One package taken apart: parts in order of the source, media, and whether something of it is missing."""
 
@@ -195,9 +220,13 @@ class _Package:
         rels = read("word/_rels/document.xml.rels")
         self.numbering = Numbering(read("word/numbering.xml"), read("word/styles.xml"))
         self.targets = {r.get("Id"): r.get("Target", "") for r in (ET.fromstring(rels) if rels else ()) if r.get("TargetMode") != "External"}
+        #: Foot- and endnotes by kind and id.
+        self.notes = {(kind, n.get(_W + "id")): n for kind in ("footnote", "endnote") if (xml := read(f"word/{kind}s.xml")) for n in ET.fromstring(xml).findall(_W + kind)}
         self.parts: list[tuple] = []
         self.media: list[tuple[str, bytes]] = []
         self.broken = self.body is None
+        #: Notes that were referred to and are not laid out yet.
+        self.waiting: list[tuple] = []
         #: The number of the paragraph or table that is being read.
         self.para = 0
 
@@ -236,28 +265,79 @@ class _Package:
         self.add("unresolved", ET.tostring(node, encoding="unicode"), critical=True)
         return None
 
-    def embedded(self, node: ET.Element) -> None:
-        """An embedded object, such as a formula of another editor: unresolved, with its preview image where it has one."""
+    def embedded(self, node: ET.Element) -> str | None:
+        """The LaTeX of an embedded equation; of any other object None, with an unresolved part that has its preview image, if there is one."""
+        for rel in [x.get(_R + "id") for x in node.iter(_O + "OLEObject")]:
+            path = "word/" + self.targets.get(rel, "?").removeprefix("/word/")
+            try:
+                latex = equations.formula(self.package.read(path))
+            except (equations.EquationError, *_DAMAGE):
+                continue
+            if valid_formula(latex):
+                return latex
         previews = [at for b in node.iter(_V + "imagedata") if (at := self.medium(b.get(_R + "id"))) is not None]
         self.add("unresolved", ET.tostring(node, encoding="unicode"), asset=previews[0] if previews else None, critical=True)
+        return None
+
+    def sign(self, x: ET.Element) -> str | None:
+        """What an element of a line shows as text; None if it is no text."""
+        tag = x.tag.removeprefix(_W)
+        if tag == "t":
+            return x.text or ""
+        if tag in ("br", "cr", "tab", "ptab"):
+            return "\t" if tag.endswith("tab") else "\n"
+        if tag in ("noBreakHyphen", "softHyphen"):
+            return "-" if tag == "noBreakHyphen" else "\u00ad"
+        if tag == "sym":
+            code = int(x.get(_W + "char", "FFFD"), 16)
+            if 0xF000 <= code <= 0xF0FF:  # a place in a font and not a sign
+                if x.get(_W + "font", "").lower() != "symbol" or code - 0xF000 not in _SYMBOLS:
+                    self.add("unresolved", ET.tostring(x, encoding="unicode"), critical=True)
+                    return "\ufffd"
+                return _SYMBOLS[code - 0xF000]
+            return chr(code)
+        if tag == "ruby":
+            parts = ["".join(t.text or "" for part in x.findall(_W + name) for t in part.iter(_W + "t")) for name in ("rubyBase", "rt")]
+            return parts[0] + (f"（{parts[1]}）" if parts[1] else "")
+        if tag in ("footnoteReference", "endnoteReference"):
+            kind, number = tag.removesuffix("Reference"), x.get(_W + "id")
+            note = self.notes.get((kind, number))
+            if note is None:
+                self.broken = True
+            else:
+                self.waiting.append((kind, number, note))
+            return f"[^{kind[0]}{number}]"
+        return None
+
+    def noted(self) -> None:
+        """The notes that the line before refers to, as blocks of their own."""
+        while self.waiting:
+            kind, number, note = self.waiting.pop(0)
+            at = len(self.parts)
+            self.blocks(note, "textbox")
+            if len(self.parts) == at:
+                self.add("textbox", "")
+            first = self.parts[at]
+            self.parts[at] = (*first[:2], f"[^{kind[0]}{number}]: {(first[2] or '').lstrip()}", *first[3:])
 
     def cell(self, c: ET.Element) -> str:
         """A cell's text, formulas, pictures and inner tables, in order. What is not understood becomes a part of its own too."""
         out: list[str] = []
 
         def walk(node: ET.Element) -> None:
+            script = _script(node)
             for x in node:
-                if x.tag == _W + "t":
-                    out.append((x.text or "").replace("&", "&amp;").replace("<", "&lt;"))
-                elif x.tag in (_W + "br", _W + "tab"):
-                    out.append(" ")
+                if (shown := self.sign(x)) is not None:
+                    plain = shown.replace("&", "&amp;").replace("<", "&lt;")
+                    out.append(" " if shown in ("\n", "\t") else _scripted(plain, script))
                 elif x.tag == _M + "oMath":
                     latex = self.formula(x)
                     out.append("" if latex is None else f"${latex}$")
                 elif x.tag == _W + "tbl":
                     out.append(_table(x, self.cell))
                 elif x.tag == _W + "object":
-                    self.embedded(x)
+                    latex = self.embedded(x)
+                    out.append("" if latex is None else f"${latex}$")
                 elif x.tag in (_W + "drawing", _W + "pict") and x.find(f".//{_W}txbxContent") is None:
                     for rel in [b.get(_R + "embed") for b in x.iter(_A + "blip")] + [b.get(_R + "id") for b in x.iter(_V + "imagedata")]:
                         at = self.medium(rel)
@@ -272,7 +352,7 @@ class _Package:
                         out.append(" ")
 
         walk(c)
-        return "".join(out).strip()
+        return _joined(out).strip()
 
     def paragraph(self, p: ET.Element, kind: str = "paragraph") -> None:
         self.para += 1
@@ -286,18 +366,15 @@ class _Package:
         def flush() -> None:
             nonlocal label
             if text or label:
-                self.add(kind, "".join(text), style, label)
+                self.add(kind, _joined(text), style, label)
                 text.clear()
                 label = None
 
         def walk(node: ET.Element) -> None:
+            script = _script(node)
             for c in node:
-                if c.tag == _W + "t":
-                    text.append(c.text or "")
-                elif c.tag in (_W + "br", _W + "cr", _W + "tab", _W + "ptab"):
-                    text.append("\t" if c.tag.endswith("tab") else "\n")
-                elif c.tag == _W + "sym":
-                    text.append(chr(int(c.get(_W + "char", "FFFD"), 16)))
+                if (shown := self.sign(c)) is not None:
+                    text.append(_scripted(shown, script))
                 elif c.tag == _M + "oMath":
                     flush()
                     latex = self.formula(c)
@@ -311,15 +388,18 @@ class _Package:
                     self.picture(c)
                 elif c.tag == _W + "object":
                     flush()
-                    self.embedded(c)
+                    latex = self.embedded(c)
+                    if latex is not None:
+                        self.add("formula", ET.tostring(c, encoding="unicode"), latex=latex, critical=True)
                 elif c.tag not in _SILENT and not c.tag.endswith("}Fallback"):
-                    if len(c) == 0 and c.tag != _W + "r" and not c.tag.startswith((_A, _V)) and (c.text or "").strip():
+                    if len(c) == 0 and c.tag not in _HOLDERS and not c.tag.startswith((_A, _V)) and (c.tag.startswith(_W) or (c.text or "").strip()):
                         flush()
                         self.add("unresolved", ET.tostring(c, encoding="unicode"), critical=True)
                     walk(c)
 
         walk(p)
         flush()
+        self.noted()
 
     def blocks(self, parent: ET.Element, kind: str = "paragraph") -> None:
         """The parts of a body, text box or content control; what is not known becomes unresolved, and nothing is dropped."""
@@ -331,6 +411,7 @@ class _Package:
                 self.add("table", None, critical=True)
                 at = len(self.parts) - 1
                 self.parts[at] = (*self.parts[at][:2], _table(node, self.cell), *self.parts[at][3:])
+                self.noted()
             elif node.tag == _M + "oMathPara":
                 for x in node.iter(_M + "oMath"):
                     latex = self.formula(x)
@@ -360,26 +441,31 @@ def parse(content: bytes) -> tuple[str, list[tuple], list[tuple[str, bytes]]]:
 
 def read_docx(spark: SparkSession, path: str) -> DataFrame:
     """A row for each .docx file below a path: id, name, digest, status, parts in order, media."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return taken_apart(spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").option("recursiveFileLookup", "true").load(path))
+
+
+def taken_apart(files: DataFrame) -> DataFrame:
+    """A row for each package of files (path, content): id, name, digest, status, parts in order, media. A null content is a package that cannot be read."""
 
     def taken(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for name, content in zip(batch["path"], batch["content"], strict=True):
+                content = content or b""
                 digest = hashlib.sha256(content).hexdigest()
                 status, parts, media = parse(content)
                 keys = ("ord", "type", "raw_text", "style_id", "resolved_label", "latex", "asset", "is_critical", "para")
                 rows.append((f"doc_{digest[:16]}", name.rpartition("/")[2], digest, status, [dict(zip(keys, p, strict=True)) for p in parts], [{"ext": e, "content": c} for e, c in media]))
             yield pd.DataFrame(rows, columns=["document_id", "source_file", "source_sha256", "status", "parts", "media"])
 
-    return files.mapInPandas(taken, PARSED)
+    return files.select("path", "content").mapInPandas(taken, PARSED)
 
 
 def blocks(parsed: DataFrame) -> DataFrame:
     """(document_id, block_id, ord, type, ...): each block, with the asset it shows."""
     each = parsed.select("document_id", "media", F.explode("parts").alias("p"))
     asset = F.concat(F.lit("img_"), F.substring(F.sha2(F.get("media.content", F.col("p.asset")), 256), 1, 16))
-    return each.select("document_id", F.concat_ws("_", "document_id", F.lpad(F.col("p.ord").cast("string"), 5, "0")).alias("block_id"), "p.ord", "p.type", "p.raw_text", F.trim("p.raw_text").alias("normalized_text"), "p.style_id", "p.resolved_label", "p.latex", asset.alias("asset_id"), "p.is_critical", "p.para")
+    return each.select("document_id", F.concat_ws("_", "document_id", F.lpad(F.col("p.ord").cast("string"), F.greatest(F.lit(5), F.length(F.col("p.ord").cast("string"))), F.lit("0"))).alias("block_id"), "p.ord", "p.type", "p.raw_text", F.trim("p.raw_text").alias("normalized_text"), "p.style_id", "p.resolved_label", "p.latex", asset.alias("asset_id"), "p.is_critical", "p.para")
 
 
 def assets(parsed: DataFrame) -> DataFrame:
