@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillmill.operators.alignment import chains
 from quillmill.schemas import SCORE
 
 #: Weights of the evidence, version 1. Values chosen here; they add up to 1.
@@ -79,8 +81,8 @@ def _sure(group: pd.DataFrame) -> pd.DataFrame:
 
     ends, starts = lengths(places), lengths([-v for v in places[::-1]])[::-1]
     longest = max(ends)
-    on = [e for e, s in zip(ends, starts, strict=True) if e + s - 1 == longest]
-    keep = [e + s - 1 == longest and on.count(e) == 1 for e, s in zip(ends, starts, strict=True)]
+    on = Counter(e for e, s in zip(ends, starts, strict=True) if e + s - 1 == longest)
+    keep = [e + s - 1 == longest and on[e] == 1 for e, s in zip(ends, starts, strict=True)]
     return group.sort_values("qp")[keep]
 
 
@@ -111,23 +113,26 @@ def align(questions: DataFrame, answers: DataFrame) -> DataFrame:
     return matched.unionByName(skipped_q).unionByName(skipped_a)
 
 
-def signals(questions: DataFrame, answers: DataFrame, reach: int = 2) -> DataFrame:
-    """(cluster_id, q, a, conflict, and a column for each of WEIGHTS): the evidence for pairs of one cluster, each signal 0 or 1.
+def signals(questions: DataFrame, answers: DataFrame, reach: int = 2, aligned: DataFrame | None = None, meaning: DataFrame | None = None) -> DataFrame:
+    """(cluster_id, q, a, qp, ap, conflict, and a column for each of WEIGHTS): the evidence for pairs of one cluster, each signal 0 or 1.
 
     Both sides have cluster_id, ord, number (int), id, document, file (what file names of one exam share) and fields (an
     array of what the document says of itself); questions have kind and stem, answers have answer. The pairs are those of
-    candidate_pairs, so an answer under another number is seen and no cluster is paired with itself.
+    candidate_pairs, so an answer under another number is seen and no cluster is paired with itself. Places qp and ap count
+    from 1 in their cluster. `aligned` has the aligned pairs (cluster_id, q, aligned); without it they are those of align.
 
     number: equal. sequence: aligned in the sequences of both sides. order: the answers of the nearest aligned questions
     before and after stand before and after this one, of which one at least is there, or both sides have one
     item. file: one document, or file names of one exam. title: of the fields that both documents name one agrees; if one
     differs, the pair is in conflict. type: letters for a choice and no others. counts: not more answers than questions.
     format: letters of a choice in rising order; else text with even brackets and dollar signs and no number of a question
-    before it. semantic: the letters are offered; as many parts as blanks; else a sign of substance (a number, a Latin
-    word or two Chinese characters) is in both texts. What cannot be said is 0.
+    before it. semantic: the pair is in `meaning` (cluster_id, q, a; see vectors.near_in_meaning), where that is given; without it the letters
+    are offered; as many parts as blanks; else a sign of substance (a number, a Latin word or two Chinese characters) is in both
+    texts. What cannot be said is 0.
     """
     of, by = W.partitionBy("cluster_id"), lambda c: W.partitionBy("cluster_id").orderBy("ord", c)
-    aligned = align(questions, answers).where("op = 'match'").select("cluster_id", F.col("question_id").alias("q"), F.col("answer_id").alias("aligned"))
+    if aligned is None:
+        aligned = align(questions, answers).where("op = 'match'").select("cluster_id", F.col("question_id").alias("q"), F.col("answer_id").alias("aligned"))
     a = answers.select(F.col("cluster_id").cast("string").alias("cluster_id"), "ord", F.col("number").alias("an"), F.col("id").cast("string").alias("a"), F.col("document").alias("ad"), F.col("file").alias("af"), F.col("fields").alias("afields"), "answer")
     a = a.withColumn("ap", F.row_number().over(by("a"))).withColumn("na", F.count("*").over(of))
     q = questions.select(F.col("cluster_id").cast("string").alias("cluster_id"), "ord", F.col("number").alias("qn"), F.col("id").cast("string").alias("q"), F.col("document").alias("qd"), F.col("file").alias("qf"), F.col("fields").alias("qfields"), "kind", "stem")
@@ -146,9 +151,28 @@ def signals(questions: DataFrame, answers: DataFrame, reach: int = 2) -> DataFra
     blanks = F.regexp_count("stem", F.lit(r"_{3,}|（\s*）"))
     order = (F.col("low").isNull() | (F.col("low") < F.col("ap"))) & (F.col("high").isNull() | (F.col("ap") < F.col("high"))) & (F.col("low").isNotNull() | F.col("high").isNotNull() | ((F.col("nq") == 1) & (F.col("na") == 1)))
     semantic = F.when(choice, letters & F.forall(each, lambda x: F.contains("stem", x))).when(blanks > 0, F.size(F.split("answer", "[;；]")) == blanks).otherwise(F.arrays_overlap(marks("stem"), marks("answer")))
+    if meaning is not None:
+        near = meaning.select("cluster_id", "q", "a", F.lit(True).alias("near")).distinct()
+        pairs, semantic = pairs.join(near, ["cluster_id", "q", "a"], "left"), F.col("near")
     made = {
         "number": F.col("qn") == F.col("an"), "sequence": F.col("aligned") == F.col("a"), "file": one | (F.col("qf") == F.col("af")), "type": choice == letters, "counts": F.col("na") <= F.col("nq"),
         "format": F.when(letters, F.array_join(F.array_sort(F.array_distinct(each)), "") == F.col("answer")).otherwise(even), "order": order, "semantic": semantic, "title": one | F.exists(both, lambda x: x),
     }
     conflict = F.coalesce(~one & F.exists(both, lambda x: ~x), F.lit(False))
-    return pairs.select("cluster_id", "q", "a", conflict.alias("conflict"), *[F.coalesce(made[k], F.lit(False)).cast("int").alias(k) for k in WEIGHTS])
+    return pairs.select("cluster_id", "q", "a", "qp", "ap", conflict.alias("conflict"), *[F.coalesce(made[k], F.lit(False)).cast("int").alias(k) for k in WEIGHTS])
+
+
+def weighed(questions: DataFrame, answers: DataFrame, reach: int = 2, gap: float = 0.1, block: int = 512, meaning: DataFrame | None = None) -> DataFrame:
+    """(cluster_id, q, aligned): the pairs that every best alignment of the two sequences has.
+
+    An alignment keeps the order of both sides. It gains the evidence of its pairs, of all signals that need no alignment, and pays
+    `gap` for each item of either side that it skips. Pairs in conflict or without evidence are never aligned. So items that were renumbered, or
+    have others put in before them, find their partners by what they are and where they stand, and what several best
+    alignments settle differently stays open. See chains for how it is worked out.
+    """
+    found = signals(questions, answers, reach, meaning=meaning)
+    score = evidence_score({k: F.col(k) for k in WEIGHTS if k not in ("sequence", "order")})
+    gain = (score * 1_000_000).cast("long")
+    pairs = found.where(~F.col("conflict")).select("cluster_id", "q", "a", "qp", "ap", gain.alias("gain")).where("gain > 0")
+    # to skip both sides costs two gaps; so a pair is worth its evidence and two gaps more than none
+    return chains(pairs.withColumn("gain", F.col("gain") + F.lit(round(gap * 2_000_000))), block).where("sure").select("cluster_id", "q", F.col("a").alias("aligned"))
