@@ -43,3 +43,21 @@ def groups(members: DataFrame, node: str, key: str) -> DataFrame:
         before = now
     every = members.select(node).distinct()
     return every.join(edges, F.col(node) == F.col("a"), "left").select(node, F.coalesce("b", node).alias("group_id"))
+
+
+def reached(edges: DataFrame, starts: DataFrame, most_rounds: int = 1000) -> DataFrame:
+    """(start, node, steps): every node that edges (source, target) lead to from each node of starts (start), itself included, with the fewest steps.
+
+    Breadth first: a round joins what the last one found to the edges and keeps what is new. Nodes may lie on cycles.
+    Null ends are passed over. Turn the edges round to walk the other way.
+    """
+    along = edges.where("source IS NOT NULL AND target IS NOT NULL").select("source", "target").distinct()
+    new = cut(starts.where("start IS NOT NULL").select("start", F.col("start").alias("node"), F.lit(0).alias("steps")).distinct())
+    found = new
+    for step in range(1, most_rounds):
+        next_ = new.join(along, F.col("node") == F.col("source")).select("start", F.col("target").alias("node")).distinct()
+        new = cut(next_.join(found, ["start", "node"], "left_anti").withColumn("steps", F.lit(step)))
+        if new.isEmpty():
+            return found
+        found = cut(found.unionByName(new))
+    raise RuntimeError(f"paths of more than {most_rounds} steps")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmill.functions.text import normalized_enum
-from quillmill.operators.graph import groups
+from quillmill.operators.graph import cut, groups
 from quillmill.operators.splitting import question_number
 from quillmill.schemas import COURSES, DOCUMENT_CLASSES, ENTRANCE_EXAMS, GRADE_LEVELS
 
@@ -104,24 +106,82 @@ def exam_key(name: Column) -> Column:
     return F.when(F.char_length(bare) >= 4, bare)
 
 
-def clusters(documents: DataFrame) -> DataFrame:
-    """(document_id, cluster_id) from document_id, source_file, title, document_class, question_numbers, answer_numbers and the fields.
+#: What may make two documents one exam. Each rule is a set of evidence that both have alike; none of it may be absent.
+RULES = (("file",), ("title",), ("sketch", "course", "year"), ("course", "level", "year", "numbers"), ("meaning", "course", "year"))
+#: MinHash bands of a title's pairs of characters, and minima in each: titles alike to 0.8 share one with a chance of 0.98.
+_BANDS, _MINIMA = 4, 2
+
+
+def title_sketch(title: Column) -> Column:
+    """Keys of a title, by its pairs of characters; titles that are much alike share one. Null below four characters."""
+    bare = exam_key(title)
+    pairs = F.transform(F.sequence(F.lit(1), F.char_length(bare) - 1), lambda i: F.substring(bare, i, F.lit(2)))
+
+    def least(seed: int) -> Column:
+        return F.array_min(F.transform(pairs, lambda p: F.xxhash64(p, F.lit(seed)))).cast("string")
+
+    band = lambda b: F.concat_ws("-", F.lit(b), *[least(b * _MINIMA + k) for k in range(_MINIMA)])
+    return F.when(bare.isNotNull(), F.array(*[band(b) for b in range(_BANDS)]))
+
 
-    Documents with the same key of file name or title, linked over any number of others, are one cluster. It falls
-    apart into single documents if two of its documents say different things of a field, if it has several
-    documents of questions or several of answers, or if most of its answers have no question number to go to.
+def _evidence_keys(documents: DataFrame) -> DataFrame:
+    """(document_id, key): a key for each rule (and band of a sketch) whose evidence the document has."""
+    told = lambda c: F.when(F.size(c) > 0, F.array_join(F.array_sort(F.array_distinct(c)), ","))
+    one = {f: F.col(f) for f in FIELDS} | {"file": exam_key(F.col("source_file")), "title": exam_key(F.col("title")), "numbers": F.coalesce(told(F.col("question_numbers")), told(F.col("answer_numbers")))}
+    several = {"sketch": title_sketch(F.col("title")), "meaning": F.array(F.col("meaning")) if "meaning" in documents.columns else F.lit(None).cast("array<string>")}
+
+    def of_rule(rule: tuple[str, ...]) -> Column:
+        lone, many = [one[r].cast("string") for r in rule if r in one], [several[r] for r in rule if r in several]
+        # file names and titles are of one kind: the file name of one may be the title of another
+        name = F.lit("name" if rule in (("file",), ("title",)) else "+".join(rule))
+        whole = lambda *more: F.concat_ws("\x1f", name, *lone, *more)
+        sound = reduce(lambda x, y: x & y, [c.isNotNull() for c in lone])
+        return F.when(sound, F.transform(many[0], lambda v: whole(v)) if many else F.array(whole()))
+
+    keys = [of_rule(rule) for rule in RULES]
+    none = F.array().cast("array<string>")
+    return documents.select("document_id", F.explode_outer(F.concat(*[F.coalesce(k, none) for k in keys])).alias("key"))
+
+
+def clusters(documents: DataFrame) -> DataFrame:
+    """(document_id, cluster_id) from document_id, source_file, title, document_class, question_numbers, answer_numbers, the fields and, where there, meaning.
+
+    Documents that share the evidence of a rule of RULES, directly or over others, may be one exam. What cannot be one
+    exam is parted from the rest, and the rest stays together:
+    documents that say different things of a field part by what they say, and one that says nothing of it leaves, as it could be either's;
+    of several documents with questions, or several with answers, those stay together two by two whose question numbers are the
+    same and are nobody else's, and the others leave; and an answer document leaves if most of its answers have no question number to go to.
+    A document that leaves is a cluster of its own. No group is gathered and no pairs are made. cluster_id is exam_ and the smallest document in it.
     """
-    keys = documents.select("document_id", F.explode_outer(F.array_compact(F.array(exam_key(F.col("source_file")), exam_key(F.col("title"))))).alias("key"))
+    keys = _evidence_keys(documents)
     placed = documents.join(groups(keys, "document_id", "key"), "document_id")
+    said = placed.select("group_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in FIELDS])).alias("f")).where("f.value IS NOT NULL")
+    differ = said.groupBy("group_id", "f.field").agg(F.min("f.value").alias("low"), F.max("f.value").alias("high")).where("low <> high").groupBy("group_id").agg(F.collect_set("field").alias("differ"))
+    parted = placed.join(differ, "group_id", "left").withColumn("differ", F.coalesce("differ", F.array().cast("array<string>")))
+    side, silent = [], F.lit(False)
+    for f in FIELDS:
+        here = F.array_contains("differ", f)
+        side.append(F.when(here, F.concat(F.lit(f"{f}="), F.col(f).cast("string"))))
+        silent = silent | (here & F.col(f).isNull())
+    label = F.when(silent, F.concat(F.lit("alone="), F.col("document_id"))).otherwise(F.concat_ws("\x1f", *side))
+    # what parts documents may have cut the chain between others too
+    apart = cut(parted.select("document_id", label.alias("label")))
+    again = keys.join(apart, "document_id").select("document_id", F.when(F.col("key").isNotNull(), F.concat_ws("\x1e", "label", "key")).alias("key"))
+    placed = documents.join(groups(again, "document_id", "key"), "document_id")
     asks, tells = F.col("document_class").isin("QUESTION", "QUESTION_AND_ANSWER", "MIXED"), F.col("document_class").isin("ANSWER", "QUESTION_AND_ANSWER", "MIXED")
+    numbers = F.when(asks, F.array_join(F.array_sort(F.array_distinct("question_numbers")), ",")).when(tells, F.array_join(F.array_sort(F.array_distinct("answer_numbers")), ","))
+    placed = placed.withColumns({"asks": asks, "tells": tells, "sequence": numbers})
+    roles = placed.groupBy("group_id").agg(((F.count_if("asks") > 1) | (F.count_if("tells") > 1)).alias("crowded"))
+    partners = placed.where("sequence <> ''").groupBy("group_id", "sequence").agg(((F.count_if("asks") == 1) & (F.count_if("tells") == 1)).alias("couple"))
+    placed = placed.join(roles, "group_id").join(partners, ["group_id", "sequence"], "left")
+    home = F.when(~F.col("crowded"), F.col("group_id")).when(F.col("couple"), F.concat_ws("\x1f", "group_id", "sequence")).otherwise(F.concat(F.lit("alone="), F.col("document_id")))
+    placed = cut(placed.select("document_id", "asks", "tells", "question_numbers", "answer_numbers", home.alias("home")))
     every = lambda c: F.array_distinct(F.flatten(F.collect_set(c)))
-    conflict = F.lit(False)
-    for f in FIELDS:
-        conflict = conflict | (F.count_distinct(f) > 1)
-    told = placed.groupBy("group_id").agg((conflict | (F.count_if(asks) > 1) | (F.count_if(tells) > 1)).alias("doubt"), F.count("*").alias("n"), every("question_numbers").alias("qs"), every("answer_numbers").alias("answers"))
-    lost = 2 * F.size(F.array_except("answers", "qs")) > F.size("answers")
-    told = told.select("group_id", ((F.col("n") > 1) & (F.col("doubt") | lost)).alias("apart"))
-    return placed.join(told, "group_id").select("document_id", F.concat(F.lit("exam_"), F.when(F.col("apart"), F.col("document_id")).otherwise(F.col("group_id"))).alias("cluster_id"))
+    told = placed.groupBy("home").agg(every("question_numbers").alias("qs"), F.count("*").alias("n"))  # one exam: a home has one document of questions at most
+    lost = F.col("tells") & ~F.col("asks") & (F.col("n") > 1) & (2 * F.size(F.array_except("answer_numbers", "qs")) > F.size("answer_numbers"))
+    settled = placed.join(told, "home").select("document_id", F.when(lost, F.concat(F.lit("alone="), F.col("document_id"))).otherwise(F.col("home")).alias("home"))
+    first = settled.groupBy("home").agg(F.min("document_id").alias("first"))
+    return settled.join(first, "home").select("document_id", F.concat(F.lit("exam_"), "first").alias("cluster_id"))
 
 
 def from_cluster(values: DataFrame, placed: DataFrame) -> DataFrame:
