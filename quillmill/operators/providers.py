@@ -7,11 +7,9 @@ under way at once. Every answer, failures too, is a row of the ledger, so a job
 from __future__ import annotations
 
 import asyncio
-import json
 import random
 import time
 import uuid
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Protocol
@@ -182,22 +180,23 @@ def _kept(requests: DataFrame, ledger: Ledger, provider, concurrency: int, **opt
 
 
 def recognised(assets: DataFrame, primary, fallback, calibration: DataFrame, ledger: Ledger | DataFrame | None, concurrency: int, prompt_version: str = "v1", **options) -> tuple[DataFrame, DataFrame]:
-    """(settled results by block_id, ledger rows) for assets (block_id, task, is_critical, content).
+    """(settled results by block_id, calls) for assets (block_id, task, is_critical, content).
 
-    The fallback gets only what the accept ladder leaves open after the primary.
+    The fallback gets only what the accept ladder leaves open after the primary. Calls are ledger rows with their
+    normalized_score and, for the fallback's, fallback_reason: LOW_SCORE, as no other result is asked again.
     """
     requests = assets.withColumns({"content_hash": F.sha2("content", 256), "payload": F.col("content"), "prompt_version": F.lit(prompt_version)})
 
-    def asked(rows: DataFrame, provider) -> tuple[DataFrame, DataFrame]:
+    def asked(rows: DataFrame, provider, reason: str | None) -> tuple[DataFrame, DataFrame]:
         made = through(rows, ledger, provider, concurrency, **options)
         key = cache_key(F.col("content_hash"), F.lit(provider.name), F.lit(provider.model), F.col("prompt_version"), F.col("task"))
         back = rows.select("block_id", "is_critical", key.alias("cache_key")).join(made, "cache_key")
-        return recognition.calibrated(back, calibration), made
+        return recognition.calibrated(back, calibration), recognition.calibrated(made, calibration).withColumn("fallback_reason", F.lit(reason).cast("string"))
 
-    first, calls = asked(requests, primary)
+    first, calls = asked(requests, primary, None)
     if fallback is not None:
         open_ = first.where(recognition.ladder(F.col("normalized_score"), F.col("is_critical")) == "fallback").select("block_id")
-        second, more = asked(requests.join(open_, "block_id", "left_semi"), fallback)
+        second, more = asked(requests.join(open_, "block_id", "left_semi"), fallback, "LOW_SCORE")
         first, calls = first.unionByName(second), calls.unionByName(more)
     return recognition.settled(first), calls
 
@@ -225,14 +224,19 @@ def _verdict(content: Column, ids: Column) -> list[Column]:
     return [F.when(legal, told["verdict"]).otherwise("FAIL").alias("verdict"), F.when(legal, told["score"].cast(SCORE)).alias("verifier_score"), told["reason"].alias("reason")]
 
 
-class Fake:
-    """A provider for tests: answers come from a dictionary or a function, failures from a list of kinds given first."""
+def boundaries(documents: DataFrame, model, ledger: Ledger | DataFrame | None, prompt: str, prompt_version: str, concurrency: int, **options) -> tuple[DataFrame, DataFrame]:
+    """((document_id, proposal_id, first, last), ledger rows): the questions that a model proposes for documents (document_id, blocks array of block_id and raw_text).
 
-    def __init__(self, name: str, answer, score: float | None = 0.99, failures: tuple[str, ...] = (), model: str = "fake-1"):
-        self.name, self.model, self.answer, self.score, self.failures = name, model, answer, score, list(failures)
-
-    async def recognize(self, payload: bytes) -> Result:
-        if self.failures:
-            raise ProviderError(self.failures.pop(0))
-        content = self.answer(payload) if callable(self.answer) else self.answer.get(payload, "")
-        return Result(content if isinstance(content, str) else json.dumps(content, ensure_ascii=False), self.score, f"{self.name}-{zlib.crc32(payload)}")
+    The model answers in JSON with the field questions alone, each with first and last alone, ids of blocks. Anything else
+    is no proposal. Whether proposals can be taken is splitting.interval_faults' to say; no text of a model is used.
+    """
+    asked = documents.withColumns({"payload": F.encode(F.concat(F.lit(prompt + "\n"), F.to_json(F.struct("blocks"))), "UTF-8"), "task": F.lit("question_split"), "prompt_version": F.lit(prompt_version)})
+    asked = asked.withColumn("content_hash", F.sha2("payload", 256))
+    made = through(asked, ledger, model, concurrency, **options)
+    key = cache_key(F.col("content_hash"), F.lit(model.name), F.lit(model.model), F.col("prompt_version"), F.col("task"))
+    back = asked.select("document_id", key.alias("cache_key")).join(made.select("cache_key", "content"), "cache_key")
+    told = F.from_json("content", "questions array<map<string, string>>")["questions"]
+    fields = F.array(F.lit("first"), F.lit("last"))
+    legal = (F.json_object_keys("content") == F.array(F.lit("questions"))) & F.forall(told, lambda q: F.array_sort(F.map_keys(q)) == fields)
+    each = back.select("document_id", F.posexplode(F.when(legal, told)).alias("at", "q"))
+    return each.select("document_id", F.concat_ws("_p", "document_id", "at").alias("proposal_id"), F.col("q")["first"].alias("first"), F.col("q")["last"].alias("last")), made

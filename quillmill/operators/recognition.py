@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmill.operators.calibration import read_off
 from quillmill.schemas import SCORE
 
 #: Which service takes an image of a class.
@@ -24,7 +25,13 @@ def ladder(score: Column, critical: Column, noncritical_accept: str = "0.95", cr
 
 
 def calibrated(results: DataFrame, calibration: DataFrame) -> DataFrame:
-    """results with normalized_score = slope * raw + shift of its (provider, model, task); null without a calibration."""
+    """results with normalized_score of its (provider, model, task), null without a calibration, or without a score.
+
+    A calibration is a row of calibration.KNOTS, whose knots are read off piecewise, or has slope and shift: slope * raw + shift.
+    """
+    if "knots" in calibration.columns:
+        joined = results.join((calibration.select("provider", "model", "task", "knots")), ["provider", "model", "task"], "left")
+        return joined.withColumn("normalized_score", read_off(F.col("knots"), F.col("raw_score"))).drop("knots")
     joined = results.join(calibration.select("provider", "model", "task", "slope", "shift"), ["provider", "model", "task"], "left")
     value = F.least(F.lit(1).cast(SCORE), F.greatest(F.lit(0).cast(SCORE), (F.col("slope") * F.col("raw_score") + F.col("shift")).cast(SCORE)))
     return joined.withColumn("normalized_score", F.when(F.col("slope").isNotNull(), value)).drop("slope", "shift")
