@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 
 from quillmill.functions.text import grade_of, includes_picture, iso_language, main_language, script_counts, static_info, with_default
 from quillmill.operators import blocks as B
-from quillmill.operators import gates, matching, providers, splitting, understanding
+from quillmill.operators import gates, images, matching, providers, recognition, splitting, understanding
+from quillmill.operators.graph import cut
 from quillmill.schemas import FINAL_FIELDS
 from quillmill.sources import config as C
 from quillmill.sources import docx, files, results, runs
@@ -50,14 +52,35 @@ class Workspace:
         return next((s for s in STAGES if not self.complete(s)), None)
 
 
-def _recognised(parts: DataFrame, assets: DataFrame, config: C.Config, calibration: DataFrame | None, ledger: providers.Ledger) -> tuple[DataFrame | None, DataFrame | None]:
-    """Settled contents of image blocks by the text service; without one or without a calibration none is trusted."""
-    primary = C.provider(config, "text_ocr", "primary")
-    if primary is None or calibration is None:
+#: The configured service that takes what a route names.
+_SERVICES = {"text_ocr": "text_ocr", "formula": "formula_ocr", "table": "table", "vision_llm": "vision", "keep_vision": "vision", "multimodal": "vision"}
+
+
+def _recognised(parts: DataFrame, assets: DataFrame, config: C.Config, calibration: DataFrame | None, ledger: providers.Ledger, image_models: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Settled contents of image blocks and of previews of embedded objects, each by the service that its class of image goes to.
+
+    Previews are of formulas. A service that is not configured is not asked, and without a calibration none is trusted.
+    """
+    if calibration is None:
         return None, None
-    shown = parts.where("type = 'image' AND asset_id IS NOT NULL").join(assets.select("asset_id", "content"), "asset_id")
-    asked = shown.select("block_id", F.lit("text_ocr").alias("task"), F.coalesce("is_critical", F.lit(True)).alias("is_critical"), "content")
-    return providers.recognised(asked, primary, C.provider(config, "text_ocr", "fallback"), calibration, ledger, config.concurrency["text_ocr"])
+    shown = parts.where("type IN ('image', 'unresolved') AND asset_id IS NOT NULL").join(images.classified(assets, image_models), "asset_id")
+    service = F.create_map(*[F.lit(x) for pair in _SERVICES.items() for x in pair])[recognition.route(F.col("image_class"))]
+    asked = shown.select("block_id", F.when(F.col("type") == "unresolved", "formula_ocr").otherwise(service).alias("task"), F.coalesce("is_critical", F.lit(True)).alias("is_critical"), "content")
+    settled, calls = None, None
+    for name in sorted(set(_SERVICES.values())):
+        primary = C.provider(config, name, "primary")
+        if primary is not None:
+            one, made = providers.recognised(asked.where(F.col("task") == name), primary, C.provider(config, name, "fallback"), calibration, ledger, config.concurrency[name])
+            settled, calls = (one, made) if settled is None else (settled.unionByName(one), calls.unionByName(made))
+    return settled, calls
+
+
+def _resolved(parts: DataFrame, settled: DataFrame) -> DataFrame:
+    """The blocks, with those embedded objects as formulas whose preview a service has read and the ladder accepts."""
+    read = settled.where("action = 'accept' AND trim(content) <> ''").select("block_id", F.col("content").alias("_read"))
+    joined = parts.join(read, "block_id", "left")
+    told = (F.col("type") == "unresolved") & F.col("_read").isNotNull()
+    return joined.withColumns({"latex": F.when(told, F.regexp_replace("_read", r"^\s*\$+|\$+\s*$", "")).otherwise(F.col("latex")), "type": F.when(told, "formula").otherwise(F.col("type"))}).drop("_read")
 
 
 def _documents(parsed: DataFrame, parts: DataFrame) -> DataFrame:
@@ -91,9 +114,22 @@ def _sides(parts: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame
     return marked.where(~F.col("_answer") & (kind != "UNKNOWN")), marked.where("_answer").withColumn("raw_text", numbered)
 
 
-def _questions(parts: DataFrame, assets: DataFrame, settled: DataFrame | None, documents: DataFrame, side: DataFrame) -> DataFrame:
-    """Candidates with their text, laid out from the source's blocks, and what is wrong with the blocks."""
+def _bounded(work: Workspace, side: DataFrame, config: C.Config, ledger: providers.Ledger) -> DataFrame:
+    """Candidates by rules; in documents where these are unsure, by a model's boundaries, if one is configured and all of them can be taken."""
     found = splitting.split_questions(side)
+    model = C.provider(config, "llm", "primary")
+    if model is None:
+        return found
+    line = F.lit(config.quality["split_accept"]).cast("decimal(9,6)")
+    body = side.where(~F.col("type").isin("header", "footer", "noise_candidate")).join(found.where(F.col("split_score") < line).select("document_id").distinct(), "document_id", "left_semi")
+    asked = body.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("ord", "block_id", "raw_text"))).alias("b")).select("document_id", F.transform("b", lambda x: F.struct(x["block_id"].alias("block_id"), x["raw_text"].alias("raw_text"))).alias("blocks"))
+    told, calls = providers.boundaries(asked, model, ledger, C.prompt("question_split"), "question_split/v1", config.concurrency["llm"])
+    calls.write.mode("overwrite").parquet(f"{work.folder}/calls_split")
+    return splitting.chosen_boundaries(found, told, side)
+
+
+def _questions(parts: DataFrame, assets: DataFrame, settled: DataFrame | None, documents: DataFrame, side: DataFrame, found: DataFrame) -> DataFrame:
+    """Candidates with their text, laid out from the source's blocks, and what is wrong with the blocks."""
     each = found.select("question_candidate_id", F.posexplode("content_blocks").alias("ord", "block_id"))
     kinds = assets.select("asset_id", "ext", F.lit(True).alias("there"))
     shown = each.join(parts.drop("ord", "document_id"), "block_id").join(kinds, "asset_id", "left")
@@ -123,9 +159,9 @@ def _matches(questions: DataFrame, answers: DataFrame, documents: DataFrame) ->
     """
     about = documents.select("document_id", understanding.exam_key(F.col("source_file")).alias("file"), F.col("own_fields").alias("fields"))
     side = lambda df, key: df.join(about, "document_id").select("*", F.col("document_id").alias("document"), F.col("question_number").cast("int").alias("number"), F.col(key).alias("id"))
-    q = side(questions, "question_candidate_id").select("*", F.col("question_candidate_id").alias("ord"), F.col("question_type_candidate").alias("kind"), F.col("text_question").alias("stem"))
-    a = side(answers, "answer_candidate_id").withColumn("ord", F.col("answer_candidate_id"))
-    found = matching.signals(q, a)
+    q = side(questions, "question_candidate_id").select("*", F.struct("document_id", "place").alias("ord"), F.col("question_type_candidate").alias("kind"), F.col("text_question").alias("stem"))
+    a = side(answers, "answer_candidate_id").withColumn("ord", F.struct("document_id", "place"))
+    found = matching.signals(q, a, aligned=cut(matching.weighed(q, a)))
     scored = found.select("q", "a", matching.evidence_score({k: F.col(k) for k in matching.WEIGHTS}, F.col("conflict")).alias("score"))
     return matching.top_two(scored.where(F.col("score") >= F.lit("0.5").cast("decimal(9,6)")), "q", "a", "score").withColumnsRenamed({"q": "question_candidate_id", "a": "answer_candidate_id"})
 
@@ -159,15 +195,16 @@ def _outcomes(questions: DataFrame, answers: DataFrame, matched: DataFrame, chec
     ])
 
 
-def run(spark: SparkSession, source: str, output: str, config: C.Config, calibration: DataFrame | None = None, ledger: DataFrame | None = None) -> Summary:
+def run(spark: SparkSession, source: str, output: str, config: C.Config, calibration: DataFrame | None = None, ledger: DataFrame | None = None, image_models: DataFrame | None = None) -> Summary:
     """Make questions, rejections, images and the report of all .docx files below `source`.
 
     The run's id follows from the inputs, the configuration and the version, so the same call goes on with the same run. A
     changed threshold is another run. Without a verifier no answer is accepted. All runs of an output keep one ledger of
     calls, which is read before any call and written before anything else is made of one, so a run that stops or
-    has another threshold sends no finished call again. `ledger` has calls of elsewhere.
+    has another threshold sends no finished call again. `ledger` has calls of elsewhere. `image_models` are those of images.fit; without them ruling lines and lines of text tell the class of an image.
     """
     began = time.monotonic()
+    files.ship(spark)
     given = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").option("recursiveFileLookup", "true").load(source)
     run_id = runs.fingerprint(given.select(F.sha2("content", 256).alias("source_sha256")), config.digest, config.pipeline_version)[:16]
     work = Workspace(spark, f"{output}/workspace/{run_id}")
@@ -178,14 +215,15 @@ def run(spark: SparkSession, source: str, output: str, config: C.Config, calibra
     parsed = whole.join(whole.groupBy("document_id").agg(F.min("source_file").alias("source_file")), ["document_id", "source_file"], "left_semi").dropDuplicates(["document_id"])
     parts = work.stage("blocks", lambda: B.noise_candidates(docx.blocks(parsed)))
     assets = work.stage("assets", lambda: docx.assets(parsed))
-    settled, calls = (None, None) if work.complete("recognised") else _recognised(parts, assets, config, calibration, ledger)
+    settled, calls = (None, None) if work.complete("recognised") else _recognised(parts, assets, config, calibration, ledger, image_models)
     empty = "block_id string, content string, normalized_score decimal(9,6), action string"
     if calls is not None:
         calls.write.mode("overwrite").parquet(f"{work.folder}/calls_recognition")
     settled = work.stage("recognised", lambda: spark.createDataFrame([], empty) if settled is None else settled)
+    parts = _resolved(parts, settled)
     documents = work.stage("documents", lambda: _documents(parsed, parts))
     asked, told = _sides(parts, documents)
-    questions = work.stage("questions", lambda: _questions(parts, assets, settled, documents, asked))
+    questions = work.stage("questions", lambda: _questions(parts, assets, settled, documents, asked, _bounded(work, asked, config, ledger)))
     extracted = splitting.extract_answers(told)
     supported = lambda: extracted.join(splitting.unsupported(extracted, parts).select("answer_candidate_id"), "answer_candidate_id", "left_anti").join(documents.select("document_id", "cluster_id"), "document_id")
     answers = work.stage("answers", supported)
@@ -200,8 +238,8 @@ def run(spark: SparkSession, source: str, output: str, config: C.Config, calibra
         if not files.exists(f"{output}/{run_id}/{name}/_SUCCESS"):
             rows.write.option("ignoreNullFields", "false").mode("overwrite").json(f"{output}/{run_id}/{name}")
     results.write_images(assets, good, f"{output}/{run_id}/image")
-    ledgers = [spark.read.parquet(f"{work.folder}/{n}") for n in ("calls_recognition", "calls_verify") if work.complete(n)]
-    every = None if not ledgers else ledgers[0] if len(ledgers) == 1 else ledgers[0].unionByName(ledgers[1])
+    ledgers = [spark.read.parquet(f"{work.folder}/{n}") for n in ("calls_recognition", "calls_split", "calls_verify") if work.complete(n)]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ledgers) if ledgers else None
     meta = {"run_id": run_id, "pipeline_version": config.pipeline_version, "config_digest": config.digest}
     told_ = results.run_report(outcomes, parsed.count(), every, time.monotonic() - began, meta)
     results.write_json(told_, f"{output}/{run_id}/run_report.json")

@@ -6,16 +6,20 @@ are questions and answers, events are calls and states.
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
+from types import SimpleNamespace
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmill.functions.text import LANGUAGES, asset_id, cache_key, grade_of, includes_picture, iso_language, normalized_enum, slim_md5, static_info, with_default
-from quillmill.operators import blocks, gates, matching, providers, recognition, report, splitting, understanding
-from quillmill.schemas import IMAGE_CLASSES
-from quillmill.sources import runs
+from quillmill.operators import blocks, calibration, gates, graph, matching, providers, recognition, report, splitting, understanding, vectors
+from quillmill.schemas import FINAL_FIELDS, IMAGE_CLASSES
+from quillmill.sources import docx, files, runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,6 +36,7 @@ def query(sql: str | None = None):
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    files.ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -210,19 +215,22 @@ def sequence_alignment(spark, sf_dir):
     return matching.align(*_sides(spark, sf_dir))
 
 
-@query(rf"""WITH RECURSIVE {_ALIGNED},
+#: All pairs of a conversation near each other or of one number, with their evidence.
+_EVIDENCE = rf"""{_ALIGNED},
     qs AS (SELECT x.*, row_number() OVER w AS qp, count(*) OVER (PARTITION BY x.c) AS nq, m.a AS al, CASE turn % 3 WHEN 0 THEN 'choice' WHEN 1 THEN 'blank' ELSE 'open' END AS kind FROM tq x LEFT JOIN matched m ON m.q = x.id WINDOW w AS (PARTITION BY x.c ORDER BY x.o, x.id)),
     an AS (SELECT x.*, row_number() OVER (PARTITION BY c ORDER BY o, id) AS ap, count(*) OVER (PARTITION BY c) AS na, CASE turn % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'BA' WHEN 2 THEN '3' WHEN 3 THEN '(4' ELSE 'of 7' END AS answer FROM ta x),
     ql AS (SELECT z.*, an.ap AS spot FROM qs z LEFT JOIN an ON an.id = z.al),
     qb AS (SELECT *, last_value(spot IGNORE NULLS) OVER (PARTITION BY c ORDER BY qp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low, first_value(spot IGNORE NULLS) OVER (PARTITION BY c ORDER BY qp ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS high,
         last_value(CASE WHEN spot IS NOT NULL THEN qp END IGNORE NULLS) OVER (PARTITION BY c ORDER BY qp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lq FROM ql),
     p AS (SELECT qb.*, an.id AS a, an.n AS m, an.turn AS aturn, an.ap, an.na, an.answer, regexp_matches(an.answer, '^[A-H]+$') AS letters, CASE qb.kind WHEN 'choice' THEN 'x A. 1 B. 2' WHEN 'blank' THEN '____' ELSE 'part of 7' END AS stem
-        FROM qb JOIN an ON an.c = qb.c AND (an.n = qb.n OR abs(an.ap - qp) <= 2 OR abs(an.ap - coalesce(low + qp - lq, qp)) <= 2))
-    SELECT c AS cluster_id, id AS q, a, turn % 4 = 1 AND aturn % 4 = 2 AS conflict, (n = m)::int AS number, coalesce((al = a)::int, 0) AS "sequence", (aturn % 3 > 0)::int AS file, ((kind = 'choice') = letters)::int AS type, (na <= nq)::int AS counts,
+        FROM qb JOIN an ON an.c = qb.c AND (an.n = qb.n OR abs(an.ap - qp) <= 2 OR abs(an.ap - coalesce(low + qp - lq, qp)) <= 2)),
+    evidence AS (SELECT c AS cluster_id, id AS q, a, qp, ap, turn % 4 = 1 AND aturn % 4 = 2 AS conflict, (n = m)::int AS number, coalesce((al = a)::int, 0) AS "sequence", (aturn % 3 > 0)::int AS file, ((kind = 'choice') = letters)::int AS type, (na <= nq)::int AS counts,
       CASE WHEN letters THEN (answer = 'A')::int ELSE (answer <> '(4')::int END AS format, (coalesce(low < ap, true) AND coalesce(ap < high, true) AND (low IS NOT NULL OR high IS NOT NULL OR (nq = 1 AND na = 1)))::int AS "order",
-      CASE kind WHEN 'choice' THEN letters::int WHEN 'blank' THEN 1 ELSE (answer = 'of 7')::int END AS semantic, (turn % 4 <> 1 AND aturn % 4 < 2)::int AS title FROM p""")
-def match_evidence(spark, sf_dir):
-    """All signals. An answer's file is another one for every third turn; its fields agree, differ or say nothing."""
+      CASE kind WHEN 'choice' THEN letters::int WHEN 'blank' THEN 1 ELSE (answer = 'of 7')::int END AS semantic, (turn % 4 <> 1 AND aturn % 4 < 2)::int AS title FROM p)"""
+
+
+def _told_sides(spark, sf_dir):
+    """Both sides with what signals reads. An answer's file is another one for every third turn; its fields agree, differ or say nothing."""
     q, a = _sides(spark, sf_dir)
     turn = F.col("turn")
     kind = F.when(turn % 3 == 0, "选择题").when(turn % 3 == 1, "填空题").otherwise("未知")
@@ -231,7 +239,24 @@ def match_evidence(spark, sf_dir):
     absent = F.lit(None).cast("string")
     q = q.select("*", F.lit("Q").alias("document"), F.lit("exam").alias("file"), F.array(F.when(turn % 4 != 1, "数学"), F.when(turn % 4 == 1, "2024")).alias("fields"), kind.alias("kind"), stem.alias("stem"))
     a = a.select("*", F.lit("A").alias("document"), F.when(turn % 3 > 0, "exam").otherwise("other").alias("file"), F.when(turn % 4 < 2, F.array(F.lit("数学"), absent)).when(turn % 4 == 2, F.array(absent, F.lit("2023"))).otherwise(F.array(absent, absent)).alias("fields"), answer.alias("answer"))
-    return matching.signals(q, a)
+    return q, a
+
+
+@query(f"""WITH RECURSIVE {_EVIDENCE} SELECT * EXCLUDE (qp, ap) FROM evidence""")
+def match_evidence(spark, sf_dir):
+    """All signals."""
+    return matching.signals(*_told_sides(spark, sf_dir)).drop("qp", "ap")
+
+
+@query(f"""WITH RECURSIVE {_EVIDENCE},
+    gains AS (SELECT cluster_id AS c, q, a, qp, ap, 350000 * number + 100000 * file + 100000 * type + 50000 * counts + 50000 * format + 50000 * semantic + 50000 * title AS gain FROM evidence WHERE NOT conflict),
+    walk AS (SELECT c, qp, ap, gain + 200000 AS total, [q] AS qs, [a] AS answers FROM gains WHERE gain > 0
+        UNION ALL SELECT g.c, g.qp, g.ap, total + gain + 200000, list_append(qs, q), list_append(answers, a) FROM walk w JOIN gains g ON g.c = w.c AND g.qp > w.qp AND g.ap > w.ap WHERE gain > 0),
+    best AS (SELECT c, qs, answers, count(*) OVER (PARTITION BY c) AS n FROM (SELECT * FROM walk QUALIFY total = max(total) OVER (PARTITION BY c)))
+    SELECT c AS cluster_id, q, a AS aligned FROM (SELECT c, n, unnest(qs) AS q, unnest(answers) AS a FROM best) GROUP BY c, q, a HAVING count(*) = any_value(n)""")
+def weighted_alignment(spark, sf_dir):
+    """The pairs that every best alignment has, by evidence and gaps; blocks of two questions, so that most conversations are several."""
+    return matching.weighed(*_told_sides(spark, sf_dir), block=2)
 
 
 def _lines(spark, sf_dir):
@@ -422,19 +447,204 @@ def file_metadata(spark, sf_dir):
     return understanding.wide(understanding.prioritised(understanding.metadata_values(names, nothing), "document_id"), "document_id")
 
 
-@query("""SELECT d AS document_id, 'exam_' || CASE WHEN n > 1 AND (asks > 1 OR tells > 1 OR years > 1) THEN d ELSE first END AS cluster_id FROM (SELECT p_partkey::varchar AS d, min(p_partkey::varchar) OVER w AS first, count(*) OVER w AS n,
-    count(*) FILTER (p_partkey % 2 = 0) OVER w AS asks, count(*) FILTER (p_partkey % 2 = 1) OVER w AS tells, max((p_size % 2)) OVER w - min(p_size % 2) OVER w + 1 AS years FROM part WINDOW w AS (PARTITION BY p_brand, p_type, p_size // 4))""")
+#: Documents of one name part by year; then of several with questions or answers those two stay whose numbers are alike and nobody else's.
+@query("""WITH d AS (SELECT p_partkey::varchar AS d, concat_ws('x', p_brand, p_type, p_size // 8) AS name, p_partkey % 2 = 0 AS asks, CASE WHEN p_partkey % 7 > 0 THEN p_size % 2 END AS year, p_partkey % 3 AS numbers FROM part),
+    y AS (SELECT *, min(year) OVER w <> max(year) OVER w AS differ FROM d WINDOW w AS (PARTITION BY name)),
+    l AS (SELECT *, CASE WHEN differ AND year IS NULL THEN d WHEN differ THEN name || year ELSE name END AS part FROM y),
+    r AS (SELECT *, count(*) FILTER (asks) OVER w > 1 OR count(*) FILTER (NOT asks) OVER w > 1 AS crowded, count(*) FILTER (asks) OVER s = 1 AND count(*) FILTER (NOT asks) OVER s = 1 AS couple FROM l WINDOW w AS (PARTITION BY part), s AS (PARTITION BY part, numbers)),
+    h AS (SELECT *, CASE WHEN NOT crowded THEN part WHEN couple THEN part || ':' || numbers ELSE d END AS home FROM r),
+    t AS (SELECT *, NOT asks AND count(*) OVER w > 1 AND min(CASE WHEN asks THEN numbers END) OVER w < numbers AS lost FROM h WINDOW w AS (PARTITION BY home))
+    SELECT d AS document_id, 'exam_' || min(d) OVER (PARTITION BY CASE WHEN lost THEN 'lost' || d ELSE home END) AS cluster_id FROM t""")
 def exam_clusters(spark, sf_dir):
-    even = F.col("p_partkey") % 2 == 0
-    name = F.concat(F.col("p_brand"), F.lit("x"), F.col("p_type"), F.lit("x"), F.floor(F.col("p_size") / 4).cast("string"), F.when(even, "试卷").otherwise("答案"), F.lit(".docx"))
+    """Parts as documents: a question or answer document each, some without a year. The numbers of one are 1, 1 to 3 or 1 to 9."""
+    even, k = F.col("p_partkey") % 2 == 0, F.col("p_partkey")
+    name = F.concat(F.col("p_brand"), F.lit("x"), F.col("p_type"), F.lit("x"), F.floor(F.col("p_size") / 8).cast("string"), F.when(even, "试卷").otherwise("答案"), F.lit(".docx"))
     absent, none = F.lit(None).cast("string"), F.array().cast("array<string>")
-    rows = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("document_id"), name.alias("source_file"), absent.alias("title"), F.when(even, "QUESTION").otherwise("ANSWER").alias("document_class"), none.alias("question_numbers"), none.alias("answer_numbers"), (F.col("p_size") % 2).cast("string").alias("year"))
+    numbers = F.transform(F.sequence(F.lit(1), F.element_at(F.array(F.lit(1), F.lit(3), F.lit(9)), (k % 3 + 1).cast("int"))), lambda n: n.cast("string"))
+    rows = read(spark, sf_dir, "part").select(k.cast("string").alias("document_id"), name.alias("source_file"), absent.alias("title"), F.when(even, "QUESTION").otherwise("ANSWER").alias("document_class"), F.when(even, numbers).otherwise(none).alias("question_numbers"), F.when(even, none).otherwise(numbers).alias("answer_numbers"), F.when(k % 7 > 0, (F.col("p_size") % 2).cast("string")).alias("year"))
     return understanding.clusters(rows.withColumns({f: absent for f in understanding.FIELDS if f != "year"}))
 
 
 @query("SELECT item_id, text AS content, 'accept' AS action FROM benchmark")
 def recognised_items(spark, sf_dir):
+    """What the ledger of calls has is not asked again: each item's recognised text comes from its row there, calibrated and settled."""
     items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("block_id"), F.lit("text_ocr").alias("task"), F.lit(True).alias("is_critical"), F.encode("text", "UTF-8").alias("content"))
-    scale = spark.createDataFrame([("echo", "fake-1", "text_ocr")], "provider string, model string, task string").withColumns({"slope": F.lit("1").cast("decimal(9,6)"), "shift": F.lit("0").cast("decimal(9,6)")})
-    settled, _ = providers.recognised(items, providers.Fake("echo", bytes.decode), None, scale, None, 8, tasks=4)
+    service = SimpleNamespace(name="reader", model="1")
+    key = cache_key(F.sha2("content", 256), F.lit(service.name), F.lit(service.model), F.lit("v1"), F.col("task"))
+    absent = {c: F.lit(None).cast(t) for c, t in (("latency", "double"), ("tokens", "long"), ("cost", "double"), ("error", "string"))}
+    ledger = items.select(key.alias("cache_key"), F.lit("reader").alias("provider"), F.lit("1").alias("model"), F.lit("r").alias("request_id"), F.lit("v1").alias("prompt_version"), "task", F.lit("0.9").cast("decimal(9,6)").alias("raw_score"), F.decode("content", "UTF-8").alias("content"), *[v.alias(k) for k, v in absent.items()])
+    told = spark.createDataFrame([("reader", "1", "text_ocr", "0.5", True), ("reader", "1", "text_ocr", "0.5", False), ("reader", "1", "text_ocr", "0.8", True)], "provider string, model string, task string, raw_score string, correct boolean")
+    settled, _ = providers.recognised(items, service, None, calibration.fit(told, "v1"), ledger, 8)
     return settled.select(F.col("block_id").alias("item_id"), "content", "action")
+
+
+@query("""WITH e AS (SELECT event_type AS provider, event_id * 37 % 1000 AS k, (event_id * 37 % 1000) / 1000 AS score, event_id * 7919 % 1000 < event_id * 37 % 1000 AS correct FROM events WHERE value >= 1),
+    b AS (SELECT provider, k * 50 // 1000 AS bin, avg(score) AS place, count(*) AS n, count(*) FILTER (correct) AS r FROM e GROUP BY ALL),
+    s AS (SELECT *, row_number() OVER w AS i, sum(n) OVER w AS sn, sum(r) OVER w AS sr FROM b WINDOW w AS (PARTITION BY provider ORDER BY bin)),
+    spans AS (SELECT x.provider, x.i AS j, y.i AS k, (y.sr - x.sr + x.r)::double / (y.sn - x.sn + x.n) AS share FROM s x JOIN s y ON x.provider = y.provider AND x.i <= y.i),
+    low AS (SELECT s.provider, s.i, j, min(share) AS least FROM s JOIN spans p ON s.provider = p.provider AND j <= s.i AND k >= s.i GROUP BY ALL),
+    fit AS (SELECT provider, i, max(least) AS value FROM low GROUP BY ALL)
+    SELECT provider, round(round(sum(place * n) / sum(n), 6), 4) AS "at", round(round(any_value(value), 6)::double, 6) AS value FROM s JOIN fit USING (provider, i) GROUP BY provider, round(value, 12)""")
+def calibration_knots(spark, sf_dir):
+    """The isotonic fit of each provider's scores; the SQL takes the greatest of the least shares of all spans of bins."""
+    k = F.col("event_id")
+    told = read(spark, sf_dir, "events").where("value >= 1").select(F.col("event_type").alias("provider"), F.lit("m").alias("model"), F.lit("t").alias("task"), ((k * 37 % 1000) / 1000).cast("decimal(9,6)").alias("raw_score"), (k * 7919 % 1000 < k * 37 % 1000).alias("correct"))
+    each = calibration.fit(told, "v1", 50).select("provider", F.explode("knots").alias("k"))
+    return each.select("provider", F.round(F.col("k.at").cast("double"), 4).alias("at"), F.col("k.value").cast("double").alias("value"))
+
+
+@query("""WITH b AS (SELECT conv_id, turn, conv_id || ':' || turn AS id, turn % 2 = 0 AS critical FROM conversations),
+    p AS (SELECT conv_id, turn, conv_id || '/' || turn AS p, turn AS lo, CASE WHEN turn % 5 = 4 THEN turn - 1 ELSE turn + (conv_id + turn) % 3 END AS hi FROM b WHERE turn % 2 = 0 AND (conv_id + turn) % 7 > 0),
+    k AS (SELECT p.*, EXISTS (SELECT 1 FROM b WHERE b.conv_id = p.conv_id AND b.turn = hi) AS known FROM p),
+    s AS (SELECT * FROM k WHERE known AND hi >= lo)
+    SELECT conv_id::varchar AS document_id, p AS proposal_id, NULL::varchar AS block_id, CASE WHEN known THEN 'reversed' ELSE 'unknown block' END AS problem FROM k WHERE NOT known OR hi < lo
+    UNION ALL SELECT x.conv_id::varchar, x.p, NULL, 'overlap' FROM s x WHERE EXISTS (SELECT 1 FROM s y WHERE y.conv_id = x.conv_id AND y.lo < x.lo AND y.hi >= x.lo)
+    UNION ALL SELECT conv_id::varchar, NULL, id, 'not covered' FROM b WHERE critical AND NOT EXISTS (SELECT 1 FROM s WHERE s.conv_id = b.conv_id AND s.lo <= b.turn AND b.turn <= s.hi)""")
+def boundary_faults(spark, sf_dir):
+    """Turns as blocks and proposed questions of one to three turns; some end before they begin or at no block, some overlap."""
+    turn, conv = F.col("turn"), F.col("conv_id")
+    parts = read(spark, sf_dir, "conversations").select(conv.cast("string").alias("document_id"), F.concat_ws(":", "conv_id", "turn").alias("block_id"), turn.cast("int").alias("ord"), (turn % 2 == 0).alias("is_critical"))
+    last = F.when(turn % 5 == 4, turn - 1).otherwise(turn + (conv + turn) % 3)
+    told = read(spark, sf_dir, "conversations").where((turn % 2 == 0) & ((conv + turn) % 7 > 0)).select(conv.cast("string").alias("document_id"), F.concat_ws("/", "conv_id", "turn").alias("proposal_id"), F.concat_ws(":", "conv_id", "turn").alias("first"), F.concat_ws(":", "conv_id", last).alias("last"))
+    return splitting.interval_faults(told, parts)
+
+
+@query("""WITH d AS (SELECT p_partkey AS k, p_size AS n FROM part), c AS (SELECT k, n, unnest(range(1, 13)) AS i FROM d)
+    SELECT k::varchar AS document_id, i AS place, i::varchar AS question_number, substr('ABCD', 1 + (n + i) % 4, 1) AS answer FROM c
+    UNION ALL SELECT k, 13, '13', 'the height is' || chr(10) || n || '.5 m' || CASE WHEN n % 2 = 0 THEN chr(10) || '7. of a list' ELSE '' END FROM d
+    UNION ALL SELECT k, 14, '14', '3.14' FROM d UNION ALL SELECT k, 15, '1', '2024.5' FROM d""")
+def answer_lines(spark, sf_dir):
+    """Twelve answers in one block, a decimal at the beginning of a line, a number that goes back, and a part that counts anew."""
+    n = F.col("p_size")
+    listed = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda i: F.concat(i.cast("string"), F.lit(". "), F.substring(F.lit("ABCD"), (1 + (n + i) % 4).cast("int"), F.lit(1)))), " ")
+    lines = [F.lit("参考答案"), listed, F.concat(F.lit("13. the height is\n"), n.cast("string"), F.lit(".5 m"), F.when(n % 2 == 0, "\n7. of a list").otherwise("")), F.lit("14. 3.14"), F.lit("二、填空题"), F.lit("1. 2024.5")]
+    parts = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("document_id"), F.posexplode(F.array(*lines)).alias("ord", "raw_text"))
+    parts = parts.select("document_id", F.concat_ws("_", "document_id", "ord").alias("block_id"), "ord", F.lit("paragraph").alias("type"), "raw_text")
+    order = F.row_number().over(W.partitionBy("document_id").orderBy("place"))
+    return splitting.extract_answers(parts).select("document_id", order.alias("place"), "question_number", "answer")
+
+
+@query()
+def similar_vectors(spark, sf_dir):
+    """The ten nearest vectors of every hundredth one, among all."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vectors.neighbours(rows, rows.where("vec_id % 100 = 0"), "vec_id", "embedding").select("query", "vec_id", "rank")
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT 'o' || l_orderkey AS s, 'p' || l_partkey AS t FROM lineitem UNION ALL SELECT DISTINCT 'p' || l_partkey, 's' || l_suppkey FROM lineitem
+        UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation),
+    w AS (SELECT DISTINCT s AS start, s AS node, 0 AS steps FROM e WHERE s IN (SELECT 'o' || o_orderkey FROM orders WHERE o_orderkey % 50 = 0) UNION SELECT start, t, steps + 1 FROM w JOIN e ON s = node)
+    SELECT start, node, min(steps)::int AS steps FROM w GROUP BY ALL""")
+def lineage_walk(spark, sf_dir):
+    """What every fiftieth order rests on, over parts, suppliers and nations, as a candidate rests on blocks, calls and files."""
+    edge = lambda df, s, a, t, b: df.select(F.concat(F.lit(s), a).alias("source"), F.concat(F.lit(t), b).alias("target"))
+    items, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    edges = edge(items, "o", "l_orderkey", "p", "l_partkey").union(edge(items, "p", "l_partkey", "s", "l_suppkey")).union(edge(read(spark, sf_dir, "supplier"), "s", "s_suppkey", "n", "s_nationkey")).union(edge(read(spark, sf_dir, "nation"), "n", "n_nationkey", "r", "n_regionkey"))
+    starts = orders.where("o_orderkey % 50 = 0").select(F.concat(F.lit("o"), "o_orderkey").alias("start"))
+    return graph.reached(edges, starts.join(edges.select(F.col("source").alias("start")).distinct(), "start", "left_semi"))
+
+
+_TAIL = "exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p) + (n - i) * ln(1 - p))"
+
+
+@query(f"""WITH RECURSIVE g AS (SELECT doc_id, lang AS want FROM documents JOIN labels USING (doc_id) WHERE quality = 1),
+    b AS (SELECT doc_id, lang AS ans FROM documents WHERE n_chars >= 200), a AS (SELECT doc_id, CASE WHEN doc_id % 97 = 0 THEN 'xx' ELSE lang END AS ans FROM documents WHERE n_chars >= 300),
+    j AS (SELECT want, b.ans AS old, a.ans AS new FROM g LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)),
+    c AS (SELECT count(new) AS n, count(*) FILTER (new = want) AS k, count(*) FILTER (old = want AND new IS DISTINCT FROM want) AS lost, count(*) FILTER (new = want AND old IS DISTINCT FROM want) AS won, count(*) FILTER (new <> want AND NOT coalesce(old <> want, false)) AS wrong_new FROM j),
+    lo AS (SELECT 0 AS step, 0.0::double AS l, 1.0::double AS h FROM c UNION ALL SELECT step + 1, CASE WHEN t > 0.025 THEN l ELSE p END, CASE WHEN t > 0.025 THEN p ELSE h END FROM (SELECT *, (SELECT sum({_TAIL}) FROM (SELECT unnest(range(k, n + 1)) AS i, n FROM c)) AS t FROM (SELECT *, (l + h) / 2 AS p FROM lo)) WHERE step < 60),
+    hi AS (SELECT 0 AS step, 0.0::double AS l, 1.0::double AS h FROM c UNION ALL SELECT step + 1, CASE WHEN t < 0.025 THEN l ELSE p END, CASE WHEN t < 0.025 THEN p ELSE h END FROM (SELECT *, (SELECT sum({_TAIL}) FROM (SELECT unnest(range(0, k + 1)) AS i, n FROM c)) AS t FROM (SELECT *, (l + h) / 2 AS p FROM hi)) WHERE step < 60),
+    m AS (SELECT least(1, 2 * sum(exp(lgamma(s + 1) - lgamma(i + 1) - lgamma(s - i + 1) - s * ln(2)))) AS chance FROM (SELECT lost + won AS s, unnest(range(0, least(lost, won) + 1)) AS i FROM c))
+    SELECT n AS accepted, k AS correct, lost, won, wrong_new, round((SELECT l FROM lo WHERE step = 60), 6) AS precision_low, round((SELECT l FROM hi WHERE step = 60), 6) AS precision_high, round(chance, 6) AS chance, wrong_new > 0 OR (lost > won AND chance < 0.05) AS refused FROM c, m""")
+def gold_regression(spark, sf_dir):
+    """A run of a changed threshold, and some wrong answers, against the run before it, on the labelled documents."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    gold = docs.join(labels.where("quality = 1"), "doc_id").select("doc_id", F.col("lang").alias("answer"))
+    before = docs.where("n_chars >= 200").select("doc_id", F.col("lang").alias("answer"))
+    after = docs.where("n_chars >= 300").select("doc_id", F.when(F.col("doc_id") % 97 == 0, "xx").otherwise(F.col("lang")).alias("answer"))
+    return report.gold_regression(before, after, gold, "doc_id")
+
+
+_XML = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main" xmlns:m="http://schemas.openxmlformats.org/officeDocument/2006/math"'
+_LABELS = f'<w:numbering {_XML}><w:abstractNum w:abstractNumId="0"><w:lvl w:ilvl="0"><w:start w:val="1"/><w:numFmt w:val="chineseCounting"/><w:lvlText w:val="%1、"/></w:lvl></w:abstractNum><w:num w:numId="1"><w:abstractNumId w:val="0"/></w:num></w:numbering>'
+
+
+def _packed(body: Column) -> Column:
+    """Each body as a .docx package; an empty one as no package."""
+
+    @F.pandas_udf("binary")
+    def packages(bodies: pd.Series) -> pd.Series:
+        return bodies.map(lambda body: _package(body) if body else b"no package")
+
+    return packages(body)
+
+
+def _package(body: str) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("word/document.xml", f"<w:document {_XML}><w:body>{body}</w:body></w:document>")
+        z.writestr("word/numbering.xml", _LABELS)
+    return out.getvalue()
+
+
+_NUMERALS = "CASE WHEN k < 10 THEN substr('一二三四五六七八九', k, 1) ELSE '十' END"
+
+
+@query(f"""WITH t AS (SELECT *, sum((role = 'user')::int) OVER (PARTITION BY conv_id ORDER BY turn)::bigint AS k FROM conversations WHERE conv_id % 11 > 0),
+    b AS (SELECT conv_id, turn, 0 AS part, 'paragraph' AS type, CASE WHEN role = 'user' THEN {_NUMERALS} || '、' END AS label, CASE role WHEN 'user' THEN 'x$^{{' || turn || '}}$ is a-b: ' WHEN 'system' THEN 'head & <' || turn || '>' END AS text, NULL AS latex FROM t WHERE role <> 'assistant'
+        UNION ALL SELECT conv_id, turn, 1, 'formula', NULL, NULL, CASE turn % 3 WHEN 0 THEN '\\frac{{' || turn || '}}{{2}}' WHEN 1 THEN '\\sqrt{{' || turn || '}}' ELSE '{{x}}_{{' || turn || '}}' END FROM t WHERE role = 'user'
+        UNION ALL SELECT conv_id, turn, 2, 'paragraph', NULL, 'so', NULL FROM t WHERE role = 'user'
+        UNION ALL SELECT conv_id, turn, 0, 'table', NULL, CASE WHEN turn % 4 = 1 THEN '| a' || turn || ' | ×' || ' |' || chr(10) || '|---|---|' ELSE '<table><tr><td colspan="2">w' || turn || '</td></tr></table>' END, NULL FROM t WHERE role = 'assistant')
+    SELECT conv_id::varchar || '.docx' AS source_file, 'ok' AS status, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, part) - 1)::int AS ord, type, label, text, latex FROM b
+    UNION ALL SELECT DISTINCT conv_id::varchar || '.docx', 'parse_failed', NULL, NULL, NULL, NULL, NULL FROM conversations WHERE conv_id % 11 = 0""")
+def docx_blocks(spark, sf_dir):
+    """Conversations as .docx packages, taken apart: numbered lines with scripts, formulas between texts, tables plain and merged; some are no package."""
+    run = lambda *inner: F.concat(F.lit("<w:r>"), *inner, F.lit("</w:r>"))
+    text = lambda c: F.concat(F.lit('<w:t xml:space="preserve">'), c, F.lit("</w:t>"))
+    turn = F.col("turn").cast("string")
+    m = lambda tag, *inner: F.concat(F.lit(f"<m:{tag}>"), *inner, F.lit(f"</m:{tag}>"))
+    said = lambda c: m("r", m("t", c))
+    formula = F.when(F.col("turn") % 3 == 0, m("f", m("num", said(turn)), m("den", said(F.lit("2"))))).when(F.col("turn") % 3 == 1, m("rad", m("deg"), m("e", said(turn)))).otherwise(m("sSub", m("e", said(F.lit("x"))), m("sub", said(turn))))
+    high = F.lit('<w:rPr><w:vertAlign w:val="superscript"/></w:rPr>')
+    asked = F.concat(F.lit('<w:p><w:pPr><w:numPr><w:ilvl w:val="0"/><w:numId w:val="1"/></w:numPr></w:pPr>'), run(text(F.lit("x"))), run(high, text(turn)), run(text(F.lit(" is a"))), run(F.lit("<w:noBreakHyphen/>")), run(text(F.lit("b: "))), m("oMath", formula), run(text(F.lit("so"))), F.lit("</w:p>"))
+    cell = lambda props, c: F.concat(F.lit(f"<w:tc>{props}<w:p>"), c, F.lit("</w:p></w:tc>"))
+    plain = F.concat(cell("", run(text(F.concat(F.lit("a"), turn)))), cell("", run(F.lit('<w:sym w:font="Symbol" w:char="F0B4"/>'))))
+    merged = cell('<w:tcPr><w:gridSpan w:val="2"/></w:tcPr>', run(text(F.concat(F.lit("w"), turn))))
+    told = F.concat(F.lit("<w:tbl><w:tr>"), F.when(F.col("turn") % 4 == 1, plain).otherwise(merged), F.lit("</w:tr></w:tbl>"))
+    head = F.concat(F.lit("<w:p>"), run(text(F.concat(F.lit("head &amp; &lt;"), turn, F.lit("&gt;")))), F.lit("</w:p>"))
+    body = F.when(F.col("role") == "user", asked).when(F.col("role") == "assistant", told).otherwise(head)
+    bodies = blocks.joined_in_order(read(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("ord"), body.alias("body")), "conv_id", F.col("body"), "")
+    packages = bodies.select(F.concat(F.lit("in/"), "conv_id", F.lit(".docx")).alias("path"), _packed(F.when(F.col("conv_id") % 11 > 0, F.col("text")).otherwise("")).alias("content"))
+    each = docx.taken_apart(packages).select("source_file", "status", F.explode_outer("parts").alias("p"))
+    shown = F.when(F.col("p.type") != "formula", F.col("p.raw_text"))
+    return each.select("source_file", "status", "p.ord", "p.type", F.col("p.resolved_label").alias("label"), shown.alias("text"), "p.latex")
+
+
+@query(f"""SELECT doc_id, CASE WHEN doc_id % 5 = 1 OR lang NOT IN ({_LISTED}) THEN 'LANGUAGE_UNRESOLVED' WHEN doc_id % 5 BETWEEN 2 AND 4 AND doc_id % 7 > 0 OR trim(text) = '' THEN 'SCHEMA_VALIDATION_FAILED' END AS reason_code FROM documents""")
+def contract_gate(spark, sf_dir):
+    """Final records of documents: one in five has a language that is no code, others a grade that is not its level's, an unlisted type, or a digest of another text."""
+    k, whole = F.col("doc_id") % 5, F.col("doc_id") % 7 == 0
+    info = static_info(F.when((k == 4) & ~whole, F.concat("text", F.lit("x"))).otherwise(F.col("text")))
+    made = {
+        "text_question": F.col("text"), "is_pic_included": includes_picture(F.col("text")), "text_answer": F.lit("A"), "text_grade_level": F.lit("初中一年级"), "text_grade": F.when((k == 2) & ~whole, "高中").otherwise("初中"),
+        "question_type": F.when((k == 3) & ~whole, "作文").otherwise("选择题"), "language": F.when(k == 1, "english").otherwise(iso_language(F.col("lang"))), "static_info": info, "text_paper": F.lit("卷"),
+    }
+    docs = read(spark, sf_dir, "documents").withColumns(made)
+    docs = docs.withColumns({f: with_default(F.lit(None).cast("string"), f) for f in FINAL_FIELDS if f not in made})
+    return gates.outcome(docs, gates.contract_failures()).select("doc_id", "reason_code")
+
+
+@query("""SELECT conv_id || ':' || turn AS question_id, CASE WHEN turn % 5 IN (0, 4) THEN 'PASS' ELSE 'FAIL' END AS verdict, CASE WHEN turn % 5 IN (0, 4) THEN 0.99::double END AS score FROM conversations""")
+def verifier_verdicts(spark, sf_dir):
+    """Verdicts from the ledger: whole ones, one with a text of its own, one that cites out of order, one that is no JSON, and one with fewer citations."""
+    turn, service = F.col("turn"), SimpleNamespace(name="judge", model="1")
+    pairs = read(spark, sf_dir, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("question_id"), F.lit("a").alias("answer_id"), F.col("text").alias("question"), F.lit("A").alias("answer"), F.array(F.lit("b1"), F.lit("b2")).alias("block_ids"), "turn")
+    said = lambda cited, more="": F.lit(f'{{"verdict": "PASS", "score": 0.99, "reason": "r", "cited_blocks": {cited}{more}}}')
+    content = F.when(turn % 5 == 0, said('["b1", "b2"]')).when(turn % 5 == 1, said('["b1"]', ', "answer": "B"')).when(turn % 5 == 2, said('["b2", "b1"]')).when(turn % 5 == 3, "PASS").otherwise(said('["b2"]'))
+    # equal questions are one call: their ids go along, so that each has its own row here
+    asked = pairs.withColumn("question", F.concat_ws(" ", "question", "question_id"))
+    payload = F.encode(F.concat(F.lit("judge\n"), F.to_json(F.struct("question", "answer", "block_ids"))), "UTF-8")
+    key = cache_key(F.sha2(payload, 256), F.lit("judge"), F.lit("1"), F.lit("v"), F.lit("answer_verify"))
+    absent = {c: F.lit(None).cast(t) for c, t in (("latency", "double"), ("tokens", "long"), ("cost", "double"), ("raw_score", "decimal(9,6)"), ("error", "string"))}
+    ledger = asked.select(key.alias("cache_key"), F.lit("judge").alias("provider"), F.lit("1").alias("model"), F.lit("r").alias("request_id"), F.lit("v").alias("prompt_version"), F.lit("answer_verify").alias("task"), content.alias("content"), *[v.alias(k) for k, v in absent.items()])
+    found, _ = providers.verdicts(asked.drop("turn"), service, ledger, "judge", "v", 4)
+    return found.select("question_id", "verdict", F.col("verifier_score").cast("double").alias("score"))

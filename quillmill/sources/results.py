@@ -1,4 +1,4 @@
-"""Result files: image files and the run report.."""
+"""Result files: image files and the run report."""
 
 from __future__ import annotations
 
@@ -21,6 +21,8 @@ def write_images(assets: DataFrame, questions: DataFrame, folder: str) -> int:
     """
     named = questions.select(F.explode(F.regexp_extract_all("text_question", F.lit(r'<img src="image/(img_[0-9a-f]+)\.'), F.lit(1))).alias("asset_id")).distinct()
 
+    folder = files.qualified(folder)
+
     def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, ext, content in zip(batch["asset_id"], batch["ext"], batch["content"], strict=True):
@@ -35,7 +37,9 @@ def run_report(outcomes: DataFrame, n_documents: int, ledger: DataFrame | None,
     out = {**meta, "documents": n_documents, **report.acceptance(outcomes).first().asDict(), "reasons": {r.reason_code: r.n for r in outcomes.where("reason_code IS NOT NULL").groupBy("reason_code").agg(F.count("*").alias("n")).orderBy("reason_code").collect()}}
     calls = []
     if ledger is not None:
+        ledger = ledger if "fallback_reason" in ledger.columns else ledger.withColumn("fallback_reason", F.lit(None).cast("string"))
         sums = ledger.groupBy("task", "provider").agg(
+            F.count_if(F.col("fallback_reason").isNotNull()).alias("fallbacks"),
             F.count_if(~F.col("cache_hit")).alias("calls"), F.round(F.avg(F.col("cache_hit").cast("double")), 6).alias("cache_hit_rate"), F.count_if(F.col("error").isNotNull()).alias("errors"), F.round(F.sum("latency"), 3).alias("seconds"),
             F.round(F.avg("latency"), 4).alias("mean_seconds"), F.sum("tokens").alias("tokens"), F.round(F.sum("cost"), 6).alias("cost"),
         )

@@ -3,9 +3,13 @@ import sys
 import tempfile
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(__file__)))
+sys.path[:0] = [os.path.dirname(os.path.dirname(__file__)), os.path.dirname(__file__)]
+import fakes  # noqa: E402
+
+cloudpickle.register_pickle_by_value(fakes)  # tasks need not find the tests
 
 
 @pytest.fixture(scope="session")

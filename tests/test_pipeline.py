@@ -3,6 +3,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from fakes import Fake
 from test_docx import T, write
 
 from quillmill import cli
@@ -70,7 +71,7 @@ def test_resume(spark, tmp_path, monkeypatch):
 
 def test_retry():
     def tried(*failures, tries=3):
-        fake = P.Fake("f", lambda p: "x", failures=failures)
+        fake = Fake("f", lambda p: "x", failures=failures)
         return asyncio.run(P.attempted(fake, b"", tries, 0.001, 1.0)), len(fake.failures)
 
     assert tried("429", "503")[0][0].content == "x"
@@ -82,11 +83,11 @@ def test_recognition(spark):
     assets = spark.createDataFrame([("a", "text_ocr", True, b"1"), ("b", "text_ocr", True, b"2"), ("c", "text_ocr", False, b"1"), ("d", "text_ocr", True, b"3")], "block_id string, task string, is_critical boolean, content binary")
     scale = spark.createDataFrame([("one", "fake-1", "text_ocr", "1", "0"), ("two", "fake-1", "text_ocr", "1", "0")], "provider string, model string, task string, slope string, shift string")
     scale = scale.withColumns({c: F.col(c).cast("decimal(9,6)") for c in ("slope", "shift")})
-    one, two = P.Fake("one", {b"1": "one", b"2": "two", b"3": "three"}, 0.97), P.Fake("two", {b"1": "one", b"2": "other", b"3": "three"}, 0.99)
+    one, two = Fake("one", {b"1": "one", b"2": "two", b"3": "three"}, 0.97), Fake("two", {b"1": "one", b"2": "other", b"3": "three"}, 0.99)
     settled, calls = P.recognised(assets, one, two, scale, None, 4)
     assert {r.block_id: (r.action, r.content) for r in settled.collect()} == {"a": ("accept", "one"), "b": ("reject", "other"), "c": ("accept", "one"), "d": ("accept", "three")}
     assert calls.count() == 6
-    never = P.Fake("one", lambda p: 1 / 0, 0.97), P.Fake("two", lambda p: 1 / 0, 0.97)
+    never = Fake("one", lambda p: 1 / 0, 0.97), Fake("two", lambda p: 1 / 0, 0.97)
     again, calls = P.recognised(assets, *never, scale, calls, 4)
     assert again.count() == 4 and calls.where("cache_hit").count() == 6 == calls.count()
     untrusted, _ = P.recognised(assets, one, None, scale.limit(0), None, 2, tasks=2)
