@@ -172,7 +172,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.join(low, "a").where("b > a").selectExpr("b AS a", "low AS b").where("a <> b").distinct()
+        large = both.join(low, "a").where("b > a").selectExpr("b AS a", "low AS b").where("a <> b")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         edges = staged(small, "edges")

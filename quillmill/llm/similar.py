@@ -4,10 +4,10 @@ Two texts of similarity s agree in a band of ROWS minima with probability s^ROWS
 BANDS bands with probability (1 - 0.8^5)^24, below one in ten thousand. The positional bytes of a SimHash cannot do
 this: such pairs differ in up to a dozen bits or more, and of eight bytes not even one then has to be equal.
 
-Pairs of bands with few members are rows, each once. Members of larger bands are not all paired at first. In each round one member of each band, that with the most neighbours of
-those not tried yet, is compared with those that are not yet in its component, and the links found are grown to
-components: large groups become one in few rounds. The pairs that are then left, of members of a band in different
-components, are all compared, in blocks: a band's members are dealt into blocks of bounded size, and each pair of
+Pairs of bands with few members are rows, each once. Members of larger bands are not all paired: at first each is
+compared with the one that has the most neighbours, and the links found are grown to components; then, round by round, each with
+the nearest member that is in another component, so large groups become one in few rounds. The members that may then still be similar
+to one in another component are all compared, in blocks: a band's members are dealt into blocks of bounded size, and each pair of
 blocks is one group, whatever the size of the band. So every proposed pair is either decided or inside one component,
 pairs of large bands are never rows, and nothing is capped.
 
@@ -29,8 +29,8 @@ from quillmill.llm.simhash import components, first_rows, local_roots, shingle_h
 
 SIZE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
-#: At most so many rounds with single members before all pairs left are compared, and no more if so few pairs a text are left.
-ROUNDS, LEFT = 4, 500
+#: At most so many rounds with nearest members before all pairs left are compared.
+ROUNDS = 3
 #: Members of a posting whose pairs are rows, at most.
 SMALL = 6
 #: Shingles and members in a block, on average at most.
@@ -111,21 +111,36 @@ def may_be_similar(a: bytes, b: bytes, n: int, m: int, similarity: float) -> boo
     return min(n, m) >= similarity * max(n, m) - 1e-9 and int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()) <= (n + m) * (1 - similarity) / (1 + similarity) + 1e-6
 
 
-def possible(sketches: list[bytes], sizes: np.ndarray, roots: np.ndarray, blocks: np.ndarray, similarity: float) -> np.ndarray:
-    """Which of the members may be similar to another one with a different root; of two blocks, to one of the other block."""
+def distances(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Hamming distances of sketches, all folded to the shortest one's length, by a matrix product of signs (exact: sums of ones below 2^24)."""
+    words = min(len(s) for s in [*x, *y])
+    signs = [np.unpackbits(np.array([folded(s, words) for s in side]).view(np.uint8), axis=1).astype(np.float32) * 2 - 1 for side in (x, y)]
+    return (64 * words - signs[0] @ signs[1].T) / 2
+
+
+def nearest(sketches: list[bytes], sizes: np.ndarray, roots: np.ndarray, blocks: np.ndarray, similarity: float) -> np.ndarray:
+    """For each member the index of the nearest other one, by sketch, that may be similar and has another root; -1 without one. Of two blocks, only across them."""
     own = [np.frombuffer(x, np.uint64) for x in sketches]
-    words, out, two = np.array([len(x) for x in own]), np.zeros(len(own), bool), len(np.unique(blocks)) > 1
+    words, out = np.array([len(x) for x in own]), np.full(len(own), -1)
+    best, two = np.full(len(own), np.inf), len(np.unique(blocks)) > 1
+    sides = [np.flatnonzero(blocks == b) for b in np.unique(blocks)] if two else [np.arange(len(own))] * 2
     for level in np.unique(words):  # pairs whose shorter sketch has this length
-        here = np.flatnonzero(words >= level)
-        bits, n, root, block, least = np.array([folded(own[i], level) for i in here]), sizes[here], roots[here], blocks[here], words[here] == level
-        for i in range(len(here)):
-            j = np.arange(i + 1, len(here))
-            j = j[(root[j] != root[i]) & (least[j] | least[i]) & (np.minimum(n[j], n[i]) >= similarity * np.maximum(n[j], n[i]) - 1e-9)]
-            j = j[block[j] != block[i]] if two else j
-            j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64) <= (n[j] + n[i]) * (1 - similarity) / (1 + similarity) + 1e-6]
-            if len(j):
-                out[here[i]] = True
-                out[here[j]] = True
+        a, b = (side[words[side] >= level] for side in sides)
+        for at in range(0, len(a), 1024):
+            rows = a[at : at + 1024]
+            if not len(b):
+                continue
+            least, most = np.minimum.outer(sizes[rows], sizes[b]), np.maximum.outer(sizes[rows], sizes[b])
+            fits = (roots[rows][:, None] != roots[b]) & (least >= similarity * most - 1e-9) & np.logical_or.outer(words[rows] == level, words[b] == level)
+            if not fits.any():
+                continue
+            far = distances([own[i] for i in rows], [own[j] for j in b])
+            far = np.where(fits & (far <= (least + most) * (1 - similarity) / (1 + similarity) + 1e-6), far, np.inf)
+            for mine, others, d in ((rows, b, far), (b, rows, far.T)) if two else ((rows, b, far),):
+                j = d.argmin(axis=1)
+                value = d[np.arange(len(mine)), j]
+                better = value < best[mine]
+                best[mine[better]], out[mine[better]] = value[better], others[j[better]]
     return out
 
 
@@ -153,40 +168,44 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return pairs.join(left, "a").join(right, "b").where(similar("_a", "_b")).select("a", "b")
 
 
-def _dealt(placed: DataFrame, size: str, most: int) -> DataFrame:
-    """Rows (key, low, high, block, node, root) for each pair of blocks of a key; a block has `most` of the summed `size` on average at most, and BLOCK_MEMBERS members."""
-    dealt = placed.groupBy("key").agg(F.greatest(F.sum(size) / most, F.count("*") / BLOCK_MEMBERS).alias("x")).select("key", F.ceil("x").cast("int").alias("blocks"))
-    own = placed.join(dealt.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.greatest(F.col("blocks"), F.lit(1))).cast("int"))
-    pairs = own.select("key", "node", "root", "block", F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks"), F.lit(1)) - 1)).alias("other"))
-    return pairs.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root")
-
-
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """df dealt out by these columns to as many tasks as the session shuffles to: Python works long on few bytes, by which small partitions are else put together."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
+def _dealt(placed: DataFrame, size: str, most: int, members: int) -> DataFrame:
+    """Rows (key, low, high, block, node, root) for each pair of blocks of a key; a block has `most` of the summed `size` and this many members, on average at most."""
+    dealt = placed.groupBy("key").agg(F.greatest(F.sum(size) / most, F.count("*") / members).alias("x")).select("key", F.ceil("x").cast("int").alias("blocks"))
+    own = placed.join(dealt.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.greatest(F.col("blocks"), F.lit(1))).cast("int"))
+    pairs = own.select("key", "node", "root", "block", F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks"), F.lit(1)) - 1)).alias("other"))
+    return pairs.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root")
+
+
 def _one_sided(frame: pd.DataFrame) -> bool:
     """Whether one of two blocks has no members."""
     return frame["low"].iat[0] != frame["high"].iat[0] and frame["block"].min() == frame["block"].max()
 
 
-def _blockwise(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) that connect what all similar pairs of members of a band in different components connect.
+def _near_by_sketch(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(key, node, root, other, size): the members of a band that may be similar to one of it with another root, each with the nearest such one.
 
-    A pair of blocks is a group: its size is bounded by the blocks, so a large band is many groups on many tasks. At first
-    members are compared by their sketches, which take a sixteenth of the sets at most; those that may be similar to none go. The
-    sets are joined to the others alone.
+    A pair of blocks is a group: its size is bounded by the blocks, so a large band is many groups on many tasks.
     """
     sized = placed.join(sets.select("node", "size"), "node")
-    members = _dealt(sized, "size", 16 * BLOCK_SHINGLES).join(sets.select("node", "size", "sketch").hint("merge"), "node")
+    members = _dealt(sized, "size", 64 * BLOCK_SHINGLES, 8 * BLOCK_MEMBERS).join(sets.select("node", "size", "sketch").hint("merge"), "node")
 
     def tried(frame: pd.DataFrame) -> pd.DataFrame:
-        stay = np.zeros(len(frame), bool) if _one_sided(frame) else possible(list(frame["sketch"]), frame["size"].to_numpy(), frame["root"].to_numpy(), frame["block"].to_numpy(), similarity)
-        return frame.loc[stay, ["key", "node", "root", "size"]]
+        nodes = frame["node"].to_numpy()
+        near = np.full(len(frame), -1) if _one_sided(frame) else nearest(list(frame["sketch"]), frame["size"].to_numpy(), frame["root"].to_numpy(), frame["block"].to_numpy(), similarity)
+        stay = near >= 0
+        return frame.loc[stay, ["key", "node", "root", "size"]].assign(other=nodes[near[stay]])
 
-    left = spread(members, "key", "low", "high").groupBy("key", "low", "high").applyInPandas(tried, "key long, node long, root long, size long").distinct()
-    members = _dealt(staged(left, "possible"), "size", BLOCK_SHINGLES).join(sets.select("node", "shingles").hint("merge"), "node")
+    return spread(members, "key", "low", "high").groupBy("key", "low", "high").applyInPandas(tried, "key long, node long, root long, size long, other long")
+
+
+def _blockwise(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that connect what all similar pairs of members of a band with different roots connect, of members (key, node, root, size), in pairs of blocks."""
+    members = _dealt(left, "size", BLOCK_SHINGLES, BLOCK_MEMBERS).join(sets.select("node", "shingles").hint("merge"), "node")
 
     def compared(frame: pd.DataFrame) -> pd.DataFrame:
         nodes = frame["node"].to_numpy()
@@ -215,31 +234,36 @@ def connected(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], si
             yield pd.Series([odd_sketch(np.asarray(x, np.int64)) for x in batch])
 
     sets = staged(sets_of(weights.select("node")).select("node", "shingles", F.size("shingles").cast("long").alias("size"), sketched("shingles").alias("sketch")), "sets")
+    of = lambda pairs: pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     # the pairs of small postings, each once however many postings it is in
     few = placed.where(F.col("n") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("m"))
     pair = F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", F.lit(1), i), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
-    edges = staged(_verified(staged(few.select(pair.alias("p")).select("p.a", "p.b").distinct(), "pairs"), sets, similarity), "links")
-    roots = components(edges)
-    large = placed.where(F.col("n") > SMALL).join(weights, "node")
-    placed, nodes = large.join(roots, "node", "left").select("key", "node", F.coalesce(roots.root, "node").alias("root"), "weight"), weights.count()
+    pairs = few.select(pair.alias("p")).select("p.a", "p.b")
+    # of larger ones at first each member with the one that has the most neighbours
+    large = placed.where(F.col("n") > SMALL).select("key", "node").join(weights, "node")
+    hub = large.groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("b"))
+    pairs = pairs.union(large.select("key", F.col("node").alias("a")).join(hub, "key").where("a <> b").select("a", "b"))
+    roots = components(staged(_verified(staged(of(pairs), "pairs"), sets, similarity), "links"))
+    keys, last = staged(placed.where(F.col("n") > SMALL).groupBy("node").agg(F.collect_list("key").alias("keys")), "keys"), False
+    nodes = weights.count()
     for turn in range(ROUNDS + 1):
-        counts = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        mixed = staged(counts.where("groups > 1"), "counts")
-        placed = staged(placed.join(mixed.select("key"), "key", "left_semi"), "mixed")
-        left = mixed.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()[0] or 0
-        last = turn == ROUNDS or turn > 0 and left <= LEFT * nodes
-        if last:
-            links = _blockwise(placed, sets, similarity)
-        else:  # one member a band: in round 0 the best connected one, then another one each time
-            best = F.struct("weight", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
-            hub = placed.groupBy("key").agg(F.max_by(F.struct("node", "root"), best).alias("hub")).select("key", F.col("hub.node").alias("b"), F.col("hub.root").alias("other"))
-            pairs = placed.withColumnRenamed("node", "a").join(hub, "key").where("root <> other").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-            links = _verified(staged(pairs, "pairs"), sets, similarity)
-        links = staged(links, "links")
-        roots = components(links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        # a node finds its root once for all its postings
+        joined = keys.join(roots, "node", "left").select("node", F.coalesce(roots.root, "node").alias("root"), F.explode("keys").alias("key"))
+        mixed = joined.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+        near = staged(_near_by_sketch(staged(joined.join(mixed, "key", "left_semi"), "mixed"), sets, similarity), "near")
+        left = near.count()
+        if not left:
+            return roots
+        last = last or left <= 2 * nodes  # few are left: they are compared whole at once
+        if turn < ROUNDS and not last:  # each member with the nearest one that is not yet in its component
+            links = staged(_verified(staged(of(near.select(F.col("node").alias("a"), F.col("other").alias("b"))), "pairs"), sets, similarity), "links")
+            last = links.isEmpty()  # what is nearest is not similar; the rest is compared whole
+        if turn == ROUNDS or last:
+            links, last = staged(_blockwise(near.select("key", "node", "root", "size").distinct(), sets, similarity), "links"), True
+        if not links.isEmpty():
+            roots = components(links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         if last:
             return roots
-        placed = placed.join(roots, "node", "left").select("key", "node", F.coalesce(roots.root, "node").alias("root"), "weight")
 
 
 def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float = SIMILARITY) -> DataFrame:
