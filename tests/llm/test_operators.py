@@ -201,6 +201,14 @@ def test_urls_whole(spark):
     assert tuple(urls.error_rates(df.limit(0)).first()) == (0, 0, 0, 0)
 
 
+def test_warc_keys(spark):
+    """Any text is a key, an empty one too."""
+    path, keys = shared_dir(spark, "keys"), ["a\r\nb", "", " x ", "é=%&+", "=", None]
+    warc.write_archive(spark.createDataFrame([(k, "http://x/", "same") for k in keys], "page_id string, url string, html string"), path)
+    got = warc.parsed(warc.reconstructed(spark, path)).collect()
+    assert sorted(repr(r.id) for r in got) == sorted(map(repr, keys)) and {r.refers_to for r in got if r.record_type == "revisit"} == {""}
+
+
 def test_large_keys(spark):
     """Keys that a double cannot hold stay apart, beside null ones too."""
     big = 2**60
