@@ -76,15 +76,42 @@ def iso_language(value: Column) -> Column:
     return F.when(code.isin(*LANGUAGES), code)
 
 
-def script_counts(text: Column) -> Column:
-    """(han, latin): Chinese characters and words of Latin letters."""
-    value = F.coalesce(text, F.lit(""))
-    return F.struct(F.regexp_count(value, F.lit("[一-龥]")).alias("han"), F.regexp_count(value, F.lit("[A-Za-z]{2,}")).alias("latin"))
+# Frequent words of languages in Latin letters; none is in two lists.
+SPOKEN = {
+    "de": ("der", "die", "und", "den", "von", "zu", "das", "sich", "mit", "auf", "ist", "nicht"),
+    "en": ("the", "of", "and", "to", "is", "that", "for", "it", "was", "with", "are", "this"),
+    "es": ("el", "los", "del", "las", "por", "con", "una", "su", "es", "para", "y", "se"),
+    "fr": ("le", "les", "des", "et", "est", "une", "qui", "dans", "pour", "pas", "du", "au"),
+}
 
 
-def main_language(han: Column, latin: Column) -> Column:
-    """zh where Chinese characters outnumber Latin words, en where there are Latin words at least as many, else null."""
-    return F.when(han > latin, "zh").when(latin > 0, "en")
+def language_signs(text: Column) -> dict[str, Column]:
+    """Counts that tell a language: signs of the Chinese, Japanese and Korean scripts, words of Latin letters, and of these the frequent ones of each of SPOKEN."""
+    value = F.coalesce(text, F.lit(""))
+    words = F.regexp_extract_all(F.lower(value), F.lit(r"\p{L}+"), F.lit(0))
+    scripts = {"han": "[一-龥]", "kana": "[\u3041-\u3096\u30a1-\u30fa]", "hangul": "[가-힣]", "latin": "[A-Za-z]{2,}"}
+    return {**{k: F.regexp_count(value, F.lit(v)) for k, v in scripts.items()}, **{k: F.size(F.filter(words, _listed(v))) for k, v in SPOKEN.items()}}
+
+
+def _listed(words: tuple[str, ...]):
+    return lambda w: w.isin(*words)
+
+
+def main_language(signs: dict[str, Column]) -> Column:
+    """The language that counts (or their sums) tell; null where they do not.
+
+    Kana on at least a tenth of Chinese and Japanese signs tell ja, else these signs zh, Hangul ko, each where there are more than Latin words;
+    of Latin words the language with more frequent words than any other.
+    """
+    east = signs["han"] + signs["kana"]
+    latin = F.lit(None).cast("string")
+    for k in SPOKEN:
+        beaten = F.lit(True)
+        for other in SPOKEN:
+            if other != k:
+                beaten = beaten & (signs[k] > signs[other])
+        latin = F.when(beaten, k).otherwise(latin)
+    return F.when((signs["hangul"] > east) & (signs["hangul"] > signs["latin"]), "ko").when((east > signs["latin"]) & (signs["kana"] * 10 >= east), "ja").when(east > signs["latin"], "zh").when(signs["latin"] > 0, latin)
 
 
 def static_info(question: Column, **fields: Column) -> Column:

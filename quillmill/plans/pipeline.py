@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillmill.functions.text import grade_of, includes_picture, iso_language, main_language, script_counts, static_info, with_default
+from quillmill.functions.text import grade_of, includes_picture, iso_language, language_signs, main_language, static_info, with_default
 from quillmill.operators import blocks as B
 from quillmill.operators import gates, images, matching, providers, recognition, splitting, understanding
 from quillmill.operators.graph import cut
@@ -92,8 +92,8 @@ def _documents(parsed: DataFrame, parts: DataFrame) -> DataFrame:
     made = names.join(understanding.classify(understanding.features(parts)), "document_id", "left").join(title, "document_id", "left").join(fields, "document_id", "left")
     none = F.array().cast("array<string>")
     made = made.withColumns({"document_class": F.coalesce("document_class", F.lit("UNKNOWN")), "question_numbers": F.coalesce("question_numbers", none), "answer_numbers": F.coalesce("answer_numbers", none)})
-    signs = script_counts(F.col("raw_text"))
-    spoken = parts.where("type NOT IN ('formula', 'unresolved')").groupBy("document_id").agg(main_language(F.sum(signs["han"]), F.sum(signs["latin"])).alias("document_language"))
+    signs = {k: F.sum(v) for k, v in language_signs(F.col("raw_text")).items()}
+    spoken = parts.where("type NOT IN ('formula', 'unresolved')").groupBy("document_id").agg(main_language(signs).alias("document_language"))
     made = made.join(spoken, "document_id", "left").withColumn("own_fields", F.array(*understanding.FIELDS))
     placed = understanding.clusters(made)
     lent = understanding.wide(understanding.prioritised(understanding.from_cluster(values, placed), "document_id"), "document_id")
@@ -173,8 +173,7 @@ def _outcomes(questions: DataFrame, answers: DataFrame, matched: DataFrame, chec
     about = documents.select("document_id", "title", "document_language", *understanding.FIELDS)
     df = questions.join(matched, "question_candidate_id", "left").join(checked, ["question_candidate_id", "answer_candidate_id"], "left").join(said, "answer_candidate_id", "left").join(about, "document_id", "left")
     # a question without words of its own is in its document's language
-    signs = script_counts(F.regexp_replace("text_question", r"\$[^$]*\$|<[^>]*>", " "))
-    language = F.coalesce(main_language(signs["han"], signs["latin"]), "document_language")
+    language = F.coalesce(main_language(language_signs(F.regexp_replace("text_question", r"\$[^$]*\$|<[^>]*>", " "))), "document_language")
     made = {
         "text_course": F.col("course"), "text_grade_level": F.col("level"), "text_grade": grade_of(F.col("level")), "text_paper": F.col("title"), "text_year": F.col("year"), "text_city": F.col("city"), "entrance_exam_type": F.col("exam"),
         "question_type": F.col("question_type_candidate"), "language": iso_language(language), "is_pic_included": includes_picture(F.col("text_question")),

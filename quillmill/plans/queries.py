@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillmill.functions.text import LANGUAGES, asset_id, cache_key, grade_of, includes_picture, iso_language, normalized_enum, slim_md5, static_info, with_default
+from quillmill.functions.text import LANGUAGES, SPOKEN, asset_id, cache_key, grade_of, includes_picture, iso_language, language_signs, main_language, normalized_enum, slim_md5, static_info, with_default
 from quillmill.operators import blocks, calibration, gates, graph, matching, providers, recognition, report, splitting, understanding, vectors
 from quillmill.schemas import FINAL_FIELDS, IMAGE_CLASSES
 from quillmill.sources import docx, files, runs
@@ -648,3 +648,16 @@ def verifier_verdicts(spark, sf_dir):
     ledger = asked.select(key.alias("cache_key"), F.lit("judge").alias("provider"), F.lit("1").alias("model"), F.lit("r").alias("request_id"), F.lit("v").alias("prompt_version"), F.lit("answer_verify").alias("task"), content.alias("content"), *[v.alias(k) for k, v in absent.items()])
     found, _ = providers.verdicts(asked.drop("turn"), service, ledger, "judge", "v", 4)
     return found.select("question_id", "verdict", F.col("verifier_score").cast("double").alias("score"))
+
+
+_FREQUENT = ", ".join(f"len(list_filter(w, lambda x: x IN {words!r})) AS {lang}" for lang, words in SPOKEN.items())
+
+
+@query(f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    c AS (SELECT doc_id, len(regexp_extract_all(t, '[一-龥]')) AS han, len(regexp_extract_all(t, '[\u3041-\u3096\u30a1-\u30fa]')) AS kana, len(regexp_extract_all(t, '[가-힣]')) AS hangul, len(regexp_extract_all(t, '[A-Za-z]{{2,}}')) AS latin, regexp_extract_all(lower(t), '\\p{{L}}+') AS w FROM d),
+    s AS (SELECT *, {_FREQUENT} FROM c)
+    SELECT doc_id, CASE WHEN hangul > han + kana AND hangul > latin THEN 'ko' WHEN han + kana > latin AND kana * 10 >= han + kana THEN 'ja' WHEN han + kana > latin THEN 'zh' WHEN latin = 0 THEN NULL
+      WHEN en > greatest(fr, de, es) THEN 'en' WHEN fr > greatest(en, de, es) THEN 'fr' WHEN de > greatest(en, fr, es) THEN 'de' WHEN es > greatest(en, fr, de) THEN 'es' END AS language FROM s""")
+def spoken_language(spark, sf_dir):
+    """The language of each document, by scripts and frequent words."""
+    return read(spark, sf_dir, "documents").select("doc_id", main_language(language_signs(F.col("text"))).alias("language"))
