@@ -270,7 +270,8 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size:
     """Per row of df with a key: the key and component_id, the smallest key that the row reaches by similar texts.
 
     Similar are texts whose sets of shingles of `size` words (ASCII lower case; a shorter text is one shingle) have a Jaccard similarity
-    of at least `similarity`. Null, empty and blank texts are all similar to each other. An empty table gives an empty result.
+    of at least `similarity`. Null, empty and blank texts are all similar to each other. Repeated rows each give a row. An empty table gives an empty result.
+    Columns other than the two named ones are not read.
     """
     ship(df.sparkSession)
 

@@ -370,14 +370,21 @@ def truncation_point(table: Column, budget: int) -> Column:
 
 
 def tabled(df: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """df with n_bytes and prefix_tokens: the stored table of the counts at every prefix of the text."""
+    """df with n_bytes and prefix_tokens: the stored table of the counts at every prefix of the text.
+
+    A null or empty text has the table of the count 0. Rows are independent, so repeated rows and null keys stay; columns of df with a
+    name of the result are replaced. An empty table gives an empty one.
+    """
     ship(df.sparkSession)
     value = df[f"`{text}`"]
     return plus(df, n_bytes=F.octet_length(F.coalesce(value, F.lit(""))).cast("long"), prefix_tokens=prefix_table(value, path))
 
 
 def answers(tables: DataFrame, limit: int = 2048, table: str = "prefix_tokens") -> DataFrame:
-    """Native: tables with n_tokens, over_limit, and fit_chars, the longest prefix (in characters) within the limit; from stored tables alone."""
+    """Native: tables with n_tokens, over_limit, and fit_chars, the longest prefix (in characters) within the limit; from stored tables alone.
+
+    Rows are independent and all stay; other columns stay, those with a name of the result are replaced. An empty table gives an empty one.
+    """
     column = tables[f"`{table}`"]
     out = plus(tables, n_tokens=total(column))
     whole = (F.octet_length(column["steps"]) / column["width"]).cast("long")
