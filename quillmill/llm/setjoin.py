@@ -12,7 +12,7 @@ put in one order by cost: all parts of all sets are counted first, so a segment
 them, or holds what all of them quote) comes late. Each set buys units in this order up to its budget. Of two sets the smaller one's
 units are the larger one's too, and if they were all missed, the sets would differ in as many shingles as the budget has units.
 
-Sets that share an index entry are verified exactly and grown to components as in `similar`; equal sets are one node.
+Sets that share an index entry are verified exactly and grown to components as in `connect`; equal sets are one node.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import ship, staged
-from quillmill.llm.similar import connected, shingle_set, spread
+from quillmill.llm.connect import connected, spread
+from quillmill.llm.similar import shingle_set
 
 #: Segments of a scheme at most.
 _SLOT = 1 << 40
