@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillmill.llm import alignment, setjoin, similar, vectorcodes
+from quillmill.llm import alignment, connect, setjoin, similar, vectorcodes
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 BIG = 2**60
@@ -113,14 +113,14 @@ def test_sketches():
         a = np.unique(rng.integers(-(2**62), 2**62, n))
         b = np.unique(np.concatenate([a[: int(rng.integers(0, len(a) + 1))], rng.integers(-(2**62), 2**62, int(rng.integers(0, n)))]))
         if similar.is_similar(a, b, 0.8):
-            assert similar.may_be_similar(similar.odd_sketch(a), similar.odd_sketch(b), len(a), len(b), 0.8)
+            assert connect.may_be_similar(connect.odd_sketch(a), connect.odd_sketch(b), len(a), len(b), 0.8)
     sets = [np.unique(rng.integers(-(2**62), 2**62, int(rng.integers(20, 400)))) for _ in range(40)]
     sets += [np.unique(np.concatenate([x[int(rng.integers(0, 9)) :], rng.integers(-(2**62), 2**62, 2)])) for x in sets for _ in range(2)]
-    sketches, sizes, roots = [similar.odd_sketch(x) for x in sets], np.array([len(x) for x in sets]), rng.integers(0, 90, len(sets))
-    near = lambda i, j: roots[i] != roots[j] and similar.may_be_similar(sketches[i], sketches[j], sizes[i], sizes[j], 0.8)
+    sketches, sizes, roots = [connect.odd_sketch(x) for x in sets], np.array([len(x) for x in sets]), rng.integers(0, 90, len(sets))
+    near = lambda i, j: roots[i] != roots[j] and connect.may_be_similar(sketches[i], sketches[j], sizes[i], sizes[j], 0.8)
     for blocks in (np.zeros(len(sets), int), rng.integers(0, 2, len(sets))):
         two = len(set(blocks)) > 1
-        found = similar.nearest(sketches, sizes, roots, blocks, 0.8)
+        found = connect.nearest(sketches, sizes, roots, blocks, 0.8)
         for i, j in enumerate(found.tolist()):
             others = [k for k in range(len(sets)) if k != i and near(i, k) and not (two and blocks[i] == blocks[k])]
             assert (j < 0) == (not others) and (j < 0 or j in others)
