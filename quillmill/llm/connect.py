@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import staged
@@ -110,6 +110,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return pairs.join(left, "a").join(right, "b").where(similar("_a", "_b")).select("a", "b")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffles of tables that are written: it does so when the driver collects its garbage, which may be late in a short job."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """df dealt out by these columns to as many tasks as the session shuffles to: Python works long on few bytes, by which small partitions are else put together."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
@@ -176,18 +181,21 @@ def connected(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], si
             yield pd.Series([odd_sketch(np.asarray(x, np.int64)) for x in batch])
 
     sets = staged(sets_of(weights.select("node")).select("node", "shingles", F.size("shingles").cast("long").alias("size"), sketched("shingles").alias("sketch")), "sets")
+    release(sets.sparkSession)
     of = lambda pairs: pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    star = lambda found: found.select(F.col("node").alias("a"), F.col("root").alias("b"))
     # the pairs of small postings, each once however many postings it is in
     few = placed.where(F.col("n") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("m"))
     pair = F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", F.lit(1), i), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
-    pairs = few.select(pair.alias("p")).select("p.a", "p.b")
-    # of larger ones at first each member with the one that has the most neighbours
-    large = placed.where(F.col("n") > SMALL).select("key", "node").join(weights, "node")
-    hub = large.groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("b"))
-    pairs = pairs.union(large.select("key", F.col("node").alias("a")).join(hub, "key").where("a <> b").select("a", "b"))
-    roots = components(staged(_verified(staged(of(pairs), "pairs"), sets, similarity), "links"))
-    keys, last = staged(placed.where(F.col("n") > SMALL).groupBy("node").agg(F.collect_list("key").alias("keys")), "keys"), False
+    roots = components(staged(_verified(staged(of(few.select(pair.alias("p")).select("p.a", "p.b")), "pairs"), sets, similarity), "links"))
+    # of larger ones at first each member with the one that has the most neighbours, if it is not yet in its component
+    keys, last = staged(placed.where(F.col("n") > SMALL).groupBy("node").agg(F.collect_list("key").alias("keys")).join(weights, "node"), "keys"), False
+    large = keys.join(roots, "node", "left").select("node", "weight", F.coalesce(roots.root, "node").alias("root"), F.explode("keys").alias("key"))
+    hub = large.groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("b"), F.col("hub.root").alias("other"))
+    pairs = large.select("key", F.col("node").alias("a"), "root").join(hub, "key").where("root <> other").select("a", "b")
+    roots = components(staged(_verified(staged(of(pairs), "pairs"), sets, similarity), "links").union(star(roots)))
     nodes = weights.count()
+    release(sets.sparkSession)
     for turn in range(ROUNDS + 1):
         # a node finds its root once for all its postings
         joined = keys.join(roots, "node", "left").select("node", F.coalesce(roots.root, "node").alias("root"), F.explode("keys").alias("key"))
@@ -203,6 +211,6 @@ def connected(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], si
         if turn == ROUNDS or last:
             links, last = staged(_blockwise(near.select("key", "node", "root", "size").distinct(), sets, similarity), "links"), True
         if not links.isEmpty():
-            roots = components(links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+            roots = components(links.union(star(roots)))
         if last:
             return roots

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import ship, staged
-from quillmill.llm.connect import connected, spread
+from quillmill.llm.connect import connected, release, spread
 from quillmill.llm.similar import shingle_set
 
 #: Segments of a scheme at most.
@@ -159,7 +159,8 @@ def joined_sets(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
             yield pd.Series([shingle_set(t, size) for t in batch])
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        wanted = distinct.join(nodes, "node", "left_semi").select("node", "name")
+        # a table of its own, whose size Spark knows: only where it is too large to broadcast are all texts shuffled
+        wanted = staged(distinct.join(nodes, "node", "left_semi").select("node", "name"), "wanted")
         return spread(rows.select(named.alias("name"), "text").join(wanted, "name").select("node", "text"), "node").groupBy("node").agg(F.any_value("text").alias("text")).select("node", shingles("text").alias("shingles"))
 
     # a place counts the segments of both schemes through: those of the second begin where those of the first end
@@ -188,11 +189,14 @@ def joined_sets(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
     double = units.where("unit = 2").join(sets.select("scheme", "segments"), "scheme").where("rank < segments").select("scheme", "segment", "rank")
     bought = each.join(double, "scheme").where(F.col("rank") < budget).groupBy("node", "scheme").agg(F.sort_array(F.collect_list("segment")).alias("segments"))
     chosen = staged(bought.groupBy("node").agg(F.collect_list(F.struct("scheme", "segments")).alias("chosen")), "chosen")
-    near = sets_of(chosen.select("node")).join(chosen, "node").select("node", F.explode(neighbourhoods("shingles", "chosen")).alias("key"))
-    # neighbourhoods meet parts that no other set has as they are
-    slots = double.select((F.col("scheme").cast("long") * _SLOT + F.col("segment")).alias("slot"), "rank")
-    alone = parts.join(slots, "slot").join(distinct.select("node", "n"), "node").where(F.col("rank") < budget).select("node", F.col("entry").alias("key"))
-    roots = connected(whole.unionByName(near).unionByName(alone).distinct(), sets_of, num / den)
+    release(df.sparkSession)
+    if not chosen.isEmpty():
+        near = sets_of(chosen.select("node")).join(chosen, "node").select("node", F.explode(neighbourhoods("shingles", "chosen")).alias("key"))
+        # neighbourhoods meet parts that no other set has as they are
+        slots = double.select((F.col("scheme").cast("long") * _SLOT + F.col("segment")).alias("slot"), "rank")
+        alone = parts.join(slots, "slot").join(distinct.select("node", "n"), "node").where(F.col("rank") < budget).select("node", F.col("entry").alias("key"))
+        whole = whole.unionByName(near).unionByName(alone).distinct()
+    roots = connected(whole, sets_of, num / den)
     found = staged(distinct.join(roots, distinct.node == roots.node, "left").select(distinct.node, "least", F.coalesce("root", distinct.node).alias("root")), "roots")
     first = found.groupBy("root").agg(F.min("least").alias("component_id"))
     named_ = found.join(first, "root").select("node", "component_id")
