@@ -202,7 +202,7 @@ def recognised(assets: DataFrame, primary, fallback, calibration: DataFrame, led
 
 
 def verdicts(pairs: DataFrame, verifier, ledger: Ledger | DataFrame | None, prompt: str, prompt_version: str, concurrency: int, **options) -> tuple[DataFrame, DataFrame]:
-    """((question_id, answer_id, verdict, verifier_score, reason), ledger rows) for pairs (question_id, answer_id, question, answer, block_ids).
+    """((question_id, answer_id, verdict, verifier_score, reason, cache_key), ledger rows) for pairs (question_id, answer_id, question, answer, block_ids).
 
     The verifier answers in JSON with the fields verdict, score, reason and cited_blocks alone. Any other field, a
     verdict that is not listed, or cited blocks that the pair does not have make the verdict FAIL.
@@ -213,7 +213,7 @@ def verdicts(pairs: DataFrame, verifier, ledger: Ledger | DataFrame | None, prom
     made = through(asked, ledger, verifier, concurrency, **options)
     key = cache_key(F.col("content_hash"), F.lit(verifier.name), F.lit(verifier.model), F.col("prompt_version"), F.col("task"))
     back = asked.select("question_id", "answer_id", "block_ids", key.alias("cache_key")).join(made.select("cache_key", "content"), "cache_key", "left")
-    return back.select("question_id", "answer_id", *_verdict(F.col("content"), F.col("block_ids"))), made
+    return back.select("question_id", "answer_id", *_verdict(F.col("content"), F.col("block_ids")), "cache_key"), made
 
 
 def _verdict(content: Column, ids: Column) -> list[Column]:

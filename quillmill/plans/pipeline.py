@@ -6,6 +6,7 @@ Calls are kept in the ledger of all runs, so no finished call is sent again. Inp
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -250,7 +251,7 @@ def _verified(work: Workspace, questions: DataFrame, answers: DataFrame, matched
     t, verifier = config.quality, C.provider(config, "llm", "verifier")
     d = lambda v: F.lit(v).cast("decimal(9,6)")
     if verifier is None:
-        work.stage("verdicts", lambda: work.spark.createDataFrame([], "question_candidate_id string, answer_candidate_id string, verdict string, verifier_score decimal(9,6), reason string"))
+        work.stage("verdicts", lambda: work.spark.createDataFrame([], "question_candidate_id string, answer_candidate_id string, verdict string, verifier_score decimal(9,6), reason string, cache_key string"))
         return
     sure = matched.where((F.col("top1") >= d(t["answer_match_accept"])) & (F.col("top1") - F.col("top2") >= d(t["answer_match_margin"])))
     pairs = sure.join(questions.select("question_candidate_id", F.col("text_question").alias("question"), "content_blocks"), "question_candidate_id").join(answers.select("answer_candidate_id", "answer", "source_blocks"), "answer_candidate_id")
@@ -272,3 +273,27 @@ def trace(spark: SparkSession, workspace: str, candidate: str) -> DataFrame:
     sides = outcomes.select(F.explode(F.array(F.struct(F.lit("question").alias("side"), F.col("content_blocks").alias("ids")), F.struct(F.lit("answer").alias("side"), F.col("answer_blocks").alias("ids")))).alias("s")).select("s.side", F.explode("s.ids").alias("block_id"))
     parts = spark.read.parquet(f"{workspace}/blocks").select("block_id", "document_id", "ord", "raw_text", "latex", "asset_id")
     return sides.join(parts, "block_id").join(spark.read.parquet(f"{workspace}/documents").select("document_id", "source_file"), "document_id").select("side", "block_id", "document_id", "source_file", "ord", "raw_text", "latex", "asset_id")
+
+
+def lineage(spark: SparkSession, workspace: str) -> DataFrame:
+    """(source, target, kind): what everything in a run rests on, as edges between typed names such as candidate:x, block:y, call:z.
+
+    candidates rest on blocks, answers (of which the match is one) and the verifier's call; answers on blocks; blocks on documents; documents on
+    files; calls on the provider, model and prompt; and each candidate on the run's configuration. graph.reached walks them,
+    either way round: from a question to all that it rests on, or from a file or a model to all questions that rest on it.
+    """
+    table = lambda name: spark.read.parquet(f"{workspace}/{name}")
+    named = lambda kind, c: F.concat(F.lit(f"{kind}:"), c)
+    edge = lambda df, source, target, kind: df.select(source.alias("source"), target.alias("target"), F.lit(kind).alias("kind")).where("source IS NOT NULL AND target IS NOT NULL")
+    outcomes, told = table("outcomes"), json.loads(files.read(f"{workspace}/run.json"))
+    candidate, answer = named("candidate", F.col("question_candidate_id")), named("answer", F.col("answer_candidate_id"))
+    each = lambda of, blocks: outcomes.select(of.alias("of"), F.explode(blocks).alias("block"))
+    calls = [table(n) for n in ("calls_recognition", "calls_split", "calls_verify") if files.exists(f"{workspace}/{n}/_SUCCESS")]
+    edges = [
+        edge(each(candidate, "content_blocks"), F.col("of"), named("block", F.col("block")), "question"), edge(each(answer, "answer_blocks"), F.col("of"), named("block", F.col("block")), "answer"), edge(outcomes, candidate, answer, "match"),
+        edge(outcomes, candidate, named("call", F.col("cache_key")), "verdict"),
+        edge(table("blocks"), named("block", F.col("block_id")), named("document", F.col("document_id")), "source"), edge(table("documents"), named("document", F.col("document_id")), named("file", F.col("source_file")), "source"),
+        edge(outcomes, candidate, F.lit(f"configuration:{told['config_digest']}"), "configuration"),
+        *[edge(c, named("call", F.col("cache_key")), named("model", F.concat_ws("/", "provider", "model", "prompt_version")), "service") for c in calls],
+    ]
+    return reduce(DataFrame.unionByName, edges).distinct()

@@ -7,6 +7,7 @@ from fakes import Fake
 from test_docx import T, write
 
 from quillmill import cli
+from quillmill.operators import graph
 from quillmill.operators import providers as P
 from quillmill.plans import pipeline
 from quillmill.sources import config as C
@@ -42,6 +43,9 @@ def test_run(spark, tmp_path):
     work = f"{out}/workspace/{done.run_id}"
     some = spark.read.parquet(f"{work}/outcomes").where("reason_code IS NULL").first().question_candidate_id
     assert {r.side: r.source_file for r in pipeline.trace(spark, work, some).collect()} == {"question": "期中数学.docx", "answer": "期中数学答案.docx"}
+    edges = pipeline.lineage(spark, work)
+    rests = {r.node for r in graph.reached(edges, spark.createDataFrame([(f"candidate:{some}",)], "start string")).collect()}
+    assert {"file:期中数学.docx", "file:期中数学答案.docx", "model:judge/fake-1/answer_verify/v1", f"configuration:{config.digest}"} <= rests and "file:期末物理卷.docx" not in rests
     # the same run again sends no call and gives the same id; without a good verifier nothing is accepted
     config_again = C.validated({"providers": {"llm": {"verifier": "fakes:verifier"}}})
     assert pipeline.run(spark, source, out, config_again).run_id == done.run_id and pipeline.Workspace(spark, work).first_incomplete() is None
