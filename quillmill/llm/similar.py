@@ -1,6 +1,8 @@
-"""Near-duplicates by the similarity of word shingles: MinHash bands propose pairs, exact Jaccard similarity decides.
+"""Near-duplicates by the similarity of word shingles: SimHash postings by positional bytes, then MinHash bands propose pairs, exact Jaccard similarity decides.
 
-Two texts of similarity s agree in a band of ROWS minima with probability s^ROWS, so a pair at 0.8 is in none of the
+First the texts' fingerprints go through the index of `simhash`: postings by positional bytes, a tally of the shared bytes of
+each pair, and the Hamming distance. What this links is verified by the texts' shingles and grown to components. Bands are for the similar
+texts whose fingerprints are farther apart. Two texts of similarity s agree in a band of ROWS minima with probability s^ROWS, so a pair at 0.8 is in none of the
 BANDS bands with probability (1 - 0.8^5)^24, below one in ten thousand. The positional bytes of a SimHash cannot do
 this: such pairs differ in up to a dozen bits or more, and of eight bytes not even one then has to be equal.
 
@@ -22,10 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import ship, staged
-from quillmill.llm.simhash import components, first_rows, local_roots, shingle_hashes
+from quillmill.llm.simhash import components, fingerprint_of, first_rows, links as byte_links, local_roots, shingle_hashes
 
 SIZE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
+#: Bits that fingerprints linked by their positional bytes may differ in.
+DISTANCE = 2
 #: At most so many rounds with single members before all pairs left are compared, and no more if so few pairs a text are left.
 ROUNDS, LEFT = 4, 500
 #: Shingles and members in a block, on average at most.
@@ -97,6 +101,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return pairs.join(left, "a").join(right, "b").where(similar("_a", "_b")).select("a", "b")
 
 
+def byte_pairs(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Pairs (a, b), a after b, of nodes (node, fp) that the index by positional bytes links: nodes of one fingerprint, and of fingerprints within the distance."""
+    first = staged(nodes.groupBy("fp").agg(F.min("node").alias("b"), F.count("*").alias("n")), "fingerprints")
+    equal = nodes.join(first.where("n > 1").select("fp", "b"), "fp").select(F.col("node").alias("a"), "b")
+    found = byte_links(first.select("fp"), distance)
+    ends = lambda c: first.select(F.col("fp").alias(c), F.col("b").alias(f"{c}_node"))
+    linked = found.join(ends("a"), "a").join(ends("b"), "b").select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b"))
+    return equal.unionByName(linked).where("a <> b").distinct()
+
+
 def _blockwise(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) that connect what all similar pairs of members of a band in different components connect.
 
@@ -130,10 +144,10 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size:
     """
     ship(df.sparkSession)
 
-    @F.pandas_udf("array<long>")
-    def bands(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("fp long, bands array<long>")
+    def signs(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.Series([bands_of(t, size) for t in batch])
+            yield pd.DataFrame({"fp": np.array([fingerprint_of(t, size) for t in batch], np.uint64).view(np.int64), "bands": [bands_of(t, size) for t in batch]})
 
     @F.pandas_udf("array<long>")
     def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -141,14 +155,17 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size:
             yield pd.Series([shingle_set(t, size) for t in batch])
 
     rows = df.where(df[f"`{key}`"].isNotNull()).select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), _node(text).alias("node"))
-    docs = staged(rows.select("doc_id", "node", bands("text").alias("bands")), "bands")
-    distinct = staged(docs.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("bands").alias("bands")), "distinct")
+    docs = staged(rows.select("doc_id", "node", signs("text").alias("s")).select("doc_id", "node", "s.*"), "bands")
+    distinct = staged(docs.groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands")), "distinct")
+    near = staged(byte_pairs(distinct.select("node", "fp")), "pairs")
     postings = distinct.select("node", F.explode("bands").alias("key"))
     several = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    placed = staged(postings.join(several, "key").withColumn("root", F.col("node")), "postings")
+    placed = staged(postings.join(several, "key").select("key", "node", "n"), "postings")
     weights = staged(placed.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
-    sets = staged(rows.join(weights, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")).select("node", shingles("text").alias("shingles")), "sets")
-    placed, nodes, edges = placed.join(weights, "node").select("key", "node", "root", "weight"), weights.count(), None
+    asked = staged(weights.select("node").union(near.select("a")).union(near.select("b")).distinct(), "asked")
+    sets = staged(rows.join(asked, "node", "left_semi").groupBy("node").agg(F.any_value("text").alias("text")).select("node", shingles("text").alias("shingles")), "sets")
+    roots, nodes = components(staged(_verified(near, sets, similarity), "links")), weights.count()
+    placed = placed.join(weights, "node").join(roots, "node", "left").select("key", "node", F.coalesce(roots.root, "node").alias("root"), "weight")
     for turn in range(ROUNDS + 1):
         counts = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
         mixed = staged(counts.where("groups > 1"), "counts")
@@ -162,12 +179,10 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size:
             hub = placed.groupBy("key").agg(F.max_by(F.struct("node", "root"), best).alias("hub")).select("key", F.col("hub.node").alias("b"), F.col("hub.root").alias("other"))
             pairs = placed.withColumnRenamed("node", "a").join(hub, "key").where("root <> other").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
             links = _verified(staged(pairs, "pairs"), sets, similarity)
-        links = staged(links, "links")
-        edges = links if edges is None else links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(edges)
+        roots = components(staged(links, "links").union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         if last:
             break
-        placed = placed.join(roots, "node", "left").select("key", "node", F.coalesce(roots.root, "node").alias("root"), "weight")
+        placed = placed.select("key", "node", "weight").join(roots, "node", "left").select("key", "node", F.coalesce(roots.root, "node").alias("root"), "weight")
     found = staged(distinct.join(roots, distinct.node == roots.node, "left").select(distinct.node, "least", F.coalesce("root", distinct.node).alias("root")), "roots")
     first = found.groupBy("root").agg(F.min("least").alias("component_id"))
     named = found.join(first, "root").select("node", "component_id")

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillmill.llm import alignment, connect, setjoin, similar, vectorcodes
+from quillmill.llm import alignment, connect, setjoin, simhash, similar, vectorcodes
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 BIG = 2**60
@@ -245,3 +245,16 @@ def test_alignment(spark):
     one = sorted((r for r in groups if r.doc_id == BIG + 1), key=lambda r: r.start)
     assert [r.start for r in one] == [0, *[r.stop for r in one[:-1]]] and one[-1].stop == len("  x  y") and all(r.a and r.b and {x.a for x in r.links} == set(range(len(r.a))) for r in one)
     assert alignment.align(df.limit(0), *paths).count() == 0
+
+
+def test_near_stage_by_positional_bytes(spark):
+    """The index by positional bytes of fingerprints proposes pairs of its own, which shingles then verify; bands find what is farther apart."""
+    rnd = random.Random(9)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(400)]
+    texts = {1: " ".join(words), 2: " ".join([*words, "more"]), 3: " ".join(f"x{i}" if i % 55 == 20 else w for i, w in enumerate(words)), 4: " ".join(f"v{i}" for i in range(300)), 5: "  ", 6: None, 7: ""}
+    nodes = spark.createDataFrame([(k, int(np.uint64(simhash.fingerprint_of(t, 5)).view(np.int64))) for k, t in texts.items()], "node long, fp long")
+    bits = lambda a, b: (simhash.fingerprint_of(texts[a], 5) ^ simhash.fingerprint_of(texts[b], 5)).bit_count()
+    found = {(r.a, r.b) for r in similar.byte_pairs(nodes).collect()}
+    assert found == {(b, a) for a in texts for b in texts if a < b and bits(a, b) <= 2 and not (a, b) == (6, 7)} and (2, 1) in found and (3, 1) not in found
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert sorted(map(tuple, similar.similar_groups(df).collect())) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, 5), (7, 5)]
