@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillmill.operators.graph import cut
+
 _NEVER = -(1 << 60)
 
 
@@ -116,7 +118,8 @@ def chains(pairs: DataFrame, block: int = 512) -> DataFrame:
     optimal pair gains any of the same. Gains are whole numbers above 0. Places are whole and stand for one item each. An empty table gives an empty one.
     """
     rows = pairs.select(F.col("cluster_id").cast("string").alias("cluster_id"), F.col("q").cast("string").alias("q"), F.col("a").cast("string").alias("a"), F.col("qp").cast("long").alias("qp"), F.col("ap").cast("long").alias("ap"), F.col("gain").cast("long").alias("gain"))
-    rows = rows.withColumn("block", F.floor(F.col("qp") / block).cast("long"))
+    # all below reads the pairs several times: what makes them is worked out once
+    rows = cut(rows.withColumn("block", F.floor(F.col("qp") / block).cast("long")))
     bounds = rows.groupBy("cluster_id", "block").agg(F.min("ap").alias("low"), F.max("ap").alias("high"))
     along, back = W.partitionBy("cluster_id").orderBy("block"), W.partitionBy("cluster_id").orderBy(F.desc("block"))
     past, rest = along.rowsBetween(W.unboundedPreceding, -1), back.rowsBetween(W.unboundedPreceding, 0)
@@ -124,10 +127,12 @@ def chains(pairs: DataFrame, block: int = 512) -> DataFrame:
     bounds = bounds.select("cluster_id", "block", F.min("low").over(rest).alias("in_low"), F.coalesce(F.max("high").over(past), F.lit(-1)).alias("in_high"), F.max("high").over(along).alias("high"))
     ends = F.lead("in_low").over(along)
     bounds = bounds.select("cluster_id", "block", "in_low", F.coalesce("in_high", F.lit(-1)).alias("in_high"), F.coalesce(ends, F.lit(0)).alias("out_low"), F.when(ends.isNotNull(), F.col("high")).otherwise(F.lit(-1)).alias("out_high"))
-    placed = rows.join(bounds, ["cluster_id", "block"])
-    matrices = placed.groupBy("cluster_id", "block").applyInPandas(_matrix, "cluster_id string, block long, wide int, m array<long>")
-    sums = matrices.groupBy("cluster_id").applyInPandas(_multiplied, "cluster_id string, block long, before array<long>, after array<long>, best long")
-    scored = placed.join(sums, ["cluster_id", "block"]).groupBy("cluster_id", "block").applyInPandas(_scored, "cluster_id string, q string, a string, qp long, ap long, gain long, best long, upto long, onwards long")
+    placed = cut(rows.join(bounds, ["cluster_id", "block"]))
+    # Python works long on few bytes, by which small partitions are else put together in one task
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    matrices = placed.repartition(tasks, "cluster_id", "block").groupBy("cluster_id", "block").applyInPandas(_matrix, "cluster_id string, block long, wide int, m array<long>")
+    sums = matrices.repartition(tasks, "cluster_id").groupBy("cluster_id").applyInPandas(_multiplied, "cluster_id string, block long, before array<long>, after array<long>, best long")
+    scored = placed.join(sums, ["cluster_id", "block"]).repartition(tasks, "cluster_id", "block").groupBy("cluster_id", "block").applyInPandas(_scored, "cluster_id string, q string, a string, qp long, ap long, gain long, best long, upto long, onwards long")
     scored = scored.withColumn("optimal", F.col("upto") + F.col("onwards") - F.col("gain") == F.col("best"))
     by = W.partitionBy("cluster_id", "optimal").orderBy(F.col("upto") - F.col("gain"), "upto", "q", "a")
     earlier, next_ = F.max("upto").over(by.rowsBetween(W.unboundedPreceding, -1)), F.lead(F.col("upto") - F.col("gain")).over(by)

@@ -1,6 +1,8 @@
 """What work and memory follow: tables are made once, tasks follow the rows, Python gets only what it must."""
 
-from quillmill.operators import graph
+from pyspark.sql import functions as F
+
+from quillmill.operators import alignment, graph
 
 
 def test_cut_makes_rows_once(spark):
@@ -13,3 +15,9 @@ def test_cut_makes_rows_once(spark):
 
     out = graph.cut(spark.range(10).mapInPandas(counted, "id long"))
     assert sorted(r.id for r in out.collect()) == list(range(10)) and made.value == 10
+
+
+def test_blocks_are_spread(spark):
+    pairs = spark.range(40).select(F.col("id").alias("cluster_id"), F.lit("q").alias("q"), F.lit("a").alias("a"), F.lit(1).alias("qp"), F.lit(1).alias("ap"), F.lit(5).alias("gain"))
+    found = alignment.chains(pairs)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString() and found.where("sure").count() == 40
