@@ -59,6 +59,10 @@ def _candidates(runs: DataFrame) -> DataFrame:
     return found.select(F.concat_ws("_q", "document_id", name).alias("question_candidate_id"), "document_id", "content_blocks", "question_number", kind.alias("question_type_candidate"), score.alias("split_score"), F.struct("begins", F.lit(0).alias("at")).alias("place"), "unresolved")
 
 
+#: Lines that a task sorts by document, on average at most.
+LINES = 250_000
+
+
 def extract_answers(blocks: DataFrame, ahead: int = 50) -> DataFrame:
     """(answer_candidate_id, document_id, question_number, answer, analysis, source_blocks, place) from numbered lines.
 
@@ -72,6 +76,9 @@ def extract_answers(blocks: DataFrame, ahead: int = 50) -> DataFrame:
     compact = F.regexp_extract_all(F.col("raw_text"), F.lit(r"(\d{1,3}\s*[.．、)）]\s*[A-D]+)(?=\s|$|[,，;；])"), F.lit(1))
     lines = F.when(F.size(compact) > 1, compact).otherwise(F.split("raw_text", "\n"))
     each = blocks.where("raw_text IS NOT NULL AND type NOT IN ('header', 'footer', 'noise_candidate')").select("document_id", "block_id", "ord", F.posexplode(lines).alias("at", "line"))
+    # all windows below are by document: as many tasks as there are lines for, so that what one sorts does not grow with the table
+    tasks = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-each.count() // LINES))
+    each = each.repartition(tasks, "document_id")
     told, rest = F.nullif(F.regexp_extract("line", _ANSWER, 1), F.lit("")), F.regexp_extract("line", _ANSWER, 2)
     order = W.partitionBy("document_id").orderBy("ord", "at")
     heading = F.col("line").rlike(_HEADING) | F.col("line").rlike(_PART)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quillmill.operators import alignment, graph
+from quillmill.operators import alignment, graph, splitting
 
 
 def test_cut_makes_rows_once(spark):
@@ -17,6 +17,14 @@ def test_cut_makes_rows_once(spark):
     assert sorted(r.id for r in out.collect()) == list(range(10)) and made.value == 10
 
 
+def test_answer_tasks_follow_lines(spark, monkeypatch):
+    monkeypatch.setattr(splitting, "LINES", 10)
+    rows = [(f"d{d}", f"d{d}_{i}", i, "paragraph", f"{i + 1}. A") for d in range(20) for i in range(5)]
+    blocks = spark.createDataFrame(rows, "document_id string, block_id string, ord int, type string, raw_text string")
+    found = splitting.extract_answers(blocks)
+    assert found.rdd.getNumPartitions() == 10 and found.count() == 100
+
+
 def test_blocks_are_spread(spark):
     pairs = spark.range(40).select(F.col("id").alias("cluster_id"), F.lit("q").alias("q"), F.lit("a").alias("a"), F.lit(1).alias("qp"), F.lit(1).alias("ap"), F.lit(5).alias("gain"))
     found = alignment.chains(pairs)
