@@ -27,9 +27,19 @@ LANGUAGES = tuple("""
 """.split())
 
 
+#: Signs other than those that composing leaves as they are, whatever stands beside them: Latin, Cyrillic and punctuation without marks, Kana, Chinese, whole Hangul syllables, wide forms.
+MAY_COMPOSE = r"[^\x00-\u02ff\u0400-\u0482\u048a-\u052f\u2010-\u2027\u2030-\u205e\u3000-\u3029\u3041-\u3096\u30a1-\u30fa\u30fc-\u30fe\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7a3\uff01-\uff60]"
+
+
 @F.pandas_udf(StringType())
-def nfc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFC", t), na_action="ignore")
+def _composed(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t), na_action="ignore")
+
+
+def nfc(text: Column) -> Column:
+    """Composed characters. Only texts that composing may change go to Python, so its batches do not hold whole tables' texts."""
+    may = (F.octet_length(text) > F.char_length(text)) & text.rlike(MAY_COMPOSE)  # ASCII first: it is told quickly
+    return F.coalesce(_composed(F.when(may, text)), text)
 
 
 def canonical(text: Column) -> Column:
