@@ -161,10 +161,11 @@ def through(requests: DataFrame, ledger: Ledger | DataFrame | None, provider, co
     keyed = requests.withColumn("cache_key", key).dropDuplicates(["cache_key"])
     if ledger is None:
         return cut(call(keyed, provider, concurrency, **options)).withColumn("cache_hit", F.lit(False))
-    good = ledger.where("error IS NULL").dropDuplicates(["cache_key"]).drop("cache_hit")
+    good = ledger.where("error IS NULL").dropDuplicates(["cache_key"])
     hits = good.join(keyed.select("cache_key"), "cache_key", "left_semi").withColumn("cache_hit", F.lit(True))
     missing = keyed.join(good.select("cache_key"), "cache_key", "left_anti")
-    return hits.unionByName(cut(call(missing, provider, concurrency, **options)).withColumn("cache_hit", F.lit(False)))
+    made = cut(call(missing, provider, concurrency, **options)).withColumn("cache_hit", F.lit(False))
+    return hits.select(*made.columns).unionByName(made)  # a ledger may have more columns: what was made of its rows
 
 
 def _kept(requests: DataFrame, ledger: Ledger, provider, concurrency: int, **options) -> DataFrame:
