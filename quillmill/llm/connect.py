@@ -9,6 +9,7 @@ pairs of large keys are never rows, and nothing is capped.
 
 Before sets are compared their sketches are: bits that say whether an odd number of a set's shingles falls on a place. They
 differ in no more bits than the sets in shingles, so pairs that differ in too many cannot be similar and go without their sets.
+The caller has the sketches beforehand; it is asked for the sets of those nodes alone that are in a pair which sketches leave.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.common import staged
 from quillmill.llm.simhash import components, local_roots
-from quillmill.llm.similar import BLOCK_MEMBERS, BLOCK_SHINGLES, is_similar, similar_pairs
+from quillmill.llm.similar import BLOCK_MEMBERS, BLOCK_SHINGLES, similar_pairs
 
 #: At most so many rounds with nearest members before all pairs left are compared.
 ROUNDS = 3
@@ -91,23 +92,23 @@ def nearest(sketches: list[bytes], sizes: np.ndarray, roots: np.ndarray, blocks:
     return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets of shingles reach the similarity. Sketches are compared first: they are short, and sets are joined to what they leave."""
+def _verified(pairs: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles reach the similarity. Sketches are compared first: they are short, and sets are made for what they leave."""
 
     @F.pandas_udf("boolean")
     def screened(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for a, b, n, m in batches:
             yield pd.Series([may_be_similar(*x, similarity) for x in zip(a, b, n, m, strict=True)], dtype=bool)
 
-    @F.pandas_udf("boolean")
-    def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for left, right in batches:
-            yield pd.Series([is_similar(a, b, similarity) for a, b in zip(left, right, strict=True)], dtype=bool)
-
-    left, right = (sets.select(F.col("node").alias(c), F.col("sketch").alias(f"s{c}"), F.col("size").alias(f"n{c}")) for c in "ab")
+    left, right = (sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"s{c}"), F.col("size").alias(f"n{c}")) for c in "ab")
     pairs = staged(pairs.join(left, "a").join(right, "b").where(screened("sa", "sb", "na", "nb")).select("a", "b"), "screened")
+    if pairs.isEmpty():
+        return pairs
+    sets = staged(sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
     left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b").where(similar("_a", "_b")).select("a", "b")
+    # of n and m shingles as many are shared as s (n + m) / (1 + s) at least
+    least = (F.size("_a") + F.size("_b")) * (similarity / (1 + similarity)) - 1e-6
+    return pairs.join(left, "a").join(right, "b").where(F.size(F.array_intersect("_a", "_b")) >= least).select("a", "b")
 
 
 def release(spark: SparkSession) -> None:
@@ -133,13 +134,13 @@ def _one_sided(frame: pd.DataFrame) -> bool:
     return frame["low"].iat[0] != frame["high"].iat[0] and frame["block"].min() == frame["block"].max()
 
 
-def _near_by_sketch(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _near_by_sketch(placed: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
     """(key, node, root, other, size): the members of a band that may be similar to one of it with another root, each with the nearest such one.
 
     A pair of blocks is a group: its size is bounded by the blocks, so a large band is many groups on many tasks.
     """
-    sized = placed.join(sets.select("node", "size"), "node")
-    members = _dealt(sized, "size", 16 * BLOCK_SHINGLES, 4 * BLOCK_MEMBERS).join(sets.select("node", "size", "sketch").hint("merge"), "node")
+    sized = placed.join(sketches.select("node", "size"), "node")
+    members = _dealt(sized, "size", 16 * BLOCK_SHINGLES, 4 * BLOCK_MEMBERS).join(sketches.select("node", "size", "sketch").hint("merge"), "node")
 
     def tried(frame: pd.DataFrame) -> pd.DataFrame:
         nodes = frame["node"].to_numpy()
@@ -166,49 +167,47 @@ def _blockwise(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return spread(members, "key", "low", "high").groupBy("key", "low", "high").applyInPandas(compared, "a long, b long").distinct()
 
 
-def connected(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+def connected(postings: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
     """(node, root): the components of the nodes that similar sets link, of pairs that share a key of postings (node, key).
 
-    sets_of gives (node, shingles) for a table of nodes. Nodes without links may be missing.
+    sketches has (node, size, sketch) of all nodes, with the sketch of `odd_sketch`; sets_of gives (node, shingles) for a table of nodes. Nodes without links may be missing.
     """
     several = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    placed = staged(postings.join(several, "key").select("key", "node", "n", F.col("node").alias("root")), "postings")
+    placed = staged(postings.join(several, "key").select("key", "node", "n"), "postings")
     weights = staged(placed.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
-
-    @F.pandas_udf("binary")
-    def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([odd_sketch(np.asarray(x, np.int64)) for x in batch])
-
-    sets = staged(sets_of(weights.select("node")).select("node", "shingles", F.size("shingles").cast("long").alias("size"), sketched("shingles").alias("sketch")), "sets")
-    release(sets.sparkSession)
+    sketches = staged(sketches.join(weights.select("node"), "node", "left_semi").select("node", "size", "sketch"), "sketched")
+    release(placed.sparkSession)
     of = lambda pairs: pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     star = lambda found: found.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    verified = lambda pairs: staged(_verified(staged(of(pairs), "pairs"), sketches, sets_of, similarity), "links")
     # the pairs of small postings, each once however many postings it is in
     few = placed.where(F.col("n") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("m"))
     pair = F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", F.lit(1), i), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
-    roots = components(staged(_verified(staged(of(few.select(pair.alias("p")).select("p.a", "p.b")), "pairs"), sets, similarity), "links"))
-    # of larger ones at first each member with the one that has the most neighbours, if it is not yet in its component
-    keys, last = staged(placed.where(F.col("n") > SMALL).groupBy("node").agg(F.collect_list("key").alias("keys")).join(weights, "node"), "keys"), False
-    large = keys.join(roots, "node", "left").select("node", "weight", F.coalesce(roots.root, "node").alias("root"), F.explode("keys").alias("key"))
-    hub = large.groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("b"), F.col("hub.root").alias("other"))
-    pairs = large.select("key", F.col("node").alias("a"), "root").join(hub, "key").where("root <> other").select("a", "b")
-    roots = components(staged(_verified(staged(of(pairs), "pairs"), sets, similarity), "links").union(star(roots)))
+    roots = components(verified(few.select(pair.alias("p")).select("p.a", "p.b")))
+    # of larger ones at first each member with the one that has the most neighbours, if it is not yet in its component; a member does so for three of its keys
+    listed = placed.where(F.col("n") > SMALL).groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("k")).join(weights, "node")
+    keys, last = staged(listed.select("node", "weight", F.col("k.key").alias("keys")), "keys"), False
+    members = keys.join(roots, "node", "left").select("node", "weight", F.coalesce(roots.root, "node").alias("root"), "keys")
+    hub = members.select("node", "weight", "root", F.explode("keys").alias("key")).groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("b"), F.col("hub.root").alias("other"))
+    some = F.array_distinct(F.array(*[F.get("keys", F.floor((F.size("keys") - 1) * x).cast("int")) for x in (0.0, 0.5, 1.0)]))  # the smallest, the middle and the largest
+    pairs = members.select(F.col("node").alias("a"), "root", F.explode(some).alias("key")).join(hub, "key").where("root <> other").select("a", "b")
+    roots = components(verified(pairs).union(star(roots)))
     nodes = weights.count()
-    release(sets.sparkSession)
+    release(placed.sparkSession)
     for turn in range(ROUNDS + 1):
         # a node finds its root once for all its postings
         joined = keys.join(roots, "node", "left").select("node", F.coalesce(roots.root, "node").alias("root"), F.explode("keys").alias("key"))
         mixed = joined.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        near = staged(_near_by_sketch(staged(joined.join(mixed, "key", "left_semi"), "mixed"), sets, similarity), "near")
+        near = staged(_near_by_sketch(staged(joined.join(mixed, "key", "left_semi"), "mixed"), sketches, similarity), "near")
         left = near.count()
         if not left:
             return roots
         last = last or left <= 2 * nodes  # few are left: they are compared whole at once
         if turn < ROUNDS and not last:  # each member with the nearest one that is not yet in its component
-            links = staged(_verified(staged(of(near.select(F.col("node").alias("a"), F.col("other").alias("b"))), "pairs"), sets, similarity), "links")
+            links = verified(near.select(F.col("node").alias("a"), F.col("other").alias("b")))
             last = links.isEmpty()  # what is nearest is not similar; the rest is compared whole
         if turn == ROUNDS or last:
+            sets = staged(sets_of(near.select("node").distinct()), "sets")
             links, last = staged(_blockwise(near.select("key", "node", "root", "size").distinct(), sets, similarity), "links"), True
         if not links.isEmpty():
             roots = components(links.union(star(roots)))

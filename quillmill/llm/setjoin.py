@@ -26,11 +26,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmill.llm.common import ship, staged
-from quillmill.llm.connect import connected, release, spread
+from quillmill.llm.connect import connected, odd_sketch, release, spread
 from quillmill.llm.similar import shingle_set
 
 #: Segments of a scheme at most.
 _SLOT = 1 << 40
+#: Texts wanted, at most, whose names are sent to all executors; where more are wanted, all texts are shuffled.
+NAMES = 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,10 +104,10 @@ def less_one(shingles: np.ndarray, scheme: int, segments: int, chosen: list[int]
 
 
 def _sketch(text: Column, schemes: Schemes, size: int) -> Column:
-    """(n, node, schemes, entries): the set's size and hash, its schemes, and the entries of its parts, scheme after scheme."""
+    """(n, node, sketch, schemes, entries): the set's size, hash and odd sketch, its schemes, and the entries of its parts, scheme after scheme."""
     import xxhash
 
-    @F.pandas_udf("n long, node long, schemes array<int>, entries array<long>")
+    @F.pandas_udf("n long, node long, sketch binary, schemes array<int>, entries array<long>")
     def sketch(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             rows = []
@@ -114,8 +116,8 @@ def _sketch(text: Column, schemes: Schemes, size: int) -> Column:
                 own = schemes.of(len(shingles)) if len(shingles) else []
                 made = [entries(shingles, c, schemes.segments(c)) for c in own]
                 node = int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes())).view(np.int64))
-                rows.append((len(shingles), node, np.array(own, np.int32), np.concatenate(made) if made else np.zeros(0, np.int64)))
-            yield pd.DataFrame(rows, columns=["n", "node", "schemes", "entries"])
+                rows.append((len(shingles), node, odd_sketch(shingles), np.array(own, np.int32), np.concatenate(made) if made else np.zeros(0, np.int64)))
+            yield pd.DataFrame(rows, columns=["n", "node", "sketch", "schemes", "entries"])
 
     return sketch(text)
 
@@ -151,7 +153,7 @@ def joined_sets(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
     rows = df.select(df[f"`{key}`"].alias("k"), df[f"`{text}`"].cast("string").alias("text"))
     named = F.struct(F.xxhash64("text").alias("x"), F.xxhash64(F.lit("text"), "text").alias("y"))  # texts are found again by 128 bits
     docs = staged(rows.select("k", named.alias("name"), _sketch(F.col("text"), schemes, size).alias("s")).select(F.monotonically_increasing_id().alias("row"), "k", "name", "s.*"), "sketches")
-    distinct = staged(docs.where("n > 0").groupBy("node").agg(F.min("k").alias("least"), F.min_by(F.struct("row", "name", "n", "schemes"), "row").alias("s")).select("node", "least", "s.*"), "distinct")
+    distinct = staged(docs.where("n > 0").groupBy("node").agg(F.min("k").alias("least"), F.min_by(F.struct("row", "name", "n", "sketch", "schemes"), "row").alias("s")).select("node", "least", "s.*"), "distinct")
 
     @F.pandas_udf("array<long>")
     def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -159,9 +161,10 @@ def joined_sets(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
             yield pd.Series([shingle_set(t, size) for t in batch])
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        # a table of its own, whose size Spark knows: only where it is too large to broadcast are all texts shuffled
         wanted = staged(distinct.join(nodes, "node", "left_semi").select("node", "name"), "wanted")
-        return spread(rows.select(named.alias("name"), "text").join(wanted, "name").select("node", "text"), "node").groupBy("node").agg(F.any_value("text").alias("text")).select("node", shingles("text").alias("shingles"))
+        texts = rows.select(named.alias("name"), "text").join(F.broadcast(wanted) if wanted.count() <= NAMES else wanted, "name")
+        # copies of a text go no further than their task
+        return spread(texts.groupBy("node").agg(F.any_value("text").alias("text")), "node").select("node", shingles("text").alias("shingles"))
 
     # a place counts the segments of both schemes through: those of the second begin where those of the first end
     segments = F.create_map(*[F.lit(x) for c in range(len(schemes.low) - 1) for x in (c, schemes.segments(c))])
@@ -196,7 +199,7 @@ def joined_sets(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
         slots = double.select((F.col("scheme").cast("long") * _SLOT + F.col("segment")).alias("slot"), "rank")
         alone = parts.join(slots, "slot").join(distinct.select("node", "n"), "node").where(F.col("rank") < budget).select("node", F.col("entry").alias("key"))
         whole = whole.unionByName(near).unionByName(alone).distinct()
-    roots = connected(whole, sets_of, num / den)
+    roots = connected(whole, distinct.select("node", F.col("n").alias("size"), "sketch"), sets_of, num / den)
     found = staged(distinct.join(roots, distinct.node == roots.node, "left").select(distinct.node, "least", F.coalesce("root", distinct.node).alias("root")), "roots")
     first = found.groupBy("root").agg(F.min("least").alias("component_id"))
     named_ = found.join(first, "root").select("node", "component_id")

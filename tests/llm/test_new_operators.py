@@ -70,6 +70,27 @@ def test_set_join(spark):
     assert setjoin.joined_sets(df.limit(0)).count() == 0 == setjoin.joined_sets(df.limit(0)).where("component_id = 1").count()
 
 
+def test_sets_of_candidates_alone(spark, monkeypatch):
+    """Texts that share index entries but, by their sketches, cannot be similar are not made sets again; a tie at the bound is a link."""
+    rnd, asked = random.Random(9), []
+    own = lambda i, n: [f"o{i}x{j}" for j in range(n)]
+    rows = [(i, " ".join([f"b{j}" for j in range(40)] + own(i, 20))) for i in range(60)]
+    long = own("long", 97)
+    rows += [(100, " ".join(long)), (101, " ".join(long[:92] + own("tie", 5))), (102, " ".join(long[:91] + own("less", 6)))]
+    rows += [(200 + i, t) for i, t in enumerate(near_copies(rnd, [60, 80, 100], 1))]
+    connected = setjoin.connected
+
+    def watched(*given):
+        *first, sets_of, similarity = given
+        return connected(*first, lambda nodes: asked.append({r.node for r in nodes.select("node").collect()}) or sets_of(nodes), similarity)
+
+    monkeypatch.setattr(setjoin, "connected", watched)
+    want, _ = brute_join(rows)
+    got = setjoin.joined_sets(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(repr(tuple(r)) for r in got.collect()) == want and "(101, 95, 100)" in want and "(102, 95, 102)" in want
+    assert 0 < len(set().union(*asked)) < 25
+
+
 def test_schemes():
     """Any two sizes that may be linked share a scheme, and the smaller one's budget covers what they may differ in."""
     schemes = setjoin.Schemes(9, 10)
