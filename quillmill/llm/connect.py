@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.common import staged
 from quillmill.llm.simhash import components, local_roots
-from quillmill.llm.similar import BLOCK_MEMBERS, BLOCK_SHINGLES, similar_pairs
+from quillmill.llm.similar import BLOCK_MEMBERS, BLOCK_SHINGLES, block_pairs, one_sided, similar_pairs
 
 #: At most so many rounds with nearest members before all pairs left are compared.
 ROUNDS = 3
@@ -121,30 +121,16 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
-def _dealt(placed: DataFrame, size: str, most: int, members: int) -> DataFrame:
-    """Rows (key, low, high, block, node, root) for each pair of blocks of a key; a block has `most` of the summed `size` and this many members, on average at most."""
-    dealt = placed.groupBy("key").agg(F.greatest(F.sum(size) / most, F.count("*") / members).alias("x")).select("key", F.ceil("x").cast("int").alias("blocks"))
-    own = placed.join(dealt.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.greatest(F.col("blocks"), F.lit(1))).cast("int"))
-    pairs = own.select("key", "node", "root", "block", F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks"), F.lit(1)) - 1)).alias("other"))
-    return pairs.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root")
-
-
-def _one_sided(frame: pd.DataFrame) -> bool:
-    """Whether one of two blocks has no members."""
-    return frame["low"].iat[0] != frame["high"].iat[0] and frame["block"].min() == frame["block"].max()
-
-
 def _near_by_sketch(placed: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """(key, node, root, other, size): the members of a band that may be similar to one of it with another root, each with the nearest such one.
+    """(key, node, root, other, size): of members (key, node, root, size) those that may be similar to one of their band with another root, each with the nearest such one.
 
     A pair of blocks is a group: its size is bounded by the blocks, so a large band is many groups on many tasks.
     """
-    sized = placed.join(sketches.select("node", "size"), "node")
-    members = _dealt(sized, "size", 16 * BLOCK_SHINGLES, 4 * BLOCK_MEMBERS).join(sketches.select("node", "size", "sketch").hint("merge"), "node")
+    members = block_pairs(placed, sketches.select("node", "size", "sketch"), 16 * BLOCK_SHINGLES, 4 * BLOCK_MEMBERS)
 
     def tried(frame: pd.DataFrame) -> pd.DataFrame:
         nodes = frame["node"].to_numpy()
-        near = np.full(len(frame), -1) if _one_sided(frame) else nearest(list(frame["sketch"]), frame["size"].to_numpy(), frame["root"].to_numpy(), frame["block"].to_numpy(), similarity)
+        near = np.full(len(frame), -1) if one_sided(frame) else nearest(list(frame["sketch"]), frame["size"].to_numpy(), frame["root"].to_numpy(), frame["block"].to_numpy(), similarity)
         stay = near >= 0
         return frame.loc[stay, ["key", "node", "root", "size"]].assign(other=nodes[near[stay]])
 
@@ -153,11 +139,11 @@ def _near_by_sketch(placed: DataFrame, sketches: DataFrame, similarity: float) -
 
 def _blockwise(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) that connect what all similar pairs of members of a band with different roots connect, of members (key, node, root, size), in pairs of blocks."""
-    members = _dealt(left, "size", BLOCK_SHINGLES, BLOCK_MEMBERS).join(sets.select("node", "shingles").hint("merge"), "node")
+    members = block_pairs(left, sets.select("node", "shingles"), BLOCK_SHINGLES, BLOCK_MEMBERS)
 
     def compared(frame: pd.DataFrame) -> pd.DataFrame:
         nodes = frame["node"].to_numpy()
-        if _one_sided(frame):
+        if one_sided(frame):
             return pd.DataFrame({"a": nodes[:0], "b": nodes[:0]})
         a, b = similar_pairs([np.asarray(x, np.int64) for x in frame["shingles"]], frame["root"].to_numpy(), frame["block"].to_numpy(), similarity)
         root = local_roots(len(nodes), a, b)
@@ -185,8 +171,8 @@ def connected(postings: DataFrame, sketches: DataFrame, sets_of: Callable[[DataF
     pair = F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", F.lit(1), i), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
     roots = components(verified(few.select(pair.alias("p")).select("p.a", "p.b")))
     # of larger ones at first each member with the one that has the most neighbours, if it is not yet in its component; a member does so for three of its keys
-    listed = placed.where(F.col("n") > SMALL).groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("k")).join(weights, "node")
-    keys, last = staged(listed.select("node", "weight", F.col("k.key").alias("keys")), "keys"), False
+    listed = placed.where(F.col("n") > SMALL).groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("k")).join(weights, "node").join(sketches.select("node", "size"), "node")
+    keys, last = staged(listed.select("node", "weight", "size", F.col("k.key").alias("keys")), "keys"), False
     members = keys.join(roots, "node", "left").select("node", "weight", F.coalesce(roots.root, "node").alias("root"), "keys")
     hub = members.select("node", "weight", "root", F.explode("keys").alias("key")).groupBy("key").agg(F.max_by(F.struct("node", "root"), F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("b"), F.col("hub.root").alias("other"))
     some = F.array_distinct(F.array(*[F.get("keys", F.floor((F.size("keys") - 1) * x).cast("int")) for x in (0.0, 0.5, 1.0)]))  # the smallest, the middle and the largest
@@ -195,10 +181,11 @@ def connected(postings: DataFrame, sketches: DataFrame, sets_of: Callable[[DataF
     nodes = weights.count()
     release(placed.sparkSession)
     for turn in range(ROUNDS + 1):
-        # a node finds its root once for all its postings
-        joined = keys.join(roots, "node", "left").select("node", F.coalesce(roots.root, "node").alias("root"), F.explode("keys").alias("key"))
-        mixed = joined.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        near = staged(_near_by_sketch(staged(joined.join(mixed, "key", "left_semi"), "mixed"), sketches, similarity), "near")
+        if turn:  # who has nobody left in another component gets nobody later, as components only grow
+            placed = near.select("key", "node", "size").distinct().join(roots, "node", "left").select("key", "node", F.coalesce(roots.root, "node").alias("root"), "size")
+        else:  # a node finds its root once for all its postings
+            placed = keys.join(roots, "node", "left").select("node", F.coalesce(roots.root, "node").alias("root"), "size", F.explode("keys").alias("key"))
+        near = staged(_near_by_sketch(staged(placed, "placed"), sketches, similarity), "near")
         left = near.count()
         if not left:
             return roots

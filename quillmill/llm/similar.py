@@ -111,21 +111,45 @@ def byte_pairs(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return equal.unionByName(linked).where("a <> b").distinct()
 
 
+def block_pairs(placed: DataFrame, own: DataFrame, most: int, members: int) -> DataFrame:
+    """Rows (node, the other columns of own, key, root, low, high, block) of pairs of blocks, a group (key, low, high) for each, that hold all pairs of a key's members with different roots.
+
+    placed has (key, node, root, size), own (node, ...) has a row a node. A block has `most` of the summed size and this many members, on average at
+    most. The root that most members of a key have is its main one; where that saves rows its members have blocks of their own, which are
+    paired with those of the others alone, so a large group that is one component goes once to each block of the others.
+    Keys whose members have one root are passed over. Columns of own are joined to each node once, not to each row.
+    """
+    blocks = lambda size, n: F.ceil(F.greatest(size / most, n / members)).cast("int")
+    roots = placed.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    keys = roots.groupBy("key").agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "root", "size")).alias("main")).where("n > main.n")
+    more = keys.select("*", blocks(F.col("size"), F.col("n")).alias("all"), blocks(F.col("main.size"), F.col("main.n")).alias("mains"), blocks(F.col("size") - F.col("main.size"), F.col("n") - F.col("main.n")).alias("others"))
+    saves = F.expr("main.n * others + (n - main.n) * (mains + others) < n * all")
+    dealt = more.select("key", F.when(saves, F.col("main.root")).alias("main"), F.when(saves, F.col("mains")).otherwise(0).alias("mains"), F.when(saves, F.col("others")).otherwise(F.col("all")).alias("others"))
+    is_main, at = F.col("root").eqNullSafe(F.col("main")), F.xxhash64("node", "key")
+    block = F.when(is_main, F.pmod(at, "mains")).otherwise(F.col("mains") + F.pmod(at, "others")).cast("int")
+    place = F.struct("key", "root", block.alias("block"), F.when(is_main, F.col("mains")).otherwise(0).alias("first"), (F.col("mains") + F.col("others") - 1).alias("last"))
+    places = placed.join(dealt.hint("merge"), "key").groupBy("node").agg(F.collect_list(place).alias("places"))
+    rows = places.join(own.hint("merge"), "node").select(*own.columns, F.explode("places").alias("p"))
+    rows = rows.select(*own.columns, "p.key", "p.root", "p.block", F.explode(F.sequence("p.first", "p.last")).alias("other"))
+    return rows.select(*own.columns, "key", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block")
+
+
+def one_sided(frame: pd.DataFrame) -> bool:
+    """Whether one of two blocks has no members."""
+    return frame["low"].iat[0] != frame["high"].iat[0] and frame["block"].min() == frame["block"].max()
+
+
 def _blockwise(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) that connect what all similar pairs of members of a band in different components connect.
 
     A pair of blocks is a group: its size is bounded by the blocks, so a large band is many groups on many tasks.
     """
-    rows = placed.join(sets.select("node", F.size("shingles").alias("size")), "node")
-    dealt = rows.groupBy("key").agg(F.greatest(F.sum("size") / BLOCK_SHINGLES, F.count("*") / BLOCK_MEMBERS).alias("x")).select("key", F.ceil("x").cast("int").alias("blocks"))
-    own = rows.join(dealt.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("node", "key"), F.greatest(F.col("blocks"), F.lit(1))).cast("int"))
-    pairs = own.select("key", "node", "root", "block", F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks"), F.lit(1)) - 1)).alias("other"))
-    pairs = pairs.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root")
-    members = pairs.join(sets.hint("merge"), "node")
+    sized = placed.select("key", "node", "root").join(sets.select("node", F.size("shingles").alias("size")), "node")
+    members = block_pairs(sized, sets.select("node", "shingles"), BLOCK_SHINGLES, BLOCK_MEMBERS)
 
     def compared(frame: pd.DataFrame) -> pd.DataFrame:
         nodes, blocks = frame["node"].to_numpy(), frame["block"].to_numpy()
-        if frame["low"].iat[0] != frame["high"].iat[0] and blocks.min() == blocks.max():  # one of two blocks has no members
+        if one_sided(frame):
             return pd.DataFrame({"a": nodes[:0], "b": nodes[:0]})
         a, b = similar_pairs([np.asarray(x, np.int64) for x in frame["shingles"]], frame["root"].to_numpy(), blocks, similarity)
         root = local_roots(len(nodes), a, b)

@@ -91,6 +91,41 @@ def test_sets_of_candidates_alone(spark, monkeypatch):
     assert 0 < len(set().union(*asked)) < 25
 
 
+def test_pairs_of_blocks(spark):
+    """A large group that is one component goes once to each block of the others, not to each of its own; every pair of different roots is in one group."""
+    def dealt(roots, most=10**9):
+        placed = [(key, node, root, 5) for key, own in roots.items() for node, root in enumerate(own)]
+        rows = similar.block_pairs(spark.createDataFrame(placed, "key long, node long, root long, size long"), spark.createDataFrame([(i, -i) for i in range(400)], "node long, x long"), most, 20).collect()
+        groups = {}
+        for r in rows:
+            assert r.x == -r.node and r.block in (r.low, r.high) and r.root == roots[r.key][r.node]
+            groups.setdefault((r.key, r.low, r.high), []).append((r.block, r.node, r.root))
+        met = Counter()
+        for (key, low, high), own in groups.items():
+            met.update((key, min(i, j), max(i, j)) for at, (a, i, x) in enumerate(own) for b, j, y in own[at + 1 :] if x != y and (low == high or a != b))
+        assert met == Counter((key, i, j) for key, own in roots.items() for i, x in enumerate(own) for j in range(i + 1, len(own)) if own[j] != x)
+        return Counter(r.key for r in rows), max(map(len, groups.values()))
+
+    sizes, most = dealt({1: [7] * 390 + list(range(100, 110)), 2: [3] * 50, 3: [1, 2, 2], 4: list(range(90)), 5: [1, 2] * 60})
+    assert sizes[1] == 390 + 10 * 21 and 2 not in sizes and sizes[3] == 3 and sizes[4] == 90 * 5 and most < 80
+    assert dealt({1: [7] * 195 + [8] * 5})[0][1] == 195 + 5 * 11
+    assert dealt({1: [7] * 30 + [8]}, 50)[0][1] == 31 + 3
+
+
+def test_large_group_joined(spark, monkeypatch):
+    """Blocks of few members and rounds that take what is left from the round before give what all pairs give."""
+    rnd = random.Random(12)
+    base = [f"c{i}" for i in range(60)]
+    texts = [" ".join(base[:at] + [f"y{rnd.randrange(10**6)}"] + base[at + 1 :]) for at in (rnd.randrange(60) for _ in range(150))]
+    texts += [" ".join(base[:30] + [f"o{i}x{j}" for j in range(30 + i % 4)]) for i in range(80)] + near_copies(rnd, [40, 60, 90], 12)
+    rows = list(enumerate(texts))
+    want, _ = brute_join(rows)
+    for module in (connect, similar):
+        monkeypatch.setattr(module, "BLOCK_MEMBERS", 5)
+    got = setjoin.joined_sets(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(repr(tuple(r)) for r in got.collect()) == want
+
+
 def test_schemes():
     """Any two sizes that may be linked share a scheme, and the smaller one's budget covers what they may differ in."""
     schemes = setjoin.Schemes(9, 10)
